@@ -123,3 +123,127 @@ _ = K
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ---------------------------------------------------------------------------
+# rules and trace
+# ---------------------------------------------------------------------------
+
+from ..operators import rules as R  # noqa: E402
+from .oracle_features import d  # noqa: E402
+
+
+def _ind_alias(ind: str) -> str:
+    return ind.lower().replace("-", "_")
+
+
+def _rule_inputs_cte() -> str:
+    names = R.referenced_features()
+    cols = ", ".join(f"coalesce(CAST({n} AS DOUBLE), 0.0) AS {n}" for n in names)
+    derived = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in R.DERIVED_INPUTS.items())
+    return f"""
+ri0 AS (SELECT customer_id, {cols} FROM ft),
+ri AS (SELECT *, {derived} FROM ri0)"""
+
+
+def _clip01(x: str) -> str:
+    return f"(CASE WHEN ({x}) < 0 THEN 0.0 WHEN ({x}) > 1 THEN 1.0 ELSE ({x}) END)"
+
+
+def _points_cte() -> str:
+    cols = []
+    for typ in K.TYPOLOGIES:
+        for ind, ladders in R.RULES[typ]:
+            cols.append(f'{R.indicator_sql(ladders)} AS "{_ind_alias(ind)}"')
+    rp = f"rp0 AS (SELECT customer_id, {', '.join(cols)} FROM ri)"
+    scores = []
+    for typ in K.TYPOLOGIES:
+        s = " + ".join(f'"{_ind_alias(i)}"' for i, _ in R.RULES[typ])
+        scores.append(f"{_clip01(s)} AS rule_{typ}")
+    rp1 = f"rp AS (SELECT *, {', '.join(scores)} FROM rp0)"
+    weighted = " + ".join(f"rule_{t} * {d(K.TYPOLOGY_WEIGHTS[t])}" for t in K.TYPOLOGIES)
+    trig = " + ".join(f"CASE WHEN rule_{t} > 0 THEN 1 ELSE 0 END" for t in K.TYPOLOGIES)
+    best = "greatest(" + ", ".join(f"rule_{t}" for t in K.TYPOLOGIES) + ")"
+    argmax = "CASE " + " ".join(f"WHEN rule_{t} = {best} THEN '{K.TYPOLOGY_LABELS[t]}'"
+                                for t in K.TYPOLOGIES) + " END"
+    rs = (f"rs AS (SELECT *, {weighted} AS rule_score_weighted, {trig} AS rules_triggered, "
+          f"{argmax} AS primary_rule_typology FROM rp)")
+    return ",\n".join([rp, rp1, rs])
+
+
+def _trace_cte(weight_expr=None, src: str = "rs", name: str = "tr") -> str:
+    """Relational trace: unpivot -> filter -> rank -> group in first-seen order."""
+    branches = []
+    for ordinal, typ, ind in R.indicator_ids():
+        w = weight_expr(typ) if weight_expr else d(K.TYPOLOGY_WEIGHTS[typ])
+        branches.append(
+            f"SELECT customer_id, {ordinal} AS ord, '{K.TYPOLOGY_PREFIX[typ]}' AS typ, '{ind}' AS ind, "
+            f'"{_ind_alias(ind)}" AS points, "{_ind_alias(ind)}" * {w} AS impact FROM {src}')
+    union = "\n    UNION ALL ".join(branches)
+    return f"""
+{name}_long AS (
+    {union}
+),
+{name}_rk AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY impact DESC, ord) AS rn
+  FROM {name}_long WHERE points > 0 AND impact >= {d(K.TRACE_MIN_IMPACT)}
+),
+{name}_top AS (
+  SELECT *, min(rn) OVER (PARTITION BY customer_id, typ) AS g,
+    ind || '(' || CASE WHEN points > {d(K.TRACE_SEVERITY_HIGH)} THEN 'H'
+                       WHEN points >= {d(K.TRACE_SEVERITY_MEDIUM)} THEN 'M' ELSE 'L' END || ')' AS item
+  FROM {name}_rk WHERE rn <= {K.TRACE_TOP_N}
+),
+{name}_grp AS (
+  SELECT customer_id, g, typ, string_agg(item, ', ' ORDER BY rn) AS items FROM {name}_top GROUP BY customer_id, g, typ
+),
+{name} AS (
+  SELECT s.customer_id, coalesce(x.t, '') AS rule_indicator_trace
+  FROM {src} s LEFT JOIN (
+    SELECT customer_id, string_agg(typ || ': ' || items, ' | ' ORDER BY g) AS t FROM {name}_grp GROUP BY customer_id
+  ) x ON s.customer_id = x.customer_id
+)"""
+
+
+RULES_SQL = FT + "," + _rule_inputs_cte() + ",\n" + _points_cte()
+TRACE_SQL = RULES_SQL + "," + _trace_cte()
+
+for _typ in K.TYPOLOGIES:
+    ORACLE[f"rules_{_typ}"] = RULES_SQL + "\n" + sql_select(
+        ["customer_id", *[_ind_alias(i) for i, _ in R.RULES[_typ]], f"rule_{_typ}"], "rs",
+        {_ind_alias(i): "d" for i, _ in R.RULES[_typ]})
+
+ORACLE["rule_scores"] = RULES_SQL + "\n" + sql_select(
+    ["customer_id", *[f"rule_{t}" for t in K.TYPOLOGIES], "rule_score_weighted", "rules_triggered",
+     "primary_rule_typology"], "rs")
+
+ORACLE["indicator_trace"] = TRACE_SQL + "\n" + sql_select(["customer_id", "rule_indicator_trace"], "tr")
+
+
+def _trace_counts_cte(src: str = "tr") -> str:
+    cnt = []
+    for typ in K.TYPOLOGIES:
+        aliases = [a for a, t in K.TRACE_PREFIX_ALIASES.items() if t == typ]
+        lst = ", ".join(f"'{a}'" for a in aliases)
+        cnt.append(f"count(it) FILTER (WHERE p IN ({lst}) AND trim(it) <> '') AS n_{typ}")
+    return f"""
+tc_seg AS (
+  SELECT customer_id, unnest(string_split(rule_indicator_trace, '|')) AS seg FROM {src}
+),
+tc_seg2 AS (
+  SELECT customer_id, lower(trim(split_part(seg, ':', 1))) AS p,
+    CASE WHEN strpos(seg, ':') > 0 THEN substr(seg, strpos(seg, ':') + 1) END AS rest
+  FROM tc_seg
+),
+tc_it AS (
+  SELECT customer_id, p, unnest(string_split(rest, ',')) AS it FROM tc_seg2 WHERE rest IS NOT NULL
+),
+tc AS (
+  SELECT s.customer_id, {", ".join(f"coalesce(x.n_{t}, 0) AS n_{t}" for t in K.TYPOLOGIES)}
+  FROM {src} s LEFT JOIN (SELECT customer_id, {", ".join(cnt)} FROM tc_it GROUP BY customer_id) x
+    ON s.customer_id = x.customer_id
+)"""
+
+
+ORACLE["trace_counts"] = TRACE_SQL + "," + _trace_counts_cte() + "\n" + sql_select(
+    ["customer_id", *[f"n_{t}" for t in K.TYPOLOGIES]], "tc")

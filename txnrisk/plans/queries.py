@@ -203,3 +203,65 @@ def queries() -> dict[str, Query]:
 
 
 _ = K
+
+
+# ---------------------------------------------------------------------------
+# rules and trace
+# ---------------------------------------------------------------------------
+
+from ..operators import rules as R  # noqa: E402
+from ..operators import trace as TR  # noqa: E402
+
+
+def ind_alias(ind: str) -> str:
+    return ind.lower().replace("-", "_")
+
+
+def rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator points + typology scores + summary + trace, one row per customer."""
+    def build():
+        pts = R.with_rule_summary(R.rule_points(features(spark, sf_dir)))
+        return P.materialize(TR.with_indicator_trace(pts))
+    return memo(spark, sf_dir, "rule_table", build)
+
+
+def _rules_query(typ: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = R.typology_rule_scores(features(spark, sf_dir), typ)
+        cols = [F.col(f"`{R.indicator_column_name(typ, i)}`").alias(ind_alias(i)) for i, _ in R.RULES[typ]]
+        return present(t.select("customer_id", *cols, f"rule_{typ}"))
+    return q
+
+
+for _t in K.TYPOLOGIES:
+    REGISTRY[f"rules_{_t}"] = _rules_query(_t)
+
+RULE_SUMMARY_COLUMNS = [f"rule_{t}" for t in K.TYPOLOGIES] + [
+    "rule_score_weighted", "rules_triggered", "primary_rule_typology"]
+
+
+@register("rule_scores")
+def q_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(rule_table(spark, sf_dir).select("customer_id", *RULE_SUMMARY_COLUMNS))
+
+
+@register("indicator_trace")
+def q_indicator_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(rule_table(spark, sf_dir).select("customer_id", "rule_indicator_trace"))
+
+
+@register("trace_counts")
+def q_trace_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = rule_table(spark, sf_dir)
+    counts = TR.trace_counts(F.col("rule_indicator_trace"))
+    return present(t.select("customer_id", *[counts[x].alias(f"n_{x}") for x in K.TYPOLOGIES]))
+
+
+@register("flagship")
+def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers with weighted rule score, typologies fired, primary
+    typology and indicator trace, highest score first."""
+    t = rule_table(spark, sf_dir)
+    return (t.select("customer_id", "rule_score_weighted", "rules_triggered", "primary_rule_typology",
+                     "rule_indicator_trace")
+             .orderBy(F.desc("rule_score_weighted"), F.asc("customer_id")))
