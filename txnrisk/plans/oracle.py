@@ -247,3 +247,309 @@ tc AS (
 
 ORACLE["trace_counts"] = TRACE_SQL + "," + _trace_counts_cte() + "\n" + sql_select(
     ["customer_id", *[f"n_{t}" for t in K.TYPOLOGIES]], "tc")
+
+
+# ---------------------------------------------------------------------------
+# anomaly, peers, fusion, validation
+# ---------------------------------------------------------------------------
+
+from .. import constants as _K  # noqa: E402
+from ..operators.anomaly import resolve_feature_cols  # noqa: E402
+
+_NON_NUMERIC = {"customer_type", "established_date", "first_transaction_date", "last_transaction_date",
+                "birth_date", "onboard_date"}
+
+
+def _available() -> list[str]:
+    return [c for c in feature_table_columns()
+            if c not in _K.EXCLUDE_MODEL_COLS and c not in _NON_NUMERIC]
+
+
+SETS = {t: resolve_feature_cols(_K.TYPOLOGY_FEATURE_PATTERNS[t], _available()) for t in _K.TYPOLOGIES}
+_ALL_SET_COLS = sorted({c for v in SETS.values() for c in v})
+_LOG_CAND = [c for c in _ALL_SET_COLS if any(p in c for p in _K.LOG_TRANSFORM_PATTERNS)]
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_FS_VALUES = ", ".join(f"({_sq(t)}, {i}, {_sq(c)})" for t in _K.TYPOLOGIES for i, c in enumerate(SETS[t]))
+
+ANOM_CTES = f""",
+mins AS (SELECT {", ".join(f"min(CAST({c} AS DOUBLE)) AS {c}" for c in _LOG_CAND)} FROM ft),
+fs(typology, position, feature) AS (VALUES {_FS_VALUES}),
+fstats AS (
+  {" UNION ALL ".join(f"SELECT {_sq(c)} AS feature, count({c}) AS n_nonnull, min(CAST({c} AS DOUBLE)) AS min_value, max(CAST({c} AS DOUBLE)) AS max_value FROM ft" for c in _ALL_SET_COLS)}
+),
+prep AS (
+  {" UNION ALL ".join(
+    "SELECT ft.customer_id, " + _sq(t) + " AS typology, " + _sq(c) + " AS feature, "
+    + "(CASE WHEN v IS NULL OR isnan(v) OR isinf(v) THEN 0.0 ELSE v END) AS value FROM (SELECT ft.customer_id, "
+    + (f"CASE WHEN mins.{c} >= 0 THEN ln(1 + CAST(ft.{c} AS DOUBLE)) ELSE CAST(ft.{c} AS DOUBLE) END"
+       if c in _LOG_CAND else f"CAST(ft.{c} AS DOUBLE)")
+    + " AS v FROM ft CROSS JOIN mins) ft"
+    for t in _K.TYPOLOGIES for c in SETS[t])}
+),
+rparams AS (
+  SELECT typology, feature, quantile_cont(value, 0.5) AS med,
+    quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr
+  FROM prep GROUP BY typology, feature
+),
+scaled AS (
+  SELECT p.customer_id, p.typology, p.feature,
+    (p.value - r.med) / CASE WHEN r.iqr = 0 THEN 1.0 ELSE r.iqr END AS value
+  FROM prep p JOIN rparams r ON p.typology = r.typology AND p.feature = r.feature
+)"""
+
+_is_log = " OR ".join(f"contains(fs.feature, {_sq(p)})" for p in _K.LOG_TRANSFORM_PATTERNS)
+
+ORACLE["feature_sets"] = FT + ANOM_CTES + f""",
+fsout AS (
+  SELECT fs.typology, fs.position, fs.feature,
+    CASE WHEN ({_is_log}) AND st.min_value >= 0 THEN 1 ELSE 0 END AS is_log,
+    st.n_nonnull, st.min_value, st.max_value
+  FROM fs JOIN fstats st ON fs.feature = st.feature
+)
+""" + sql_select(["typology", "position", "feature", "is_log", "n_nonnull", "min_value", "max_value"], "fsout",
+                 {"position": "i", "is_log": "i", "min_value": "d", "max_value": "d"})
+
+ORACLE["log_transform"] = FT + ANOM_CTES + "\n" + sql_select(
+    ["customer_id", "typology", "feature", "value"], "prep", {"value": "d"})
+ORACLE["robust_scale"] = FT + ANOM_CTES + "\n" + sql_select(
+    ["customer_id", "typology", "feature", "value"], "scaled", {"value": "d"})
+
+_IFC = [f"if_score_{t}" for t in _K.TYPOLOGIES]
+_GREATEST_IF = "greatest(" + ", ".join(_IFC) + ")"
+
+
+def _argmax(cols: list[str], labels: list[str]) -> str:
+    g = "greatest(" + ", ".join(cols) + ")"
+    return "CASE " + " ".join(f"WHEN {c} = {g} THEN {_sq(lab)}" for c, lab in zip(cols, labels)) + " END"
+
+
+def _band(x: str) -> str:
+    return ("CASE " + " ".join(f"WHEN {x} >= {lo} THEN {_sq(lab)}" for lo, lab in _K.RISK_BANDS)
+            + f" ELSE {_sq(_K.RISK_BAND_FLOOR)} END")
+
+
+_MEAN_IF = "(" + " + ".join(_IFC) + f") / {d(5.0)}"
+_W_IF = " + ".join(f"if_score_{t} * {d(_K.TYPOLOGY_WEIGHTS[t])}" for t in _K.TYPOLOGIES)
+
+HY_CTES = f""",
+an0 AS (
+  SELECT customer_id, label AS actual_label, {", ".join(f"{t}_risk AS if_score_{t}" for t in _K.TYPOLOGIES)}
+  FROM ft
+),
+an AS (
+  SELECT *, {_GREATEST_IF} AS if_score_max, {_MEAN_IF} AS if_score_mean,
+    {_argmax(_IFC, [_K.TYPOLOGY_LONG_LABELS[t] for t in _K.TYPOLOGIES])} AS primary_typology,
+    {_band(_GREATEST_IF)} AS risk_category,
+    {_W_IF} AS if_score_weighted
+  FROM an0
+),
+cl AS (SELECT *, least(CAST(floor(if_score_mean * 10) AS INTEGER), 9) AS cluster FROM an),
+prof0 AS (
+  SELECT cluster, count(*) AS n_customers, {", ".join(f"avg({c}) AS {c}" for c in _IFC)},
+    avg(if_score_mean) AS cluster_if_mean
+  FROM cl GROUP BY cluster
+),
+prof AS (
+  SELECT prof0.*,
+    CASE WHEN {_GREATEST_IF} < {d(_K.CLUSTER_LOW_RISK_CUTOFF)} THEN {_sq(_K.GENERAL_LOW_RISK_LABEL)}
+         ELSE {_argmax(_IFC, [_K.TYPOLOGY_LABELS[t] for t in _K.TYPOLOGIES])} END AS cluster_primary_typology,
+    {d(0.1)} + {d(0.9)} * (cluster_if_mean - mm.tmin) / (mm.tmax - mm.tmin + {d(1e-9)}) AS cluster_risk_tier
+  FROM prof0 CROSS JOIN (SELECT min(cluster_if_mean) AS tmin, max(cluster_if_mean) AS tmax FROM prof0) mm
+),
+pct AS (
+  SELECT customer_id, cluster,
+    row_number() OVER (PARTITION BY cluster ORDER BY if_score_mean, customer_id) AS rank,
+    count(*) OVER (PARTITION BY cluster) AS cluster_size
+  FROM cl
+),
+pct2 AS (
+  SELECT *, (rank - 1) / CAST(greatest(cluster_size - 1, 1) AS DOUBLE) AS kmeans_score FROM pct
+),
+hy0 AS (
+  SELECT an.*, {", ".join(f"rs.rule_{t}" for t in _K.TYPOLOGIES)}, rs.rule_score_weighted, rs.rules_triggered,
+    {", ".join(f"an.if_score_{t} * rs.rule_{t} AS dynamic_{t}" for t in _K.TYPOLOGIES)},
+    pct2.cluster, prof.cluster_risk_tier, prof.cluster_primary_typology, pct2.kmeans_score
+  FROM an JOIN rs ON an.customer_id = rs.customer_id
+  JOIN pct2 ON an.customer_id = pct2.customer_id
+  JOIN prof ON pct2.cluster = prof.cluster
+),
+hy1 AS (
+  SELECT *, {" + ".join(f"dynamic_{t}" for t in _K.TYPOLOGIES)} AS dynamic_score_raw FROM hy0
+),
+hy2 AS (
+  SELECT hy1.*,
+    (dynamic_score_raw - dm.dmin) / (dm.dmax - dm.dmin + {d(1e-9)}) AS dynamic_score_norm,
+    {_argmax([f"dynamic_{t}" for t in _K.TYPOLOGIES], [_K.TYPOLOGY_LABELS[t] for t in _K.TYPOLOGIES])}
+      AS primary_rule_typology,
+    ({" + ".join(f"CAST(CASE WHEN rule_{t} > 0 THEN 1 ELSE 0 END AS DOUBLE)" for t in _K.TYPOLOGIES)}) / {d(5.0)}
+      AS coverage,
+    kmeans_score * cluster_risk_tier AS adjusted_kmeans_score
+  FROM hy1 CROSS JOIN (SELECT min(dynamic_score_raw) AS dmin, max(dynamic_score_raw) AS dmax FROM hy1) dm
+),
+hy3 AS (
+  SELECT *, {d(_K.PILLAR_DYNAMIC)} * dynamic_score_norm
+            + {d(_K.PILLAR_FALLBACK)} * ({d(1.0)} - coverage) * if_score_weighted
+            + {d(_K.PILLAR_PEER)} * adjusted_kmeans_score AS final_raw
+  FROM hy2
+),
+hy AS (
+  SELECT hy3.* EXCLUDE (final_raw),
+    (final_raw - fm.fmin) / nullif(fm.fmax - fm.fmin, 0) AS final_hybrid_score,
+    {_band("((final_raw - fm.fmin) / nullif(fm.fmax - fm.fmin, 0))")} AS hybrid_risk_category
+  FROM hy3 CROSS JOIN (SELECT min(final_raw) AS fmin, max(final_raw) AS fmax FROM hy3) fm
+)"""
+
+HY = TRACE_SQL + HY_CTES
+
+ORACLE["score_rollup"] = FT + HY_CTES.split(",\ncl AS")[0].replace(",\nan0", ",\nan0", 1) + "\n" + sql_select(
+    ["customer_id", "if_score_max", "if_score_mean", "primary_typology", "risk_category"], "an")
+
+ORACLE["peer_profile"] = HY + "\n" + sql_select(
+    ["cluster", "n_customers", *_IFC, "cluster_if_mean", "cluster_primary_typology", "cluster_risk_tier"], "prof",
+    {"n_customers": "i"})
+ORACLE["peer_percentile"] = HY + "\n" + sql_select(
+    ["customer_id", "cluster", "rank", "cluster_size", "kmeans_score"], "pct2", {"cluster_size": "i"})
+
+from ..operators.fusion import EVIDENCE_COLUMNS, HYBRID_COLUMNS  # noqa: E402
+
+ORACLE["fusion"] = HY + "\n" + sql_select(HYBRID_COLUMNS, "hy")
+
+ORACLE["predicted_labels"] = HY + """,
+pl AS (
+  SELECT customer_id,
+    CASE WHEN final_hybrid_score >= (SELECT quantile_cont(final_hybrid_score, 0.99) FROM hy) THEN 1 ELSE 0 END
+      AS predicted_label,
+    final_hybrid_score AS risk_score
+  FROM hy
+)
+""" + sql_select(["customer_id", "predicted_label", "risk_score"], "pl", {"risk_score": "d"})
+
+_RANK = "row_number() OVER (ORDER BY final_hybrid_score DESC NULLS LAST, customer_id)"
+ORACLE["ranked_scores"] = HY + f""",
+rk AS (SELECT customer_id, {_RANK} AS rank, final_hybrid_score, hybrid_risk_category FROM hy)
+""" + sql_select(["customer_id", "rank", "final_hybrid_score", "hybrid_risk_category"], "rk")
+
+_DYN_SRC = "rsd"
+ORACLE["indicator_trace_dynamic"] = HY + f""",
+rsd AS (SELECT rs.*, {", ".join(f"an.if_score_{t}" for t in _K.TYPOLOGIES)} FROM rs JOIN an
+        ON rs.customer_id = an.customer_id),""" + _trace_cte(
+    lambda t: f"coalesce(if_score_{t}, 0.0)", src=_DYN_SRC, name="trd").lstrip(",") + "\n" + sql_select(
+    ["customer_id", "rule_indicator_trace"], "trd")
+
+ORACLE["evidence"] = HY + """,
+ev AS (SELECT hy.*, tr.rule_indicator_trace FROM hy LEFT JOIN tr ON hy.customer_id = tr.customer_id
+       WHERE hy.final_hybrid_score > 0.5)
+""" + sql_select(EVIDENCE_COLUMNS, "ev")
+
+_AUC_SCORES = ["final_hybrid_score", "if_score_weighted", "if_score_max", "rule_score_weighted",
+               "dynamic_score_norm", "adjusted_kmeans_score"] + _IFC
+ORACLE["roc_auc"] = HY + f""",
+lab AS (
+  {" UNION ALL ".join(f"SELECT {_sq(s)} AS score, CAST(actual_label AS INTEGER) AS y, CAST({s} AS DOUBLE) AS v FROM hy WHERE actual_label IS NOT NULL" for s in _AUC_SCORES)}
+),
+lr AS (
+  SELECT *, rank() OVER (PARTITION BY score ORDER BY v) + (count(*) OVER (PARTITION BY score, v) - 1) / 2.0 AS mr
+  FROM lab
+),
+au AS (
+  SELECT score, count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y = 0) AS n_neg,
+    sum(mr) FILTER (WHERE y = 1) AS rsum
+  FROM lr GROUP BY score
+),
+au2 AS (
+  SELECT score, CASE WHEN n_pos > 0 AND n_neg > 0
+                     THEN (rsum - n_pos * (n_pos + 1) / 2.0) / (n_pos * CAST(n_neg AS DOUBLE)) ELSE 0.0 END AS auc,
+    n_pos, n_neg FROM au
+),
+ord(score, ord) AS (VALUES {", ".join(f"({_sq(s)}, {i})" for i, s in enumerate(_IFC))}),
+best AS (SELECT au2.score FROM au2 JOIN ord ON au2.score = ord.score ORDER BY round(auc, 10) DESC, ord LIMIT 1),
+aout AS (SELECT au2.*, CASE WHEN au2.score = (SELECT score FROM best) THEN 1 ELSE 0 END AS is_best FROM au2)
+""" + sql_select(["score", "auc", "n_pos", "n_neg", "is_best"], "aout", {"auc": "d"})
+
+ORACLE["capture_at_k"] = HY + f""",
+rk AS (SELECT customer_id, actual_label, {_RANK} AS rank FROM hy),
+pcts(pct) AS (VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.05 AS DOUBLE)), (CAST(0.1 AS DOUBLE))),
+cuts AS (SELECT pct, CAST(floor((SELECT count(*) FROM hy) * pct) AS BIGINT) AS cutoff FROM pcts),
+cap AS (
+  SELECT pct, cutoff,
+    (SELECT count(*) FROM rk WHERE actual_label = 1 AND rank <= cutoff) AS captured,
+    (SELECT count(*) FROM rk WHERE actual_label = 1) AS positives
+  FROM cuts
+)
+""" + sql_select(["pct", "cutoff", "captured", "positives"], "cap", {"pct": "d", "cutoff": "i", "captured": "i"})
+
+ORACLE["positive_breakdown"] = HY + f""",
+rk AS (SELECT *, {_RANK} AS rank FROM hy)
+""" + sql_select(["customer_id", "final_hybrid_score", "if_score_weighted", "dynamic_score_norm", "coverage",
+                  "rule_score_weighted", "kmeans_score", "cluster_risk_tier", "cluster_primary_typology", "rank"],
+                 "rk", where="actual_label = 1")
+
+from .queries import GROUNDING_FEATURES  # noqa: E402
+
+_g_parts = []
+for _t in _K.TYPOLOGIES:
+    for _f in GROUNDING_FEATURES[_t]:
+        _g_parts.append(
+            f"SELECT {_sq(_t)} AS typology, {_sq(_f)} AS feature, "
+            f"(SELECT avg(CAST({_f} AS DOUBLE)) FROM (SELECT ft.{_f} FROM ft JOIN an ON ft.customer_id = an.customer_id "
+            f"ORDER BY an.if_score_{_t} DESC NULLS LAST, ft.customer_id LIMIT 50)) AS top_mean, "
+            f"(SELECT avg(CAST({_f} AS DOUBLE)) FROM ft) AS population_mean")
+ORACLE["grounding_lift"] = HY + ",\ngl0 AS (\n  " + "\n  UNION ALL ".join(_g_parts) + """
+),
+gl AS (
+  SELECT *, top_mean / (population_mean + 1e-9) AS ratio FROM gl0
+),
+gl2 AS (
+  SELECT *, CASE WHEN ratio > 3 THEN '✓' WHEN ratio > 1.5 THEN '?' ELSE '✗' END AS flag FROM gl
+)
+""" + sql_select(["typology", "feature", "top_mean", "population_mean", "ratio", "flag"], "gl2",
+                 {"top_mean": "d", "population_mean": "d", "ratio": "d", "flag": "s"})
+
+_top_parts = " UNION ALL ".join(
+    f"SELECT customer_id, {_sq(t)} AS typology FROM (SELECT customer_id FROM an ORDER BY if_score_{t} DESC NULLS LAST, "
+    f"customer_id LIMIT (SELECT CAST(floor(count(*) * 0.01) AS BIGINT) FROM an))" for t in _K.TYPOLOGIES)
+_pairs = ", ".join(f"({_sq(a)}, {_sq(b)})" for i, a in enumerate(sorted(_K.TYPOLOGIES))
+                   for b in sorted(_K.TYPOLOGIES)[i + 1:])
+ORACLE["topk_overlap"] = HY + f""",
+tops AS ({_top_parts}),
+allp(typology_a, typology_b) AS (VALUES {_pairs}),
+ov AS (
+  SELECT allp.typology_a, allp.typology_b,
+    (SELECT count(*) FROM tops a JOIN tops b ON a.customer_id = b.customer_id
+      WHERE a.typology = allp.typology_a AND b.typology = allp.typology_b) AS overlap,
+    (SELECT CAST(floor(count(*) * 0.01) AS BIGINT) FROM an) AS top_n
+  FROM allp
+)
+""" + sql_select(["typology_a", "typology_b", "overlap", "top_n"], "ov",
+                 {"typology_a": "s", "typology_b": "s", "overlap": "i", "top_n": "i"})
+
+ORACLE["risk_distribution"] = HY + """,
+rd AS (
+  SELECT 'hybrid_band' AS kind, hybrid_risk_category AS item, count(*) AS n FROM hy GROUP BY hybrid_risk_category
+  UNION ALL
+  SELECT 'anomaly_band', risk_category, count(*) FROM an GROUP BY risk_category
+  UNION ALL
+  SELECT 'top1000_typology', primary_typology, count(*) FROM
+    (SELECT primary_typology FROM an ORDER BY if_score_max DESC NULLS LAST, customer_id LIMIT 1000)
+    GROUP BY primary_typology
+)
+""" + sql_select(["kind", "item", "n"], "rd")
+
+from .queries import CORR_COMPONENTS, SUMMARY_SCORES  # noqa: E402
+
+ORACLE["score_summary"] = HY + ",\nss2 AS (\n  " + "\n  UNION ALL ".join(
+    f"SELECT {_sq(s)} AS score, avg({s}) AS mean, quantile_cont({s}, 0.25) AS p25, quantile_cont({s}, 0.5) AS p50, "
+    f"quantile_cont({s}, 0.75) AS p75, quantile_cont({s}, 0.95) AS p95, max({s}) AS max, "
+    f"count(*) FILTER (WHERE {s} > 0) AS n_positive FROM hy" for s in SUMMARY_SCORES) + "\n)\n" + sql_select(
+    ["score", "mean", "p25", "p50", "p75", "p95", "max", "n_positive"], "ss2",
+    {"mean": "d", "p25": "d", "p50": "d", "p75": "d", "p95": "d", "max": "d"})
+
+ORACLE["component_correlation"] = HY + ",\ncc AS (\n  " + "\n  UNION ALL ".join(
+    f"SELECT {_sq(c)} AS score, covar_samp({c}, final_hybrid_score) / "
+    f"nullif(stddev_samp({c}) * stddev_samp(final_hybrid_score), 0) AS correlation FROM hy" for c in CORR_COMPONENTS
+) + "\n)\n" + sql_select(["score", "correlation"], "cc", {"correlation": "d"})

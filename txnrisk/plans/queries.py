@@ -265,3 +265,346 @@ def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (t.select("customer_id", "rule_score_weighted", "rules_triggered", "primary_rule_typology",
                      "rule_indicator_trace")
              .orderBy(F.desc("rule_score_weighted"), F.asc("customer_id")))
+
+
+# ---------------------------------------------------------------------------
+# anomaly stage
+# ---------------------------------------------------------------------------
+
+from ..operators import anomaly as AN  # noqa: E402
+from ..operators import fusion as FU  # noqa: E402
+from ..operators import peers as PE  # noqa: E402
+from ..operators import validate as VA  # noqa: E402
+
+
+def _feature_sets_long(spark: SparkSession, f: DataFrame) -> tuple[DataFrame, dict, set]:
+    sets = AN.feature_sets(f)
+    logged = AN.log_columns(f, sets)
+    rows = [(t, i, c) for t in K.TYPOLOGIES for i, c in enumerate(sets[t])]
+    return spark.createDataFrame(rows, "typology string, position int, feature string"), sets, logged
+
+
+@register("feature_sets")
+def q_feature_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved model inputs per typology with the data facts that drive the
+    transform: non-null count, min, max and whether log1p applies."""
+    f = features(spark, sf_dir)
+    fs, sets, logged = _feature_sets_long(spark, f)
+    cols = sorted({c for v in sets.values() for c in v})
+    stats = f.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")) \
+        .groupBy("x.feature").agg(F.count("x.v").alias("n_nonnull"), F.min("x.v").alias("min_value"),
+                                   F.max("x.v").alias("max_value"))
+    out = fs.join(stats, "feature").withColumn(
+        "is_log", F.col("feature").isin(sorted(logged)).cast("int"))
+    return present(out.select("typology", "position", "feature", "is_log", "n_nonnull", "min_value", "max_value"))
+
+
+def _prepared(spark: SparkSession, sf_dir: str, scale: bool) -> tuple[DataFrame, dict]:
+    f = features(spark, sf_dir)
+    sets = AN.feature_sets(f)
+    mat = AN.prepare_matrix(f, sets, AN.log_columns(f, sets))
+    if scale:
+        names = [c for c in mat.columns if c != "customer_id"]
+        mat = AN.robust_scale(mat, AN.robust_params(mat, names))
+    return mat, sets
+
+
+def _long_matrix(mat: DataFrame, sets: dict) -> DataFrame:
+    items = [F.struct(F.lit(t).alias("typology"), F.lit(c).alias("feature"), F.col(f"{t}__{c}").alias("value"))
+             for t in K.TYPOLOGIES for c in sets[t]]
+    return mat.select("customer_id", F.explode(F.array(*items)).alias("x")).select("customer_id", "x.*")
+
+
+@register("log_transform")
+def q_log_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mat, sets = _prepared(spark, sf_dir, scale=False)
+    return present(_long_matrix(mat, sets))
+
+
+@register("robust_scale")
+def q_robust_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mat, sets = _prepared(spark, sf_dir, scale=True)
+    return present(_long_matrix(mat, sets))
+
+
+def real_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "anomaly",
+                lambda: P.materialize(AN.anomaly_scores(features(spark, sf_dir))))
+
+
+@register("iforest_scores")
+def q_iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Isolation-forest scores per typology (rows-only check)."""
+    return present(real_anomaly(spark, sf_dir))
+
+
+def standin_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic stand-in for the forest: if_score_t = composite score t."""
+    f = features(spark, sf_dir)
+    s = f.select("customer_id", F.col("label").alias("actual_label"),
+                 *[F.col(f"{t}_risk").alias(f"if_score_{t}") for t in K.TYPOLOGIES])
+    return AN.with_score_rollup(s)
+
+
+@register("score_rollup")
+def q_score_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(standin_anomaly(spark, sf_dir).select(
+        "customer_id", "if_score_max", "if_score_mean", "primary_typology", "risk_category"))
+
+
+# ---------------------------------------------------------------------------
+# peers
+# ---------------------------------------------------------------------------
+
+def standin_clusters(anom: DataFrame) -> DataFrame:
+    """Stand-in cluster: tenth of if_score_mean (0..9)."""
+    return anom.withColumn("cluster", F.least(F.floor(F.col("if_score_mean") * 10).cast("int"), F.lit(9)))
+
+
+def peers_of(clustered: DataFrame) -> DataFrame:
+    prof = PE.cluster_profile(clustered)
+    pct = PE.peer_percentile(clustered)
+    return pct.join(F.broadcast(prof.select("cluster", "cluster_risk_tier", "cluster_primary_typology")),
+                    "cluster").select("customer_id", "cluster", "cluster_risk_tier", "cluster_primary_typology",
+                                      "kmeans_score")
+
+
+@register("peer_profile")
+def q_peer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = PE.cluster_profile(standin_clusters(standin_anomaly(spark, sf_dir)))
+    return present(prof.select("cluster", "n_customers", *PE.IF_COLS, "cluster_if_mean",
+                               "cluster_primary_typology", "cluster_risk_tier"))
+
+
+@register("peer_percentile")
+def q_peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pct = PE.peer_percentile(standin_clusters(standin_anomaly(spark, sf_dir)))
+    return present(pct.select("customer_id", "cluster", "rank", "cluster_size", "kmeans_score"))
+
+
+def real_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
+        vec = P.materialize(PE.peer_vectors(anom))
+        model, k = PE.choose_clusters(vec)
+        cl = PE.assign_clusters(vec, model).withColumn("k", F.lit(k))
+        return P.materialize(cl)
+    return memo(spark, sf_dir, "real_peers", build)
+
+
+@register("peer_clusters")
+def q_peer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KMeans cluster per customer with the thin-cluster refit (rows-only)."""
+    return present(real_peers(spark, sf_dir))
+
+
+@register("select_k")
+def q_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouette per k on a sample of at most 5,000 customers (rows-only)."""
+    anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
+    vec = P.materialize(PE.peer_vectors(anom))
+    return present(PE.silhouette_by_k(vec, list(range(3, K.KMEANS_START_K + 1))))
+
+
+# ---------------------------------------------------------------------------
+# fusion and labels
+# ---------------------------------------------------------------------------
+
+def standin_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        anom = standin_anomaly(spark, sf_dir)
+        peers = peers_of(standin_clusters(anom))
+        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), peers))
+    return memo(spark, sf_dir, "standin_hybrid", build)
+
+
+def real_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        anom = AN.with_score_rollup(real_anomaly(spark, sf_dir)).join(
+            features(spark, sf_dir).select("customer_id", F.col("label").alias("actual_label")), "customer_id")
+        cl = real_peers(spark, sf_dir).select("customer_id", "cluster")
+        clustered = anom.join(cl, "customer_id")
+        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), peers_of(clustered)))
+    return memo(spark, sf_dir, "real_hybrid", build)
+
+
+@register("fusion")
+def q_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(standin_hybrid(spark, sf_dir).select(*FU.HYBRID_COLUMNS))
+
+
+@register("hybrid_scores")
+def q_hybrid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The real end-to-end hybrid score (forest + KMeans), rows-only."""
+    return present(real_hybrid(spark, sf_dir).select(*FU.HYBRID_COLUMNS))
+
+
+@register("predicted_labels")
+def q_predicted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(FU.predicted_labels(standin_hybrid(spark, sf_dir)))
+
+
+@register("ranked_scores")
+def q_ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = VA.ranked(standin_hybrid(spark, sf_dir).select("customer_id", "final_hybrid_score",
+                                                       "hybrid_risk_category"), "final_hybrid_score")
+    return present(r.select("customer_id", "rank", "final_hybrid_score", "hybrid_risk_category"))
+
+
+@register("indicator_trace_dynamic")
+def q_trace_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace weighted by each typology's anomaly score (stand-in scores)."""
+    pts = rule_table(spark, sf_dir)
+    anom = standin_anomaly(spark, sf_dir).select("customer_id", *PE.IF_COLS)
+    t = TR.with_indicator_trace(pts.drop("rule_indicator_trace").join(anom, "customer_id"), dynamic=True)
+    return present(t.select("customer_id", "rule_indicator_trace"))
+
+
+def evidence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "evidence", lambda: P.materialize(
+        FU.evidence(standin_hybrid(spark, sf_dir), rule_table(spark, sf_dir))))
+
+
+@register("evidence")
+def q_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(evidence_table(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# validation
+# ---------------------------------------------------------------------------
+
+AUC_SCORES = ["final_hybrid_score", "if_score_weighted", "if_score_max", "rule_score_weighted",
+              "dynamic_score_norm", "adjusted_kmeans_score"]
+
+
+@register("roc_auc")
+def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of each score variant on labelled customers; ``is_best`` marks the
+    best single typology anomaly score (first one on ties)."""
+    h = standin_hybrid(spark, sf_dir)
+    typ_scores = [f"if_score_{t}" for t in K.TYPOLOGIES]
+    a = VA.roc_auc(h, "actual_label", AUC_SCORES + typ_scores)
+    order = spark.createDataFrame([(s, i) for i, s in enumerate(typ_scores)], "score string, ord int")
+    cand = a.join(F.broadcast(order), "score")  # five fixed rows
+    best = cand.agg(F.max_by("score", F.struct(F.round("auc", 10), -F.col("ord"))).alias("best"))
+    return present(a.crossJoin(F.broadcast(best))  # one-row aggregate
+                    .withColumn("is_best", (F.col("score") == F.col("best")).cast("int")).drop("best"))
+
+
+@register("capture_at_k")
+def q_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(VA.capture_at_k(standin_hybrid(spark, sf_dir), "actual_label", "final_hybrid_score"))
+
+
+@register("positive_breakdown")
+def q_positive_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = standin_hybrid(spark, sf_dir)
+    r = VA.ranked(h.select("customer_id", "actual_label", "final_hybrid_score", "if_score_weighted",
+                           "dynamic_score_norm", "coverage", "rule_score_weighted", "kmeans_score",
+                           "cluster_risk_tier", "cluster_primary_typology"), "final_hybrid_score")
+    return present(r.where(F.col("actual_label") == 1).drop("actual_label"))
+
+
+# FIXED VALUES: features profiled for the top of each typology's ranking
+GROUNDING_FEATURES = {
+    "structuring_layering": ["count_near_10k", "flow_through_ratio", "ratio_round_100", "unique_cities"],
+    "behavioural_profile": ["spending_to_income_ratio", "monthly_volume_cv", "card_30d_ratio", "income_vol_ratio"],
+    "trade_shell": ["volume_to_sales_ratio", "trade_shell_risk", "flow_through_ratio", "employee_count"],
+    "cross_border_geo": ["high_risk_fatf_txn_count", "international_ratio", "sum_westernunion",
+                         "drug_country_txn_count"],
+    "human_trafficking": ["card_adult_afterhours_count", "human_trafficking_risk",
+                          "ht_source_country_txn_count", "card_luxury_sum"],
+}
+
+
+@register("grounding_lift")
+def q_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = features(spark, sf_dir)
+    anom = standin_anomaly(spark, sf_dir).select("customer_id", *PE.IF_COLS)
+    j = f.join(anom, "customer_id")
+    parts = []
+    for t in K.TYPOLOGIES:
+        g = VA.grounding_lift(j, f"if_score_{t}", GROUNDING_FEATURES[t], 50)
+        parts.append(g.withColumn("typology", F.lit(t)))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return present(out.select("typology", "feature", "top_mean", "population_mean", "ratio", "flag"))
+
+
+@register("topk_overlap")
+def q_topk_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers shared by the top 1% of each pair of typologies."""
+    anom = standin_anomaly(spark, sf_dir)
+    n = anom.count()
+    k = int(n * 0.01)
+    tops = None
+    for t in K.TYPOLOGIES:
+        tt = VA.top_n(anom.select("customer_id", f"if_score_{t}"), f"if_score_{t}", k) \
+            .select("customer_id", F.lit(t).alias("typology"))
+        tops = tt if tops is None else tops.unionByName(tt)
+    a, b = tops.alias("a"), tops.alias("b")
+    pairs = a.join(b, "customer_id").where(F.col("a.typology") < F.col("b.typology"))
+    counts = pairs.groupBy(F.col("a.typology").alias("typology_a"), F.col("b.typology").alias("typology_b")) \
+        .agg(F.count(F.lit(1)).alias("overlap"))
+    allp = spark.createDataFrame([(x, y) for i, x in enumerate(sorted(K.TYPOLOGIES))
+                                  for y in sorted(K.TYPOLOGIES)[i + 1:]], "typology_a string, typology_b string")
+    out = allp.join(counts, ["typology_a", "typology_b"], "left").select(
+        "typology_a", "typology_b", F.coalesce("overlap", F.lit(0)).cast("long").alias("overlap"),
+        F.lit(k).cast("long").alias("top_n"))
+    return present(out)
+
+
+@register("risk_distribution")
+def q_risk_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = standin_hybrid(spark, sf_dir)
+    a = h.groupBy(F.col("hybrid_risk_category").alias("item")).count().withColumn("kind", F.lit("hybrid_band"))
+    anom = standin_anomaly(spark, sf_dir)
+    b = anom.groupBy(F.col("risk_category").alias("item")).count().withColumn("kind", F.lit("anomaly_band"))
+    top = VA.top_n(anom.select("customer_id", "if_score_max", "primary_typology"), "if_score_max", 1000)
+    c = top.groupBy(F.col("primary_typology").alias("item")).count().withColumn("kind", F.lit("top1000_typology"))
+    out = a.unionByName(b).unionByName(c)
+    return present(out.select("kind", "item", F.col("count").alias("n")))
+
+
+SUMMARY_SCORES = [*FU.RULE_COLS, "rule_score_weighted", "dynamic_score_raw", "dynamic_score_norm", "coverage",
+                  "if_score_weighted", "kmeans_score", "adjusted_kmeans_score", "final_hybrid_score"]
+
+
+@register("score_summary")
+def q_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quantiles import QSpec, exact_quantiles
+    h = standin_hybrid(spark, sf_dir)
+    qs = exact_quantiles(h, [QSpec(f"{s}|{p}", F.col(s), p) for s in SUMMARY_SCORES
+                             for p in (0.25, 0.5, 0.75, 0.95)])
+    base = h.agg(*[x for s in SUMMARY_SCORES for x in (
+        F.avg(s).alias(f"{s}__mean"), F.max(s).alias(f"{s}__max"),
+        F.count(F.when(F.col(s) > 0, 1)).alias(f"{s}__n_positive"))])
+    items = []
+    for s in SUMMARY_SCORES:
+        items.append(F.struct(F.lit(s).alias("score"), F.col(f"{s}__mean").alias("mean"),
+                              F.lit(qs[f"{s}|0.25"]).cast("double").alias("p25"),
+                              F.lit(qs[f"{s}|0.5"]).cast("double").alias("p50"),
+                              F.lit(qs[f"{s}|0.75"]).cast("double").alias("p75"),
+                              F.lit(qs[f"{s}|0.95"]).cast("double").alias("p95"),
+                              F.col(f"{s}__max").alias("max"),
+                              F.col(f"{s}__n_positive").cast("long").alias("n_positive")))
+    return present(base.select(F.explode(F.array(*items)).alias("x")).select("x.*"))
+
+
+CORR_COMPONENTS = ["dynamic_score_norm", "if_score_weighted", "kmeans_score", "adjusted_kmeans_score",
+                   "coverage", "rule_score_weighted"]
+
+
+@register("component_correlation")
+def q_component_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = standin_hybrid(spark, sf_dir)
+    # Pearson r; a constant component has no correlation (NULL), not an error
+    y = "final_hybrid_score"
+    c = h.agg(*[F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(x)
+                for x in CORR_COMPONENTS])
+    return present(c.select(F.explode(F.array(*[
+        F.struct(F.lit(x).alias("score"), F.col(x).alias("correlation")) for x in CORR_COMPONENTS])).alias("y"))
+        .select("y.*"))
