@@ -553,3 +553,195 @@ ORACLE["component_correlation"] = HY + ",\ncc AS (\n  " + "\n  UNION ALL ".join(
     f"SELECT {_sq(c)} AS score, covar_samp({c}, final_hybrid_score) / "
     f"nullif(stddev_samp({c}) * stddev_samp(final_hybrid_score), 0) AS correlation FROM hy" for c in CORR_COMPONENTS
 ) + "\n)\n" + sql_select(["score", "correlation"], "cc", {"correlation": "d"})
+
+
+# ---------------------------------------------------------------------------
+# evidence queue, requests, responses, narratives
+# ---------------------------------------------------------------------------
+
+_CAT_VALUES = ", ".join(f"({_sq(r[0])}, {_sq(r[2])}, {_sq(r[3])}, {_sq(r[4])}, {_sq(r[5])}, {_sq(r[6])})"
+                        for r in _K.CATALOGUE)
+_LOWCOV = _sq(_K.LOW_COVERAGE_SENTENCE)
+_SECONDARY = "concat_ws(' and ', " + ", ".join(
+    f"CASE WHEN (rule_{t} > 0 OR if_score_{t} > 0.5) AND primary_rule_typology <> {_sq(_K.TYPOLOGY_LABELS[t])} "
+    f"THEN {_sq(_K.TYPOLOGY_LABELS[t].lower())} END" for t in _K.TYPOLOGIES) + ")"
+
+EVQ = HY + f""",
+cat(id, name, risk, typology, channels, cooc) AS (VALUES {_CAT_VALUES}),
+ev AS (SELECT hy.*, tr.rule_indicator_trace FROM hy LEFT JOIN tr ON hy.customer_id = tr.customer_id
+       WHERE hy.final_hybrid_score > 0.5),
+q1 AS (SELECT ev.*, row_number() OVER (ORDER BY final_hybrid_score DESC NULLS LAST, customer_id) AS rank FROM ev),
+q2 AS (SELECT *, CAST(floor((rank - 1) / 300) AS INTEGER) AS batch_id FROM q1 WHERE rank <= 600),
+cite AS (
+  SELECT t.customer_id,
+    string_agg(lower(coalesce(c.name, 'an indicator')) || ' (' || t.ind || ')', ', ' ORDER BY t.g, t.rn) AS cited
+  FROM tr_top t LEFT JOIN cat c ON t.ind = c.id GROUP BY t.customer_id
+),
+nar0 AS (
+  SELECT q2.*, cite.cited,
+    CASE WHEN if_score_max > 0.8 THEN 'a notably elevated anomaly signature'
+         ELSE 'an elevated anomaly signature' END AS strength,
+    {_SECONDARY} AS secondary
+  FROM q2 LEFT JOIN cite ON q2.customer_id = cite.customer_id
+),
+nar AS (
+  SELECT batch_id, rank, customer_id, concat_ws(' ',
+    CASE WHEN rules_triggered > 0
+         THEN 'The activity of this customer is most consistent with ' || lower(primary_rule_typology)
+              || ', together with ' || strength || '.'
+         ELSE 'This flag is driven by ' || strength || ' rather than confirmed rules, and the activity may indicate '
+              || lower(primary_rule_typology) || '.' END,
+    CASE WHEN cited IS NOT NULL THEN 'The evidence includes ' || cited || '.'
+         ELSE 'No single indicator rule was confirmed for this customer.' END,
+    CASE WHEN cluster_primary_typology = primary_rule_typology
+           THEN 'This behaviour is consistent with a known high-risk peer group.'
+         WHEN cluster_primary_typology = {_sq(_K.GENERAL_LOW_RISK_LABEL)}
+           THEN 'Its peer group is broadly low risk, so the divergence warrants additional scrutiny.'
+         ELSE 'Its peer group leans towards ' || lower(cluster_primary_typology)
+              || ', a discrepancy that warrants additional scrutiny.' END,
+    CASE WHEN secondary <> '' THEN 'A secondary pattern suggests ' || secondary || '.' END,
+    CASE WHEN coverage >= 0.6 THEN {_LOWCOV} END) AS narrative
+  FROM nar0
+),
+nar2 AS (
+  SELECT *, CASE WHEN customer_id % 3 = 1 THEN 'Summary "A": ' || narrative ELSE narrative END AS t1 FROM nar
+),
+nar3 AS (
+  SELECT *, CASE WHEN customer_id % 5 = 2 THEN t1 || chr(10) || 'Review advised.' ELSE t1 END AS t2 FROM nar2
+),
+lines AS (
+  SELECT batch_id, rank,
+    CASE WHEN customer_id % 11 = 5 THEN CAST(customer_id AS VARCHAR) || ',"draft"' || chr(10) ELSE '' END
+    || CAST(customer_id AS VARCHAR) || ',"' || replace(t2, '"', '""') || '"'
+    || CASE WHEN customer_id % 13 = 6 THEN ',"extra"' ELSE '' END AS line
+  FROM nar3 WHERE customer_id % 7 <> 3
+),
+resp0 AS (
+  SELECT batch_id, 'customer_id,explanation' || chr(10) || string_agg(line, chr(10) ORDER BY rank) || chr(10)
+    || '-' || CAST(batch_id + 1 AS VARCHAR) || ',"unknown id"' AS csv
+  FROM lines GROUP BY batch_id
+),
+resp AS (
+  SELECT batch_id, CASE WHEN batch_id % 2 = 1 THEN '```csv' || chr(10) || csv || chr(10) || '```' ELSE csv END
+    AS response FROM resp0
+),
+cleaned AS (
+  SELECT batch_id, CASE WHEN starts_with(trim(response), '```')
+    THEN trim(regexp_replace(regexp_replace(trim(response), '^```[a-zA-Z0-9_-]*\\n?', ''), '\\n?```$', ''))
+    ELSE trim(response) END AS txt
+  FROM resp
+),
+recs0 AS (SELECT batch_id, regexp_extract_all(txt, '(?:"(?:[^"]|"")*"|[^"\\n])+') AS recs FROM cleaned),
+recs AS (SELECT batch_id, generate_subscripts(recs, 1) - 1 AS pos, unnest(recs) AS rec FROM recs0),
+flds AS (
+  SELECT batch_id, pos, list_transform(regexp_extract_all(rec, '(?:^|,)("(?:[^"]|"")*"|[^,]*)', 1),
+    lambda f: CASE WHEN starts_with(f, '"') THEN replace(substr(f, 2, length(f) - 2), '""', '"') ELSE f END) AS fl
+  FROM recs
+),
+parsed AS (
+  SELECT batch_id, pos, len(fl) AS n_fields, trim(fl[1]) AS customer_id,
+    CASE WHEN len(fl) >= 2 THEN trim(regexp_replace(fl[2], '[\\r\\n]', ' ', 'g')) END AS explanation,
+    CASE WHEN pos = 0 AND len(fl) = 2 AND trim(fl[1]) = 'customer_id' AND trim(fl[2]) = 'explanation'
+         THEN 1 ELSE 0 END AS is_header
+  FROM flds
+),
+good AS (SELECT * FROM parsed WHERE is_header = 0 AND n_fields = 2 AND explanation <> ''),
+lastans AS (SELECT batch_id, customer_id, arg_max(explanation, pos) AS explanation FROM good
+            GROUP BY batch_id, customer_id),
+recon AS (
+  SELECT q2.batch_id, q2.rank, CAST(q2.customer_id AS VARCHAR) AS customer_id,
+    coalesce(l.explanation, 'unsuccessful') AS explanation,
+    CASE WHEN l.explanation IS NULL THEN 'unsuccessful' ELSE 'ok' END AS status
+  FROM q2 LEFT JOIN lastans l ON q2.batch_id = l.batch_id AND CAST(q2.customer_id AS VARCHAR) = l.customer_id
+)"""
+
+ORACLE["evidence_batches"] = EVQ + """,
+eb AS (
+  SELECT batch_id, count(*) AS n_customers, min(rank) AS first_rank, max(rank) AS last_rank,
+    string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY rank) AS customer_ids,
+    min(final_hybrid_score) AS min_score, max(final_hybrid_score) AS max_score
+  FROM q2 GROUP BY batch_id
+)
+""" + sql_select(["batch_id", "n_customers", "first_rank", "last_rank", "customer_ids", "min_score", "max_score"],
+                 "eb", {"min_score": "d", "max_score": "d"})
+
+_REQ_KINDS = {f"rule_{t}": "i" for t in _K.TYPOLOGIES}
+ORACLE["request_records"] = EVQ + "," + _trace_counts_cte("q2") + """,
+rr AS (SELECT q2.* EXCLUDE (""" + ", ".join(f"rule_{t}" for t in _K.TYPOLOGIES) + "), " + ", ".join(
+    f"tc.n_{t} AS rule_{t}" for t in _K.TYPOLOGIES) + """
+       FROM q2 JOIN tc ON q2.customer_id = tc.customer_id)
+""" + sql_select(["batch_id", "rank", *_K.REQUEST_FIELDS], "rr", _REQ_KINDS)
+
+ORACLE["narratives"] = EVQ + "\n" + sql_select(["batch_id", "rank", "customer_id", "narrative"], "nar",
+                                               {"narrative": "s"})
+
+ORACLE["parse_responses"] = EVQ + "\n" + sql_select(
+    ["batch_id", "pos", "n_fields", "customer_id", "explanation", "is_header"], "parsed", {"customer_id": "s"})
+
+ORACLE["reconcile_responses"] = EVQ + "\n" + sql_select(
+    ["batch_id", "rank", "customer_id", "explanation", "status"], "recon", {"customer_id": "s"})
+
+ORACLE["response_batch_checks"] = EVQ + """,
+reqs AS (SELECT batch_id, CAST(customer_id AS VARCHAR) AS customer_id FROM q2),
+body AS (SELECT * FROM parsed WHERE is_header = 0),
+per AS (
+  SELECT batch_id, max(is_header) AS header_ok, count(*) FILTER (WHERE is_header = 0) AS n_rows,
+    count(*) FILTER (WHERE is_header = 0 AND n_fields <> 2) AS malformed_rows
+  FROM parsed GROUP BY batch_id
+),
+unk AS (
+  SELECT batch_id, count(*) AS unknown_ids FROM body b
+  WHERE NOT EXISTS (SELECT 1 FROM reqs r WHERE r.batch_id = b.batch_id AND r.customer_id = b.customer_id)
+  GROUP BY batch_id
+),
+mis AS (
+  SELECT batch_id, count(*) AS missing_ids FROM reqs r
+  WHERE NOT EXISTS (SELECT 1 FROM body b WHERE r.batch_id = b.batch_id AND r.customer_id = b.customer_id)
+  GROUP BY batch_id
+),
+nreq AS (SELECT batch_id, count(*) AS n_requested FROM reqs GROUP BY batch_id),
+chk AS (
+  SELECT nreq.batch_id, nreq.n_requested, coalesce(per.header_ok, 0) AS header_ok, coalesce(per.n_rows, 0) AS n_rows,
+    coalesce(per.malformed_rows, 0) AS malformed_rows, coalesce(unk.unknown_ids, 0) AS unknown_ids,
+    coalesce(mis.missing_ids, 0) AS missing_ids
+  FROM nreq LEFT JOIN per ON nreq.batch_id = per.batch_id LEFT JOIN unk ON nreq.batch_id = unk.batch_id
+  LEFT JOIN mis ON nreq.batch_id = mis.batch_id
+),
+chk2 AS (
+  SELECT *, CASE WHEN header_ok = 1 AND malformed_rows = 0 AND n_rows = n_requested AND unknown_ids = 0
+                  AND missing_ids = 0 THEN 1 ELSE 0 END AS strict_ok FROM chk
+)
+""" + sql_select(["batch_id", "n_requested", "header_ok", "n_rows", "malformed_rows", "unknown_ids", "missing_ids",
+                  "strict_ok"], "chk2")
+
+_CAT_IDS = ", ".join(_sq(r[0]) for r in _K.CATALOGUE)
+ORACLE["narrative_checks"] = EVQ + f""",
+nc0 AS (
+  SELECT nar.customer_id, nar.narrative, q2.coverage,
+    regexp_extract_all(nar.narrative, '[A-Z]+(?:-[A-Z]+)?-[0-9]+') AS ids
+  FROM nar JOIN q2 ON nar.customer_id = q2.customer_id
+),
+nc AS (
+  SELECT customer_id, length(narrative) AS n_chars,
+    len(regexp_extract_all(narrative, '[.!?](\\s|$)')) AS n_sentences,
+    len(ids) AS n_ids,
+    len(list_filter(ids, lambda x: x NOT IN ({_CAT_IDS}))) AS n_unknown_ids,
+    CASE WHEN strpos(narrative, {_LOWCOV}) > 0 THEN 1 ELSE 0 END AS has_low_cov_sentence,
+    CASE WHEN coverage >= 0.6 THEN 1 ELSE 0 END AS needs_low_cov_sentence,
+    CASE WHEN regexp_matches(narrative, '[0-9]\\.[0-9]') THEN 1 ELSE 0 END AS has_decimal,
+    CASE WHEN regexp_matches(lower(narrative),
+      '(if_score|rule_|cluster_|kmeans|dynamic_score|final_hybrid|coverage|isolation forest|_risk\\b)')
+      THEN 1 ELSE 0 END AS has_internal_name
+  FROM nc0
+),
+nc2 AS (
+  SELECT *, CASE WHEN n_chars <= {_K.NARRATIVE_MAX_CHARS} AND n_sentences BETWEEN {_K.NARRATIVE_MIN_SENTENCES}
+    AND {_K.NARRATIVE_MAX_SENTENCES} AND n_unknown_ids = 0 AND has_low_cov_sentence = needs_low_cov_sentence
+    AND has_decimal = 0 AND has_internal_name = 0 THEN 1 ELSE 0 END AS passed
+  FROM nc
+)
+""" + sql_select(["customer_id", "n_chars", "n_sentences", "n_ids", "n_unknown_ids", "has_low_cov_sentence",
+                  "needs_low_cov_sentence", "has_decimal", "has_internal_name", "passed"], "nc2",
+                 {"n_chars": "i", "n_sentences": "i", "n_ids": "i", "n_unknown_ids": "i",
+                  "has_low_cov_sentence": "i", "needs_low_cov_sentence": "i", "has_decimal": "i",
+                  "has_internal_name": "i"})

@@ -20,8 +20,12 @@ INT_NAMES = {
     "time_span_days", "max_days_between_txns", "typology_breadth", "label", "occupation_risk_high",
     "industry_risk_high", "ht_accommodation_sector", "rules_triggered", "n", "n_rows", "n_customers",
     "cluster", "rank", "batch_id", "predicted_label", "actual_label", "hour", "day_of_week",
-    "ecommerce_ind", "cash_indicator",
+    "ecommerce_ind", "cash_indicator", "customer_id", "positives", "pos", "position", "first_rank",
+    "last_rank", "k", "overlap", "top_n", "cutoff", "captured", "cluster_size", "code", "risk_high",
+    "null_count", "strict_ok", "header_ok", "malformed_rows", "unknown_ids", "missing_ids", "passed",
+    "is_best", "tree", "node", "card_unique_cities", "card_unique_countries",
 }
+FLOAT_NAMES = {"employee_count"}
 INT_PREFIXES = ("count_", "rows_", "has_", "is_", "unique_", "n_")
 INT_SUFFIXES = ("_count", "_p90", "_flag", "_rank", "_n")
 STR_NAMES = {"customer_type", "established_date", "channel", "debit_credit", "country", "province",
@@ -34,6 +38,8 @@ TS_NAMES = {"first_transaction_date", "last_transaction_date", "transaction_date
 
 
 def kind_of(name: str) -> str:
+    if name in FLOAT_NAMES:
+        return "d"
     if name in STR_NAMES:
         return "s"
     if name in DATE_NAMES:

@@ -608,3 +608,77 @@ def q_component_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(c.select(F.explode(F.array(*[
         F.struct(F.lit(x).alias("score"), F.col(x).alias("correlation")) for x in CORR_COMPONENTS])).alias("y"))
         .select("y.*"))
+
+
+# ---------------------------------------------------------------------------
+# evidence queue, requests, responses, narratives
+# ---------------------------------------------------------------------------
+
+from ..operators import evidence as EV  # noqa: E402
+
+
+def queue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        q = EV.queue(evidence_table(spark, sf_dir))
+        pts = rule_table(spark, sf_dir)
+        point_cols = [F.col(f"`{R.indicator_column_name(t, i)}`") for _, t, i in R.indicator_ids()]
+        q = q.join(pts.select("customer_id", *point_cols), "customer_id") \
+             .withColumn("rule_indicator_trace_items", TR.trace_array())
+        return P.materialize(q.drop(*[R.indicator_column_name(t, i) for _, t, i in R.indicator_ids()]))
+    return memo(spark, sf_dir, "queue", build)
+
+
+@register("evidence_batches")
+def q_evidence_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 600 evidence customers in batches of 300: size, rank span, ids in
+    rank order and score span per batch."""
+    q = queue_table(spark, sf_dir)
+    b = q.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_customers"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.array_sort(F.collect_list(F.struct("rank", F.col("customer_id").cast("string").alias("id")))).alias("ids"),
+        F.min("final_hybrid_score").alias("min_score"), F.max("final_hybrid_score").alias("max_score"))
+    return present(b.select("batch_id", "n_customers", "first_rank", "last_rank",
+                            F.array_join(F.transform("ids", lambda x: x["id"]), ",").alias("customer_ids"),
+                            "min_score", "max_score"))
+
+
+@register("request_records")
+def q_request_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(EV.request_records(queue_table(spark, sf_dir)))
+
+
+def narratives_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "narratives", lambda: P.materialize(EV.narratives(queue_table(spark, sf_dir))))
+
+
+@register("narratives")
+def q_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(narratives_table(spark, sf_dir))
+
+
+@register("narrative_checks")
+def q_narrative_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(EV.narrative_checks(narratives_table(spark, sf_dir), queue_table(spark, sf_dir)))
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return EV.synth_responses(narratives_table(spark, sf_dir))
+
+
+@register("parse_responses")
+def q_parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(EV.parse_responses(responses(spark, sf_dir)))
+
+
+@register("reconcile_responses")
+def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = queue_table(spark, sf_dir)
+    parsed = EV.parse_responses(responses(spark, sf_dir))
+    return present(EV.reconcile(q, parsed))
+
+
+@register("response_batch_checks")
+def q_response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = queue_table(spark, sf_dir)
+    parsed = EV.parse_responses(responses(spark, sf_dir))
+    return present(EV.strict_check(q, parsed))
