@@ -745,3 +745,94 @@ nc2 AS (
                  {"n_chars": "i", "n_sentences": "i", "n_ids": "i", "n_unknown_ids": "i",
                   "has_low_cov_sentence": "i", "needs_low_cov_sentence": "i", "has_decimal": "i",
                   "has_internal_name": "i"})
+
+
+# ---------------------------------------------------------------------------
+# catalogue and lookups
+# ---------------------------------------------------------------------------
+
+_RULE_IDS = ", ".join(f"({_sq(i)})" for _, _, i in R.indicator_ids())
+_FIRED = " UNION ALL ".join(
+    f"SELECT customer_id, {_sq(i)} AS indicator_id FROM rp0 WHERE \"{_ind_alias(i)}\" > 0"
+    for _, _, i in R.indicator_ids())
+CATQ = EVQ + f""",
+rids(indicator_id) AS (VALUES {_RULE_IDS}),
+fired AS ({_FIRED}),
+edges0 AS (SELECT id AS src, unnest(string_split(cooc, ', ')) AS dst FROM cat),
+edges AS (
+  SELECT e.src, e.dst,
+    CASE WHEN EXISTS (SELECT 1 FROM edges0 r WHERE r.src = e.dst AND r.dst = e.src) THEN 1 ELSE 0 END AS has_reverse,
+    CASE WHEN EXISTS (SELECT 1 FROM cat c WHERE c.id = e.dst) THEN 1 ELSE 0 END AS dst_in_catalogue
+  FROM edges0 e
+)"""
+
+ORACLE["catalogue_summary"] = CATQ + """,
+tt AS (SELECT typology, unnest(string_split(channels, ', ')) AS tx FROM cat),
+per AS (
+  SELECT typology, count(*) AS n_indicators, count(*) FILTER (WHERE risk = 'High') AS n_high,
+    count(*) FILTER (WHERE risk = 'Medium') AS n_medium, count(*) FILTER (WHERE risk = 'Low') AS n_low,
+    count(*) FILTER (WHERE id IN (SELECT indicator_id FROM rids)) AS n_with_rule
+  FROM cat GROUP BY typology
+),
+ntt AS (SELECT typology, count(DISTINCT tx) AS n_transaction_types FROM tt GROUP BY typology),
+fc AS (
+  SELECT c.typology, count(DISTINCT f.customer_id) AS n_customers_fired, count(DISTINCT f.indicator_id) AS n_indicators_fired
+  FROM fired f JOIN cat c ON f.indicator_id = c.id GROUP BY c.typology
+),
+cs AS (
+  SELECT per.*, ntt.n_transaction_types, coalesce(fc.n_customers_fired, 0) AS n_customers_fired,
+    coalesce(fc.n_indicators_fired, 0) AS n_indicators_fired
+  FROM per JOIN ntt ON per.typology = ntt.typology LEFT JOIN fc ON per.typology = fc.typology
+)
+""" + sql_select(["typology", "n_indicators", "n_high", "n_medium", "n_low", "n_transaction_types", "n_with_rule",
+                  "n_customers_fired", "n_indicators_fired"], "cs", {"n_with_rule": "i"})
+
+ORACLE["cooccurrence_edges"] = CATQ + """,
+both_fired AS (
+  SELECT e.src, e.dst, count(*) AS n FROM edges e JOIN fired a ON a.indicator_id = e.src
+  JOIN fired b ON b.customer_id = a.customer_id AND b.indicator_id = e.dst GROUP BY e.src, e.dst
+),
+eo AS (
+  SELECT e.*, coalesce(bf.n, 0) AS n_customers_both FROM edges e
+  LEFT JOIN both_fired bf ON e.src = bf.src AND e.dst = bf.dst
+)
+""" + sql_select(["src", "dst", "has_reverse", "dst_in_catalogue", "n_customers_both"], "eo",
+                 {"src": "s", "dst": "s", "has_reverse": "i", "dst_in_catalogue": "i", "n_customers_both": "i"})
+
+ORACLE["cooccurrence_observed"] = CATQ + """,
+tp AS (
+  SELECT least(a.ind, b.ind) AS ind_a, greatest(a.ind, b.ind) AS ind_b, count(*) AS n_customers
+  FROM tr_top a JOIN tr_top b ON a.customer_id = b.customer_id AND a.rn < b.rn
+  GROUP BY least(a.ind, b.ind), greatest(a.ind, b.ind)
+),
+und AS (SELECT DISTINCT least(src, dst) AS ind_a, greatest(src, dst) AS ind_b FROM edges),
+co AS (
+  SELECT tp.*, CASE WHEN und.ind_a IS NULL THEN 0 ELSE 1 END AS catalogued
+  FROM tp LEFT JOIN und ON tp.ind_a = und.ind_a AND tp.ind_b = und.ind_b
+)
+""" + sql_select(["ind_a", "ind_b", "n_customers", "catalogued"], "co",
+                 {"ind_a": "s", "ind_b": "s", "catalogued": "i"})
+
+_IMCC = ", ".join(f"({_sq(i)}, {_sq(str(m))})" for i, codes in _K.INDICATOR_MCC.items() for m in codes)
+ORACLE["mcc_indicator_hits"] = CATQ + f""",
+imcc(indicator_id, mcc) AS (VALUES {_IMCC}),
+mh AS (
+  SELECT m.indicator_id, count(*) AS n_txn, count(DISTINCT t.customer_id) AS n_customers,
+    sum(t.amount_cad) AS total_amount, count(DISTINCT t.mcc) AS n_mcc_seen
+  FROM txn t JOIN imcc m ON t.mcc = m.mcc WHERE t.channel = 'Card' GROUP BY m.indicator_id
+)
+""" + sql_select(["indicator_id", "n_txn", "n_customers", "total_amount", "n_mcc_seen"], "mh",
+                 {"n_txn": "i", "total_amount": "d"})
+
+ORACLE["rule_catalogue_gap"] = CATQ + """,
+allids AS (SELECT id AS indicator_id FROM cat UNION SELECT indicator_id FROM rids),
+fcnt AS (SELECT indicator_id, count(DISTINCT customer_id) AS n FROM fired GROUP BY indicator_id),
+rcg AS (
+  SELECT a.indicator_id,
+    CASE WHEN a.indicator_id IN (SELECT id FROM cat) THEN 1 ELSE 0 END AS in_catalogue,
+    CASE WHEN a.indicator_id IN (SELECT indicator_id FROM rids) THEN 1 ELSE 0 END AS has_rule,
+    coalesce(f.n, 0) AS n_customers_fired
+  FROM allids a LEFT JOIN fcnt f ON a.indicator_id = f.indicator_id
+)
+""" + sql_select(["indicator_id", "in_catalogue", "has_rule", "n_customers_fired"], "rcg",
+                 {"in_catalogue": "i", "has_rule": "i", "n_customers_fired": "i"})

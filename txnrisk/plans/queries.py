@@ -682,3 +682,90 @@ def q_response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = queue_table(spark, sf_dir)
     parsed = EV.parse_responses(responses(spark, sf_dir))
     return present(EV.strict_check(q, parsed))
+
+
+# ---------------------------------------------------------------------------
+# catalogue and lookups
+# ---------------------------------------------------------------------------
+
+from ..operators import catalogue as CA  # noqa: E402
+
+
+def fired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CA.fired_indicators(rule_table(spark, sf_dir))
+
+
+@register("catalogue_summary")
+def q_catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per typology: catalogued indicators by risk level, transaction types,
+    indicators with a rule, and customers / indicators that fired."""
+    cat = CA.catalogue(spark)
+    rule_ids = spark.createDataFrame([(i,) for _, _, i in R.indicator_ids()], "indicator_id string") \
+        .withColumn("has_rule", F.lit(1))
+    c = cat.join(F.broadcast(rule_ids), "indicator_id", "left")  # 42 fixed rows
+    per = c.groupBy("typology").agg(
+        F.count(F.lit(1)).alias("n_indicators"),
+        F.count(F.when(F.col("risk_level") == "High", 1)).alias("n_high"),
+        F.count(F.when(F.col("risk_level") == "Medium", 1)).alias("n_medium"),
+        F.count(F.when(F.col("risk_level") == "Low", 1)).alias("n_low"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("transaction_types")))).alias("n_transaction_types"),
+        F.count("has_rule").alias("n_with_rule"))
+    f = fired(spark, sf_dir).join(F.broadcast(cat.select("indicator_id", "typology")), "indicator_id")
+    fc = f.groupBy("typology").agg(F.count_distinct("customer_id").alias("n_customers_fired"),
+                                   F.count_distinct("indicator_id").alias("n_indicators_fired"))
+    out = per.join(fc, "typology", "left").na.fill(0, ["n_customers_fired", "n_indicators_fired"])
+    return present(out)
+
+
+@register("cooccurrence_edges")
+def q_cooc_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue co-occurrence edges with the customers where both ends fired."""
+    edges = CA.cooccurrence_edges(CA.catalogue(spark))
+    fi = fired(spark, sf_dir)
+    a = fi.join(F.broadcast(edges.select("src", "dst")), fi.indicator_id == F.col("src")) \
+        .select("customer_id", "src", "dst")
+    both = a.join(fi.select("customer_id", F.col("indicator_id").alias("dst")), ["customer_id", "dst"])
+    cnt = both.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_customers_both"))
+    out = edges.join(cnt, ["src", "dst"], "left").na.fill(0, ["n_customers_both"])
+    return present(out.select("src", "dst", "has_reverse", "dst_in_catalogue", "n_customers_both"))
+
+
+@register("cooccurrence_observed")
+def q_cooc_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator pairs that appear together in customers' traces, and
+    whether the catalogue lists them as co-occurring."""
+    pairs = CA.trace_pairs(rule_table(spark, sf_dir).select(
+        "customer_id", TR.trace_array().alias("rule_indicator_trace_items")))
+    cnt = pairs.groupBy("ind_a", "ind_b").agg(F.count(F.lit(1)).alias("n_customers"))
+    edges = CA.cooccurrence_edges(CA.catalogue(spark))
+    und = edges.select(F.least("src", "dst").alias("ind_a"), F.greatest("src", "dst").alias("ind_b")).distinct() \
+        .withColumn("catalogued", F.lit(1))
+    out = cnt.join(F.broadcast(und), ["ind_a", "ind_b"], "left").na.fill(0, ["catalogued"])
+    return present(out)
+
+
+@register("mcc_indicator_hits")
+def q_mcc_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card transactions whose merchant category is linked to an indicator."""
+    t = inputs(spark, sf_dir).txn.where(F.col("channel") == "Card") \
+        .select("customer_id", "amount_cad", FE.mcc_code().alias("mcc"))
+    m = CA.indicator_mcc(spark)
+    j = t.join(F.broadcast(m), "mcc")  # fixed map, about 150 rows
+    agg = j.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n_txn"),
+                                        F.count_distinct("customer_id").alias("n_customers"),
+                                        F.sum("amount_cad").alias("total_amount"),
+                                        F.count_distinct("mcc").alias("n_mcc_seen"))
+    return present(agg)
+
+
+@register("rule_catalogue_gap")
+def q_rule_catalogue_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every indicator id known to the catalogue or the rule table, whether it
+    has each, and how many customers it fired for."""
+    cat = CA.catalogue(spark).select("indicator_id").withColumn("in_catalogue", F.lit(1))
+    rules = spark.createDataFrame([(i,) for _, _, i in R.indicator_ids()], "indicator_id string") \
+        .withColumn("has_rule", F.lit(1))
+    ids = cat.join(rules, "indicator_id", "full")
+    cnt = fired(spark, sf_dir).groupBy("indicator_id").agg(F.count_distinct("customer_id").alias("n_customers_fired"))
+    out = ids.join(cnt, "indicator_id", "left").na.fill(0, ["in_catalogue", "has_rule", "n_customers_fired"])
+    return present(out.select("indicator_id", "in_catalogue", "has_rule", "n_customers_fired"))
