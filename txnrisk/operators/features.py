@@ -68,12 +68,12 @@ def mcc_code() -> Column:
 
 
 def mcc_in(codes: list[str]) -> Column:
-    return mcc_code().isin(codes)
+    return F.col("_mcc").isin(codes)
 
 
 def mcc_travel() -> Column:
     # airline carrier codes are the exact texts "3000" .. "3299" (MCC_AIRLINE_RANGE)
-    return mcc_in(K.MCC_TRAVEL) | mcc_code().rlike(r"^3[0-2][0-9][0-9]$")
+    return mcc_in(K.MCC_TRAVEL) | F.col("_mcc").rlike(r"^3[0-2][0-9][0-9]$")
 
 
 def international() -> Column:
@@ -90,7 +90,6 @@ def volume_aggs() -> list[Column]:
         F.count(_C.amt).alias("transaction_count_total"),
         F.coalesce(F.sum(_C.amt), lit_d(0.0)).alias("total_volume"),
         F.avg(_C.amt).alias("avg_transaction_amount"),
-        F.percentile(_C.amt, 0.5).alias("median_transaction_amount"),
         F.stddev_samp(_C.amt).alias("std_transaction_amount_raw"),
         F.min(_C.amt).alias("min_transaction_amount"),
         F.max(_C.amt).alias("max_transaction_amount"),
@@ -190,9 +189,12 @@ def temporal_aggs() -> list[Column]:
 
 
 def wide_aggregates(txn: DataFrame) -> DataFrame:
+    """One hash aggregate (whole-stage codegen: only count/sum/avg/min/max/
+    stddev buffers; the median is computed separately) over a projection that
+    evaluates the merchant category once per row."""
     aggs = (volume_aggs() + flow_aggs() + structuring_aggs() + channel_aggs() +
             card_aggs() + eft_emt_aggs() + geo_aggs() + temporal_aggs())
-    return txn.groupBy("customer_id").agg(*aggs)
+    return txn.withColumn("_mcc", mcc_code()).groupBy("customer_id").agg(*aggs)
 
 
 # ---------------------------------------------------------------------------
@@ -277,8 +279,11 @@ def _hhi(ch_rows: list[str]) -> Column:
 def behavioural_features(txn: DataFrame) -> DataFrame:
     """All transaction-derived features (Appendix A blocks 1-7), one row per
     customer. KYC, segment ratios, composites and imputation come later."""
+    from .quantiles import grouped_median
+
     w = wide_aggregates(txn)
-    blocks = [distinct_counts(txn), day_level(txn), monthly_stats(txn), card_recency(txn)]
+    blocks = [grouped_median(txn, "customer_id", "amount_cad", "median_transaction_amount"),
+              distinct_counts(txn), day_level(txn), monthly_stats(txn), card_recency(txn)]
     f = w
     for b in blocks:
         f = f.join(b, "customer_id", "left")

@@ -107,3 +107,30 @@ def exact_quantiles(df: DataFrame, specs: list[QSpec], accuracy: int = 1_000_000
         for i in fallback:
             result[specs[i].name] = r3[f"q{i}"]
     return result
+
+
+def grouped_median(df: DataFrame, key: str, value: str, name: str = "median") -> DataFrame:
+    """Exact per-key median (linear interpolation, as ``percentile(v, 0.5)``)
+    that stays distributed when one key holds a large share of the rows.
+
+    (key, value) pairs are pre-aggregated to multiplicities (map-side), then
+    a range-partitioned running total over (key, value) - a hot key spans many
+    tasks - gives each distinct value its rank interval; the one or two
+    values covering ranks floor((n-1)/2) and ceil((n-1)/2) are averaged."""
+    from .ranking import running_total
+
+    v = F.col(value).cast("double")
+    vc = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(key, F.col(value).cast("double").alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_c")))
+    n = vc.groupBy(key).agg(F.sum("_c").alias("_n"))
+    cum = running_total(vc, [F.col("_v").asc()], [key], F.col("_c"), "_cum", few_groups=False)
+    j = cum.join(n, key)
+    lo = F.floor((F.col("_n") - 1) / 2)
+    hi = F.ceil((F.col("_n") - 1) / 2)
+    start = F.col("_cum") - F.col("_c")
+    hit_lo = (start <= lo) & (lo < F.col("_cum"))
+    hit_hi = (start <= hi) & (hi < F.col("_cum"))
+    picked = j.where(hit_lo | hit_hi).select(
+        key, F.when(hit_lo, F.col("_v")).alias("_lo"), F.when(hit_hi, F.col("_v")).alias("_hi"))
+    return picked.groupBy(key).agg(
+        (F.max("_lo") * 0.5 + F.max("_hi") * 0.5).alias(name))

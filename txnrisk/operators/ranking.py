@@ -32,6 +32,12 @@ def running_total(df: DataFrame, order: list[Column], group: list[str] | None =
     p = (df.withColumn("_w", w.cast("long") if weight is None else w)
            .repartitionByRange(n, *[F.col(g) for g in group], *order)
            .withColumn("_pid", F.spark_partition_id()))
+    # The range partitioner samples its bounds on every evaluation, so the two
+    # branches below must read one materialised assignment: a reliable
+    # checkpoint in the shared folder (never a local one).
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(p.sparkSession)
+    p = p.checkpoint(eager=True)
     local_w = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = p.withColumn("_local", F.sum("_w").over(local_w))
     counts = p.groupBy("_pid", *group).agg(F.sum("_w").alias("_part_total"))

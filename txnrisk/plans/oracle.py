@@ -836,3 +836,23 @@ rcg AS (
 )
 """ + sql_select(["indicator_id", "in_catalogue", "has_rule", "n_customers_fired"], "rcg",
                  {"in_catalogue": "i", "has_rule": "i", "n_customers_fired": "i"})
+
+
+# ---------------------------------------------------------------------------
+# sink round trip and streaming
+# ---------------------------------------------------------------------------
+
+ORACLE["src_sink_roundtrip"] = ORACLE["src_channel_scan"]
+
+ORACLE["stream_daily_flow"] = TXN + """,
+sdf AS (
+  SELECT customer_id, CAST(transaction_datetime AS DATE) AS day, count(*) AS n_txn,
+    coalesce(sum(amount_cad), 0.0) AS volume,
+    coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'C'), 0.0) AS inflow,
+    coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'D'), 0.0) AS outflow,
+    count(amount_cad) FILTER (WHERE amount_cad < 10000) AS count_below_10k,
+    count(*) FILTER (WHERE amount_cad >= 9000 AND amount_cad < 10000) AS count_near_10k
+  FROM txn WHERE transaction_datetime IS NOT NULL GROUP BY customer_id, CAST(transaction_datetime AS DATE)
+)
+""" + sql_select(["customer_id", "day", "n_txn", "volume", "inflow", "outflow", "count_below_10k",
+                  "count_near_10k"], "sdf", {"day": "date"})

@@ -34,9 +34,31 @@ class Inputs:
     as_of: str = FX.AS_OF
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def write_stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a stage output as parquet under the shared checkpoint folder and
+    read it back: later stages scan it with column pruning, filter and
+    partition pushdown instead of recomputing its lineage."""
+    import uuid
+
+    from ..session import shared_path
+
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def fixture_inputs(spark: SparkSession, sf_dir: str, stage_txn: bool = True) -> Inputs:
+    """Inputs derived from the driver's tables. The unified transaction table
+    is written once (partitioned by channel, so card-only blocks read one
+    partition) and every feature block scans that table."""
+    txn = with_time_columns(clean_transactions(FX.fixture_transactions(spark, sf_dir)))
+    if stage_txn:
+        txn = write_stage_table(txn, "unified-transactions", ["channel"])
     return Inputs(
-        txn=with_time_columns(clean_transactions(FX.fixture_transactions(spark, sf_dir))),
+        txn=txn,
         kyc_ind=FX.fixture_kyc_individual(spark, sf_dir),
         kyc_bus=FX.fixture_kyc_business(spark, sf_dir),
         occupation_codes=FX.fixture_occupation_codes(spark, sf_dir),

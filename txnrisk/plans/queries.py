@@ -37,8 +37,14 @@ def register(name: str):
 # shared stages
 # ---------------------------------------------------------------------------
 
+_INPUTS: dict[tuple, P.Inputs] = {}
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> P.Inputs:
-    return P.fixture_inputs(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _INPUTS:
+        _INPUTS[key] = P.fixture_inputs(spark, sf_dir)
+    return _INPUTS[key]
 
 
 def behavioural(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -769,3 +775,45 @@ def q_rule_catalogue_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     cnt = fired(spark, sf_dir).groupBy("indicator_id").agg(F.count_distinct("customer_id").alias("n_customers_fired"))
     out = ids.join(cnt, "indicator_id", "left").na.fill(0, ["in_catalogue", "has_rule", "n_customers_fired"])
     return present(out.select("indicator_id", "in_catalogue", "has_rule", "n_customers_fired"))
+
+
+# ---------------------------------------------------------------------------
+# sink round trip and streaming
+# ---------------------------------------------------------------------------
+
+from ..sources.channels import read_channel_dir, write_channel_csvs  # noqa: E402
+
+
+@register("src_sink_roundtrip")
+def q_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every channel as a CSV export into the shared folder, read the
+    folder back with the explicit schema, unify, and summarise per channel."""
+    import uuid
+
+    from ..session import shared_path
+
+    d = shared_path(spark, f"channel-csv-{uuid.uuid4().hex}")
+    write_channel_csvs(FX.fixture_channel_tables(spark, sf_dir), d)
+    t = unify_transactions(read_channel_dir(spark, d))
+    return present(t.groupBy("channel").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("customer_id").alias("n_customers"),
+        F.sum("amount_cad").alias("total_amount"),
+        F.count(F.when(F.col("country").isNull(), 1)).alias("null_country_count"),
+        F.min("transaction_datetime").alias("first_transaction_date"),
+        F.max("transaction_datetime").alias("last_transaction_date")))
+
+
+@register("stream_daily_flow")
+def q_stream_daily_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming over the landed transactions; equals the batch
+    per-(customer, day) aggregate."""
+    import uuid
+
+    from ..session import shared_path
+    from ..streaming import daily_flow as SD
+
+    base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
+    SD.replay_by_month(inputs(spark, sf_dir).txn, f"{base}/source")
+    SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
+    return present(SD.latest_windows(spark, f"{base}/sink"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,20 +41,29 @@ UNIFIED_TYPES = {
 def read_channel_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read one channel export. Only the columns present in the header are
     kept; unknown timestamps stay text until ``unify_transactions``."""
-    header = spark.read.option("header", True).csv(path).columns
-    fields = [f for f in CHANNEL_SCHEMA.fields if f.name in header]
-    schema = T.StructType(fields)
+    header = spark.read.option("header", True).csv(path).columns  # header line only
+    known = {f.name: f for f in CHANNEL_SCHEMA.fields}
+    # schema in the file's own column order; unknown columns stay text
+    schema = T.StructType([known.get(h, T.StructField(h, T.StringType())) for h in header])
     return (spark.read.schema(schema).option("header", True)
             .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (HDFS, S3,
+    local), as the cluster sees it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_channel_dir(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Read every channel file that exists (``abm.csv``, ``card.csv`` ...).
     A missing channel is skipped; no channel at all is an error."""
     out = {}
     for ch in CHANNELS:
-        path = os.path.join(directory, f"{ch.lower()}.{fmt}")
-        if not os.path.exists(path):
+        path = f"{directory.rstrip('/')}/{ch.lower()}.{fmt}"
+        if not path_exists(spark, path):
             continue
         out[ch] = read_channel_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
     if not out:
@@ -120,3 +127,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.option("header", True).option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
+
+
+def write_channel_csvs(channels: dict[str, DataFrame], directory: str) -> None:
+    """One CSV export per channel (``<channel>.csv`` folders), header + quoted
+    text, as the bank exports arrive."""
+    for ch, df in channels.items():
+        (df.write.mode("overwrite").option("header", True).option("escape", '"')
+           .csv(f"{directory.rstrip('/')}/{ch.lower()}.csv"))
