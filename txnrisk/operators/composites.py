@@ -60,7 +60,7 @@ def segment_stats(f: DataFrame) -> dict[str, float]:
     specs = []
     for m in SEGMENT_METRICS:
         for seg, flag in SEGMENTS:
-            v = F.when(F.col(flag) == 1, F.col(m))
+            v = f"CASE WHEN `{flag}` = 1 THEN `{m}` END"
             specs.append(QSpec(f"{m}|{seg}|median", v, 0.5))
             specs.append(QSpec(f"{m}|{seg}|p90", v, 0.9))
     sizes = f.agg(*[F.sum(F.col(flag)).alias(seg) for seg, flag in SEGMENTS]).first()
@@ -104,7 +104,7 @@ def with_profile_ratios(f: DataFrame) -> DataFrame:
 
 def population_p99(f: DataFrame, columns: list[str] = P99_COLUMNS) -> dict[str, float]:
     """p99 per column; NULL, NaN or <= 0 falls back to 1.0."""
-    q = exact_quantiles(f, [QSpec(c, F.col(c), 0.99) for c in columns])
+    q = exact_quantiles(f, [QSpec(c, f"`{c}`", 0.99) for c in columns])
     return {c: (v if (v is not None and v == v and v > 0) else 1.0) for c, v in q.items()}
 
 
@@ -174,7 +174,7 @@ ZERO_IMPUTED = ["time_span_days"]
 
 
 def impute_medians(f: DataFrame, columns: list[str] = MEDIAN_IMPUTED) -> dict[str, float | None]:
-    return exact_quantiles(f, [QSpec(c, F.col(c), 0.5) for c in columns])
+    return exact_quantiles(f, [QSpec(c, f"`{c}`", 0.5) for c in columns])
 
 
 def with_imputation(f: DataFrame, medians: dict[str, float | None]) -> DataFrame:

@@ -80,7 +80,7 @@ HYBRID_COLUMNS = (
 
 def predicted_labels(hybrid: DataFrame, q: float = 0.99) -> DataFrame:
     """predicted_label = 1 when the score is at or above its population p99."""
-    thr = exact_quantiles(hybrid, [QSpec("t", F.col("final_hybrid_score"), q)])["t"]
+    thr = exact_quantiles(hybrid, [QSpec("t", "final_hybrid_score", q)])["t"]
     thr_c = F.lit(thr).cast("double") if thr is not None else F.lit(None).cast("double")
     return hybrid.select("customer_id",
                          bool_int(F.col("final_hybrid_score") >= thr_c).alias("predicted_label"),

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class QSpec:
-    name: str          # result key
-    expr: Column       # value (nulls and NaN ignored)
-    p: float           # probability in [0, 1]
+    name: str               # result key
+    expr: Column | str      # value: a Column or SQL text (nulls and NaN ignored)
+    p: float                # probability in [0, 1]
 
 
 def _clean(c: Column) -> Column:
@@ -37,73 +37,98 @@ def _clean(c: Column) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+def _long_values(df: DataFrame, exprs: list[Column | str]) -> DataFrame:
+    """(c, v) rows: one per input row and value expression, NULL / NaN dropped."""
+    if all(isinstance(e, str) for e in exprs):
+        items = ", ".join(f"named_struct('c', {i}, 'v', CAST(({e}) AS DOUBLE))" for i, e in enumerate(exprs))
+        long = df.select(F.expr(f"inline(array({items}))"))
+    else:
+        cols = [F.expr(e) if isinstance(e, str) else e for e in exprs]
+        long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), c.cast("double").alias("v"))
+                                              for i, c in enumerate(cols)])).alias("x"))
+                  .select("x.c", "x.v"))
+    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
 def exact_quantiles(df: DataFrame, specs: list[QSpec], accuracy: int = 1_000_000) -> dict[str, float | None]:
+    """Exact quantiles for many (value, p) specs: three grouped jobs in long
+    format whatever the number of specs."""
     if not specs:
         return {}
     delta = 2.0 / accuracy
-    # pass 1: counts and approximate brackets
-    aggs = []
-    for i, s in enumerate(specs):
-        v = _clean(s.expr)
-        lo_p, hi_p = max(0.0, s.p - delta), min(1.0, s.p + delta)
-        aggs.append(F.count(v).alias(f"n{i}"))
-        aggs.append(F.percentile_approx(v, [lo_p, hi_p], accuracy).alias(f"b{i}"))
-    r1 = df.agg(*aggs).first()
-
-    # pass 2: below-bracket counts + bracket values as (spec, value, count)
-    plan = []
-    below_aggs = []
-    bracket_rows = []
-    for i, s in enumerate(specs):
-        n = int(r1[f"n{i}"] or 0)
-        if n == 0:
-            plan.append((i, n, None, None))
-            continue
-        lo, hi = r1[f"b{i}"]
-        plan.append((i, n, lo, hi))
-        v = _clean(s.expr)
-        below_aggs.append(F.count(F.when(v < F.lit(lo), F.lit(1))).alias(f"below{i}"))
-        bracket_rows.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)),
-                                   F.struct(F.lit(i).alias("i"), v.alias("v"))))
+    exprs: list[Column | str] = []
+    key_of: dict[str, int] = {}
+    spec_col: list[int] = []
+    for s_ in specs:
+        k = s_.expr if isinstance(s_.expr, str) else str(s_.expr)
+        if k not in key_of:
+            key_of[k] = len(exprs)
+            exprs.append(s_.expr)
+        spec_col.append(key_of[k])
+    long = _long_values(df, exprs)
+    # pass 0: non-null count per value; a bracket spans at least +-2.5 ranks
+    # as well as the sketch's rank error (+-2/accuracy)
+    counts = {r["c"]: int(r["n"]) for r in long.groupBy("c").agg(F.count("v").alias("n")).collect()}
+
+    def br(i: int) -> tuple[float, float]:
+        n = counts.get(spec_col[i], 0)
+        d = max(delta, 2.5 / n) if n else delta
+        return (round(max(0.0, specs[i].p - d), 12), round(min(1.0, specs[i].p + d), 12))
+
+    brackets = [br(i) for i in range(len(specs))]
+    bracket = sorted({b for pair in brackets for b in pair})
+    # pass 1: approximate bracket ends per value (one grouped aggregate)
+    r1 = {r["c"]: r["b"] for r in
+          long.groupBy("c").agg(F.percentile_approx("v", bracket, accuracy).alias("b")).collect()}
     result: dict[str, float | None] = {}
-    if not below_aggs:
-        return {s.name: None for s in specs}
-    r2 = df.agg(*below_aggs).first()
-    exploded = (df.select(F.explode(F.array(*bracket_rows)).alias("x"))
-                  .where(F.col("x").isNotNull())
-                  .groupBy(F.col("x.i").alias("i"), F.col("x.v").alias("v")).count())
-    rows = exploded.collect()  # bounded: ~4n/accuracy distinct values per spec
-    by_spec: dict[int, list[tuple[float, int]]] = {}
+    live = []
+    for i, s_ in enumerate(specs):
+        c = spec_col[i]
+        if not counts.get(c, 0):
+            result[s_.name] = None
+            continue
+        b = r1[c]
+        live.append((i, c, float(b[bracket.index(brackets[i][0])]), float(b[bracket.index(brackets[i][1])])))
+    if not live:
+        return result
+    # pass 2: rows below each bracket (as the NULL value) and the bracket's
+    # values with multiplicities, in one aggregate; bounded output
+    bounds = df.sparkSession.createDataFrame(live, "i int, c int, lo double, hi double")  # one row per spec
+    j = long.join(F.broadcast(bounds), "c").where(F.col("v") <= F.col("hi"))
+    rows = (j.groupBy("i", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")).count().collect())
+    below: dict[int, int] = {}
+    inside: dict[int, list[tuple[float, int]]] = {}
     for r in rows:
-        by_spec.setdefault(r["i"], []).append((r["v"], r["count"]))
+        if r["v"] is None:
+            below[r["i"]] = r["count"]
+        else:
+            inside.setdefault(r["i"], []).append((r["v"], r["count"]))
 
     fallback = []
-    for i, n, lo, hi in plan:
-        s = specs[i]
-        if n == 0:
-            result[s.name] = None
-            continue
-        below = int(r2[f"below{i}"])
-        vals = sorted(by_spec.get(i, []))
-        rank = s.p * (n - 1)
+    for i, c, lo, hi in live:
+        s_ = specs[i]
+        n = counts[c]
+        vals = sorted(inside.get(i, []))
+        bel = int(below.get(i, 0))
+        rank = s_.p * (n - 1)
         j0, j1 = math.floor(rank), math.ceil(rank)
-        total_in = sum(c for _, c in vals)
-        if not (below <= j0 and j1 < below + total_in):
+        if not (bel <= j0 and j1 < bel + sum(cnt for _, cnt in vals)):
             fallback.append(i)
             continue
 
-        def at(j: int) -> float:
-            acc = below
-            for val, c in vals:
-                acc += c
-                if acc > j:
+        def at(jj: int) -> float:
+            acc = bel
+            for val, cnt in vals:
+                acc += cnt
+                if acc > jj:
                     return val
             return vals[-1][0]
 
         a, b = at(j0), at(j1)
-        result[s.name] = a + (b - a) * (rank - j0) if j1 != j0 else a
+        result[s_.name] = a + (b - a) * (rank - j0) if j1 != j0 else a
     if fallback:
-        r3 = df.agg(*[F.percentile(_clean(specs[i].expr), specs[i].p).alias(f"q{i}") for i in fallback]).first()
+        cols = [F.expr(specs[i].expr) if isinstance(specs[i].expr, str) else specs[i].expr for i in fallback]
+        r3 = df.agg(*[F.percentile(_clean(c), specs[i].p).alias(f"q{i}") for c, i in zip(cols, fallback)]).first()
         for i in fallback:
             result[specs[i].name] = r3[f"q{i}"]
     return result

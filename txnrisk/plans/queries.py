@@ -583,7 +583,7 @@ SUMMARY_SCORES = [*FU.RULE_COLS, "rule_score_weighted", "dynamic_score_raw", "dy
 def q_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.quantiles import QSpec, exact_quantiles
     h = standin_hybrid(spark, sf_dir)
-    qs = exact_quantiles(h, [QSpec(f"{s}|{p}", F.col(s), p) for s in SUMMARY_SCORES
+    qs = exact_quantiles(h, [QSpec(f"{s}|{p}", f"`{s}`", p) for s in SUMMARY_SCORES
                              for p in (0.25, 0.5, 0.75, 0.95)])
     base = h.agg(*[x for s in SUMMARY_SCORES for x in (
         F.avg(s).alias(f"{s}__mean"), F.max(s).alias(f"{s}__max"),
