@@ -817,3 +817,10 @@ def q_stream_daily_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     SD.replay_by_month(inputs(spark, sf_dir).txn, f"{base}/source")
     SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
     return present(SD.latest_windows(spark, f"{base}/sink"))
+
+
+def reset() -> None:
+    """Forget memoised stage outputs (a new run recomputes every stage)."""
+    from . import stages
+    _INPUTS.clear()
+    stages.clear()
