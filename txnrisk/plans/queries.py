@@ -70,16 +70,22 @@ def _block(cols: list[str]) -> Query:
 # sources
 # ---------------------------------------------------------------------------
 
+def channel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Per-channel source tables, each read from its own partition of the
+    staged transaction table (partition pruning, no recomputation)."""
+    return FX.split_channels(inputs(spark, sf_dir).txn)
+
+
 @register("unify_transactions")
 def q_unify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-channel tables -> rename/pad -> union -> derived time columns."""
-    t = with_time_columns(unify_transactions(FX.fixture_channel_tables(spark, sf_dir)))
+    t = with_time_columns(unify_transactions(channel_tables(spark, sf_dir)))
     return present(t)
 
 
 @register("src_channel_scan")
 def q_channel_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = unify_transactions(FX.fixture_channel_tables(spark, sf_dir))
+    t = unify_transactions(channel_tables(spark, sf_dir))
     return present(t.groupBy("channel").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("customer_id").alias("n_customers"),
@@ -793,7 +799,7 @@ def q_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import shared_path
 
     d = shared_path(spark, f"channel-csv-{uuid.uuid4().hex}")
-    write_channel_csvs(FX.fixture_channel_tables(spark, sf_dir), d)
+    write_channel_csvs(channel_tables(spark, sf_dir), d)
     t = unify_transactions(read_channel_dir(spark, d))
     return present(t.groupBy("channel").agg(
         F.count(F.lit(1)).alias("n_rows"),

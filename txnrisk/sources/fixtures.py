@@ -87,7 +87,11 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_channel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Per-channel source tables with each channel's own column set, the way
     separate bank exports arrive. ABM calls its amount column ``amount``."""
-    t = fixture_transactions(spark, sf_dir)
+    return split_channels(fixture_transactions(spark, sf_dir))
+
+
+def split_channels(t: DataFrame) -> dict[str, DataFrame]:
+    """Split a unified table back into per-channel exports."""
     base = ["customer_id", "amount_cad", "debit_credit", "transaction_datetime", "province", "city"]
     out = {}
     for ch in CHANNELS:
