@@ -84,3 +84,10 @@ def grounding_lift(df: DataFrame, score: str, feats: list[str], top: int = 50) -
     ratio = F.col("top_mean") / (F.col("population_mean") + F.lit(1e-9))
     return j.withColumn("ratio", ratio).withColumn(
         "flag", F.when(F.col("ratio") > 3, "✓").when(F.col("ratio") > 1.5, "?").otherwise("✗"))
+
+
+def missing_columns(df: DataFrame, expected: list[str]) -> list[str]:
+    """Expected columns absent from a table (reported, not fatal: missing
+    features read as 0 in the rules)."""
+    have = set(df.columns)
+    return [c for c in expected if c not in have]

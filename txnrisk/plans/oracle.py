@@ -856,3 +856,14 @@ sdf AS (
 )
 """ + sql_select(["customer_id", "day", "n_txn", "volume", "inflow", "outflow", "count_below_10k",
                   "count_near_10k"], "sdf", {"day": "date"})
+
+
+ORACLE["high_risk_extracts"] = HY + """,
+hr AS (
+  SELECT customer_id, if_score_max, final_hybrid_score,
+    CASE WHEN if_score_max > 0.6 THEN 1 ELSE 0 END AS in_anomaly_extract,
+    CASE WHEN final_hybrid_score > 0.6 THEN 1 ELSE 0 END AS in_hybrid_extract
+  FROM hy WHERE if_score_max > 0.6 OR final_hybrid_score > 0.6
+)
+""" + sql_select(["customer_id", "in_anomaly_extract", "in_hybrid_extract", "if_score_max", "final_hybrid_score"],
+                 "hr", {"in_anomaly_extract": "i", "in_hybrid_extract": "i"})

@@ -830,3 +830,23 @@ def reset() -> None:
     from . import stages
     _INPUTS.clear()
     stages.clear()
+
+
+@register("high_risk_extracts")
+def q_high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers above 0.60 on the anomaly maximum or the fused score, with
+    which extract(s) they fall in."""
+    from ..sources.sinks import high_risk_extract
+
+    h = standin_hybrid(spark, sf_dir)
+    a = high_risk_extract(h, "if_score_max").select("customer_id", F.lit(1).alias("in_anomaly_extract"))
+    b = high_risk_extract(h, "final_hybrid_score").select("customer_id", F.lit(1).alias("in_hybrid_extract"))
+    out = a.join(b, "customer_id", "full").na.fill(0, ["in_anomaly_extract", "in_hybrid_extract"])
+    return present(out.join(h.select("customer_id", "if_score_max", "final_hybrid_score"), "customer_id"))
+
+
+@register("request_payloads")
+def q_request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array of 20-field request records per batch (rows-only: JSON
+    number formatting differs between engines)."""
+    return EV.batch_payloads(EV.request_records(queue_table(spark, sf_dir)))
