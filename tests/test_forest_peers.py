@@ -48,3 +48,22 @@ def test_resolve_feature_cols():
     assert AN.resolve_feature_cols(["count_card", "card_", "_vs_ind_median"], avail) == \
         ["count_card", "card_x", "total_volume_vs_ind_median"]
     _ = F
+
+
+def test_batched_kmeans_recovers_blobs(spark):
+    from txnrisk.operators import peers as PE
+
+    rng = np.random.default_rng(2)
+    centers = np.array([[0, 0, 0, 0, 0], [6, 6, 0, 0, 0], [0, 0, 6, 6, 6]], dtype=float)
+    X = np.vstack([c + rng.normal(scale=0.3, size=(120, 5)) for c in centers])
+    pdf = pd.DataFrame(X, columns=PE.IF_COLS)
+    pdf.insert(0, "customer_id", np.arange(len(pdf)))
+    df = spark.createDataFrame(pdf).repartition(4)
+    C, sizes, inertia = PE.lloyd_restarts(df, 3, restarts=5, seed=1)
+    assert sorted(sizes.tolist()) == [120, 120, 120]
+    C2, sizes2, inertia2 = PE.lloyd_restarts(df.repartition(2), 3, restarts=5, seed=1)
+    assert abs(inertia - inertia2) < 1e-6
+    lab = PE.assign_to_centers(df, C).toPandas().sort_values("customer_id")["cluster"].to_numpy()
+    assert len(set(lab[:120])) == 1 and len(set(lab[120:240])) == 1 and len(set(lab)) == 3
+    c, k = PE.choose_clusters_batched(df, start_k=5, floor_k=2, min_size=100, restarts=3)
+    assert k == 3

@@ -398,10 +398,16 @@ def q_peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def real_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
-        vec = P.materialize(PE.peer_vectors(anom))
-        model, k = PE.choose_clusters(vec)
-        cl = PE.assign_clusters(vec, model).withColumn("k", F.lit(k))
-        return P.materialize(cl)
+        from pyspark import StorageLevel
+
+        # iterative passes reuse one cached 5-column table (customer-level)
+        scaled = P.materialize(PE.scaled_scores(anom)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            centers, k = PE.choose_clusters_batched(scaled)
+            cl = P.materialize(PE.assign_to_centers(scaled, centers).withColumn("k", F.lit(k)))
+        finally:
+            scaled.unpersist()
+        return cl
     return memo(spark, sf_dir, "real_peers", build)
 
 
