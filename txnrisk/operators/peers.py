@@ -67,20 +67,24 @@ def assign_clusters(vectors: DataFrame, model) -> DataFrame:
     return model.transform(vectors).select("customer_id", F.col("prediction").cast("int").alias("cluster"))
 
 
-def silhouette_by_k(vectors: DataFrame, ks: list[int], sample_rows: int = 5000, seed: int = K.FOREST_SEED,
+def silhouette_by_k(scaled: DataFrame, ks: list[int], sample_rows: int = 5000, seed: int = K.FOREST_SEED,
                     restarts: int = 10) -> DataFrame:
-    """Silhouette of a KMeans fit per k on a sample of at most ``sample_rows``
-    customers (hash-selected, so the sample is the same on every run)."""
-    n = vectors.count()
+    """Silhouette (MLlib ``ClusteringEvaluator``) of the best of ``restarts``
+    k-means runs per k, on a hash-selected sample of at most ``sample_rows``
+    customers (the same sample on every run)."""
+    n = scaled.count()
     frac = min(1.0, sample_rows / max(n, 1))
-    sample = vectors.where(
+    sample = scaled.where(
         (F.pmod(F.xxhash64("customer_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < frac)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
+    assembled = VectorAssembler(inputCols=IF_COLS, outputCol="features")
     rows = []
     for k in ks:
-        m = _fit_best(sample, k, restarts, seed, 4)
-        rows.append((k, float(ev.evaluate(m.transform(sample)))))
-    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double")
+        centers, _, _ = lloyd_restarts(sample, k, restarts, seed)
+        lab = assign_to_centers(sample, centers).withColumnRenamed("cluster", "prediction")
+        pred = assembled.transform(sample).join(lab, "customer_id")
+        rows.append((k, float(ev.evaluate(pred))))
+    return scaled.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
 def cluster_profile(scored: DataFrame) -> DataFrame:

@@ -421,8 +421,8 @@ def q_peer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silhouette per k on a sample of at most 5,000 customers (rows-only)."""
     anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
-    vec = P.materialize(PE.peer_vectors(anom))
-    return present(PE.silhouette_by_k(vec, list(range(3, K.KMEANS_START_K + 1))))
+    scaled = P.materialize(PE.scaled_scores(anom))
+    return present(PE.silhouette_by_k(scaled, list(range(3, K.KMEANS_START_K + 1))))
 
 
 # ---------------------------------------------------------------------------
