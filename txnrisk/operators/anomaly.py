@@ -198,11 +198,14 @@ def train_forest(mat: DataFrame, sets: dict[str, list[str]], trees: int = K.FORE
         vec.append(F.struct(F.lit(t).alias("typology"),
                             F.array(*[F.col(f"{t}__{c}") for c in sets[t]] or [F.lit(0.0)]).alias("x")))
     pool = mat.where(u(F.col("customer_id"), F.lit("pool")) < F.lit(p_row))
+    # tree ids are filtered inside the array, so only kept (row, tree) pairs
+    # are materialised with their feature vector
+    kept_trees = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                          lambda t: u(F.col("customer_id"), F.col("typology"), t) < F.lit(pair_thr))
     pairs = (pool.select("customer_id", F.explode(F.array(*vec)).alias("v"))
-                 .select("customer_id", "v.typology", "v.x",
-                         F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-                 .withColumn("h", u(F.col("customer_id"), F.col("typology"), F.col("tree")))
-                 .where(F.col("h") < F.lit(pair_thr)))
+                 .select("customer_id", "v.typology", "v.x")
+                 .select("customer_id", "typology", "x", F.explode(kept_trees).alias("tree"))
+                 .withColumn("h", u(F.col("customer_id"), F.col("typology"), F.col("tree"))))
     from pyspark.sql import Window
     w = Window.partitionBy("typology", "tree").orderBy("h", "customer_id")
     sampled = pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_tree)
