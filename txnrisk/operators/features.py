@@ -8,12 +8,12 @@ Plan shape (per customer, all keyed on ``customer_id``):
   customer holding a third of all rows still shuffles one row per map task.
 * ``distinct_counts`` - count-distinct dimensions kept in their own narrow
   aggregate so the Expand that Spark plans for them carries six columns only.
-* ``day_level`` - (customer, date) pre-aggregate. Active days and the longest
-  gap between consecutive transactions come from it: a gap inside one date is
-  < 24 h, so the longest gap in whole days is found between the last
+* ``daily`` - (customer, date) pre-aggregate (one scan). Active days and the
+  longest gap between consecutive transactions come from it: a gap inside one
+  date is < 24 h, so the longest gap in whole days is found between the last
   transaction of one active date and the first of the next. No window over a
-  customer's raw rows (which AQE could not split for a hot customer).
-* ``monthly_stats`` - (customer, month) then customer: two-level aggregate.
+  customer's raw rows (which AQE could not split for a hot customer). The
+  monthly statistics roll up from the same table (month, then customer).
 * ``card_recency`` - per-customer last card timestamp, joined back to card
   rows (AQE skew join can split a hot customer; the small side is one row per
   customer), then a conditional sum.
@@ -212,17 +212,24 @@ def distinct_counts(txn: DataFrame) -> DataFrame:
     )
 
 
-def day_level(txn: DataFrame) -> DataFrame:
-    """active_days and max_days_between_txns from a (customer, date) table."""
-    from pyspark.sql import Window
-
-    days = (txn.where(F.col("transaction_datetime").isNotNull())
-               .groupBy("customer_id", "date")
+def daily(txn: DataFrame) -> DataFrame:
+    """(customer, date) pre-aggregate: first/last timestamp, amount count and
+    sum. Rows without a timestamp form one NULL-date group per customer."""
+    return (txn.groupBy("customer_id", "date")
                .agg(F.min("transaction_datetime").alias("first_ts"),
                     F.max("transaction_datetime").alias("last_ts"),
-                    F.count(F.lit(1)).alias("n_rows")))
+                    F.count(_C.amt).alias("n_amount"),
+                    F.sum(_C.amt).alias("sum_amount")))
+
+
+def day_level(days: DataFrame) -> DataFrame:
+    """active_days and max_days_between_txns from the (customer, date) table:
+    the window sees one row per active day, never a customer's raw rows."""
+    from pyspark.sql import Window
+
+    d = days.where(F.col("date").isNotNull())
     w = Window.partitionBy("customer_id").orderBy("date")
-    gaps = days.withColumn("prev_last", F.lag("last_ts").over(w))
+    gaps = d.withColumn("prev_last", F.lag("last_ts").over(w))
     return gaps.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("active_days"),
         F.coalesce(F.max(elapsed_days(F.col("first_ts"), F.col("prev_last"))), F.lit(0).cast("long"))
@@ -230,10 +237,13 @@ def day_level(txn: DataFrame) -> DataFrame:
     )
 
 
-def monthly_stats(txn: DataFrame) -> DataFrame:
-    m = txn.groupBy("customer_id", "year_month").agg(
-        F.count(_C.amt).alias("monthly_txn_count"),
-        F.coalesce(F.sum(_C.amt), lit_d(0.0)).alias("monthly_volume"))
+def monthly_stats(days: DataFrame) -> DataFrame:
+    """Monthly counts and volumes rolled up from the daily table ('NaT' month
+    for rows without a timestamp), then std / mean across months."""
+    month = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("NaT"))
+    m = days.groupBy("customer_id", month.alias("year_month")).agg(
+        F.sum("n_amount").alias("monthly_txn_count"),
+        F.coalesce(F.sum("sum_amount"), lit_d(0.0)).alias("monthly_volume"))
     s = m.groupBy("customer_id").agg(
         F.stddev_samp(F.col("monthly_txn_count").cast("double")).alias("monthly_txn_count_std"),
         F.avg(F.col("monthly_txn_count").cast("double")).alias("monthly_txn_count_mean"),
@@ -282,8 +292,9 @@ def behavioural_features(txn: DataFrame) -> DataFrame:
     from .quantiles import grouped_median
 
     w = wide_aggregates(txn)
+    days = daily(txn)   # one scan feeds active days, gaps and monthly statistics
     blocks = [grouped_median(txn, "customer_id", "amount_cad", "median_transaction_amount"),
-              distinct_counts(txn), day_level(txn), monthly_stats(txn), card_recency(txn)]
+              distinct_counts(txn), day_level(days), monthly_stats(days), card_recency(txn)]
     f = w
     for b in blocks:
         f = f.join(b, "customer_id", "left")
