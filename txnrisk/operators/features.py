@@ -8,12 +8,13 @@ Plan shape (per customer, all keyed on ``customer_id``):
   customer holding a third of all rows still shuffles one row per map task.
 * ``distinct_counts`` - count-distinct dimensions kept in their own narrow
   aggregate so the Expand that Spark plans for them carries six columns only.
-* ``daily`` - (customer, date) pre-aggregate (one scan). Active days and the
+* ``daily`` + ``calendar_stats`` - (customer, date) pre-aggregate (one scan),
+  then one chain to (customer, month) and customer. Active days and the
   longest gap between consecutive transactions come from it: a gap inside one
   date is < 24 h, so the longest gap in whole days is found between the last
   transaction of one active date and the first of the next. No window over a
   customer's raw rows (which AQE could not split for a hot customer). The
-  monthly statistics roll up from the same table (month, then customer).
+  monthly statistics roll up in the same chain.
 * ``card_recency`` - per-customer last card timestamp, joined back to card
   rows (AQE skew join can split a hot customer; the small side is one row per
   customer), then a conditional sum.
@@ -222,35 +223,31 @@ def daily(txn: DataFrame) -> DataFrame:
                     F.sum(_C.amt).alias("sum_amount")))
 
 
-def day_level(days: DataFrame) -> DataFrame:
-    """active_days and max_days_between_txns from the (customer, date) table:
-    the window sees one row per active day, never a customer's raw rows."""
+def calendar_stats(days: DataFrame) -> DataFrame:
+    """From the (customer, date) table, in one chain: the gap to the previous
+    active date (window over at most one row per day), then per (customer,
+    month) - 'NaT' for rows without a timestamp - then per customer: active
+    days, the longest gap in whole days, and monthly count / volume std, mean
+    and coefficient of variation."""
     from pyspark.sql import Window
 
-    d = days.where(F.col("date").isNotNull())
-    w = Window.partitionBy("customer_id").orderBy("date")
-    gaps = d.withColumn("prev_last", F.lag("last_ts").over(w))
-    return gaps.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("active_days"),
-        F.coalesce(F.max(elapsed_days(F.col("first_ts"), F.col("prev_last"))), F.lit(0).cast("long"))
-         .alias("max_days_between_txns"),
-    )
-
-
-def monthly_stats(days: DataFrame) -> DataFrame:
-    """Monthly counts and volumes rolled up from the daily table ('NaT' month
-    for rows without a timestamp), then std / mean across months."""
+    w = Window.partitionBy("customer_id").orderBy(F.col("date").asc_nulls_first())
+    g = days.withColumn("gap", elapsed_days(F.col("first_ts"), F.lag("last_ts").over(w)))
     month = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("NaT"))
-    m = days.groupBy("customer_id", month.alias("year_month")).agg(
+    m = g.groupBy("customer_id", month.alias("year_month")).agg(
+        F.count("date").alias("n_days"),
+        F.max("gap").alias("max_gap"),
         F.sum("n_amount").alias("monthly_txn_count"),
         F.coalesce(F.sum("sum_amount"), lit_d(0.0)).alias("monthly_volume"))
     s = m.groupBy("customer_id").agg(
+        F.sum("n_days").alias("active_days"),
+        F.coalesce(F.max("max_gap"), F.lit(0).cast("long")).alias("max_days_between_txns"),
         F.stddev_samp(F.col("monthly_txn_count").cast("double")).alias("monthly_txn_count_std"),
         F.avg(F.col("monthly_txn_count").cast("double")).alias("monthly_txn_count_mean"),
         F.stddev_samp("monthly_volume").alias("monthly_volume_std"),
         F.avg("monthly_volume").alias("monthly_volume_mean"))
     return s.select(
-        "customer_id",
+        "customer_id", F.col("active_days").cast("long").alias("active_days"), "max_days_between_txns",
         F.coalesce("monthly_txn_count_std", lit_d(0.0)).alias("monthly_txn_count_std"),
         "monthly_txn_count_mean",
         F.coalesce("monthly_volume_std", lit_d(0.0)).alias("monthly_volume_std"),
@@ -292,9 +289,8 @@ def behavioural_features(txn: DataFrame) -> DataFrame:
     from .quantiles import grouped_median
 
     w = wide_aggregates(txn)
-    days = daily(txn)   # one scan feeds active days, gaps and monthly statistics
     blocks = [grouped_median(txn, "customer_id", "amount_cad", "median_transaction_amount"),
-              distinct_counts(txn), day_level(days), monthly_stats(days), card_recency(txn)]
+              distinct_counts(txn), calendar_stats(daily(txn)), card_recency(txn)]
     f = w
     for b in blocks:
         f = f.join(b, "customer_id", "left")
