@@ -286,14 +286,14 @@ def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame
 def normalise_scores(raw: DataFrame) -> DataFrame:
     """Min-max per typology: 1 = most anomalous; constant -> 0."""
     agg = raw.agg(*[x for t in K.TYPOLOGIES for x in (F.min(f"raw_{t}").alias(f"mn_{t}"),
-                                                       F.max(f"raw_{t}").alias(f"mx_{t}"))])
-    j = raw.crossJoin(F.broadcast(agg))  # one-row aggregate
+                                                       F.max(f"raw_{t}").alias(f"mx_{t}"))]).first()
     cols = [F.col("customer_id")]
     for t in K.TYPOLOGIES:
-        rng = F.col(f"mx_{t}") - F.col(f"mn_{t}")
+        mn = F.lit(agg[f"mn_{t}"]).cast("double")
+        rng = F.lit(agg[f"mx_{t}"]).cast("double") - mn
         cols.append(F.when(rng == 0, F.lit(0.0))
-                     .otherwise((F.col(f"raw_{t}") - F.col(f"mn_{t}")) / rng).alias(f"if_score_{t}"))
-    return j.select(*cols)
+                     .otherwise((F.col(f"raw_{t}") - mn) / rng).alias(f"if_score_{t}"))
+    return raw.select(*cols)
 
 
 def with_score_rollup(scores: DataFrame) -> DataFrame:

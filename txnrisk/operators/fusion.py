@@ -1,7 +1,7 @@
 """Score fusion: rule x anomaly agreement, anomaly fallback, peer pillar.
 
-All projections plus one-row min/max aggregates that are broadcast back
-(a one-row frame is the one broadcast whose size never grows).
+All projections; the population min / max come from one-row aggregates and
+enter the plan as literals.
 """
 
 from __future__ import annotations
@@ -25,6 +25,11 @@ def _sum(cols: list[Column]) -> Column:
     return s
 
 
+def _lit(v) -> Column:
+    """A value of a one-row aggregate as a typed literal (NULL stays NULL)."""
+    return F.lit(v).cast("double")
+
+
 def if_score_weighted() -> Column:
     return _sum([F.col(f"if_score_{t}") * K.TYPOLOGY_WEIGHTS[t] for t in K.TYPOLOGIES])
 
@@ -35,13 +40,11 @@ def with_dynamic_scores(pre: DataFrame) -> DataFrame:
     d = pre.select("*", *[(F.col(f"if_score_{t}") * F.col(f"rule_{t}")).alias(f"dynamic_{t}")
                           for t in K.TYPOLOGIES])
     d = d.withColumn("dynamic_score_raw", _sum([F.col(c) for c in DYN_COLS]))
-    mm = d.agg(F.min("dynamic_score_raw").alias("_dmin"), F.max("dynamic_score_raw").alias("_dmax"))
-    d = d.crossJoin(F.broadcast(mm))
-    return (d.withColumn("dynamic_score_norm",
-                         (F.col("dynamic_score_raw") - F.col("_dmin")) / (F.col("_dmax") - F.col("_dmin") + F.lit(1e-9)))
+    mm = d.agg(F.min("dynamic_score_raw").alias("lo"), F.max("dynamic_score_raw").alias("hi")).first()
+    lo, hi = _lit(mm["lo"]), _lit(mm["hi"])
+    return (d.withColumn("dynamic_score_norm", (F.col("dynamic_score_raw") - lo) / (hi - lo + F.lit(1e-9)))
              .withColumn("primary_rule_typology",
-                         argmax_label(DYN_COLS, [K.TYPOLOGY_LABELS[t] for t in K.TYPOLOGIES]))
-             .drop("_dmin", "_dmax"))
+                         argmax_label(DYN_COLS, [K.TYPOLOGY_LABELS[t] for t in K.TYPOLOGIES])))
 
 
 def fuse(anomaly: DataFrame, rules: DataFrame, peers: DataFrame) -> DataFrame:
@@ -60,13 +63,12 @@ def fuse(anomaly: DataFrame, rules: DataFrame, peers: DataFrame) -> DataFrame:
            F.lit(K.PILLAR_FALLBACK) * (F.lit(1.0) - F.col("coverage")) * F.col("if_score_weighted") +
            F.lit(K.PILLAR_PEER) * F.col("adjusted_kmeans_score"))
     h = h.withColumn("final_raw", raw)
-    mm = h.agg(F.min("final_raw").alias("_fmin"), F.max("final_raw").alias("_fmax"))
-    h = h.crossJoin(F.broadcast(mm))
+    mm = h.agg(F.min("final_raw").alias("lo"), F.max("final_raw").alias("hi")).first()
+    lo, hi = _lit(mm["lo"]), _lit(mm["hi"])
     # no epsilon here: constant scores give NULL (division by zero guarded)
-    h = h.withColumn("final_hybrid_score",
-                     F.try_divide(F.col("final_raw") - F.col("_fmin"), F.col("_fmax") - F.col("_fmin")))
+    h = h.withColumn("final_hybrid_score", F.try_divide(F.col("final_raw") - lo, hi - lo))
     return (h.withColumn("hybrid_risk_category", risk_band(F.col("final_hybrid_score")))
-             .drop("_fmin", "_fmax", "final_raw"))
+             .drop("final_raw"))
 
 
 HYBRID_COLUMNS = (

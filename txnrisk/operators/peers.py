@@ -98,13 +98,11 @@ def cluster_profile(scored: DataFrame) -> DataFrame:
     top = F.greatest(*[F.col(c) for c in IF_COLS])
     label = F.when(top < K.CLUSTER_LOW_RISK_CUTOFF, F.lit(K.GENERAL_LOW_RISK_LABEL)).otherwise(
         argmax_label(IF_COLS, [K.TYPOLOGY_LABELS[t] for t in K.TYPOLOGIES]))
-    mm = prof.agg(F.min("cluster_if_mean").alias("tmin"), F.max("cluster_if_mean").alias("tmax"))
-    return (prof.crossJoin(F.broadcast(mm))  # one-row aggregate
-                .withColumn("cluster_primary_typology", label)
+    mm = prof.agg(F.min("cluster_if_mean").alias("lo"), F.max("cluster_if_mean").alias("hi")).first()
+    lo, hi = F.lit(mm["lo"]).cast("double"), F.lit(mm["hi"]).cast("double")   # one row per cluster above
+    return (prof.withColumn("cluster_primary_typology", label)
                 .withColumn("cluster_risk_tier",
-                            F.lit(0.1) + F.lit(0.9) * (F.col("cluster_if_mean") - F.col("tmin")) /
-                            (F.col("tmax") - F.col("tmin") + F.lit(1e-9)))
-                .drop("tmin", "tmax"))
+                            F.lit(0.1) + F.lit(0.9) * (F.col("cluster_if_mean") - lo) / (hi - lo + F.lit(1e-9))))
 
 
 def peer_percentile(scored: DataFrame) -> DataFrame:

@@ -506,9 +506,8 @@ def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = VA.roc_auc(h, "actual_label", AUC_SCORES + typ_scores)
     order = spark.createDataFrame([(s, i) for i, s in enumerate(typ_scores)], "score string, ord int")
     cand = a.join(F.broadcast(order), "score")  # five fixed rows
-    best = cand.agg(F.max_by("score", F.struct(F.round("auc", 10), -F.col("ord"))).alias("best"))
-    return present(a.crossJoin(F.broadcast(best))  # one-row aggregate
-                    .withColumn("is_best", (F.col("score") == F.col("best")).cast("int")).drop("best"))
+    best = cand.agg(F.max_by("score", F.struct(F.round("auc", 10), -F.col("ord"))).alias("best")).first()["best"]
+    return present(a.withColumn("is_best", (F.col("score") == F.lit(best)).cast("int")))
 
 
 @register("capture_at_k")
