@@ -5,7 +5,7 @@ forest train + score, peers + fusion, evidence + narratives. Each stage is
 forced to completion (its output is materialised in the shared folder) and
 timed; the reported value is the sum of per-stage medians over the runs.
 
-    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 BENCH_RUNS=2 python bench.py
+    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 BENCH_RUNS=1 python bench.py
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus))
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm) and warm != sf_dir:
