@@ -42,7 +42,7 @@ def daily_flow(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 
 def run_daily_flow(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                   files_per_trigger: int = 1, lateness: str = "1 day") -> None:
+                   files_per_trigger: int = 8, lateness: str = "1 day") -> None:
     """Process everything available in ``source_dir`` and stop."""
     src = (spark.readStream.schema(TXN_STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                 .parquet(source_dir))
@@ -72,5 +72,7 @@ def replay_by_month(txn: DataFrame, source_dir: str) -> None:
               .where(F.col("m").isNotNull()).distinct().orderBy("m").collect()]  # one row per month
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TXN_STREAM_SCHEMA.fields]
     for m in months:
+        # one write job per month: every file of month m is older than every
+        # file of month m + 1, which is the order the file source reads them in
         (txn.where(F.date_format("transaction_datetime", "yyyy-MM") == m).select(*cols)
-            .coalesce(1).write.mode("append").parquet(source_dir))
+            .write.mode("append").parquet(source_dir))
