@@ -189,7 +189,7 @@ def lloyd_restarts(scaled: DataFrame, k: int, restarts: int = K.KMEANS_RESTARTS,
     for _ in range(max_iter):
         bc = spark.sparkContext.broadcast(C)
         # partitions x restarts x k partial rows, summed here (no shuffle per step)
-        part = base.mapInPandas(_partial_stats(bc, cols), schema).toPandas()
+        part = base.mapInPandas(_partial_stats(bc, cols), schema).toPandas()  # bounded: partitions x R x k
         bc.unpersist()
         agg = part.groupby(["r", "c"], as_index=False).sum()
         newC = C.copy()

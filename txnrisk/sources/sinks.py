@@ -47,6 +47,8 @@ def explanations_csv(explanations: DataFrame) -> DataFrame:
 
 
 def write_explanations(explanations: DataFrame, path: str) -> None:
+    """One CSV file, as analysts receive it; its input is the fixed-size
+    narrative queue (600 rows per run), so the single writer task is bounded."""
     (explanations_csv(explanations).coalesce(1).write.mode("overwrite")
         .option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
 
