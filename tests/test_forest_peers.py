@@ -67,3 +67,16 @@ def test_batched_kmeans_recovers_blobs(spark):
     assert len(set(lab[:120])) == 1 and len(set(lab[120:240])) == 1 and len(set(lab)) == 3
     c, k = PE.choose_clusters_batched(df, start_k=5, floor_k=2, min_size=100, restarts=3)
     assert k == 3
+
+
+def test_silhouette_prefers_true_k(spark):
+    from txnrisk.operators import peers as PE
+
+    rng = np.random.default_rng(4)
+    centers = np.array([[0, 0, 0, 0, 0], [8, 0, 0, 0, 0], [0, 8, 0, 0, 0]], dtype=float)
+    X = np.vstack([c + rng.normal(scale=0.4, size=(80, 5)) for c in centers])
+    pdf = pd.DataFrame(X, columns=PE.IF_COLS)
+    pdf.insert(0, "customer_id", np.arange(len(pdf)))
+    sil = {r["k"]: r["silhouette"] for r in PE.silhouette_by_k(spark.createDataFrame(pdf), [2, 3, 4],
+                                                                restarts=3).collect()}
+    assert max(sil, key=sil.get) == 3
