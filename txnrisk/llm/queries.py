@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .importance import resample
 from .mixing import mix_sources
 from .packing import pack_documents
+from .preference import format_preferences, swapped_replies
 from .quality_rules import judge_documents
+from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +55,74 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                         "n_repeat_words")], "base_failed", "kept")
 
 
+@register
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
+ORACLE["op3_warc"] = """
+with p as (select page_id, coalesce(html, '') html from pages),
+d as (select page_id, octet_length(encode(html)) payload_bytes, sha1(html) payload_digest from p),
+m as (select payload_digest, max(page_id) top from d where payload_bytes >= 1000 group by 1)
+select d.page_id, payload_bytes::bigint payload_bytes, d.payload_digest,
+  case when m.top is null or m.top = d.page_id then 'response' else 'revisit' end record_type,
+  case when m.top <> d.page_id then m.top end refers_to
+from d left join m on m.payload_digest = d.payload_digest
+"""
+
+
+def _spans(mask: str):
+    return F.expr(f"array_join(transform({mask}, m -> concat(m.start, '-', m.end)), ' ')").alias(mask)
+
+
+@register
+def op8_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = swapped_replies(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+    pairs = format_preferences(chosen, rejected)
+    return pairs.select("pair_id", "n_prompt_turns", "prompt", "chosen", _spans("chosen_mask"), "rejected",
+                        _spans("rejected_mask"))
+
+
+ORACLE["op8_preference_formatting"] = """
+with t as (select conv_id pair_id, turn, role, text from conversations where conv_id is not null),
+l as (select pair_id, turn last_turn, coalesce(text, '') reply from (select *, row_number() over
+        (partition by pair_id order by turn desc, coalesce(text, '') desc) k
+      from t where role = 'assistant' and turn is not null) where k = 1),
+s as (select a.pair_id, a.last_turn, b.reply swap from l a join l b on b.pair_id = xor(a.pair_id, 1)),
+both_sides as (
+  select 'c' side, t.* from t join s using (pair_id)
+  union all
+  select 'r', t.pair_id, turn, role, case when turn = last_turn and role = 'assistant' then swap else text end
+  from t join s using (pair_id)),
+o as (select *, row_number() over (partition by side, pair_id order by turn is null, turn, role, text) pos,
+        '<|' || coalesce(role, 'unknown') || '|>' || chr(10) head, coalesce(text, '') body from both_sides),
+e as (select coalesce(c.pair_id, r.pair_id) pair_id, coalesce(c.pos, r.pos) pos,
+        c.pos is not null and r.pos is not null and c.role is not distinct from r.role
+          and c.text is not distinct from r.text same
+      from (from o where side = 'c') c full join (from o where side = 'r') r on c.pair_id = r.pair_id and c.pos = r.pos),
+n as (select pair_id, coalesce(min(pos) filter (not same) - 1, max(pos)) n from e group by 1),
+a as (select o.*, n, sum(length(head) + length(body) + 1) over (partition by side, o.pair_id, pos > n order by pos)
+        - length(body) - 1 body_at from o join n on n.pair_id = o.pair_id),
+g as (select pair_id, n,
+  coalesce(string_agg(head || body || chr(10), '' order by pos) filter (side = 'c' and pos <= n), '') prompt,
+  coalesce(string_agg(head || body || chr(10), '' order by pos) filter (side = 'c' and pos > n), '') chosen,
+  coalesce(string_agg(body_at || '-' || (body_at + length(body)), ' ' order by pos)
+           filter (side = 'c' and pos > n and role = 'assistant'), '') chosen_mask,
+  coalesce(string_agg(head || body || chr(10), '' order by pos) filter (side = 'r' and pos > n), '') rejected,
+  coalesce(string_agg(body_at || '-' || (body_at + length(body)), ' ' order by pos)
+           filter (side = 'r' and pos > n and role = 'assistant'), '') rejected_mask
+  from a group by 1, 2)
+select pair_id, n::bigint n_prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask from g
+"""
+
+
+@register
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    sample = resample(documents(spark, sf_dir), labels, target="quality = 1 and toxic = 0", wanted="quality = 1")
+    return sample.withColumn("kept", F.lit(True))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
