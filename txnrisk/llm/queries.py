@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .importance import resample
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
@@ -123,6 +124,14 @@ def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.withColumn("kept", F.lit(True))
 
 
+@register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = dedup_lines(documents(spark, sf_dir))
+    return lines.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_kept"),
+                        F.size("removed_line_numbers").cast("long").alias("n_removed"),
+                        F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
