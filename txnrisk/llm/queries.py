@@ -13,9 +13,11 @@ from .common import documents
 from .importance import resample
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .ngram_join import jaccard_groups
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .quality_rules import judge_documents
+from .spotsigs import compare_edited
 from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +134,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard_groups(documents(spark, sf_dir), n=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@register
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
