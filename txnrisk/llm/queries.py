@@ -18,6 +18,7 @@ from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .quality_rules import judge_documents
 from .spotsigs import compare_edited
+from .suffix_dedup import drop_repeats
 from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +146,12 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(documents(spark, sf_dir))
 
 
+@register
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
