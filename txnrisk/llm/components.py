@@ -2,8 +2,8 @@
 
 ``linked_groups`` takes postings: which items fall into which bucket. Two items
 are linked if they share a bucket and pass a check; wanted are only the
-connected groups. First every item of a bucket meets the bucket's pivot (one
-pair per posting) and the links found give groups. Only pairs from different
+connected groups. First every item of a bucket meets the bucket's pivot; an
+item checks the first pivot it can be near to, and the links found give groups. Only pairs from different
 groups can still change anything, so the exact rest is a join of the buckets
 that hold several groups, on items of different groups; within a large group of
 near copies nothing is left to compare."""
@@ -55,8 +55,10 @@ def linked_groups(postings: DataFrame, near: Callable[[Column, Column], Column],
     the items that have links."""
     bucket = Window.partitionBy("key").orderBy(*[F.col(c).asc() for c in pivot_first], F.col("item.id").asc())
     met = stage(postings.withColumn("pivot", F.first("item").over(bucket)).where("item.id <> pivot.id"), "met")
-    pair = [F.least("item.id", "pivot.id").alias("a"), F.greatest("item.id", "pivot.id").alias("b")]
-    first = stage(verify(met.where(near(F.col("item"), F.col("pivot"))).select(*pair).distinct()), "links")
+    best = F.struct(*[F.col(c.replace("item.", "pivot.", 1)) for c in pivot_first], F.col("pivot.id"))
+    pivots = met.where(near(F.col("item"), F.col("pivot"))).groupBy("item.id").agg(F.min(best).alias("pivot"))
+    first = stage(verify(pivots.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
+                         .distinct()), "links")
     group = stage(connected_components(first), "groups")
     # what is left: buckets with items of several groups
     members = met.select("key", "item").unionByName(met.select("key", F.col("pivot").alias("item")).distinct())

@@ -143,12 +143,9 @@ def judge_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns: the trees
-    are fitted on the labelled documents, then one pass judges all."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    stats = document_stats(labelled.join(known, "doc_id", "left_semi"))
-    model = train(stats, labels)
+    """The rows of ``docs`` that are kept, with their own columns. The texts
+    are read twice, to fit and to judge, and never shuffled."""
+    model = train(stage(document_stats(docs, id_col, text_col), "quality-stats"), labels)
     names = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
         "row", statistics(F.col(f"row.`{text_col}`").cast("string")).alias("s"))
