@@ -35,9 +35,9 @@ class Forest:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2,
-        bins: int = 64, ridge: float = 1.0, least: float = 5.0) -> Forest:
-    """Binary log-loss boosting; ``y`` in {0, 1}; ``least`` is the smallest sum
-    of second derivatives on a side of a split. With a single class, or no
+        bins: int = 64, ridge: float = 1.0, least: int = 4) -> Forest:
+    """Binary log-loss boosting; ``y`` in {0, 1}; ``least`` is the smallest
+    number of rows on a side of a split. With a single class, or no
     rows, the model is a constant."""
     inner, leaves = 2 ** depth - 1, 2 ** depth
     share = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
@@ -65,16 +65,16 @@ def fit(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, trees: int = 60, dep
             if not len(mine):
                 continue
             weight = [np.bincount(cell[mine].ravel(), np.repeat(v[mine], k), k * bins).reshape(k, bins).cumsum(axis=1)
-                      for v in (grad, hess)]
-            gl, hl = (w[:, :-1] for w in weight)
-            gr, hr = (w[:, -1:] - w[:, :-1] for w in weight)
+                      for v in (grad, hess, np.ones(n))]
+            gl, hl, nl = (w[:, :-1] for w in weight)
+            gr, hr, nr = (w[:, -1:] - w[:, :-1] for w in weight)
             vl = np.clip(gl / (hl + ridge), low[at], high[at])
             vr = np.clip(gr / (hr + ridge), low[at], high[at])
             gain = (2 * gl * vl - (hl + ridge) * vl ** 2) + (2 * gr * vr - (hr + ridge) * vr ** 2)
             whole_g, whole_h = grad[mine].sum(), hess[mine].sum() + ridge
             own = np.clip(whole_g / whole_h, low[at], high[at])
             gain -= 2 * whole_g * own - whole_h * own ** 2
-            usable = (np.arange(bins - 1) < np.array([len(e) for e in edges])[:, None]) & (hl >= least) & (hr >= least)
+            usable = (np.arange(bins - 1) < np.array([len(e) for e in edges])[:, None]) & (nl >= least) & (nr >= least)
             usable &= monotone[:, None] * (vr - vl) >= 0
             gain = np.where(usable, gain, -np.inf)
             best = int(gain.argmax())
