@@ -47,36 +47,52 @@ def test_resolve_feature_cols():
     avail = ["count_card", "sum_card", "card_x", "total_volume_vs_ind_median"]
     assert AN.resolve_feature_cols(["count_card", "card_", "_vs_ind_median"], avail) == \
         ["count_card", "card_x", "total_volume_vs_ind_median"]
-    _ = F
 
 
-def test_batched_kmeans_recovers_blobs(spark):
+def _blobs(spark, centers, n, scale, seed):
+    from pyspark.ml.feature import VectorAssembler
+
     from txnrisk.operators import peers as PE
 
-    rng = np.random.default_rng(2)
-    centers = np.array([[0, 0, 0, 0, 0], [6, 6, 0, 0, 0], [0, 0, 6, 6, 6]], dtype=float)
-    X = np.vstack([c + rng.normal(scale=0.3, size=(120, 5)) for c in centers])
-    pdf = pd.DataFrame(X, columns=PE.IF_COLS)
+    rng = np.random.default_rng(seed)
+    x = np.vstack([c + rng.normal(scale=scale, size=(n, 5)) for c in np.array(centers, dtype=float)])
+    pdf = pd.DataFrame(x, columns=PE.IF_COLS)
     pdf.insert(0, "customer_id", np.arange(len(pdf)))
     df = spark.createDataFrame(pdf).repartition(4)
-    C, sizes, inertia = PE.lloyd_restarts(df, 3, restarts=5, seed=1)
-    assert sorted(sizes.tolist()) == [120, 120, 120]
-    C2, sizes2, inertia2 = PE.lloyd_restarts(df.repartition(2), 3, restarts=5, seed=1)
-    assert abs(inertia - inertia2) < 1e-6
-    lab = PE.assign_to_centers(df, C).toPandas().sort_values("customer_id")["cluster"].to_numpy()
-    assert len(set(lab[:120])) == 1 and len(set(lab[120:240])) == 1 and len(set(lab)) == 3
-    c, k = PE.choose_clusters_batched(df, start_k=5, floor_k=2, min_size=100, restarts=3)
-    assert k == 3
+    return VectorAssembler(inputCols=PE.IF_COLS, outputCol="features").transform(df).select("customer_id", "features")
+
+
+def test_kmeans_recovers_blobs_and_survives_saving(spark, tmp_path):
+    from txnrisk.operators import peers as PE
+    from txnrisk.sources import sinks
+
+    v = _blobs(spark, [[0, 0, 0, 0, 0], [6, 6, 0, 0, 0], [0, 0, 6, 6, 6]], 120, 0.3, 2)
+    model, k = PE.choose_clusters(v, start_k=5, floor_k=2, min_size=100, restarts=3)
+    assert k == 3 and sorted(model.summary.clusterSizes) == [120, 120, 120]
+    was = {r.customer_id: r.cluster for r in PE.assign_clusters(v, model).collect()}
+    assert [len({was[i] for i in range(a, a + 120)}) for a in (0, 120, 240)] == [1, 1, 1] and len(set(was.values())) == 3
+    sinks.save_models(spark, str(tmp_path / "m"), {"t": ["a"]}, None, model, k)
+    loaded = sinks.load_models(spark, str(tmp_path / "m"))
+    assert loaded.k == 3 and loaded.nodes is None
+    assert {r.customer_id: r.cluster for r in PE.assign_clusters(v, loaded.kmeans).collect()} == was
 
 
 def test_silhouette_prefers_true_k(spark):
     from txnrisk.operators import peers as PE
 
-    rng = np.random.default_rng(4)
-    centers = np.array([[0, 0, 0, 0, 0], [8, 0, 0, 0, 0], [0, 8, 0, 0, 0]], dtype=float)
-    X = np.vstack([c + rng.normal(scale=0.4, size=(80, 5)) for c in centers])
-    pdf = pd.DataFrame(X, columns=PE.IF_COLS)
-    pdf.insert(0, "customer_id", np.arange(len(pdf)))
-    sil = {r["k"]: r["silhouette"] for r in PE.silhouette_by_k(spark.createDataFrame(pdf), [2, 3, 4],
-                                                                restarts=3).collect()}
+    v = _blobs(spark, [[0, 0, 0, 0, 0], [8, 0, 0, 0, 0], [0, 8, 0, 0, 0]], 80, 0.4, 4)
+    sil = {r["k"]: r["silhouette"] for r in PE.silhouette_by_k(v, [2, 3, 4], restarts=3).collect()}
     assert max(sil, key=sil.get) == 3
+
+
+def test_constant_scores_are_zero_and_leaves_hold_lengths(spark):
+    mat, sets = _matrix(spark, n=40)
+    same = mat.select("customer_id", *[F.lit(1.0).alias(c) for c in mat.columns if c != "customer_id"])
+    nodes = AN.train_forest(same, sets, trees=8)
+    scores = AN.normalise_scores(AN.score_forest(same, sets, nodes)).toPandas()
+    assert (scores.drop(columns="customer_id") == 0).all().all()
+    nodes = AN.train_forest(mat, sets, trees=8)
+    flat = AN.flat_trees(nodes)
+    one = nodes[(nodes.typology == K.TYPOLOGIES[0]) & (nodes.tree == 0)].sort_values("node")
+    leaf = one[one.is_leaf == 1].iloc[0]
+    assert flat[K.TYPOLOGIES[0]][0][4][leaf.node] == leaf.depth + AN.c_factor(leaf["size"])

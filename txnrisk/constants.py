@@ -257,7 +257,9 @@ TYPOLOGY_FEATURE_PATTERNS = {
     ],
 }
 
-# Narrative request record: field order
+# ---------------------------------------------------------------------------
+# FIXED VALUES: request records, responses and narratives
+# ---------------------------------------------------------------------------
 REQUEST_FIELDS = [
     "customer_id", "final_hybrid_score", "hybrid_risk_category", "coverage",
     "primary_rule_typology", "rules_triggered", "rule_indicator_trace",
@@ -329,82 +331,6 @@ CATALOGUE = [
     ("HT-SEX-14", "Crimes & High-Risk Entities", "Asset Procurement & Management", "Medium", "human_trafficking", "EFT, EMT, Wire", "HT-SEX-13, HT-SEX-07"),
 ]
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES: merchant category descriptions (AML-relevant codes)
-# ---------------------------------------------------------------------------
-MCC_DESCRIPTIONS = {
-    5094: "Precious Stones and Metals, Watches and Jewelry",
-    5944: "Clock, Jewelry, Watch and Silverware Stores",
-    5681: "Furriers and Fur Shops",
-    5971: "Art Dealers and Galleries",
-    5972: "Stamp and Coin Stores",
-    5309: "Duty Free Stores",
-    5311: "Department Stores",
-    5399: "Miscellaneous General Merchandise Stores",
-    5999: "Miscellaneous and Specialty Retail Stores",
-    6010: "Manual Cash Disbursements",
-    6011: "Automated Cash Disbursements (ATM)",
-    6012: "Financial Institution Merchandise and Services",
-    6050: "Quasi Cash – Financial Institution",
-    6051: "Quasi Cash – Merchant",
-    4829: "Wire Transfer Money Orders",
-    6530: "Stored Value Load – Merchant",
-    6535: "Value Purchase – Financial Institution",
-    6536: "MoneySend Intracountry",
-    6537: "MoneySend Intercountry",
-    6538: "MoneySend Funding",
-    6539: "Funding Transaction",
-    6540: "Point of Interaction Funding Transactions",
-    7800: "Government-Owned Lottery",
-    7801: "Licensed Online Casinos",
-    7802: "Horse/Dog Racing",
-    7995: "Gambling Transactions",
-    5933: "Pawn Shops",
-    5931: "Second Hand Stores",
-    5932: "Antique Shops",
-    3000: "Airlines (General Category)",
-    3351: "Car Rental Agencies",
-    3501: "Hotels, Motels, Resorts",
-    7011: "Lodging Services",
-    4722: "Travel Agencies and Tour Operators",
-    5948: "Leather Goods and Luggage Stores",
-    5946: "Camera and Photographic Supply Stores",
-    5732: "Electronics Stores",
-    5045: "Computers and Software",
-    5942: "Book Stores (potential layering via resale)",
-    5815: "Digital Goods – Books, Movies, Music",
-    5816: "Digital Goods – Games",
-    5817: "Digital Goods – Applications",
-    5818: "Digital Goods – Multi-Category",
-    5961: "Mail Order Houses",
-    5962: "Direct Marketing – Travel",
-    5963: "Door-to-Door Sales",
-    5964: "Catalog Merchants",
-    5965: "Combination Catalog and Retail",
-    5966: "Outbound Telemarketing",
-    5967: "Inbound Telemarketing",
-    5968: "Subscription Merchants",
-    5969: "Other Direct Marketing",
-    5921: "Liquor Stores",
-    5813: "Bars and Nightclubs",
-    6211: "Securities Brokers and Dealers",
-    6300: "Insurance Sales and Premiums",
-    9211: "Court Costs",
-    9222: "Fines",
-    9311: "Tax Payments",
-    7276: "Tax Preparation Services",
-    7277: "Counseling Services",
-    7399: "Business Services Not Elsewhere Classified",
-    5499: "Miscellaneous Food Stores–Convenience Stores, Markets, Specialty Stores, and Vending Machines",
-    7210: "Cleaning, Garment and Laundry Services",
-    7211: "Laundry Services–Family and Commercial",
-    5300: "Wholesale Clubs",
-    5310: "Discount Stores",
-    5331: "Variety Stores",
-    5411: "Grocery Stores, Supermarkets",
-    5541: "Service Stations (With or Without Ancillary Services)",
-    5542: "Automated Fuel Dispensers",
-}
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: indicator -> associated merchant category codes

@@ -18,12 +18,6 @@ def lit_d(x: float) -> Column:
     return F.lit(float(x)).cast("double")
 
 
-def clip01(c: Column) -> Column:
-    return F.least(F.greatest(c, lit_d(0.0)), lit_d(1.0))
-
-
-def clip_upper(c: Column, upper: Column) -> Column:
-    return F.least(c, upper)
 
 
 def count_if(cond: Column) -> Column:
@@ -72,20 +66,3 @@ def argmax_label(cols: Sequence[str], labels: Sequence[str]) -> Column:
 
 def bool_int(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
-
-
-def finite_or_null(c: Column) -> Column:
-    """inf / -inf / NaN -> NULL."""
-    d = c.cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(d)
-
-
-def round_doubles(df, digits: int = 4):
-    """Round every double column (result presentation for oracle comparison)."""
-    out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import write_stage_table
 from .quantiles import QSpec, exact_quantiles
 
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType, T.DecimalType)
@@ -183,9 +184,7 @@ def train_forest(mat: DataFrame, sets: dict[str, list[str]], trees: int = K.FORE
     if n == 0:
         return pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
     per_tree = min(sample, n)
-    thr = min(1.0, 1.5 * per_tree / n + 16.0 / n)
-    p_row = min(1.0, 2.0 * trees * thr)
-    pair_thr = thr / p_row
+    pair_thr = min(1.0, 1.5 * per_tree / n + 16.0 / n)
     max_depth = int(math.ceil(math.log2(max(per_tree, 2))))
 
     def u(*cols) -> Column:  # uniform [0,1) from a 64-bit hash
@@ -197,12 +196,11 @@ def train_forest(mat: DataFrame, sets: dict[str, list[str]], trees: int = K.FORE
     for t in K.TYPOLOGIES:
         vec.append(F.struct(F.lit(t).alias("typology"),
                             F.array(*[F.col(f"{t}__{c}") for c in sets[t]] or [F.lit(0.0)]).alias("x")))
-    pool = mat.where(u(F.col("customer_id"), F.lit("pool")) < F.lit(p_row))
     # tree ids are filtered inside the array, so only kept (row, tree) pairs
     # are materialised with their feature vector
     kept_trees = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
                           lambda t: u(F.col("customer_id"), F.col("typology"), t) < F.lit(pair_thr))
-    pairs = (pool.select("customer_id", F.explode(F.array(*vec)).alias("v"))
+    pairs = (mat.select("customer_id", F.explode(F.array(*vec)).alias("v"))
                  .select("customer_id", "v.typology", "v.x")
                  .select("customer_id", "typology", "x", F.explode(kept_trees).alias("tree"))
                  .withColumn("h", u(F.col("customer_id"), F.col("typology"), F.col("tree"))))
@@ -231,24 +229,29 @@ def train_forest(mat: DataFrame, sets: dict[str, list[str]], trees: int = K.FORE
     return nodes.toPandas()  # bounded model table, not data
 
 
-def _path_lengths(X: np.ndarray, tree_nodes: pd.DataFrame) -> np.ndarray:
-    feat = tree_nodes["feature"].to_numpy()
-    split = tree_nodes["split"].to_numpy()
-    left = tree_nodes["left"].to_numpy()
-    right = tree_nodes["right"].to_numpy()
-    leaf = tree_nodes["is_leaf"].to_numpy().astype(bool)
-    size = tree_nodes["size"].to_numpy()
-    depth = tree_nodes["depth"].to_numpy()
-    pos = np.zeros(X.shape[0], dtype=np.int64)
-    active = ~leaf[pos]
-    while active.any():
-        rows = np.flatnonzero(active)
-        p = pos[rows]
-        go_left = X[rows, feat[p]] < split[p]
-        pos[rows] = np.where(go_left, left[p], right[p])
-        active = ~leaf[pos]
-    cf = np.vectorize(c_factor)(size[pos].astype(float))
-    return depth[pos] + cf
+def flat_trees(nodes: pd.DataFrame) -> dict[str, list[tuple[np.ndarray, ...]]]:
+    """Per typology and tree: feature, split, left, right and path length as
+    arrays over node ids. Leaves are their own children, and their path length
+    (depth plus the expected rest for their size) is computed here, once."""
+    out: dict[str, list[tuple[np.ndarray, ...]]] = {t: [] for t in K.TYPOLOGIES}
+    for (typ, _), g in nodes.sort_values("node").groupby(["typology", "tree"], sort=True):
+        leaf = g["is_leaf"].to_numpy() == 1
+        own = g["node"].to_numpy(dtype=np.int64)
+        length = g["depth"].to_numpy(dtype=float) + [c_factor(n) for n in g["size"].to_numpy(dtype=float)]
+        out[typ].append((np.where(leaf, 0, g["feature"]), g["split"].to_numpy(dtype=float),
+                         np.where(leaf, own, g["left"]), np.where(leaf, own, g["right"]), length))
+    return out
+
+
+def _path_lengths(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
+    feature, split, left, right, length = tree
+    rows = np.arange(len(x))
+    at = np.zeros(len(x), dtype=np.int64)
+    while True:
+        to = np.where(x[rows, feature[at]] < split[at], left[at], right[at])
+        if (to == at).all():
+            return length[at]
+        at = to
 
 
 def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame,
@@ -258,9 +261,7 @@ def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame
     n = mat.count()
     per_tree = min(sample, n) if n else sample
     cn = c_factor(per_tree)
-    groups = {t: [g for _, g in nodes[nodes["typology"] == t].groupby("tree", sort=True)]
-              for t in K.TYPOLOGIES}
-    bc = spark.sparkContext.broadcast(groups)
+    bc = spark.sparkContext.broadcast(flat_trees(nodes))
     cols = {t: [f"{t}__{c}" for c in sets[t]] for t in K.TYPOLOGIES}
 
     def run(batches):
@@ -284,7 +285,9 @@ def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame
 
 
 def normalise_scores(raw: DataFrame) -> DataFrame:
-    """Min-max per typology: 1 = most anomalous; constant -> 0."""
+    """Min-max per typology: 1 = most anomalous; constant -> 0. The raw scores
+    are staged, so the forest scores every customer once."""
+    raw = write_stage_table(raw, "raw-scores")
     agg = raw.agg(*[x for t in K.TYPOLOGIES for x in (F.min(f"raw_{t}").alias(f"mn_{t}"),
                                                        F.max(f"raw_{t}").alias(f"mx_{t}"))]).first()
     cols = [F.col("customer_id")]
@@ -311,13 +314,24 @@ def with_score_rollup(scores: DataFrame) -> DataFrame:
 
 
 def anomaly_scores(features: DataFrame, trees: int = K.FOREST_TREES, sample: int = K.FOREST_SAMPLE,
-                   seed: int = K.FOREST_SEED, scale: bool = True) -> DataFrame:
+                   seed: int = K.FOREST_SEED) -> DataFrame:
     """customer_id + if_score_<typology> for the five typologies."""
+    return fit_and_score(features, trees, sample, seed)[0]
+
+
+def fit_and_score(features: DataFrame, trees: int = K.FOREST_TREES, sample: int = K.FOREST_SAMPLE,
+                  seed: int = K.FOREST_SEED) -> tuple[DataFrame, pd.DataFrame, dict[str, list[str]], set[str]]:
+    """Scores, node table, feature sets and log columns (what a saved model
+    needs). Splits and path lengths don't change under a per-column affine map,
+    so the matrix is not robust-scaled here."""
     sets = feature_sets(features)
     logged = log_columns(features, sets)
-    mat = prepare_matrix(features, sets, logged)
-    if scale:
-        names = [c for c in mat.columns if c != "customer_id"]
-        mat = robust_scale(mat, robust_params(mat, names))
+    mat = write_stage_table(prepare_matrix(features, sets, logged), "model-matrix")
     nodes = train_forest(mat, sets, trees, sample, seed)
-    return normalise_scores(score_forest(mat, sets, nodes, sample))
+    return normalise_scores(score_forest(mat, sets, nodes, sample)), nodes, sets, logged
+
+
+def score_with(features: DataFrame, nodes: pd.DataFrame, sets: dict[str, list[str]], logged: set[str],
+               sample: int = K.FOREST_SAMPLE) -> DataFrame:
+    """Scores of (new) customers under a saved forest."""
+    return normalise_scores(score_forest(prepare_matrix(features, sets, logged), sets, nodes, sample))

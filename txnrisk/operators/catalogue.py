@@ -46,6 +46,15 @@ def read_catalogue_csv(spark: SparkSession, path: str) -> DataFrame:
                 .withColumn("co_occurring_indicators", F.split(F.col("co_occurring_indicators"), r",\s*")))
 
 
+def write_catalogue_csv(spark: SparkSession, path: str) -> None:
+    """The catalogue as an export of its own, in the columns that
+    ``read_catalogue_csv`` expects."""
+    df = spark.createDataFrame(K.CATALOGUE, CATALOGUE_SCHEMA)
+    (df.select("indicator_id", F.concat_ws(" - ", "category", "sub_category").alias("red_flag_description"), "risk_level",
+               F.col("transaction_types").alias("transaction_type"), F.col("co_occurring").alias("co_occurring_indicators"))
+       .write.mode("overwrite").option("header", True).option("escape", '"').csv(path))
+
+
 def cooccurrence_edges(cat: DataFrame) -> DataFrame:
     """Directed catalogue edges (src -> dst) with reverse / dangling flags."""
     e = cat.select(F.col("indicator_id").alias("src"), F.explode("co_occurring").alias("dst"))
@@ -78,7 +87,3 @@ def trace_pairs(trace_items: DataFrame, items_col: str = "rule_indicator_trace_i
 def indicator_mcc(spark: SparkSession) -> DataFrame:
     rows = [(ind, str(m)) for ind, codes in K.INDICATOR_MCC.items() for m in codes]
     return spark.createDataFrame(rows, "indicator_id string, mcc string")
-
-
-def mcc_descriptions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(str(k), v) for k, v in K.MCC_DESCRIPTIONS.items()], "mcc string, description string")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import write_stage_table
 from ..functions.columns import argmax_label, bool_int, risk_band
 from .quantiles import QSpec, exact_quantiles
 
@@ -40,6 +41,7 @@ def with_dynamic_scores(pre: DataFrame) -> DataFrame:
     d = pre.select("*", *[(F.col(f"if_score_{t}") * F.col(f"rule_{t}")).alias(f"dynamic_{t}")
                           for t in K.TYPOLOGIES])
     d = d.withColumn("dynamic_score_raw", _sum([F.col(c) for c in DYN_COLS]))
+    d = write_stage_table(d, "dynamic-scores")  # joined once, read for the range and for the scores
     mm = d.agg(F.min("dynamic_score_raw").alias("lo"), F.max("dynamic_score_raw").alias("hi")).first()
     lo, hi = _lit(mm["lo"]), _lit(mm["hi"])
     return (d.withColumn("dynamic_score_norm", (F.col("dynamic_score_raw") - lo) / (hi - lo + F.lit(1e-9)))
@@ -62,7 +64,7 @@ def fuse(anomaly: DataFrame, rules: DataFrame, peers: DataFrame) -> DataFrame:
     raw = (F.lit(K.PILLAR_DYNAMIC) * F.col("dynamic_score_norm") +
            F.lit(K.PILLAR_FALLBACK) * (F.lit(1.0) - F.col("coverage")) * F.col("if_score_weighted") +
            F.lit(K.PILLAR_PEER) * F.col("adjusted_kmeans_score"))
-    h = h.withColumn("final_raw", raw)
+    h = write_stage_table(h.withColumn("final_raw", raw), "final-raw")
     mm = h.agg(F.min("final_raw").alias("lo"), F.max("final_raw").alias("hi")).first()
     lo, hi = _lit(mm["lo"]), _lit(mm["hi"])
     # no epsilon here: constant scores give NULL (division by zero guarded)

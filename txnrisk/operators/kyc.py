@@ -22,14 +22,9 @@ def dedupe_by_customer(df: DataFrame) -> DataFrame:
 
 def _code_flags(codes: DataFrame, code_col: str, flags: dict[str, list[int]]) -> DataFrame:
     """Code table -> (code, flag...) with the code coerced to int (bad -> NULL).
-    Code tables are broadcast into the KYC join: after ``distinct`` their size
-    is bounded by the code system itself (5-digit occupation codes, 4-digit
-    industry codes: at most 100,000 rows of one int and two flags)."""
+    How it is joined is left to the optimizer, which knows its size."""
     c = F.expr(f"try_cast(cast({code_col} as string) as int)")
-    # Codes outside 0..99999 can never be flagged (every flag list is inside
-    # it) and an unmatched code reads as 0 anyway, so dropping them changes no
-    # result and proves the broadcast bound.
-    t = codes.select(c.alias(code_col)).where(F.col(code_col).between(0, 99999)).distinct()
+    t = codes.select(c.alias(code_col)).where(F.col(code_col).isNotNull()).distinct()
     for name, members in flags.items():
         t = t.withColumn(name, bool_int(F.col(code_col).isin(members)))
     return t
@@ -47,9 +42,9 @@ def attach_kyc_risk_tiers(kyc_ind: DataFrame, kyc_bus: DataFrame,
         "occupation_code", F.expr("try_cast(cast(occupation_code as string) as int)"))
     kb = dedupe_by_customer(kyc_bus).withColumn(
         "industry_code", F.expr("try_cast(cast(industry_code as string) as int)"))
-    ki = (ki.join(F.broadcast(occ), "occupation_code", "left")
+    ki = (ki.join(occ, "occupation_code", "left")
             .withColumn("occupation_risk_high", F.coalesce("occupation_risk_high", F.lit(0))))
-    kb = (kb.join(F.broadcast(ind), "industry_code", "left")
+    kb = (kb.join(ind, "industry_code", "left")
             .withColumn("industry_risk_high", F.coalesce("industry_risk_high", F.lit(0)))
             .withColumn("ht_accommodation_sector", F.coalesce("ht_accommodation_sector", F.lit(0))))
     return ki, kb

@@ -1,23 +1,22 @@
 """Peer groups: KMeans over robust-scaled anomaly scores, cluster profiles
 and within-cluster percentiles.
 
-Clustering runs all restarts of k-means in the same pass over the data:
-each Lloyd step is one ``mapInPandas`` job that scores every point against
-the centres of every restart (restarts x k x 5 numbers, broadcast) and
-returns per-partition partial sums, so 20 restarts cost the passes of one
-(MLlib k-means with one fit per seed is kept as ``choose_clusters``, and for
-the silhouette sweep). The thin-cluster loop (k down to a floor until every
-cluster has at least ``min_size`` members) runs on the driver around one
-checkpointed, cached score table. Profiles are a ``groupBy`` + one-row aggregate; percentiles use the
-range-partitioned rank from ``ranking`` (a cluster can hold most customers,
-so no per-cluster window).
+Clustering is MLlib's KMeans (``k-means||`` seeding, all rows), fitted once per
+restart with its own seed; the fit of least cost is kept. The restarts share a
+staged and cached table of one vector per customer and run as parallel jobs.
+The thin-cluster loop lowers k to a floor until every cluster of the kept model
+has at least ``min_size`` members; sizes come from the model's own summary.
+Silhouettes are MLlib's, over all rows. Profiles are a ``groupBy`` + one-row
+aggregate; percentiles use the range-partitioned rank from ``ranking`` (a
+cluster can hold most customers, so no per-cluster window).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
+from pyspark import StorageLevel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.columns import argmax_label
+from ..session import write_stage_table
 from .anomaly import robust_params, robust_scale
 from .ranking import group_sizes, ordinal_rank
 
@@ -32,14 +32,17 @@ IF_COLS = [f"if_score_{t}" for t in K.TYPOLOGIES]
 
 
 def peer_vectors(scores: DataFrame) -> DataFrame:
-    """customer_id + robust-scaled five scores as ``features`` vector."""
+    """customer_id + the robust-scaled five scores as ``features`` vector, from
+    a staged table of their columns."""
     mat = scores.select("customer_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in IF_COLS])
+    mat = write_stage_table(mat, "peer-scores")
     scaled = robust_scale(mat, robust_params(mat, IF_COLS))
     return VectorAssembler(inputCols=IF_COLS, outputCol="features").transform(scaled).select("customer_id", "features")
 
 
-def _fit_best(vectors: DataFrame, k: int, restarts: int, seed: int, threads: int):
-    """Several seeds in parallel Spark jobs; keep the lowest training cost."""
+def fit_best(vectors: DataFrame, k: int, restarts: int = K.KMEANS_RESTARTS, seed: int = K.FOREST_SEED,
+             threads: int = 8) -> KMeansModel:
+    """One fit per seed, as parallel Spark jobs; the least training cost wins."""
     def fit(i: int):
         m = KMeans(k=k, seed=seed + i, initMode="k-means||", maxIter=300, tol=1e-4).fit(vectors)
         return m.summary.trainingCost, i, m
@@ -51,40 +54,34 @@ def _fit_best(vectors: DataFrame, k: int, restarts: int, seed: int, threads: int
 
 def choose_clusters(vectors: DataFrame, start_k: int = K.KMEANS_START_K, floor_k: int = K.KMEANS_K_FLOOR,
                     min_size: int = K.KMEANS_MIN_CLUSTER, restarts: int = K.KMEANS_RESTARTS,
-                    seed: int = K.FOREST_SEED, threads: int = 4):
-    """Fit k = start_k, start_k-1, ... until the smallest cluster has at least
+                    seed: int = K.FOREST_SEED) -> tuple[KMeansModel, int]:
+    """Fit k = start_k, start_k - 1, ... until the smallest cluster has at least
     ``min_size`` members; below the floor keep the floor's fit."""
-    model = None
-    for k in range(start_k, floor_k - 1, -1):
-        model = _fit_best(vectors, k, restarts, seed, threads)
-        sizes = model.summary.clusterSizes
-        if min(sizes) >= min_size:
-            return model, k
-    return model, floor_k
-
-
-def assign_clusters(vectors: DataFrame, model) -> DataFrame:
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)  # every fit passes over it many times
+    try:
+        for k in range(start_k, floor_k - 1, -1):
+            model = fit_best(vectors, k, restarts, seed)
+            if min(model.summary.clusterSizes) >= min_size:
+                break
+        return model, k
+    finally:
+        vectors.unpersist()
+
+
+def assign_clusters(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     return model.transform(vectors).select("customer_id", F.col("prediction").cast("int").alias("cluster"))
 
 
-def silhouette_by_k(scaled: DataFrame, ks: list[int], sample_rows: int = 5000, seed: int = K.FOREST_SEED,
-                    restarts: int = 10) -> DataFrame:
-    """Silhouette (MLlib ``ClusteringEvaluator``) of the best of ``restarts``
-    k-means runs per k, on a hash-selected sample of at most ``sample_rows``
-    customers (the same sample on every run)."""
-    n = scaled.count()
-    frac = min(1.0, sample_rows / max(n, 1))
-    sample = scaled.where(
-        (F.pmod(F.xxhash64("customer_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < frac)
+def silhouette_by_k(vectors: DataFrame, ks: list[int], restarts: int = 5, seed: int = K.FOREST_SEED) -> DataFrame:
+    """Silhouette of the best of ``restarts`` fits per k, over all customers
+    (the squared-Euclidean silhouette needs one pass, not all pairs)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
-    assembled = VectorAssembler(inputCols=IF_COLS, outputCol="features")
-    rows = []
-    for k in ks:
-        centers, _, _ = lloyd_restarts(sample, k, restarts, seed)
-        lab = assign_to_centers(sample, centers).withColumnRenamed("cluster", "prediction")
-        pred = assembled.transform(sample).join(lab, "customer_id")
-        rows.append((k, float(ev.evaluate(pred))))
-    return scaled.sparkSession.createDataFrame(rows, "k int, silhouette double")
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = [(k, float(ev.evaluate(fit_best(vectors, k, restarts, seed).transform(vectors)))) for k in ks]
+    finally:
+        vectors.unpersist()
+    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
 def cluster_profile(scored: DataFrame) -> DataFrame:
@@ -113,122 +110,3 @@ def peer_percentile(scored: DataFrame) -> DataFrame:
     r = group_sizes(r, ["cluster"], "cluster_size")
     return r.withColumn("kmeans_score", (F.col("rank") - 1) /
                         F.greatest(F.col("cluster_size") - 1, F.lit(1)).cast("double"))
-
-
-# ---------------------------------------------------------------------------
-# Multi-restart Lloyd iterations: every restart advances in the same pass
-# ---------------------------------------------------------------------------
-
-import numpy as _np  # noqa: E402
-import pandas as _pd  # noqa: E402
-
-
-def scaled_scores(scores: DataFrame) -> DataFrame:
-    """customer_id + robust-scaled five scores as plain double columns."""
-    mat = scores.select("customer_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in IF_COLS])
-    return robust_scale(mat, robust_params(mat, IF_COLS))
-
-
-def _kmeans_pp(X: _np.ndarray, k: int, rng: _np.random.Generator) -> _np.ndarray:
-    """k-means++ seeding (D^2 sampling) on a bounded sample."""
-    centers = [X[rng.integers(len(X))]]
-    d2 = ((X - centers[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        p = d2 / d2.sum() if d2.sum() > 0 else _np.full(len(X), 1.0 / len(X))
-        centers.append(X[rng.choice(len(X), p=p)])
-        d2 = _np.minimum(d2, ((X - centers[-1]) ** 2).sum(1))
-    return _np.array(centers)
-
-
-def _partial_stats(centers_bc, cols: list[str]):
-    """Per partition: (restart, cluster, count, inertia, coordinate sums) for
-    the current centres of every restart; one output frame per partition."""
-    def run(batches):
-        C = centers_bc.value                       # (R, k, d)
-        R, k, d = C.shape
-        cnt = _np.zeros((R, k))
-        cost = _np.zeros((R, k))
-        sums = _np.zeros((R, k, d))
-        for pdf in batches:
-            X = pdf[cols].to_numpy(dtype=float)    # (n, d)
-            dist = ((X[:, None, None, :] - C[None, :, :, :]) ** 2).sum(-1)   # (n, R, k)
-            lab = dist.argmin(-1)                                          # (n, R), first minimum
-            best = _np.take_along_axis(dist, lab[..., None], -1)[..., 0]
-            for r in range(R):
-                cnt[r] += _np.bincount(lab[:, r], minlength=k)
-                cost[r] += _np.bincount(lab[:, r], weights=best[:, r], minlength=k)
-                for j in range(d):
-                    sums[r, :, j] += _np.bincount(lab[:, r], weights=X[:, j], minlength=k)
-        rr, cc = _np.nonzero(cnt)
-        yield _pd.DataFrame({"r": rr.astype("int32"), "c": cc.astype("int32"), "n": cnt[rr, cc].astype("int64"),
-                             "cost": cost[rr, cc], **{f"s{j}": sums[rr, cc, j] for j in range(d)}})
-    return run
-
-
-def lloyd_restarts(scaled: DataFrame, k: int, restarts: int = K.KMEANS_RESTARTS, seed: int = K.FOREST_SEED,
-                   max_iter: int = 300, tol: float = 1e-4, sample_rows: int = 10_000):
-    """Best of ``restarts`` k-means runs (lowest inertia). Returns (centers
-    (k, d), cluster sizes, inertia). One Spark job per iteration for all
-    restarts; driver traffic is restarts x k rows per iteration."""
-    spark = scaled.sparkSession
-    cols = IF_COLS
-    d = len(cols)
-    n = scaled.count()
-    frac = min(1.0, sample_rows / max(n, 1))
-    samp = (scaled.where((F.pmod(F.xxhash64("customer_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < frac)
-                  .select(*cols).toPandas().to_numpy(dtype=float))           # bounded sample
-    rng = _np.random.default_rng(seed)
-    C = _np.stack([_kmeans_pp(samp, k, rng) for _ in range(restarts)])     # (R, k, d)
-    var = scaled.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
-    thr = tol * float(_np.mean([var[c] or 0.0 for c in cols]))
-    schema = "r int, c int, n long, cost double, " + ", ".join(f"s{j} double" for j in range(d))
-    done = _np.zeros(restarts, dtype=bool)
-    base = scaled.select(*cols)
-    sizes = _np.zeros((restarts, k), dtype=int)
-    inertia = _np.zeros(restarts)
-    for _ in range(max_iter):
-        bc = spark.sparkContext.broadcast(C)
-        # partitions x restarts x k partial rows, summed here (no shuffle per step)
-        part = base.mapInPandas(_partial_stats(bc, cols), schema).toPandas()  # bounded: partitions x R x k
-        bc.unpersist()
-        agg = part.groupby(["r", "c"], as_index=False).sum()
-        newC = C.copy()
-        sizes = _np.zeros((restarts, k), dtype=int)
-        inertia = _np.zeros(restarts)
-        for row in agg.itertuples(index=False):
-            r, c = int(row.r), int(row.c)
-            sizes[r, c] = int(row.n)
-            inertia[r] += row.cost
-            newC[r, c] = [getattr(row, f"s{j}") / row.n for j in range(d)]
-        shift = ((newC - C) ** 2).sum((1, 2))
-        C = _np.where(done[:, None, None], C, newC)
-        done |= shift <= thr
-        if done.all():
-            break
-    best = int(_np.argmin(inertia))
-    return C[best], sizes[best], float(inertia[best])
-
-
-def choose_clusters_batched(scaled: DataFrame, start_k: int = K.KMEANS_START_K, floor_k: int = K.KMEANS_K_FLOOR,
-                            min_size: int = K.KMEANS_MIN_CLUSTER, restarts: int = K.KMEANS_RESTARTS,
-                            seed: int = K.FOREST_SEED):
-    """Thin-cluster loop with multi-restart Lloyd fits; returns (centers, k)."""
-    centers = None
-    for k in range(start_k, floor_k - 1, -1):
-        centers, sizes, _ = lloyd_restarts(scaled, k, restarts, seed)
-        if sizes.min() >= min_size:
-            return centers, k
-    return centers, floor_k
-
-
-def assign_to_centers(scaled: DataFrame, centers) -> DataFrame:
-    bc = scaled.sparkSession.sparkContext.broadcast(_np.asarray(centers))   # k x d
-
-    def run(batches):
-        C = bc.value
-        for pdf in batches:
-            X = pdf[IF_COLS].to_numpy(dtype=float)
-            lab = ((X[:, None, :] - C[None, :, :]) ** 2).sum(-1).argmin(1)
-            yield _pd.DataFrame({"customer_id": pdf["customer_id"].to_numpy(), "cluster": lab.astype("int32")})
-
-    return scaled.mapInPandas(run, "customer_id long, cluster int")

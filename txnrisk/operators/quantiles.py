@@ -1,19 +1,20 @@
 """Exact population quantiles without pulling a column into one task.
 
 ``percentile`` (exact) keeps a value->count map of the whole column in the
-final task; at billions of rows that is unbounded. Here:
-
-1. one distributed pass computes ``percentile_approx`` just below and just
-   above each target probability (rank error <= n / accuracy), plus ``count``;
-2. a second pass counts values below the lower bracket and gathers only the
-   values inside the bracket, pre-aggregated to (value, multiplicity). Its
-   size is bounded by about 4 n / accuracy distinct values per quantile;
-3. the driver interpolates linearly between the two order statistics around
-   rank p * (n - 1) (the same definition as Spark ``percentile`` and DuckDB
-   ``quantile_cont``).
-
-If a bracket misses (tiny inputs, heavy ties at the edges) the quantile falls
-back to the exact ``percentile`` aggregate for that column only.
+final task; at billions of rows that is unbounded. Here each wanted order
+statistic keeps an interval that holds it:
+
+1. ``percentile_approx`` with a small sketch (``ACCURACY``) over the values
+   inside the intervals proposes two values around the wanted rank;
+2. one counting pass finds how many values are below, at and above the two.
+   Either the wanted rank is one of the two values, or it lies before, between
+   or after them, which is its next, much smaller interval;
+3. both repeat until an interval holds at most ``FEW`` values, which the driver
+   then looks at (a round leaves about a thousandth, so two rounds do for a
+   billion rows).
+
+Quantiles interpolate linearly around rank p * (n - 1) (the definition of
+``percentile`` and of DuckDB's ``quantile_cont``).
 """
 
 from __future__ import annotations
@@ -32,11 +33,6 @@ class QSpec:
     p: float                # probability in [0, 1]
 
 
-def _clean(c: Column) -> Column:
-    d = c.cast("double")
-    return F.when(~F.isnan(d), d)
-
-
 def _long_values(df: DataFrame, exprs: list[Column | str]) -> DataFrame:
     """(c, v) rows: one per input row and value expression, NULL / NaN dropped."""
     if all(isinstance(e, str) for e in exprs):
@@ -50,87 +46,101 @@ def _long_values(df: DataFrame, exprs: list[Column | str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def exact_quantiles(df: DataFrame, specs: list[QSpec], accuracy: int = 1_000_000) -> dict[str, float | None]:
-    """Exact quantiles for many (value, p) specs: three grouped jobs in long
-    format whatever the number of specs."""
-    if not specs:
-        return {}
-    delta = 2.0 / accuracy
+ACCURACY = 5_000
+FEW = 50
+
+
+@dataclass
+class _Interval:
+    """Values of ``column`` from ``lo`` to ``hi`` (None: open), of which the one
+    of overall rank ``rank`` is wanted; ``below`` values are smaller than lo."""
+
+    column: int
+    rank: int
+    inside: int
+    below: int = 0
+    lo: float | None = None
+    hi: float | None = None
+    value: float | None = None
+
+
+def _rows_inside(long: DataFrame, intervals: dict[int, _Interval]) -> DataFrame:
+    """``long`` with i: a row for each interval that holds its value."""
+    rows = [(i, b.column, b.lo, b.hi) for i, b in intervals.items()]
+    bounds = long.sparkSession.createDataFrame(rows, "i int, c int, lo double, hi double")  # one row per rank
+    return long.join(F.broadcast(bounds), "c").where(
+        (F.col("lo").isNull() | (F.col("v") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
+
+
+def _narrow(long: DataFrame, intervals: dict[int, _Interval]) -> None:
+    """One round: propose two values around each rank, count, and choose."""
+    wanted = {}
+    for i, b in intervals.items():
+        slack = 2.0 / ACCURACY
+        at = (b.rank - b.below + 0.5) / b.inside
+        wanted[i] = [round(min(1.0, max(0.0, x)), 12) for x in (at - slack, at + slack)]
+    ends = sorted({x for pair in wanted.values() for x in pair})
+    inside = _rows_inside(long, intervals)
+    sketch = {r["i"]: r["q"] for r in inside.groupBy("i").agg(F.percentile_approx("v", ends, ACCURACY).alias("q")).collect()}
+    pairs = {i: [float(sketch[i][ends.index(x)]) for x in wanted[i]] for i in intervals}
+    two = long.sparkSession.createDataFrame([(i, *x) for i, x in pairs.items()], "i int, x double, y double")  # one row per rank
+    v, x, y = F.col("v"), F.col("x"), F.col("y")
+    counts = inside.drop("lo", "hi").join(F.broadcast(two), "i").groupBy("i").agg(*[
+        F.count(F.when(test, 1)).alias(name) for name, test in (
+            ("before_x", v < x), ("to_x", v <= x), ("before_y", v < y), ("to_y", v <= y))]).collect()
+    for r in counts:
+        b, (low, high) = intervals[r["i"]], pairs[r["i"]]
+        k = b.rank - b.below
+        if k < r["before_x"]:
+            b.hi, b.inside = math.nextafter(low, -math.inf), r["before_x"]
+        elif k < r["to_x"]:
+            b.value = low
+        elif k < r["before_y"]:
+            b.lo, b.hi = math.nextafter(low, math.inf), math.nextafter(high, -math.inf)
+            b.below, b.inside = b.below + r["to_x"], r["before_y"] - r["to_x"]
+        elif k < r["to_y"]:
+            b.value = high
+        else:
+            b.lo, b.below, b.inside = math.nextafter(high, math.inf), b.below + r["to_y"], b.inside - r["to_y"]
+
+
+def exact_quantiles(df: DataFrame, specs: list[QSpec]) -> dict[str, float | None]:
+    """Exact quantiles for many (value, p) specs, all of them in the same jobs."""
     exprs: list[Column | str] = []
     key_of: dict[str, int] = {}
-    spec_col: list[int] = []
-    for s_ in specs:
-        k = s_.expr if isinstance(s_.expr, str) else str(s_.expr)
+    for s in specs:
+        k = s.expr if isinstance(s.expr, str) else str(s.expr)
         if k not in key_of:
             key_of[k] = len(exprs)
-            exprs.append(s_.expr)
-        spec_col.append(key_of[k])
+            exprs.append(s.expr)
+    if not specs:
+        return {}
     long = _long_values(df, exprs)
-    # pass 0: non-null count per value; a bracket spans at least +-2.5 ranks
-    # as well as the sketch's rank error (+-2/accuracy)
     counts = {r["c"]: int(r["n"]) for r in long.groupBy("c").agg(F.count("v").alias("n")).collect()}
-
-    def br(i: int) -> tuple[float, float]:
-        n = counts.get(spec_col[i], 0)
-        d = max(delta, 2.5 / n) if n else delta
-        return (round(max(0.0, specs[i].p - d), 12), round(min(1.0, specs[i].p + d), 12))
-
-    brackets = [br(i) for i in range(len(specs))]
-    bracket = sorted({b for pair in brackets for b in pair})
-    # pass 1: approximate bracket ends per value (one grouped aggregate)
-    r1 = {r["c"]: r["b"] for r in
-          long.groupBy("c").agg(F.percentile_approx("v", bracket, accuracy).alias("b")).collect()}
+    live: dict[int, _Interval] = {}
+    for i, s in enumerate(specs):
+        c = key_of[s.expr if isinstance(s.expr, str) else str(s.expr)]
+        if counts.get(c):
+            r = s.p * (counts[c] - 1)
+            live[2 * i] = _Interval(c, math.floor(r), counts[c])
+            live[2 * i + 1] = _Interval(c, math.ceil(r), counts[c])
+    while open_ := {i: b for i, b in live.items() if b.value is None and b.inside > FEW}:
+        _narrow(long, open_)
+    few = {i: b for i, b in live.items() if b.value is None}
+    held: dict[int, list[float]] = {}
+    if few:
+        for r in _rows_inside(long, few).select("i", "v").collect():  # at most FEW rows per rank
+            held.setdefault(r["i"], []).append(r["v"])
+    for i, b in few.items():
+        b.value = sorted(held[i])[b.rank - b.below]
     result: dict[str, float | None] = {}
-    live = []
-    for i, s_ in enumerate(specs):
-        c = spec_col[i]
-        if not counts.get(c, 0):
-            result[s_.name] = None
+    for i, s in enumerate(specs):
+        low, high = live.get(2 * i), live.get(2 * i + 1)
+        if low is None:
+            result[s.name] = None
             continue
-        b = r1[c]
-        live.append((i, c, float(b[bracket.index(brackets[i][0])]), float(b[bracket.index(brackets[i][1])])))
-    if not live:
-        return result
-    # pass 2: rows below each bracket (as the NULL value) and the bracket's
-    # values with multiplicities, in one aggregate; bounded output
-    bounds = df.sparkSession.createDataFrame(live, "i int, c int, lo double, hi double")  # one row per spec
-    j = long.join(F.broadcast(bounds), "c").where(F.col("v") <= F.col("hi"))
-    rows = (j.groupBy("i", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")).count().collect())
-    below: dict[int, int] = {}
-    inside: dict[int, list[tuple[float, int]]] = {}
-    for r in rows:
-        if r["v"] is None:
-            below[r["i"]] = r["count"]
-        else:
-            inside.setdefault(r["i"], []).append((r["v"], r["count"]))
-
-    fallback = []
-    for i, c, lo, hi in live:
-        s_ = specs[i]
-        n = counts[c]
-        vals = sorted(inside.get(i, []))
-        bel = int(below.get(i, 0))
-        rank = s_.p * (n - 1)
-        j0, j1 = math.floor(rank), math.ceil(rank)
-        if not (bel <= j0 and j1 < bel + sum(cnt for _, cnt in vals)):
-            fallback.append(i)
-            continue
-
-        def at(jj: int) -> float:
-            acc = bel
-            for val, cnt in vals:
-                acc += cnt
-                if acc > jj:
-                    return val
-            return vals[-1][0]
-
-        a, b = at(j0), at(j1)
-        result[s_.name] = a + (b - a) * (rank - j0) if j1 != j0 else a
-    if fallback:
-        cols = [F.expr(specs[i].expr) if isinstance(specs[i].expr, str) else specs[i].expr for i in fallback]
-        r3 = df.agg(*[F.percentile(_clean(c), specs[i].p).alias(f"q{i}") for c, i in zip(cols, fallback)]).first()
-        for i in fallback:
-            result[specs[i].name] = r3[f"q{i}"]
+        r = s.p * (counts[low.column] - 1)
+        result[s.name] = low.value + (high.value - low.value) * (r - low.rank) if high.rank != low.rank else low.value
     return result
 
 
@@ -147,9 +157,9 @@ def grouped_median(df: DataFrame, key: str, value: str, name: str = "median") ->
     v = F.col(value).cast("double")
     vc = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(key, F.col(value).cast("double").alias("_v"))
             .agg(F.count(F.lit(1)).alias("_c")))
-    n = vc.groupBy(key).agg(F.sum("_c").alias("_n"))
-    cum = running_total(vc, [F.col("_v").asc()], [key], F.col("_c"), "_cum", few_groups=False)
-    j = cum.join(n, key)
+    # the group's total comes with the offsets: no join on the bare key, which
+    # would bring all values of a hot key into one task
+    j = running_total(vc, [F.col("_v").asc()], [key], F.col("_c"), "_cum", few_groups=False, total_name="_n")
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.ceil((F.col("_n") - 1) / 2)
     start = F.col("_cum") - F.col("_c")

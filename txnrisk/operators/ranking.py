@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_stage_table
+
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -22,10 +24,11 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def running_total(df: DataFrame, order: list[Column], group: list[str] | None = None,
                   weight: Column | None = None, name: str = "running", partitions: int | None = None,
-                  few_groups: bool = True) -> DataFrame:
+                  few_groups: bool = True, total_name: str | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` (default 1 = ordinal rank, 1-based)
     in ``order`` within ``group``. ``order`` must be a total order (end with a
-    unique key) for ranks to be deterministic."""
+    unique key) for ranks to be deterministic. ``total_name`` adds the group's
+    whole sum, which the offsets table knows anyway."""
     group = group or []
     w = weight if weight is not None else F.lit(1)
     n = _partitions(df, partitions)
@@ -33,18 +36,18 @@ def running_total(df: DataFrame, order: list[Column], group: list[str] | None =
            .repartitionByRange(n, *[F.col(g) for g in group], *order)
            .withColumn("_pid", F.spark_partition_id()))
     # The range partitioner samples its bounds on every evaluation, so the two
-    # branches below must read one materialised assignment: a reliable
-    # checkpoint in the shared folder (never a local one).
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(p.sparkSession)
-    p = p.checkpoint(eager=True)
+    # branches below must read one written assignment.
+    p = write_stage_table(p, "ranges")
     local_w = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = p.withColumn("_local", F.sum("_w").over(local_w))
     counts = p.groupBy("_pid", *group).agg(F.sum("_w").alias("_part_total"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) if group \
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) if group \
         else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_part_total").over(before), F.lit(0)))
-    offs = offs.select("_pid", *group, "_off")
+    if total_name:
+        offs = offs.withColumn(total_name, F.sum("_part_total").over(whole))
+    offs = offs.drop("_part_total")
     # offs has at most (partitions + groups) rows; with few groups (typologies,
     # clusters) that bound is small and it is broadcast, otherwise joined.
     out = local.join(F.broadcast(offs) if few_groups else offs, ["_pid", *group])
@@ -58,6 +61,7 @@ def ordinal_rank(df: DataFrame, order: list[Column], group: list[str] | None = N
 
 
 def group_sizes(df: DataFrame, group: list[str], name: str = "group_size") -> DataFrame:
-    """Attach the group size via an aggregate + join (not a window)."""
+    """Attach the group size. For few groups (clusters): one row per group is
+    broadcast, so a group with most rows is not shuffled."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, group)
+    return df.join(F.broadcast(sizes), group)

@@ -9,7 +9,7 @@ range-partitioned ranking; cut-offs enter as literals from a one-row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import ordinal_rank, running_total
@@ -53,17 +53,9 @@ def capture_at_k(df: DataFrame, label: str, score: str, pcts=(0.01, 0.05, 0.10))
     return agg.select("positives", rows).select("x.pct", "x.cutoff", "x.captured", "positives")
 
 
-SMALL_TOP = 10_000
-
-
 def top_n(df: DataFrame, score: str, n: int, key: str = "customer_id") -> DataFrame:
-    """The n highest-scored rows (ties by key) with their rank. A small n is
-    a bounded top-k (each task keeps n rows, then one merge of n x tasks);
-    a large n (a percentage of the population) uses the distributed rank."""
-    if n <= SMALL_TOP:
-        head = df.orderBy(F.col(score).desc_nulls_last(), F.col(key).asc()).limit(n)
-        w = Window.orderBy(F.col(score).desc_nulls_last(), F.col(key).asc())
-        return head.withColumn("rank", F.row_number().over(w))  # over at most n rows
+    """The n highest-scored rows (ties by key) with their rank, from the
+    distributed rank whatever n is."""
     return ranked(df, score, key).where(F.col("rank") <= n)
 
 

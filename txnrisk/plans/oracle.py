@@ -98,7 +98,7 @@ def feature_table_columns() -> list[str]:
 
 ORACLE["feature_table"] = FT + "\n" + sql_select(feature_table_columns(), "ft")
 
-ORACLE["data_quality"] = KYCF + """,
+ORACLE["data_quality"] = SEG + """,
 dq AS (
   SELECT 'rows' AS metric, channel AS item, CAST(count(*) AS DOUBLE) AS value FROM txn GROUP BY channel
   UNION ALL
@@ -106,19 +106,20 @@ dq AS (
   UNION ALL
   SELECT * FROM (SELECT 'top_mcc', mcc, CAST(count(*) AS DOUBLE) AS c FROM txn WHERE channel = 'Card'
                  GROUP BY mcc ORDER BY c DESC, mcc LIMIT 20)
-  UNION ALL
-  SELECT 'null_inputs', 'amount_cv', CAST(count(*) FILTER (WHERE amount_cv IS NULL) AS DOUBLE) FROM kf
-  UNION ALL
-  SELECT 'null_inputs', 'flow_through_ratio', CAST(count(*) FILTER (WHERE flow_through_ratio IS NULL) AS DOUBLE) FROM kf
-  UNION ALL
-  SELECT 'null_inputs', 'transactions_per_active_day',
-         CAST(count(*) FILTER (WHERE transactions_per_active_day IS NULL) AS DOUBLE) FROM kf
-  UNION ALL
-  SELECT 'null_inputs', 'monthly_volume_cv', CAST(count(*) FILTER (WHERE monthly_volume_cv IS NULL) AS DOUBLE) FROM kf
-)
+""" + "".join(
+    f"  UNION ALL\n  SELECT 'null_inputs', '{c}', CAST(count(*) FILTER (WHERE {c}{raw} IS NULL) AS DOUBLE) FROM sr\n"
+    for raw, names in (("_raw", ["spending_to_income_ratio", "volume_to_sales_ratio", "income_vol_ratio"]),
+                       ("", ["monthly_volume_cv", "amount_cv", "flow_through_ratio", "ratio_round_100",
+                             "transactions_per_active_day"])) for c in names) + """)
 """ + sql_select(["metric", "item", "value"], "dq", {"value": "d"})
 
-_ = K
+ORACLE["src_missing_channels"] = TXN + """,
+some AS (SELECT channel, count(*) AS n_rows, sum(amount_cad) AS total_amount FROM txn
+         WHERE channel IN ('Card', 'Wire') GROUP BY channel)
+""" + sql_select(["channel", "n_rows", "total_amount"], "some", {"total_amount": "d"})
+
+ORACLE["sink_feature_table"] = FT + "\n" + sql_select(
+    ["customer_id", "total_volume", "overall_typology_max_risk"], "ft")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -571,7 +572,7 @@ cat(id, name, risk, typology, channels, cooc) AS (VALUES {_CAT_VALUES}),
 ev AS (SELECT hy.*, tr.rule_indicator_trace FROM hy LEFT JOIN tr ON hy.customer_id = tr.customer_id
        WHERE hy.final_hybrid_score > 0.5),
 q1 AS (SELECT ev.*, row_number() OVER (ORDER BY final_hybrid_score DESC NULLS LAST, customer_id) AS rank FROM ev),
-q2 AS (SELECT *, CAST(floor((rank - 1) / 300) AS INTEGER) AS batch_id FROM q1 WHERE rank <= 600),
+q2 AS (SELECT *, CAST(floor((rank - 1) / 300) AS INTEGER) AS batch_id FROM q1),
 cite AS (
   SELECT t.customer_id,
     string_agg(lower(coalesce(c.name, 'an indicator')) || ' (' || t.ind || ')', ', ' ORDER BY t.g, t.rn) AS cited
@@ -579,27 +580,24 @@ cite AS (
 ),
 nar0 AS (
   SELECT q2.*, cite.cited,
-    CASE WHEN if_score_max > 0.8 THEN 'a notably elevated anomaly signature'
-         ELSE 'an elevated anomaly signature' END AS strength,
+    CASE WHEN if_score_max > 0.8 THEN 'very unusual behaviour' ELSE 'unusual behaviour' END AS strength,
     {_SECONDARY} AS secondary
   FROM q2 LEFT JOIN cite ON q2.customer_id = cite.customer_id
 ),
 nar AS (
   SELECT batch_id, rank, customer_id, concat_ws(' ',
     CASE WHEN rules_triggered > 0
-         THEN 'The activity of this customer is most consistent with ' || lower(primary_rule_typology)
-              || ', together with ' || strength || '.'
-         ELSE 'This flag is driven by ' || strength || ' rather than confirmed rules, and the activity may indicate '
+         THEN 'Confirmed rules and ' || strength || ' point towards ' || lower(primary_rule_typology) || '.'
+         ELSE 'Only ' || strength || ' led to this review, which could be a sign of '
               || lower(primary_rule_typology) || '.' END,
-    CASE WHEN cited IS NOT NULL THEN 'The evidence includes ' || cited || '.'
-         ELSE 'No single indicator rule was confirmed for this customer.' END,
+    CASE WHEN cited IS NOT NULL THEN 'The rules that fired are ' || cited || '.' ELSE 'No rule fired.' END,
     CASE WHEN cluster_primary_typology = primary_rule_typology
-           THEN 'This behaviour is consistent with a known high-risk peer group.'
+           THEN 'Customers who behave alike show the same pattern.'
          WHEN cluster_primary_typology = {_sq(_K.GENERAL_LOW_RISK_LABEL)}
-           THEN 'Its peer group is broadly low risk, so the divergence warrants additional scrutiny.'
-         ELSE 'Its peer group leans towards ' || lower(cluster_primary_typology)
-              || ', a discrepancy that warrants additional scrutiny.' END,
-    CASE WHEN secondary <> '' THEN 'A secondary pattern suggests ' || secondary || '.' END,
+           THEN 'Customers who behave alike are mostly low risk, so this one stands out and should be looked at closely.'
+         ELSE 'Customers who behave alike rather show ' || lower(cluster_primary_typology)
+              || ', a difference that should be looked at closely.' END,
+    CASE WHEN secondary <> '' THEN 'There may also be ' || secondary || '.' END,
     CASE WHEN coverage >= 0.6 THEN {_LOWCOV} END) AS narrative
   FROM nar0
 ),
@@ -660,7 +658,7 @@ eb AS (
   SELECT batch_id, count(*) AS n_customers, min(rank) AS first_rank, max(rank) AS last_rank,
     string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY rank) AS customer_ids,
     min(final_hybrid_score) AS min_score, max(final_hybrid_score) AS max_score
-  FROM q2 GROUP BY batch_id
+  FROM q2 WHERE rank <= 600 GROUP BY batch_id
 )
 """ + sql_select(["batch_id", "n_customers", "first_rank", "last_rank", "customer_ids", "min_score", "max_score"],
                  "eb", {"min_score": "d", "max_score": "d"})
@@ -867,3 +865,14 @@ hr AS (
 )
 """ + sql_select(["customer_id", "in_anomaly_extract", "in_hybrid_extract", "if_score_max", "final_hybrid_score"],
                  "hr", {"in_anomaly_extract": "i", "in_hybrid_extract": "i"})
+
+
+ORACLE["sink_results"] = HY + """,
+both_kinds AS (
+  SELECT customer_id, final_hybrid_score, 'all' AS kind FROM hy
+  UNION ALL
+  SELECT customer_id, final_hybrid_score, 'high_risk' FROM hy WHERE final_hybrid_score > 0.6
+)
+""" + sql_select(["customer_id", "final_hybrid_score", "kind"], "both_kinds", {"kind": "s"})
+
+ORACLE["sink_explanations"] = EVQ + "\n" + sql_select(["customer_id", "explanation"], "recon", {"customer_id": "s"})

@@ -81,7 +81,7 @@ txn AS (
 
 KYC_CTES = f"""
 kyc_base AS (
-  SELECT CAST(c_custkey / 10 AS BIGINT) AS customer_id, c_acctbal FROM customer WHERE c_custkey % 10 = 0
+  SELECT CAST(floor(c_custkey / 10) AS BIGINT) AS customer_id, max(c_acctbal) AS c_acctbal FROM customer GROUP BY 1
 ),
 kyc_ind AS (
   SELECT customer_id,

@@ -1,10 +1,10 @@
 """End-to-end stage builders: inputs -> features -> rules -> scores.
 
 Each function returns a DataFrame; the caller decides what to write. Stage
-outputs that feed several consumers are cut from their lineage with a
-reliable ``checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir`` (never a local checkpoint), so a lost executor costs
-a re-read, not a recompute from raw transactions.
+outputs that feed several consumers are written as parquet tables to the
+shared folder named by ``spark.checkpoint.dir``, so a lost executor costs a
+re-read, not a recompute from raw transactions, and readers scan only the
+columns they need.
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..operators import composites as C
 from ..operators.features import behavioural_features
 from ..operators.kyc import KYC_COLUMNS, attach_kyc_risk_tiers, kyc_features
-from ..session import ensure_checkpoint_dir
+from ..session import write_stage_table
 from ..sources import fixtures as FX
 from ..sources.channels import clean_transactions, with_time_columns
 
@@ -34,22 +33,6 @@ class Inputs:
     as_of: str = FX.AS_OF
 
 
-def write_stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a stage output as parquet under the shared checkpoint folder and
-    read it back: later stages scan it with column pruning, filter and
-    partition pushdown instead of recomputing its lineage."""
-    import uuid
-
-    from ..session import shared_path
-
-    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def fixture_inputs(spark: SparkSession, sf_dir: str, stage_txn: bool = True) -> Inputs:
     """Inputs derived from the driver's tables. The unified transaction table
     is written once (partitioned by channel, so card-only blocks read one
@@ -67,10 +50,9 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, stage_txn: bool = True) ->
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """A stage output cut from its lineage, as a columnar table."""
+    return write_stage_table(df, name)
 
 
 def customer_base(inp: Inputs) -> DataFrame:
@@ -111,4 +93,3 @@ def _feature_columns() -> list[str]:
 
 
 FEATURE_COLUMNS = _feature_columns()
-_ = K

@@ -37,14 +37,8 @@ def register(name: str):
 # shared stages
 # ---------------------------------------------------------------------------
 
-_INPUTS: dict[tuple, P.Inputs] = {}
-
-
 def inputs(spark: SparkSession, sf_dir: str) -> P.Inputs:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _INPUTS:
-        _INPUTS[key] = P.fixture_inputs(spark, sf_dir)
-    return _INPUTS[key]
+    return memo(spark, sf_dir, "inputs", lambda: P.fixture_inputs(spark, sf_dir))
 
 
 def behavioural(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +181,11 @@ def q_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(features(spark, sf_dir))
 
 
+# FIXED VALUES: composite inputs whose NULLs are counted
+NULL_CHECKED = ["spending_to_income_ratio", "volume_to_sales_ratio", "income_vol_ratio", "monthly_volume_cv",
+                "amount_cv", "flow_through_ratio", "ratio_round_100", "transactions_per_active_day"]
+
+
 @register("data_quality")
 def q_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and customer counts per channel, NULL counts of the composite
@@ -199,14 +198,14 @@ def q_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     mcc = (t.where(F.col("channel") == "Card").groupBy(FE.mcc_code().alias("item")).count()
             .orderBy(F.desc("count"), F.asc("item")).limit(20)
             .select(F.lit("top_mcc").alias("metric"), "item", F.col("count").cast("double").alias("value")))
-    pre = _pre_composite(spark, sf_dir)
-    nulls_row = customer_base(spark, sf_dir).agg(*[
+    base = customer_base(spark, sf_dir)
+    base = C.with_profile_ratios(C.with_segment_ratios(base, C.segment_stats(base)))
+    nulls_row = base.agg(*[
         F.count(F.when(F.col(c).isNull(), 1)).alias(c)
-        for c in ["amount_cv", "flow_through_ratio", "transactions_per_active_day", "monthly_volume_cv"]])
+        for c in NULL_CHECKED])
     nulls = nulls_row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in nulls_row.columns
     ])).alias("x")).select(F.lit("null_inputs").alias("metric"), "x.item", "x.value")
-    _ = pre
     return present(per_ch.unionByName(cust).unionByName(mcc).unionByName(nulls))
 
 
@@ -214,7 +213,6 @@ def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
-_ = K
 
 
 # ---------------------------------------------------------------------------
@@ -342,7 +340,8 @@ def q_robust_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def real_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memo(spark, sf_dir, "anomaly",
-                lambda: P.materialize(AN.anomaly_scores(features(spark, sf_dir))))
+                lambda: P.materialize(memo(spark, sf_dir, "fit_and_score",
+                                           lambda: AN.fit_and_score(features(spark, sf_dir)))[0]))
 
 
 @register("iforest_scores")
@@ -395,19 +394,18 @@ def q_peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(pct.select("customer_id", "cluster", "rank", "cluster_size", "kmeans_score"))
 
 
+def real_model(spark: SparkSession, sf_dir: str) -> tuple:
+    """The fitted cluster model with its k, and the vectors it was fitted on."""
+    def build():
+        vectors = PE.peer_vectors(real_anomaly(spark, sf_dir))
+        return (*PE.choose_clusters(vectors), vectors)
+    return memo(spark, sf_dir, "real_model", build)
+
+
 def real_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
-        from pyspark import StorageLevel
-
-        # iterative passes reuse one cached 5-column table (customer-level)
-        scaled = P.materialize(PE.scaled_scores(anom)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            centers, k = PE.choose_clusters_batched(scaled)
-            cl = P.materialize(PE.assign_to_centers(scaled, centers).withColumn("k", F.lit(k)))
-        finally:
-            scaled.unpersist()
-        return cl
+        model, k, vectors = real_model(spark, sf_dir)
+        return P.materialize(PE.assign_clusters(vectors, model).withColumn("k", F.lit(k)))
     return memo(spark, sf_dir, "real_peers", build)
 
 
@@ -419,10 +417,9 @@ def q_peer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("select_k")
 def q_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silhouette per k on a sample of at most 5,000 customers (rows-only)."""
-    anom = AN.with_score_rollup(real_anomaly(spark, sf_dir))
-    scaled = P.materialize(PE.scaled_scores(anom))
-    return present(PE.silhouette_by_k(scaled, list(range(3, K.KMEANS_START_K + 1))))
+    """Silhouette per k over all customers (rows-only)."""
+    vectors = PE.peer_vectors(real_anomaly(spark, sf_dir))
+    return present(PE.silhouette_by_k(vectors, list(range(3, K.KMEANS_START_K + 1))))
 
 
 # ---------------------------------------------------------------------------
@@ -479,9 +476,9 @@ def q_trace_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(t.select("customer_id", "rule_indicator_trace"))
 
 
-def evidence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "evidence", lambda: P.materialize(
-        FU.evidence(standin_hybrid(spark, sf_dir), rule_table(spark, sf_dir))))
+def evidence_table(spark: SparkSession, sf_dir: str, hybrid=standin_hybrid) -> DataFrame:
+    return memo(spark, sf_dir, f"evidence-{hybrid.__name__}", lambda: P.materialize(
+        FU.evidence(hybrid(spark, sf_dir), rule_table(spark, sf_dir))))
 
 
 @register("evidence")
@@ -634,22 +631,23 @@ def q_component_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..operators import evidence as EV  # noqa: E402
 
 
-def queue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def queue_table(spark: SparkSession, sf_dir: str, hybrid=standin_hybrid) -> DataFrame:
+    """All evidence customers in rank order and batches, with their traces."""
     def build():
-        q = EV.queue(evidence_table(spark, sf_dir))
+        q = EV.queue(evidence_table(spark, sf_dir, hybrid))
         pts = rule_table(spark, sf_dir)
         point_cols = [F.col(f"`{R.indicator_column_name(t, i)}`") for _, t, i in R.indicator_ids()]
         q = q.join(pts.select("customer_id", *point_cols), "customer_id") \
              .withColumn("rule_indicator_trace_items", TR.trace_array())
         return P.materialize(q.drop(*[R.indicator_column_name(t, i) for _, t, i in R.indicator_ids()]))
-    return memo(spark, sf_dir, "queue", build)
+    return memo(spark, sf_dir, f"queue-{hybrid.__name__}", build)
 
 
 @register("evidence_batches")
 def q_evidence_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 600 evidence customers in batches of 300: size, rank span, ids in
     rank order and score span per batch."""
-    q = queue_table(spark, sf_dir)
+    q = queue_table(spark, sf_dir).where(F.col("rank") <= K.NARRATIVE_QUEUE)
     b = q.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_customers"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
         F.array_sort(F.collect_list(F.struct("rank", F.col("customer_id").cast("string").alias("id")))).alias("ids"),
@@ -664,8 +662,9 @@ def q_request_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(EV.request_records(queue_table(spark, sf_dir)))
 
 
-def narratives_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "narratives", lambda: P.materialize(EV.narratives(queue_table(spark, sf_dir))))
+def narratives_table(spark: SparkSession, sf_dir: str, hybrid=standin_hybrid) -> DataFrame:
+    return memo(spark, sf_dir, f"narratives-{hybrid.__name__}",
+                lambda: P.materialize(EV.narratives(queue_table(spark, sf_dir, hybrid))))
 
 
 @register("narratives")
@@ -678,8 +677,8 @@ def q_narrative_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(EV.narrative_checks(narratives_table(spark, sf_dir), queue_table(spark, sf_dir)))
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return EV.synth_responses(narratives_table(spark, sf_dir))
+def responses(spark: SparkSession, sf_dir: str, hybrid=standin_hybrid) -> DataFrame:
+    return EV.synth_responses(narratives_table(spark, sf_dir, hybrid))
 
 
 @register("parse_responses")
@@ -825,15 +824,14 @@ def q_stream_daily_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import daily_flow as SD
 
     base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
-    SD.replay_by_month(inputs(spark, sf_dir).txn, f"{base}/source")
+    SD.land(inputs(spark, sf_dir).txn, f"{base}/source")
     SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
-    return present(SD.latest_windows(spark, f"{base}/sink"))
+    return present(SD.windows(spark, f"{base}/sink"))
 
 
 def reset() -> None:
     """Forget memoised stage outputs (a new run recomputes every stage)."""
     from . import stages
-    _INPUTS.clear()
     stages.clear()
 
 
@@ -855,3 +853,147 @@ def q_request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON array of 20-field request records per batch (rows-only: JSON
     number formatting differs between engines)."""
     return EV.batch_payloads(EV.request_records(queue_table(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# the product chain: the same operators over the forest's and KMeans' output
+# ---------------------------------------------------------------------------
+
+from ..sources import sinks as SK  # noqa: E402
+
+
+@register("real_predicted_labels")
+def q_real_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(FU.predicted_labels(real_hybrid(spark, sf_dir)))
+
+
+@register("real_ranked_scores")
+def q_real_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = real_hybrid(spark, sf_dir).select("customer_id", "final_hybrid_score", "hybrid_risk_category")
+    return present(VA.ranked(h, "final_hybrid_score"))
+
+
+@register("real_evidence")
+def q_real_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(evidence_table(spark, sf_dir, real_hybrid))
+
+
+@register("real_roc_auc")
+def q_real_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(VA.roc_auc(real_hybrid(spark, sf_dir), "actual_label", AUC_SCORES + list(PE.IF_COLS)))
+
+
+@register("real_capture_at_k")
+def q_real_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(VA.capture_at_k(real_hybrid(spark, sf_dir), "actual_label", "final_hybrid_score"))
+
+
+@register("real_request_records")
+def q_real_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(EV.request_records(queue_table(spark, sf_dir, real_hybrid)))
+
+
+@register("real_narratives")
+def q_real_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(narratives_table(spark, sf_dir, real_hybrid))
+
+
+@register("real_reconciled")
+def q_real_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = EV.parse_responses(responses(spark, sf_dir, real_hybrid))
+    return present(EV.reconcile(queue_table(spark, sf_dir, real_hybrid), parsed))
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks as queries
+# ---------------------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from ..session import shared_path
+
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("src_missing_channels")
+def q_missing_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of two channels only: the others are skipped, not an error."""
+    d = _scratch(spark, "some-channels")
+    tables = channel_tables(spark, sf_dir)
+    write_channel_csvs({c: tables[c] for c in ("Card", "Wire")}, d)
+    t = unify_transactions(read_channel_dir(spark, d))
+    return present(t.groupBy("channel").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.sum("amount_cad").alias("total_amount")))
+
+
+@register("sink_results")
+def q_sink_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full and the high-risk score table, written and read back."""
+    d = _scratch(spark, "results")
+    h = standin_hybrid(spark, sf_dir).select("customer_id", "final_hybrid_score")
+    SK.write_results(h, d, "final_hybrid_score")
+    parts = [spark.read.parquet(f"{d}/{kind}").withColumn("kind", F.lit(kind)) for kind in ("all", "high_risk")]
+    return present(parts[0].unionByName(parts[1]))
+
+
+@register("sink_feature_table")
+def q_sink_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, written after the expected-column check and read back."""
+    from ..sources.channels import write_table
+
+    f = features(spark, sf_dir)
+    if missing := VA.missing_columns(f, ["customer_id", *P.FEATURE_COLUMNS]):
+        raise ValueError(f"the feature table lacks {missing}")
+    d = _scratch(spark, "features")
+    write_table(f, d)
+    back = spark.read.parquet(d)
+    return present(back.select("customer_id", "total_volume", "overall_typology_max_risk"))
+
+
+@register("sink_explanations")
+def q_sink_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciled explanations in finished batches: the even batches are done
+    first, a second run writes what is pending, and the CSV holds all."""
+    done, out = _scratch(spark, "batches"), _scratch(spark, "explanations")
+    rows = EV.reconcile(queue_table(spark, sf_dir), EV.parse_responses(responses(spark, sf_dir)))
+    rows = P.materialize(rows.select("batch_id", "customer_id", "explanation"))
+    SK.append_batch_results(rows.where("batch_id % 2 = 0"), done)
+    SK.append_batch_results(SK.pending_batches(spark, rows, done), done)
+    SK.write_explanations(spark.read.parquet(done), out)
+    back = spark.read.option("header", True).option("escape", '"').csv(out)
+    return present(back.select("customer_id", "explanation"))
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest and cluster model saved, loaded, and used to score all customers
+    again: largest difference from the first scores (rows-only)."""
+    f = features(spark, sf_dir)
+    model, k, vectors = real_model(spark, sf_dir)
+    scores, nodes, sets, logged = memo(spark, sf_dir, "fit_and_score", lambda: AN.fit_and_score(f))
+    d = _scratch(spark, "models")
+    SK.save_models(spark, d, sets, nodes, model, k, list(PE.IF_COLS), sorted(logged))
+    loaded = SK.load_models(spark, d)
+    again = AN.score_with(f, loaded.nodes, loaded.feature_sets, set(loaded.logged))
+    gap = F.greatest(*[F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in PE.IF_COLS])
+    forest = scores.alias("a").join(again.alias("b"), "customer_id").agg(
+        F.count(F.lit(1)).alias("n_customers"), F.max(gap).alias("largest_gap"))
+    moved = PE.assign_clusters(vectors, loaded.kmeans).join(
+        real_peers(spark, sf_dir).select("customer_id", F.col("cluster").alias("was")), "customer_id")
+    return present(forest.crossJoin(moved.agg(  # one row each
+        F.count(F.when(F.col("cluster") != F.col("was"), 1)).alias("n_moved"), F.lit(loaded.k).alias("k"))))
+
+
+@register("catalogue_csv")
+def q_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue read from its CSV export, with the customers that each
+    indicator fired for."""
+    d = _scratch(spark, "catalogue")
+    CA.write_catalogue_csv(spark, d)
+    cat = CA.read_catalogue_csv(spark, d)
+    n = fired(spark, sf_dir).groupBy("indicator_id").agg(F.count_distinct("customer_id").alias("n_customers"))
+    return present(cat.join(n, "indicator_id", "left").select(
+        "indicator_id", "risk_level", F.size("transaction_type").alias("n_types"),
+        F.size("co_occurring_indicators").alias("n_co_occurring"),
+        F.coalesce("n_customers", F.lit(0)).alias("n_customers")))

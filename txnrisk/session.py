@@ -1,11 +1,12 @@
-"""Spark session and shared-storage helpers."""
+"""Spark session, shared-storage helpers and stage tables."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in the package relies on. ANSI mode stays on (Spark 4
 # default); operators guard divisions with try_divide / nullif themselves.
@@ -39,10 +40,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only set our own when
-    it is unset (local tests), and then under a fresh scratch folder."""
+    The cluster names it in ``spark.checkpoint.dir``. Only a session in one
+    JVM may do without: there a fresh scratch folder is shared by definition."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="txnrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -53,3 +57,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def write_stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a stage output as parquet under the shared checkpoint folder and
+    read it back: later stages scan it with column pruning, filter and
+    partition pushdown instead of recomputing its lineage."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

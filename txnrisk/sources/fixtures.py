@@ -84,12 +84,6 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
              ))
 
 
-def fixture_channel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Per-channel source tables with each channel's own column set, the way
-    separate bank exports arrive. ABM calls its amount column ``amount``."""
-    return split_channels(fixture_transactions(spark, sf_dir))
-
-
 def split_channels(t: DataFrame) -> dict[str, DataFrame]:
     """Split a unified table back into per-channel exports."""
     base = ["customer_id", "amount_cad", "debit_credit", "transaction_datetime", "province", "city"]
@@ -107,9 +101,11 @@ def split_channels(t: DataFrame) -> dict[str, DataFrame]:
 
 
 def _kyc_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return (c.filter(F.col("c_custkey") % 10 == 0)
-             .select((F.col("c_custkey") / 10).cast("long").alias("customer_id"), "c_acctbal"))
+    """One KYC customer per ten rows of ``customer`` (orders fold the same
+    way), with the largest balance of the ten."""
+    c = read_table(spark, sf_dir, "customer")
+    return (c.groupBy(F.floor(F.col("c_custkey") / 10).cast("long").alias("customer_id"))
+             .agg(F.max("c_acctbal").alias("c_acctbal")))
 
 
 def fixture_kyc_individual(spark: SparkSession, sf_dir: str) -> DataFrame:

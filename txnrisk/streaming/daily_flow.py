@@ -2,12 +2,14 @@
 Streaming.
 
 The same aggregates the batch feature job computes per customer (volume,
-inflow / outflow, sub-threshold and near-threshold counts) kept per
-(customer, day) as transactions land: a file source, an event-time watermark
-so window state is dropped once a day can no longer change, ``update`` output
-into an append-only table (one row per window per micro-batch), and a reader
-that keeps each window's latest version. Checkpoint and sink live in the
-shared folder, so a restarted query resumes where it stopped.
+inflow / outflow, sub-threshold and near-threshold counts) per (customer,
+day), as transactions land. All of them are sums, so a micro-batch writes the
+partial sums of its own rows and the reader adds them up: no state is held
+between batches, and no row is ever too late - the result does not depend on
+the order of files or on how many a trigger takes. Each micro-batch owns one
+folder of the sink and overwrites it, so a batch that is repeated after a
+failure counts once. Checkpoint and sink live in the shared folder, so a
+restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -25,54 +27,50 @@ TXN_STREAM_SCHEMA = T.StructType([
     T.StructField("transaction_datetime", T.TimestampType()),
     T.StructField("channel", T.StringType()),
 ])
+SUMS = ["n_txn", "volume", "inflow", "outflow", "count_below_10k", "count_near_10k"]
 
 
-def daily_flow(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
+def daily_flow(rows: DataFrame) -> DataFrame:
+    """Sums per (customer, day); rows without a customer or a time have none."""
     amt = F.col("amount_cad")
     below = amt < K.REPORTING_THRESHOLD
-    return (stream.where(F.col("customer_id").isNotNull())
-                  .withWatermark("transaction_datetime", lateness)
-                  .groupBy("customer_id", F.window("transaction_datetime", "1 day").alias("w"))
-                  .agg(F.count(F.lit(1)).alias("n_txn"),
-                       F.coalesce(F.sum(amt), F.lit(0.0)).alias("volume"),
-                       F.coalesce(F.sum(F.when(F.col("debit_credit") == "C", amt)), F.lit(0.0)).alias("inflow"),
-                       F.coalesce(F.sum(F.when(F.col("debit_credit") == "D", amt)), F.lit(0.0)).alias("outflow"),
-                       F.count(F.when(below, amt)).alias("count_below_10k"),
-                       F.count(F.when((amt >= K.NEAR_THRESHOLD_LOW) & below, 1)).alias("count_near_10k")))
+    return (rows.where(F.col("customer_id").isNotNull() & F.col("transaction_datetime").isNotNull())
+                .groupBy("customer_id", F.to_date("transaction_datetime").alias("day"))
+                .agg(F.count(F.lit(1)).alias("n_txn"),
+                     F.coalesce(F.sum(amt), F.lit(0.0)).alias("volume"),
+                     F.coalesce(F.sum(F.when(F.col("debit_credit") == "C", amt)), F.lit(0.0)).alias("inflow"),
+                     F.coalesce(F.sum(F.when(F.col("debit_credit") == "D", amt)), F.lit(0.0)).alias("outflow"),
+                     F.count(F.when(below, amt)).alias("count_below_10k"),
+                     F.count(F.when((amt >= K.NEAR_THRESHOLD_LOW) & below, 1)).alias("count_near_10k")))
 
 
 def run_daily_flow(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                   files_per_trigger: int = 8, lateness: str = "1 day") -> None:
+                   files_per_trigger: int = 8) -> None:
     """Process everything available in ``source_dir`` and stop."""
     src = (spark.readStream.schema(TXN_STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                 .parquet(source_dir))
 
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        (batch.withColumn("epoch", F.lit(epoch).cast("long"))
-              .withColumn("day", F.to_date(F.col("w.start"))).drop("w")
-              .write.mode("append").parquet(sink_dir))
+    def write(batch: DataFrame, epoch: int) -> None:
+        daily_flow(batch).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch}")
 
-    q = (daily_flow(src, lateness).writeStream.outputMode("update").foreachBatch(upsert)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q = (src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+            .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def latest_windows(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """The final version of every (customer, day) window."""
+def windows(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """Every (customer, day) window: the sums over all micro-batches."""
     t = spark.read.parquet(sink_dir)
-    cols = ["n_txn", "volume", "inflow", "outflow", "count_below_10k", "count_near_10k"]
-    last = t.groupBy("customer_id", "day").agg(F.max_by(F.struct(*cols), "epoch").alias("s"))
-    return last.select("customer_id", "day", *[F.col(f"s.{c}").alias(c) for c in cols])
+    return t.groupBy("customer_id", "day").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
-def replay_by_month(txn: DataFrame, source_dir: str) -> None:
-    """Land transactions in the source folder one month at a time (arrival
-    order = event-time order at month grain), as an upstream feed would."""
-    months = [r[0] for r in txn.select(F.date_format("transaction_datetime", "yyyy-MM").alias("m"))
-              .where(F.col("m").isNotNull()).distinct().orderBy("m").collect()]  # one row per month
+def structuring_alerts(daily: DataFrame, least: int = 3) -> DataFrame:
+    """(customer, day) windows with at least ``least`` amounts just under the
+    reporting threshold."""
+    return daily.where(F.col("count_near_10k") >= least)
+
+
+def land(txn: DataFrame, source_dir: str) -> None:
+    """Land transactions in the source folder, as an upstream feed would."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TXN_STREAM_SCHEMA.fields]
-    for m in months:
-        # one write job per month: every file of month m is older than every
-        # file of month m + 1, which is the order the file source reads them in
-        (txn.where(F.date_format("transaction_datetime", "yyyy-MM") == m).select(*cols)
-            .write.mode("append").parquet(source_dir))
+    txn.select(*cols).write.mode("append").parquet(source_dir)
