@@ -219,7 +219,6 @@ RULES: dict[str, list[Indicator]] = {
         ]),
         ("HT-SEX-08", [
             [("card_accommodation_count >= 5", 0.18), ("card_accommodation_count >= 3", 0.12)],
-            [("card_accommodation_count >= 3 AND unique_cities >= 2", 0.0)],
             [("card_accommodation_sum > 2000", 0.08)],
         ]),
         ("HT-SEX-10", [
