@@ -114,9 +114,9 @@ dq AS (
 """ + sql_select(["metric", "item", "value"], "dq", {"value": "d"})
 
 ORACLE["src_missing_channels"] = TXN + """,
-some AS (SELECT channel, count(*) AS n_rows, sum(amount_cad) AS total_amount FROM txn
+two AS (SELECT channel, count(*) AS n_rows, sum(amount_cad) AS total_amount FROM txn
          WHERE channel IN ('Card', 'Wire') GROUP BY channel)
-""" + sql_select(["channel", "n_rows", "total_amount"], "some", {"total_amount": "d"})
+""" + sql_select(["channel", "n_rows", "total_amount"], "two", {"total_amount": "d"})
 
 ORACLE["sink_feature_table"] = FT + "\n" + sql_select(
     ["customer_id", "total_volume", "overall_typology_max_risk"], "ft")

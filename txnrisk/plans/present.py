@@ -1,10 +1,11 @@
 """Result presentation shared by ``queries()`` and the oracle SQL.
 
-Both sides emit: integers as BIGINT, doubles rounded half-up to 6 and then
-4 decimals (values on an exact 5th-decimal midpoint, such as a median of
-two amounts, would otherwise round apart on last-bit differences),
-dates as 'yyyy-MM-dd' text, timestamps as 'yyyy-MM-dd HH:mm:ss' text.
-(Summation order differs between engines; 4 decimals hide it.)
+Both sides emit: integers as BIGINT; doubles rounded half-up to 4 decimals
+(amounts and their sums) or 8 (scores, ratios and other values around 1), after
+rounding to 2 more (values on an exact midpoint, such as a median of two
+amounts, would otherwise round apart on last-bit differences, as summation
+order differs between engines); dates as 'yyyy-MM-dd' text, timestamps as
+'yyyy-MM-dd HH:mm:ss' text.
 """
 
 from __future__ import annotations
@@ -14,6 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 4
+FINE_DIGITS = 8
+FINE_PARTS = ("score", "ratio", "risk", "norm", "coverage", "auc", "correlation", "hhi", "_cv", "diversity",
+              "silhouette", "dynamic_", "rule_", "per_city", "per_province")
+
+
+def digits_of(name: str) -> int:
+    return FINE_DIGITS if any(part in name for part in FINE_PARTS) else DIGITS
+
 
 INT_NAMES = {
     "transaction_count_total", "transaction_count_debit", "transaction_count_credit", "active_days",
@@ -51,9 +60,10 @@ def kind_of(name: str) -> str:
     return "d"
 
 
-def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def present(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
+        digits = digits_of(f.name)
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
@@ -71,8 +81,9 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-def sql_col(name: str, kind: str | None = None, src: str | None = None, digits: int = DIGITS) -> str:
+def sql_col(name: str, kind: str | None = None, src: str | None = None) -> str:
     kind = kind or kind_of(name)
+    digits = digits_of(name)
     x = src or f'"{name}"'
     if kind == "i":
         e = f"CAST({x} AS BIGINT)"
