@@ -84,7 +84,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_
         b = sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
         return (pairs.join(a, "a").join(b, "b").where(likeness("x", "y") >= F.lit(similarity) - 1e-9)).select("a", "b")
 
-    groups = linked_groups(postings, near, verify, ["item.order"])
+    groups = linked_groups(postings, near, verify, "order")
     named = sets.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = named.groupBy("component").agg(F.min("least_id").alias("group_id"))
     return rows.join(named.join(least, "component").select("s", "group_id"), "s").select("doc_id", "group_id")
@@ -98,15 +98,18 @@ def with_next(rows: DataFrame, block: int = 1000) -> DataFrame:
     window over a block finds every row's next one.
 
     Only keys are ranked; rows get their place by a join on (id, hash)."""
-    rows = rows.withColumn("hash", F.xxhash64("text"))
-    keys = rows.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("copies"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").asc()]
+    # null ids as a key of their own, so that the join and the window below
+    # share one shuffle of the texts
+    key = ["no_id", "id", "hash"]
+    rows = rows.select("doc_id", "text", "n_chars", F.col("doc_id").isNull().alias("no_id"),
+                       F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("hash"))
+    keys = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    order = [F.col("no_id").asc(), F.col("id").desc(), F.col("hash").asc()]
     ranked = running_total(keys, order, weight=F.col("copies"), name="last_place")
     ranked = stage(ranked.withColumn("first_place", F.col("last_place") - F.col("copies")), "next-places")
     n = ranked.agg(F.max("last_place")).first()[0] or 0
-    here = (rows["doc_id"].eqNullSafe(ranked["doc_id"])) & (rows["hash"] == ranked["hash"])
-    nth = F.row_number().over(Window.partitionBy(rows["doc_id"], rows["hash"]).orderBy("n_chars"))
-    placed = rows.join(ranked, here).select(rows["doc_id"], "text", "n_chars", (F.col("first_place") + nth - 1).alias("place"))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("n_chars"))
+    placed = rows.join(ranked, key).select("doc_id", "text", "n_chars", (F.col("first_place") + nth - 1).alias("place"))
     own = F.struct(F.expr(f"place div {block}").alias("block"), F.col("place"), F.lit(False).alias("extra"))
     before = F.when(F.col("place") == 0, F.lit(n)).otherwise(F.col("place"))
     extra = F.struct(((before - 1) / block).cast("long").alias("block"), before.alias("place"), F.lit(True).alias("extra"))
@@ -121,8 +124,9 @@ def compare_edited(docs: DataFrame, part: int = 3, id_col: str = "doc_id", text_
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
     rows = with_next(rows.withColumn("n_chars", F.length("text").cast("long")))
     order = Window.partitionBy("block").orderBy("place", "extra")
-    rows = with_signatures(rows, "text", "own")
-    rows = rows.withColumn("after", F.lead("text").over(order)).withColumn("next", F.lead("own").over(order)).where("not extra")
+    # signatures are taken above the shuffle that the first window needs
+    rows = with_signatures(rows.withColumn("after", F.lead("text").over(order)), "text", "own")
+    rows = rows.withColumn("next", F.lead("own").over(order)).where("not extra")
     rows = rows.select("doc_id", "n_chars", "own", "next", F.expr(
         f"concat(substring(text, 1, cast(n_chars - n_chars div {part} as int)), "
         f"substring(after, 1, cast(n_chars div {part} as int)))").alias("edited"))
