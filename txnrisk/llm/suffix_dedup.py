@@ -14,7 +14,7 @@ refinement (``bwt``), whose borders give the intervals of windows with LENGTH
 bytes in common. All but the earliest window of an interval are repeats and go
 back to their chunk, where the bytes they cover are cut.
 
-Texts travel as chunks of a few megabytes, packed once into a staged table.
+Texts travel as chunks of about a megabyte, packed once into a staged table.
 Anchors and blocks are compared by 64-bit hashes.
 
 Null text counts as empty. Rows with equal ids are ordered by their place in
@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import merge, shard_bwt
-from .bytewords import CHUNK_BYTES, Hasher, mix
+from .bytewords import Hasher, mix
 from .common import stage
 
 LENGTH, ANCHOR, BLOCK, SHARDS = 100, 32, 20, 8
+CHUNK_BYTES = 700_000
+BUCKETS_PER_PARTITION = 4  # of the shuffle; a bucket is what a task holds at once
 LAST = np.iinfo(np.int64).max
 _U = np.uint64
 REPEAT = np.dtype([("row", "<u4"), ("first", "<u4"), ("last", "<u4")])  # window starts first .. last
@@ -170,6 +172,7 @@ def _segments_again(chunks: DataFrame, flagged: DataFrame, buckets: int) -> Data
     the chunk (REPEAT records)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=1)
         for b in batches:
             for chunk, ids, sizes, data, flags in b[["chunk", "ids", "sizes", "data", "flags"]].itertuples(index=False):
                 s = Segments(ids, sizes, data)
@@ -190,7 +193,7 @@ def _segments_again(chunks: DataFrame, flagged: DataFrame, buckets: int) -> Data
                 first.sort()
                 rows = []
                 if len(rest):
-                    rows.append((-1, chunk, 0, _repeats(s, use[rest]).tobytes()))
+                    rows.append((int(chunk % buckets), chunk, 0, _repeats(s, use[rest]).tobytes()))
                 record = np.zeros(len(first), dtype=SEGMENT)
                 mine = use[first]
                 record["anchor"], record["doc_id"], record["row"] = s.anchor[mine], s.ids[s.row[mine]], s.row[mine]
@@ -198,9 +201,9 @@ def _segments_again(chunks: DataFrame, flagged: DataFrame, buckets: int) -> Data
                 bucket = (s.anchor[mine] % _U(buckets)).astype(np.int64)
                 cut = np.flatnonzero(np.diff(bucket)) + 1
                 for part in np.split(np.arange(len(mine)), cut):
-                    blob = _bytes_of(s.buf, s.first[mine[part]], size[first][part])
-                    rows.append((int(bucket[part[0]]), chunk, 1, np.uint32(len(part)).tobytes()
-                                 + record[part].tobytes() + blob.tobytes()))
+                    text = _bytes_of(s.buf, s.first[mine[part]], size[first][part])
+                    rows.append((int(bucket[part[0]]), chunk, 1, press.compress(
+                        np.uint32(len(part)).tobytes() + record[part].tobytes() + text.tobytes())))
                 yield pd.DataFrame(rows, columns=["bucket", "chunk", "kind", "blob"])
 
     own = flagged.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags"))
@@ -215,11 +218,15 @@ def _repeats(s: Segments, segment: np.ndarray) -> np.ndarray:
 
 
 def _bucket_repeats(sent: DataFrame) -> DataFrame:
-    """(chunk, blob): REPEAT records of a bucket's chunks."""
+    """(chunk, blob): REPEAT records of a bucket's chunks, and those of kind 0."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows.loc[rows["kind"] == 0, ["chunk", "blob"]]
+        rows = rows[rows["kind"] == 1]
+        if not len(rows):
+            return own
         records, texts, sources = [], [], []
-        for k, blob in enumerate(rows["blob"]):
+        for k, blob in enumerate(map(zstandard.ZstdDecompressor().decompress, rows["blob"])):
             n = int(np.frombuffer(blob, "<u4", 1)[0])
             records.append(np.frombuffer(blob, SEGMENT, n, 4))
             texts.append(np.frombuffer(blob, np.uint8, -1, 4 + n * SEGMENT.itemsize))
@@ -246,9 +253,10 @@ def _bucket_repeats(sent: DataFrame) -> DataFrame:
         by = np.argsort(home, kind="stable")
         cut = np.flatnonzero(np.diff(home[by])) + 1
         parts = [p for p in np.split(by, cut) if len(p)]
-        return pd.DataFrame({"chunk": [int(home[p[0]]) for p in parts], "blob": [out[p].tobytes() for p in parts]})
+        found = pd.DataFrame({"chunk": [int(home[p[0]]) for p in parts], "blob": [out[p].tobytes() for p in parts]})
+        return pd.concat([own, found], ignore_index=True)
 
-    return sent.where("kind = 1").groupBy("bucket").applyInPandas(run, "chunk long, blob binary")
+    return sent.groupBy("bucket").applyInPandas(run, "chunk long, blob binary")
 
 
 def _merged(r: np.ndarray, buf: np.ndarray, begin: np.ndarray, size: np.ndarray, rank: np.ndarray, source: np.ndarray,
@@ -317,8 +325,8 @@ def _cut(chunks: DataFrame, repeats: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` is
     what is left of the text's bytes."""
-    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_PER_PARTITION * max(2, partitions)
     chunks = stage(packed_chunks(docs, id_col, text_col), "suffix-chunks")
-    sent = stage(_segments_again(chunks, _anchors_again(chunks, buckets), buckets), "suffix-segments")
-    repeats = _bucket_repeats(sent).unionByName(sent.where("kind = 0").select("chunk", "blob"))
-    return _cut(chunks, repeats)
+    sent = _segments_again(chunks, _anchors_again(chunks, buckets), buckets)
+    return _cut(chunks, _bucket_repeats(sent))
