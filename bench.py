@@ -45,10 +45,11 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
     stage("peers_fusion", peers_fusion)
 
     def evidence_narratives():
-        q = Q.queue_table(spark, sf_dir)
-        Q.narratives_table(spark, sf_dir).count()
-        EV.reconcile(q, EV.parse_responses(Q.responses(spark, sf_dir))).agg(F.count("*")).collect()
-        EV.narrative_checks(Q.narratives_table(spark, sf_dir), q).agg(F.sum("passed")).collect()
+        q = Q.queue_table(spark, sf_dir, Q.real_hybrid)
+        narratives = Q.narratives_table(spark, sf_dir, Q.real_hybrid)
+        narratives.count()
+        EV.reconcile(q, EV.parse_responses(Q.responses(spark, sf_dir, Q.real_hybrid))).agg(F.count("*")).collect()
+        EV.narrative_checks(narratives, q).agg(F.sum("passed")).collect()
     stage("evidence_narratives", evidence_narratives)
     return out
 
