@@ -876,3 +876,47 @@ both_kinds AS (
 """ + sql_select(["customer_id", "final_hybrid_score", "kind"], "both_kinds", {"kind": "s"})
 
 ORACLE["sink_explanations"] = EVQ + "\n" + sql_select(["customer_id", "explanation"], "recon", {"customer_id": "s"})
+
+
+ORACLE["hour_entropy"] = TXN + """,
+per AS (SELECT customer_id, hour, count(*) AS n FROM txn WHERE hour IS NOT NULL GROUP BY customer_id, hour),
+tot AS (SELECT customer_id, sum(n) AS n_rows FROM per GROUP BY customer_id),
+ent AS (SELECT p.customer_id, t.n_rows, greatest(0.0, -sum(n / CAST(n_rows AS DOUBLE) * ln(n / CAST(n_rows AS DOUBLE))))
+          AS hour_entropy_score FROM per p JOIN tot t ON p.customer_id = t.customer_id GROUP BY p.customer_id, t.n_rows)
+""" + sql_select(["customer_id", "n_rows", "hour_entropy_score"], "ent")
+
+ORACLE["card_retail_avg"] = TXN + """,
+ret AS (SELECT customer_id, count(amount_cad) AS n_retail, avg(amount_cad) AS avg_retail_amount FROM txn
+        WHERE channel = 'Card' AND mcc IN ('5300', '5310', '5331', '5411', '5499', '5912') GROUP BY customer_id)
+""" + sql_select(["customer_id", "n_retail", "avg_retail_amount"], "ret")
+
+ORACLE["geo_volume_z"] = TXN + """,
+per AS (SELECT customer_id, city, sum(amount_cad) AS volume FROM txn WHERE city IS NOT NULL GROUP BY customer_id, city),
+gz AS (SELECT customer_id, city, volume, (volume - avg(volume) OVER c) / nullif(stddev_samp(volume) OVER c, 0) AS volume_score
+       FROM per WINDOW c AS (PARTITION BY city))
+""" + sql_select(["customer_id", "city", "volume", "volume_score"], "gz")
+
+ORACLE["hotel_cash_match"] = TXN + """,
+hot AS (SELECT customer_id, city, date, count(*) AS n_hotel, sum(amount_cad) AS hotel_amount FROM txn
+        WHERE channel = 'Card' AND mcc IN ('7011', '7012') AND city IS NOT NULL AND date IS NOT NULL GROUP BY ALL),
+csh AS (SELECT customer_id, city, date AS cash_date, count(*) AS n_cash, sum(amount_cad) AS cash_amount FROM txn
+        WHERE channel = 'ABM' AND city IS NOT NULL AND date IS NOT NULL GROUP BY ALL),
+hcm AS (SELECT h.customer_id, h.city, h.date, c.cash_date, n_hotel, hotel_amount, n_cash, cash_amount FROM hot h JOIN csh c
+        ON h.customer_id = c.customer_id AND h.city = c.city AND c.cash_date - h.date BETWEEN 0 AND 1)
+""" + sql_select(["customer_id", "city", "date", "cash_date", "n_hotel", "hotel_amount", "n_cash", "cash_amount"], "hcm",
+                 {"cash_date": "date"})
+
+ORACLE["same_day_turnover"] = TXN + """,
+dy AS (SELECT customer_id, date, coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'C'), 0.0) AS credit,
+         coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'D'), 0.0) AS debit
+       FROM txn WHERE date IS NOT NULL GROUP BY customer_id, date),
+sdt0 AS (SELECT a.customer_id, a.date, a.credit, coalesce(sum(b.debit), 0.0) AS debit_two_days FROM dy a LEFT JOIN dy b
+         ON a.customer_id = b.customer_id AND b.date - a.date BETWEEN 0 AND 1 WHERE a.credit > 0 GROUP BY ALL),
+sdt AS (SELECT *, least(credit, debit_two_days) AS turnover FROM sdt0)
+""" + sql_select(["customer_id", "date", "credit", "debit_two_days", "turnover"], "sdt")
+
+ORACLE["stream_structuring_alerts"] = TXN + """,
+al AS (SELECT customer_id, CAST(transaction_datetime AS DATE) AS day, count(*) AS n_txn,
+         count(*) FILTER (WHERE amount_cad >= 9000 AND amount_cad < 10000) AS count_near_10k
+       FROM txn WHERE transaction_datetime IS NOT NULL GROUP BY ALL)
+""" + sql_select(["customer_id", "day", "n_txn", "count_near_10k"], "al", {"day": "date"}, "count_near_10k >= 2")

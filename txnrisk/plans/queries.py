@@ -997,3 +997,26 @@ def q_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "indicator_id", "risk_level", F.size("transaction_type").alias("n_types"),
         F.size("co_occurring_indicators").alias("n_co_occurring"),
         F.coalesce("n_customers", F.lit(0)).alias("n_customers")))
+
+
+# ---------------------------------------------------------------------------
+# further analyses
+# ---------------------------------------------------------------------------
+
+from ..operators import extras as EX  # noqa: E402
+
+for _name in ("hour_entropy", "card_retail_avg", "geo_volume_z", "hotel_cash_match", "same_day_turnover"):
+    REGISTRY[_name] = lambda spark, sf_dir, f=getattr(EX, _name): present(f(inputs(spark, sf_dir).txn))
+
+
+@register("stream_structuring_alerts")
+def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer, day) windows of the stream with two or more amounts just
+    under the reporting threshold."""
+    from ..streaming import daily_flow as SD
+
+    base = _scratch(spark, "stream")
+    SD.land(inputs(spark, sf_dir).txn, f"{base}/source")
+    SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
+    alerts = SD.structuring_alerts(SD.windows(spark, f"{base}/sink"), least=2)
+    return present(alerts.select("customer_id", "day", "n_txn", "count_near_10k"))
