@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -2,11 +2,13 @@
 
 ``linked_groups`` takes postings: which items fall into which bucket. Two items
 are linked if they share a bucket and pass a check; wanted are only the
-connected groups. First every item of a bucket meets the bucket's pivot; an
-item checks the first pivot it can be near to, and the links found give groups. Only pairs from different
-groups can still change anything, so the exact rest is a join of the buckets
-that hold several groups, on items of different groups; within a large group of
-near copies nothing is left to compare."""
+connected groups. In a round every item meets the pivot of each of its buckets,
+checks the first one of another group that it can be near to, and the links
+found join groups: one check per item and round. The first round takes the
+pivots that most items should be linked to, the others random ones. Only pairs
+from different groups can still change anything, so the exact rest is a join of
+the buckets that hold several groups, on items of different groups; within a
+large group of near copies nothing is left to compare."""
 
 from __future__ import annotations
 
@@ -46,34 +48,51 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def linked_groups(postings: DataFrame, near: Callable[[Column, Column], Column],
-                  verify: Callable[[DataFrame], DataFrame], pivot_first: list[str]) -> DataFrame:
-    """``postings``: (key, item struct with ``id``), ``near``: a cheap necessary
-    condition on two items, ``verify``: (a, b) -> those rows that are links.
-    ``pivot_first``: columns that order a bucket's items, the pivot first (the
-    item most likely to be linked to the others). Returns (id, component) for
-    the items that have links."""
-    bucket = Window.partitionBy("key").orderBy(*[F.col(c).asc() for c in pivot_first], F.col("item.id").asc())
-    met = stage(postings.withColumn("pivot", F.first("item").over(bucket)).where("item.id <> pivot.id"), "met")
-    best = F.struct(*[F.col(c.replace("item.", "pivot.", 1)) for c in pivot_first], F.col("pivot.id"))
-    pivots = met.where(near(F.col("item"), F.col("pivot"))).groupBy("item.id").agg(F.min(best).alias("pivot"))
-    first = stage(verify(pivots.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-                         .distinct()), "links")
-    group = stage(connected_components(first), "groups")
-    # what is left: buckets with items of several groups
-    members = met.select("key", "item").unionByName(met.select("key", F.col("pivot").alias("item")).distinct())
-    members = members.join(group, members["item.id"] == group["id"], "left").select(
+def _with_group(members: DataFrame, group: DataFrame) -> DataFrame:
+    """``members`` (key, item) with ``own``, the item's group, in the buckets
+    that hold several groups."""
+    own = members.join(group, members["item.id"] == group["id"], "left").select(
         "key", "item", F.coalesce("component", "item.id").alias("own"))
-    mixed = stage(members, "members")
-    several = mixed.groupBy("key").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count(F.lit(1)).alias("n"))
-    # two items have met already, one of them being the pivot
-    several = several.where("lo <> hi and n > 2").select("key")
-    mixed = mixed.join(several, "key")
-    x, y = mixed.alias("x"), mixed.alias("y")
+    own = stage(own, "members")
+    several = own.groupBy("key").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("key")
+    return own.join(several, "key")
+
+
+def linked_groups(postings: DataFrame, near: Callable[[Column, Column], Column],
+                  verify: Callable[[DataFrame], DataFrame], order: str, rounds: int = 3) -> DataFrame:
+    """``postings``: (key, item), item a struct with ``id`` and ``order`` (the
+    pivots of the first round come first). ``near``: a cheap necessary condition
+    on two items. ``verify``: (a, b) -> those rows that are links. Returns (id,
+    component) for the items that have links."""
+    links = group = members = None
+
+    def pairs(a: Column, b: Column) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    for k in range(rounds):
+        rank = F.col(f"item.{order}") if k == 0 else F.xxhash64(F.lit(k), "item.id")
+        first = F.first("item").over(Window.partitionBy("key").orderBy(rank.asc(), F.col("item.id").asc()))
+        if members is None:
+            # two items that cannot be near have nothing more to say
+            met = postings.withColumn("pivot", first).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
+            met = met.where("item.id <> pivot.id").where((F.col("size") > 2) | near(F.col("item"), F.col("pivot")))
+            met = stage(met.drop("size"), "met")
+            members = met.select("key", "item").unionByName(met.select("key", F.col("pivot").alias("item")).distinct())
+        else:
+            first_own = F.first("own").over(Window.partitionBy("key").orderBy(rank.asc(), F.col("item.id").asc()))
+            met = _with_group(members, group).withColumn("pivot", first).withColumn("pivot_own", first_own)
+            met = met.where("own <> pivot_own")
+        by = F.col(f"pivot.{order}") if k == 0 else F.xxhash64(F.lit(k), "pivot.id")
+        best = met.where(near(F.col("item"), F.col("pivot"))).groupBy("item.id").agg(
+            F.min(F.struct(by.alias("by"), F.col("pivot.id").alias("id"))).alias("pivot"))
+        new = stage(verify(best.select(*pairs(F.col("id"), F.col("pivot.id"))).distinct()), "links")
+        if k and new.isEmpty():
+            break
+        links = new if links is None else links.unionByName(new)
+        group = stage(connected_components(links), "groups")
+    rest = stage(_with_group(members, group), "rest")
+    x, y = rest.alias("x"), rest.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.own") < F.col("y.own"))
                   & near(F.col("x.item"), F.col("y.item")))
-    rest = rest.select(F.least("x.item.id", "y.item.id").alias("a"), F.greatest("x.item.id", "y.item.id").alias("b"))
-    second = stage(verify(rest.distinct()), "links")
-    if second.isEmpty():
-        return group
-    return connected_components(first.unionByName(second))
+    new = stage(verify(rest.select(*pairs(F.col("x.item.id"), F.col("y.item.id"))).distinct()), "links")
+    return group if new.isEmpty() else connected_components(links.unionByName(new))

@@ -11,8 +11,11 @@ n - ceil(percent * n / 100) + 1 of both. All orders here sort by document
 frequency first and by a hash of their own second. Tokens of one document only
 come first and match nothing: a document whose prefix holds no other token is
 done, which leaves few. The others are posted under their prefix tokens in the
-first order; a pair that meets must also share a prefix token in every further
-order before its sets are intersected.
+first order, with the place: a pair of sets of x and y tokens must overlap in a
+= ceil(percent / (100 + percent) * (x + y)), so it meets under a token among the
+first x - a + 1 and y - a + 1. A pair that meets must also agree enough in a histogram of its
+tokens (the smaller counts bound the overlap from above) and share a prefix
+token in every further order before its sets are intersected.
 
 Document frequencies come from one pass over all texts: tasks cut the token
 hashes into buckets and ship them as packed arrays, a bucket counts its tokens
@@ -39,7 +42,9 @@ from .common import stage
 from .components import linked_groups
 
 ORDERS = 3
-TOKENS_HELD = 4_000_000  # per task, before they are sent off
+CELLS = 32  # of the histogram of a document's tokens
+TOKENS_HELD = 500_000  # per task, before they are sent off
+BUCKETS_PER_PARTITION = 4  # of the shuffle; a bucket is what a task holds at once
 _U = np.uint64
 
 
@@ -98,6 +103,8 @@ def _sent(src: DataFrame, n: int, buckets: int) -> DataFrame:
             bucket = (token % _U(buckets)).astype(np.int64)
             doc = np.repeat(np.arange(len(size)), size)
             order = np.argsort(bucket, kind="stable")
+            cell = np.bincount(doc * CELLS + (mix(token) % _U(CELLS)).astype(np.int64), minlength=len(size) * CELLS)
+            meta += cell.astype("<i8").tobytes()
             rest = (token[order] // _U(buckets)).astype("<u4")
             edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = [(int(chunk % buckets), chunk, 0, meta)]
@@ -158,14 +165,18 @@ def _counted(sent: DataFrame) -> DataFrame:
 
 
 def _assembled(counted: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """One row per document: (doc_id, n, s1, s2, rare, tokens, prefix1 ..);
-    the arrays only where a prefix holds a token of several documents."""
-    names = ["doc_id", "n", "s1", "s2", "rare", "tokens", *[f"prefix{k}" for k in range(1, ORDERS + 1)]]
-    schema = "doc_id long, n long, s1 long, s2 long, rare long, " + ", ".join(f"{x} array<long>" for x in names[5:])
+    """One row per document: (doc_id, n, s1, s2, order, rare, cells, tokens,
+    prefix1 ..); the arrays only where a prefix holds a token of several documents.
+    ``order``: the less, the more common its tokens are on the whole; what
+    copies were made of comes before the copies."""
+    names = ["doc_id", "n", "s1", "s2", "order", "rare", "cells", "tokens", *[f"prefix{k}" for k in range(1, ORDERS + 1)]]
+    schema = "doc_id long, n long, s1 long, s2 long, order long, rare long, " + ", ".join(
+        f"{x} array<long>" for x in names[6:])
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         meta = np.frombuffer(rows.loc[rows["kind"] == 0, "blob"].iloc[0], "<i8")
-        known, ids, size, s1, s2 = meta.reshape(5, -1)
+        known, ids, size, s1, s2 = meta[:5 * len(meta) // (5 + CELLS)].reshape(5, -1)
+        cells = meta[5 * len(ids):].reshape(-1, CELLS)
         docs, tokens, dfs = [], [], []
         for bucket, blob in rows.loc[rows["kind"] == 1, ["bucket", "blob"]].itertuples(index=False):
             per = np.frombuffer(blob, "<u4", len(ids))
@@ -178,6 +189,7 @@ def _assembled(counted: DataFrame, buckets: int, percent: int) -> DataFrame:
         df = np.concatenate(dfs) if docs else np.zeros(0, np.uint32)
         shared = np.bincount(doc, minlength=len(ids))
         rare = size - shared
+        common = np.bincount(doc, np.log2(df), minlength=len(ids)) / np.maximum(size, 1)
         prefix = size - (percent * size + 99) // 100 + 1 - rare  # tokens of several documents in it
         open_ = (prefix > 0) & (shared > 0)
         use = open_[doc]
@@ -185,9 +197,9 @@ def _assembled(counted: DataFrame, buckets: int, percent: int) -> DataFrame:
         n_open = np.bincount(doc, minlength=len(ids))
         end = np.cumsum(n_open)
         out = pd.DataFrame({"doc_id": pd.array(np.where(known > 0, ids, 0), dtype="Int64"), "n": size, "s1": s1, "s2": s2,
-                            "rare": rare})
+                            "order": (-1000 * common).astype(np.int64), "rare": rare})
         out.loc[known == 0, "doc_id"] = pd.NA
-        columns: dict[str, list] = {x: [None] * len(ids) for x in names[5:]}
+        columns: dict[str, list] = {x: [None] * len(ids) for x in names[6:]}
         for k in range(1, ORDERS + 1):
             order = np.lexsort((mix(token + _U(k)), df, doc))
             by = token[order].view(np.int64)
@@ -195,7 +207,7 @@ def _assembled(counted: DataFrame, buckets: int, percent: int) -> DataFrame:
                 mine = by[end[d] - n_open[d]:end[d]]
                 columns[f"prefix{k}"][d] = mine[:prefix[d]]
                 if k == 1:
-                    columns["tokens"][d] = mine
+                    columns["tokens"][d], columns["cells"][d] = mine, cells[d]
         return out.assign(**columns)[names]
 
     return counted.groupBy("chunk").applyInPandas(run, schema)
@@ -207,22 +219,30 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     ``links``: whether the row's group has another row. component_id is the
     smallest doc_id that its links reach."""
     spark = docs.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = BUCKETS_PER_PARTITION * max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = stage(_assembled(_counted(_sent(src, n, buckets)), buckets, percent), "jaccard-sets")
     same = ["n", "s1", "s2"]
     classes = rows.groupBy(*same).agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_rows"),
-                                      F.first("rare").alias("rare"))
-    classes = stage(classes, "jaccard-classes")
+                                      F.min("order").alias("order"))
+    # written once, so that the ids stay
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
     # one row of each class that may have partners, with its sets
-    sets = stage(rows.where("tokens is not null").dropDuplicates(same).drop("doc_id", "rare")
+    sets = stage(rows.where("tokens is not null").dropDuplicates(same).drop("doc_id", "order")
                  .join(classes, same), "jaccard-open")
-    item = F.struct("id", "n", (-F.col("n_rows")).alias("copies"), "rare")
-    postings = sets.select(F.explode("prefix1").alias("key"), item.alias("item"))
+    posted = sets.select("id", "n", "order", "rare", "cells", F.posexplode("prefix1").alias("at", "key"))
+    postings = posted.select("key", F.struct("id", "n", "order", "cells", (F.col("rare") + F.col("at")).alias("place")).alias("item"))
+
+    def overlap(x: Column, y: Column) -> Column:
+        """How many tokens linked sets of these sizes share at least."""
+        return F.ceil(F.lit(percent) * (x + y) / F.lit(100 + percent) - 1e-9)
 
     def near(x: Column, y: Column) -> Column:
-        return 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
+        least = overlap(x["n"], y["n"])
+        early = (x["place"] <= x["n"] - least) & (y["place"] <= y["n"] - least)
+        most = F.aggregate(F.zip_with(x["cells"], y["cells"], lambda a, b: F.least(a, b)), F.lit(0).cast("long"),
+                           lambda a, b: a + b)
+        return early & (most >= least)
 
     def verify(pairs: DataFrame) -> DataFrame:
         further = [f"prefix{k}" for k in range(2, ORDERS + 1)]
@@ -230,15 +250,19 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         def side(name: str, columns: list[str]) -> DataFrame:
             return sets.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-        met = pairs.join(side("a", further), "a").join(side("b", further), "b")
+        def prefix(name: str, column: str) -> Column:
+            n = F.col(f"{name}_n") - overlap(F.col("a_n"), F.col("b_n")) + 1 - F.col(f"{name}_rare")
+            return F.slice(f"{name}_{column}", F.lit(1), F.greatest(n, F.lit(0)).cast("int"))
+
+        met = pairs.join(side("a", ["n", "rare", *further]), "a").join(side("b", ["n", "rare", *further]), "b")
         for c in further:
-            met = met.where(F.arrays_overlap(f"a_{c}", f"b_{c}"))
+            met = met.where(F.arrays_overlap(prefix("a", c), prefix("b", c)))
         met = met.select("a", "b").join(side("a", ["tokens", "n"]), "a").join(side("b", ["tokens", "n"]), "b")
         both = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
         return met.withColumn("both", both).where(
             100 * F.col("both") >= percent * (F.col("a_n") + F.col("b_n") - F.col("both"))).select("a", "b")
 
-    groups = linked_groups(postings, near, verify, ["item.copies", "item.rare"])
+    groups = linked_groups(postings, near, verify, "order")
     named = classes.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     total = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.sum("n_rows").alias("n_group"))
     named = named.join(total, "component").select(*same, "component_id", "n_group")

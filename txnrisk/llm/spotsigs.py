@@ -68,8 +68,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
     rows = stage(with_signatures(rows, "text", "s").select("doc_id", "s"), "spot-sets")
     sets = rows.groupBy("s").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
-    sets = stage(sets.withColumn("n", F.size("s")), "spot-classes")
-    sets = stage(sets.withColumn("id", F.monotonically_increasing_id()), "spot-classes")
+    sets = stage(sets.select("*", F.size("s").alias("n"), F.monotonically_increasing_id().alias("id")), "spot-classes")
     part = F.floor(F.log("n") / F.lit(math.log(1 / similarity)) + 1e-9)
     prefix = F.expr(f"slice(array_sort(transform(s, x -> xxhash64(x))), 1, n - cast(ceil({similarity}D * n - 1e-9) as int) + 1)")
     item = F.struct("id", "n", (-F.col("copies")).alias("order"))
