@@ -37,7 +37,7 @@ from .bytewords import Hasher, mix
 from .common import stage
 
 LENGTH, ANCHOR, BLOCK, SHARDS = 100, 32, 20, 8
-CHUNK_BYTES = 700_000
+CHUNK_BYTES = 500_000
 BUCKETS_PER_PARTITION = 4  # of the shuffle; a bucket is what a task holds at once
 LAST = np.iinfo(np.int64).max
 _U = np.uint64
@@ -49,7 +49,7 @@ def packed_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(chunk, ids, sizes, data): documents as chunks of bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         task = TaskContext.get().partitionId()
         ids: list[int] = []
         parts: list[bytes] = []
@@ -172,7 +172,7 @@ def _segments_again(chunks: DataFrame, flagged: DataFrame, buckets: int) -> Data
     the chunk (REPEAT records)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for b in batches:
             for chunk, ids, sizes, data, flags in b[["chunk", "ids", "sizes", "data", "flags"]].itertuples(index=False):
                 s = Segments(ids, sizes, data)
