@@ -90,3 +90,10 @@ def test_log_transform_skips_negative_columns(spark):
     df = spark.createDataFrame([(1, -5.0, 3.0), (2, 4.0, 0.0)], "customer_id long, net_flow double, total_volume double")
     assert log_columns(df, {"x": ["net_flow", "total_volume"]}) == {"total_volume"}   # T25
     _ = F
+
+
+def test_time_span_of_unreadable_timestamps_is_the_median(spark):
+    df = spark.createDataFrame([(1, 10), (2, 21), (3, None)], "customer_id long, time_span_days long")
+    filled = C.with_imputation(df, C.impute_medians(df, ["time_span_days"]))
+    assert {r.customer_id: r.time_span_days for r in filled.collect()} == {1: 10, 2: 21, 3: 16}
+    assert filled.schema["time_span_days"].dataType.simpleString() == "bigint"

@@ -9,6 +9,8 @@ is a single narrow stage.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,18 +171,22 @@ MEDIAN_IMPUTED = [
     "income", "occupation_code", "sales", "industry_code", "employee_count", "age",
     "customer_tenure_days",
 ]
-# Integer-like features that can be NULL: 0.
-ZERO_IMPUTED = ["time_span_days"]
+# Whole-day features: the median in whole days (all timestamps of a customer
+# may be unreadable).
+DAY_IMPUTED = ["time_span_days"]
 
 
-def impute_medians(f: DataFrame, columns: list[str] = MEDIAN_IMPUTED) -> dict[str, float | None]:
+def impute_medians(f: DataFrame, columns: list[str] | None = None) -> dict[str, float | None]:
+    columns = MEDIAN_IMPUTED + DAY_IMPUTED if columns is None else columns
     return exact_quantiles(f, [QSpec(c, f"`{c}`", 0.5) for c in columns])
 
 
 def with_imputation(f: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     repl = {}
     for c, m in medians.items():
-        repl[c] = F.coalesce(F.col(c), lit_d(m) if m is not None else F.lit(None).cast("double")).alias(c)
-    for c in ZERO_IMPUTED:
-        repl[c] = F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+        if c in DAY_IMPUTED:
+            fill = F.lit(None if m is None else math.floor(m + 0.5)).cast("long")
+        else:
+            fill = lit_d(m) if m is not None else F.lit(None).cast("double")
+        repl[c] = F.coalesce(F.col(c), fill).alias(c)
     return f.select(*[repl.get(c, F.col(c)) for c in f.columns])

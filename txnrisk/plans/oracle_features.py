@@ -483,11 +483,12 @@ IMPUTE_COLS = ["avg_transaction_amount", "median_transaction_amount", "min_trans
 
 IMPUTE_CTE = f"""
 med AS (
-  SELECT {", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in IMPUTE_COLS)} FROM cp
+  SELECT {", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in IMPUTE_COLS)},
+    CAST(floor(quantile_cont(time_span_days, 0.5) + 0.5) AS BIGINT) AS time_span_days FROM cp
 ),
 ft AS (
   SELECT cp.* REPLACE ({", ".join(f"coalesce(cp.{c}, med.{c}) AS {c}" for c in IMPUTE_COLS)},
-                       coalesce(cp.time_span_days, 0) AS time_span_days),
+                       coalesce(cp.time_span_days, med.time_span_days) AS time_span_days),
     lk.label
   FROM cp CROSS JOIN med LEFT JOIN labels_known lk ON cp.customer_id = lk.customer_id
 )"""
