@@ -22,14 +22,14 @@ SEGMENT_METRICS = ["total_outflow", "total_inflow", "total_volume",
                    "transactions_per_active_day", "flow_through_ratio"]
 SEGMENTS = [("ind", "is_individual"), ("bus", "is_business")]
 
-# Columns zero-filled before composites (a NULL would poison the sum).
+# FIXED VALUES: columns zero-filled before composites (a NULL would poison the sum).
 COMPOSITE_INPUTS = [
     "spending_to_income_ratio", "volume_to_sales_ratio", "income_vol_ratio",
     "monthly_volume_cv", "amount_cv", "flow_through_ratio",
     "ratio_round_100", "transactions_per_active_day",
 ]
 
-# Columns normalised by their population p99.
+# FIXED VALUES: columns normalised by their population p99.
 P99_COLUMNS = [
     "sum_wire", "count_abm", "sum_westernunion", "count_cheque", "count_eft", "count_emt",
     "count_card", "income_vol_ratio", "volume_to_sales_ratio", "spending_to_income_ratio",
@@ -124,6 +124,7 @@ def with_composites(f: DataFrame, p99: dict[str, float]) -> DataFrame:
     tpad_norm = _clip_hi(F.col("transactions_per_active_day"), p99["transactions_per_active_day"]) / \
         lit_d(p99["transactions_per_active_day"])
 
+    # FIXED VALUES: the weights of the five sums
     struct = (N("count_near_10k") * 0.25 + c01("flow_through_ratio") * 0.25 +
               c01("ratio_round_100") * 0.15 + cities * 0.10 + tpad_norm * 0.10 +
               c01(N("count_eft") + N("count_emt")) * 0.10 + N("sum_wire") * 0.05)
