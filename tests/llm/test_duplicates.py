@@ -117,7 +117,7 @@ def test_line_dedup_against_all_pairs(docs_of):
     r.shuffle(lines)
     rows = [(k, "\n".join(lines[k * 5:k * 5 + 5]), "s") for k in range(41)]
     docs = docs_of(rows)
-    signature = {(x.doc_id, x.line_no): x.simhash for x in line_signatures(docs).collect()}
+    signature = {(x.doc_id, x.line_no): x.simhash for x in line_signatures(docs).where("n_words > 0").collect()}
     norm = {(i, k): " ".join(w for w in re.split(r"[\s!-/:-@\[-`{-~]+", x.lower()) if w)
             for i, t, _ in rows for k, x in enumerate(t.split("\n"))}
     norm = {k: v for k, v in norm.items() if v}
@@ -140,7 +140,7 @@ def test_line_dedup_against_all_pairs(docs_of):
 
 def test_simhash_of_long_lines(docs_of):
     """Lines of more words than one sum holds."""
-    texts = [" ".join(f"{seed}w{k}" for k in range(n)) for seed, n in ((1, 254), (2, 255), (3, 256), (4, 1500))]
+    texts = [" ".join(f"{seed}w{k}" for k in range(n)) for seed, n in ((1, 8), (1, 254), (2, 255), (3, 256), (4, 1500))]
     docs = docs_of([(k, t, "s") for k, t in enumerate(texts)])
     words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w")).select("doc_id", F.xxhash64("w").alias("h"))
     hashes = {}
@@ -150,6 +150,14 @@ def test_simhash_of_long_lines(docs_of):
     assert {r.doc_id: r.simhash for r in line_signatures(docs).collect()} == want
 
 
+def test_simhash_of_short_lines_takes_character_grams(docs_of):
+    docs = docs_of([(1, "abc d", "s"), (2, "x", "s"), (3, "", "s")])
+    grams = docs.select(F.xxhash64(F.lit("abc")), F.xxhash64(F.lit("bc ")), F.xxhash64(F.lit("c d")), F.xxhash64(F.lit("x"))).first()
+    want = sum(1 << b for b in range(BITS) if 2 * sum(h >> b & 1 for h in grams[:3]) > 3)
+    got = {r.doc_id: r.simhash for r in line_signatures(docs).where("n_words > 0").collect()}
+    assert got == {1: want, 2: grams[3] & (1 << BITS) - 1}
+
+
 def test_line_dedup_odd_rows(docs_of):
     docs = docs_of(ODD).selectExpr("*", "1 as gone", "2 as id", "'x' as removed_line_numbers", "3 as row")
     got = dedup_lines(docs)

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 
+# FIXED VALUES: very common words of English, French, German and Spanish
+COMMON_WORDS = sorted(set((
+    "the of and to in a is that for it was on are as with at by this from or an be have not but they which "
+    "la le de les et des une un est que qui pour dans en au sur avec par pas il elle ce se ne du "
+    "und der die das zu den von mit auf ist nicht ein eine dem im sich als auch es er sie "
+    "el y los del las por con una su para al lo como más o si no"
+).split()))
+
 # Words of the contracts: maximal runs of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -34,3 +42,22 @@ def uniform(*parts: Column) -> Column:
     """A reproducible number in (0, 1) from the hash of ``parts``."""
     bits = F.shiftrightunsigned(F.xxhash64(*parts), 11)
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+BITMAP_BYTES = 1 << 14
+
+
+def perhaps_in(keys: DataFrame, key: Column, tested: Column) -> Column:
+    """A condition that holds for every row whose ``tested`` hash is a ``key``
+    hash of ``keys``, and for few others while the keys are few against the
+    bitmap's bits: a filter of fixed size ahead of a join on large rows."""
+    bits = 8 * BITMAP_BYTES
+    slot = F.pmod(key, F.lit(bits))
+    marked = keys.groupBy(F.floor(slot / 8).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.pmod(slot, F.lit(8)).cast("int"))).alias("bits"))
+    bitmap = bytearray(BITMAP_BYTES)
+    for r in marked.collect():  # BITMAP_BYTES rows at most
+        bitmap[r["at"]] = r["bits"]
+    slot = F.pmod(tested, F.lit(bits))
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(bitmap)), (F.floor(slot / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+    return F.call_function("shiftright", byte.cast("int"), F.pmod(slot, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1

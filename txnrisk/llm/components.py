@@ -20,19 +20,22 @@ from pyspark.sql import functions as F
 from .common import stage
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("from"), F.lit(0).alias("to")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("from"), F.lit(1).alias("to")))
+    ends = ends.groupBy("id").agg(F.sum("from").alias("from"), F.max("to").alias("to"))
+    return ends.where("from > 1 or from > 0 and to > 0").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) -> (id, component): the smallest id that each item of an
     edge reaches. Alternates large-star and small-star steps, whose number
-    grows with the logarithm of the longest path, and writes each step's edges
-    to the shared folder."""
+    grows with the logarithm of the longest path, until all edges lead from an
+    item to its component; each step's edges go to the shared folder."""
     e = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
               "edges")
-    state = _state(e)
-    while state[0]:
+    while not _are_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -40,10 +43,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.withColumnRenamed("m", "v")).where("u <> v").distinct())
         e = stage(small, "edges")
-        now = _state(e)
-        if now == state:
-            break
-        state = now
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
@@ -59,7 +58,7 @@ def _with_group(members: DataFrame, group: DataFrame) -> DataFrame:
 
 
 def linked_groups(postings: DataFrame, near: Callable[[Column, Column], Column],
-                  verify: Callable[[DataFrame], DataFrame], order: str, rounds: int = 3) -> DataFrame:
+                  verify: Callable[[DataFrame], DataFrame], order: str, rounds: int = 2) -> DataFrame:
     """``postings``: (key, item), item a struct with ``id`` and ``order`` (the
     pivots of the first round come first). ``near``: a cheap necessary condition
     on two items. ``verify``: (a, b) -> those rows that are links. Returns (id,

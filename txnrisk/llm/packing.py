@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,12 +39,11 @@ class Encoder:
     """Ids of the byte-level BPE in a ``tokenizers`` JSON file.
 
     The vocabulary of that file doubles as merge ranks, so the faster tiktoken
-    gives the same ids; texts with very long runs take ``tokenizers`` itself."""
+    gives the same ids; texts with very long runs take ``tokenizers`` itself.
+    The file is read where the job is planned; tasks get the ranks."""
 
     def __init__(self, path: str):
         import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -52,12 +52,25 @@ class Encoder:
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         byte_of = {chr(b): b for b in shown}
         byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
-        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items()
-                 if token not in special}
-        self.slow = Tokenizer.from_file(path)
-        self.fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                      special_tokens=special)
+        self.path, self.pattern = path, public_tokenizers.PATTERN
+        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items()
+                      if token not in self.special}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k not in ("fast", "slow")}
+
+    @cached_property
+    def fast(self):
+        import tiktoken
+
+        return tiktoken.Encoding("pieces", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens=self.special)
+
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def __call__(self, text: str) -> list[int]:
         if LONG_RUN.search(text):
@@ -124,8 +137,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     if min(limits) < 2:
         raise ValueError("limits must allow a piece with loss")
 
+    encode = Encoder(tokenizer)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 40
         rest: list[tuple] = []  # doc_id, start, ids, doc_tokens
         out: list[tuple] = []
@@ -168,7 +182,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                     held += len(ids) - at
                 if len(rest) >= block:
                     flush()
-                if held > 4_000_000:
+                if held > 1_000_000:
                     yield frame()
         flush()
         yield frame()

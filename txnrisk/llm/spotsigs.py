@@ -20,25 +20,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import running_total
-from .common import stage, text_or_empty
+from .common import COMMON_WORDS, stage, text_or_empty
 from .components import linked_groups
 
-# Very common words of English, French, German and Spanish.
-ANCHORS = (
-    "the of and to in a is that for it was on are as with at by this from or an be have not but they which "
-    "la le de les et des une un est que qui pour dans en au sur avec par pas il elle ce se ne du "
-    "und der die das zu den von mit auf ist nicht ein eine dem im sich als auch es er sie "
-    "el y los del las por con una su para al lo como más o si no"
-).split()
+ANCHORS = COMMON_WORDS
 
 
 def with_signatures(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """``df`` with column ``out``: the sorted distinct signatures of a text."""
     w, c, a = f"{out}_words", f"{out}_content", f"{out}_anchors"
-    anchors = sorted(set(ANCHORS))
     df = df.withColumn(w, F.filter(F.split(F.lower(text_col), r"[\s\p{Punct}]+"), lambda x: x != ""))
-    df = df.withColumn(c, F.filter(w, lambda x: ~x.isin(anchors)))
-    df = df.withColumn(a, F.filter(F.transform(w, lambda x, i: F.when(x.isin(anchors), i)), lambda i: i.isNotNull()))
+    df = df.withColumn(c, F.filter(w, lambda x: ~x.isin(ANCHORS)))
+    df = df.withColumn(a, F.filter(F.transform(w, lambda x, i: F.when(x.isin(ANCHORS), i)), lambda i: i.isNotNull()))
     low = F.lit(0xFFFFFFFF).cast("long")
     # before the j-th anchor, word i, there are i - j content words
     spots = F.transform(a, lambda i, j: F.xxhash64(F.get(w, i), F.get(c, i - j), F.get(c, i - j + 1)).bitwiseAND(low))
