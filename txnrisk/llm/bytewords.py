@@ -7,6 +7,7 @@ never lies inside a multi-byte character."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,17 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers live on after a task,
+    beside an executor whose heap needs the room."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scatter the bits of 64-bit hashes (a bijection)."""
     h = h ^ (h >> np.uint64(32))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import ordinal_rank
-from .bytewords import Hasher, chunks, ngrams
+from .bytewords import Hasher, chunks, give_back, ngrams
 from .common import stage, uniform
 
 BUCKETS = 1 << 16
@@ -56,6 +56,7 @@ def bucket_counts(texts: DataFrame, text_col: str = "text") -> np.ndarray:
                 total += np.bincount(bucket, minlength=BUCKETS)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": seen, "n": total[seen]})
+        give_back()
 
     src = texts.select(F.col(text_col).cast("string").alias("text"))
     rows = src.mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()

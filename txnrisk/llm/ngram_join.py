@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import Hasher, chunks, mix, ngrams
+from .bytewords import Hasher, chunks, give_back, mix, ngrams
 from .common import stage
 from .components import linked_groups
 
@@ -130,6 +130,7 @@ def _sent(src: DataFrame, n: int, buckets: int) -> DataFrame:
                     yield send()
         if ids:
             yield send()
+        give_back()
 
     return src.mapInPandas(run, "bucket int, chunk long, kind int, blob binary")
 
@@ -159,6 +160,7 @@ def _counted(sent: DataFrame) -> DataFrame:
                     left = np.bincount(doc, minlength=len(per)).astype("<u4")
                     out.append((bucket, chunk, 1, left.tobytes() + own[shared].tobytes()
                                 + np.minimum(df[shared], 2 ** 32 - 1).astype("<u4").tobytes()))
+        give_back()
         return pd.DataFrame(out, columns=["bucket", "chunk", "kind", "blob"])
 
     return sent.groupBy("bucket").applyInPandas(run, "bucket int, chunk long, kind int, blob binary")
@@ -208,6 +210,7 @@ def _assembled(counted: DataFrame, buckets: int, percent: int) -> DataFrame:
                 columns[f"prefix{k}"][d] = mine[:prefix[d]]
                 if k == 1:
                     columns["tokens"][d], columns["cells"][d] = mine, cells[d]
+        give_back()
         return out.assign(**columns)[names]
 
     return counted.groupBy("chunk").applyInPandas(run, schema)

@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytewords import give_back
+
 PIECES = ("doc_id long, start long, length long, doc_tokens long, loss_tokens long, "
           "sequence_id long, offset long, ids binary")
 # A text with such a run goes to the reference tokenizer, whose merge loop is
@@ -186,6 +188,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                     yield frame()
         flush()
         yield frame()
+        vars(encode).pop("fast", None)
+        give_back()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInPandas(run, PIECES)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .boosting import Forest, fit
-from .bytewords import Hasher, chunks, ngrams, repeated
+from .bytewords import Hasher, chunks, give_back, ngrams, repeated
 from .common import stage
 
 MOST_LABELLED = 50_000
@@ -93,6 +93,7 @@ def text_statistics(texts: pd.Series) -> pd.DataFrame:
 def statistics(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         yield text_statistics(texts)
+    give_back()
 
 
 def features(s: pd.DataFrame) -> np.ndarray:
@@ -129,6 +130,21 @@ def accepted(model: Forest, threshold: float = 0.5, s: str = "s") -> Column:
     return judge(F.col(s))
 
 
+def keeps(model: Forest, threshold: float = 0.5):
+    """A UDF on texts: whether a document passes the base rule and the trees."""
+    least = float(np.log(threshold / (1 - threshold)))
+
+    @F.pandas_udf("boolean")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            s = text_statistics(texts)
+            failed = (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
+            yield pd.Series(~failed.to_numpy() & (model.score(features(s)) >= least))
+        give_back()
+
+    return judge
+
+
 def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        statistics(F.col(text_col).cast("string")).alias("s"))
@@ -146,7 +162,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that are kept, with their own columns. The texts
     are read twice, to fit and to judge, and never shuffled."""
     model = train(stage(document_stats(docs, id_col, text_col), "quality-stats"), labels)
-    names = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", statistics(F.col(f"row.`{text_col}`").cast("string")).alias("s"))
-    return judged.select("row", base_failed().alias("bad"), accepted(model).alias("ok")).where("ok and not bad").select(*names)
+    return docs.where(keeps(model)(F.col(f"`{text_col}`").cast("string")))

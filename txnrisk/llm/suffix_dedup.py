@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import merge, shard_bwt
-from .bytewords import Hasher, mix
+from .bytewords import Hasher, give_back, mix
 from .common import stage
 
 LENGTH, ANCHOR, BLOCK, SHARDS = 100, 32, 20, 8
@@ -205,6 +205,7 @@ def _segments_again(chunks: DataFrame, flagged: DataFrame, buckets: int) -> Data
                     rows.append((int(bucket[part[0]]), chunk, 1, press.compress(
                         np.uint32(len(part)).tobytes() + record[part].tobytes() + text.tobytes())))
                 yield pd.DataFrame(rows, columns=["bucket", "chunk", "kind", "blob"])
+        give_back()
 
     own = flagged.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags"))
     return chunks.join(own, "chunk").mapInPandas(run, "bucket int, chunk long, kind int, blob binary")
@@ -254,6 +255,7 @@ def _bucket_repeats(sent: DataFrame) -> DataFrame:
         cut = np.flatnonzero(np.diff(home[by])) + 1
         parts = [p for p in np.split(by, cut) if len(p)]
         found = pd.DataFrame({"chunk": [int(home[p[0]]) for p in parts], "blob": [out[p].tobytes() for p in parts]})
+        give_back()
         return pd.concat([own, found], ignore_index=True)
 
     return sent.groupBy("bucket").applyInPandas(run, "chunk long, blob binary")
