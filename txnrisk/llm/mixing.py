@@ -144,18 +144,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     return sure.unionByName(back)
 
 
-def apply_mix(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def apply_mix(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every row repeated as often as ``copies`` (doc_id, size,
-    copies) says. Rows with equal ids are told apart by size."""
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    cols = [F.col(f"`{id_col}`").cast("long").alias("doc_id"), word_count().alias("size"), row]
-    same = ["doc_id", "size"]
-    left = docs.select(*cols).withColumn("nth", F.row_number().over(
-        Window.partitionBy(*same).orderBy(F.xxhash64("row"))))
-    right = copies.select(*same, "copies").withColumn("nth", F.row_number().over(
-        Window.partitionBy(*same).orderBy(F.col("copies").desc())))
-    cond = (left["doc_id"].eqNullSafe(right["doc_id"])) & (left["size"] == right["size"]) & (left["nth"] == right["nth"])
-    joined = left.join(right.where("copies > 0"), cond)
-    return (joined.select("row", F.explode(F.expr("sequence(1, int(copies))")).alias("copy"))
-            .select(*[F.col("row").getField(c).alias(c) for c in names]))
+    copies) says. Rows with equal ids and sizes share their copies as evenly as
+    can be. The texts are shuffled once: window and join have the same keys."""
+    id_ = F.col(f"`{id_col}`").cast("long")
+    key = ["no_id", "id", "size"]
+    left = docs.select(id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0).cast("long")).alias("id"),
+                       word_count(f"`{text_col}`").alias("size"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
+    right = copies.groupBy(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"),
+                           "size").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("n")).where("total > 0")
+    joined = left.join(right, key).withColumn("nth", nth)
+    times = F.expr("cast(total div n + if(nth <= total % n, 1, 0) as int)")
+    return (joined.withColumn("times", times).where("times > 0")
+            .select("row", F.explode(F.expr("sequence(1, times)")).alias("copy"))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Hasher, chunks, give_back, mix, ngrams
-from .common import stage
+from .common import perhaps_in, stage
 from .components import linked_groups
 
 ORDERS = 3
@@ -283,7 +283,9 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "do
     groups = stage(jaccard_groups(docs, n, percent, id_col, text_col), "jaccard-groups").where("links")
     id_ = F.col(f"`{id_col}`").cast("long")
     gone = groups.where("doc_id > component_id").select(F.col("doc_id").alias("_llm_id")).distinct()
-    kept = docs.join(gone, id_ == F.col("_llm_id"), "left_anti")
+    # rows that a bitmap of the ids rules out need no join (nor a shuffle)
+    perhaps = F.coalesce(perhaps_in(gone, F.xxhash64("_llm_id"), F.xxhash64(id_)), F.lit(False))
+    kept = docs.where(~perhaps).unionByName(docs.where(perhaps).join(gone, id_ == F.col("_llm_id"), "left_anti"))
     again = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_llm_id")).count().where("count > 1")
     if again.isEmpty():
         return kept
