@@ -72,6 +72,7 @@ def packed_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     yield pack()
         if ids:
             yield pack()
+        give_back()
 
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return src.mapInPandas(run, "chunk long, ids binary, sizes binary, data binary")
@@ -140,11 +141,14 @@ def _anchors_again(chunks: DataFrame, buckets: int) -> DataFrame:
                 has = np.flatnonzero(np.diff(edge))
                 yield pd.DataFrame({"bucket": has, "chunk": chunk,
                                     "tokens": [token[edge[k]:edge[k + 1]].tobytes() for k in has]})
+                del s, order, edge, token
+                give_back()
 
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(x, "<u4") for x in rows["tokens"]]
         _, at, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         again = np.split(n[at] > 1, np.cumsum([len(p) for p in parts])[:-1])
+        give_back()
         return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"],
                              "flags": [np.packbits(x).tobytes() for x in again]})
 
@@ -318,6 +322,7 @@ def _cut(chunks: DataFrame, repeats: DataFrame) -> DataFrame:
                     "n_removed": removed, "n_spans": spans,
                     "kept": [kept[a:z] for a, z in zip(to - (size - removed), to, strict=True)],
                 }).assign(doc_id=lambda f, ids=ids: f["doc_id"].mask(ids == LAST))
+        give_back()
 
     own = repeats.groupBy("chunk").agg(F.collect_list("blob").alias("blobs"))
     return chunks.join(own, "chunk", "left").mapInPandas(
