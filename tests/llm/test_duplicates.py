@@ -138,6 +138,25 @@ def test_line_dedup_against_all_pairs(docs_of):
         assert got[i] == ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone), gone)
 
 
+def test_line_dedup_finds_small_changes_whatever_the_length(docs_of):
+    """Copies with a changed character, a changed word and a word less, far
+    apart in SimHash bits or not; lines too short for a change are left out."""
+    rows = []
+    for n in (2, 5, 7, 8, 9, 13, 19, 40, 75):
+        for k in range(3):
+            r, words = random.Random(100 * n + k), prose(100 * n + k, n).split()
+            at = r.randrange(n)
+            less = words[:at] + words[at + 1:]
+            word = [*words[:at], r.choice(WORDS)[::-1], *words[at + 1:]]
+            text = " ".join(words)
+            c = r.randrange(len(text) // 2)
+            char = text[:c] + ("y" if text[c] != " " else " ") + text[c + 1:]
+            rows += [(len(rows), "\n".join([text, char] + [" ".join(w) for w in (word, less) if n > 5]), "s")]
+    got = dedup_lines(docs_of(rows)).collect()
+    assert {r.doc_id: list(r.removed_line_numbers) for r in got} == {
+        i: list(range(1, 1 + t.count("\n"))) for i, t, _ in rows}
+
+
 def test_simhash_of_long_lines(docs_of):
     """Lines of more words than one sum holds."""
     texts = [" ".join(f"{seed}w{k}" for k in range(n)) for seed, n in ((1, 8), (1, 254), (2, 255), (3, 256), (4, 1500))]
