@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_documents
 from .common import documents
 from .importance import resample
 from .line_dedup import dedup_lines
@@ -37,6 +38,12 @@ def tokenizer_path() -> str:
     return os.environ.get("TXNRISK_TOKENIZER", public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return os.environ.get("TXNRISK_PIECE_MODEL", public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @register
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(documents(spark, sf_dir), tokenizer_path())
@@ -152,6 +159,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_documents(documents(spark, sf_dir), tokenizer_path(), piece_model_path())
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                          digest.alias("groups_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
