@@ -18,6 +18,7 @@ from .ngram_join import jaccard_groups
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .quality_rules import judge_documents
+from .sharding import shuffle_shards
 from .spotsigs import compare_edited
 from .suffix_dedup import drop_repeats
 from .warc import archive_round_trip
@@ -167,6 +168,20 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                           digest.alias("groups_sha256"))
 
 
+SHARDS = 40
+
+
+@register
+def op12_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text).cast("long") + 16).alias("size"),
+                                           F.crc32(text).alias("text_crc32"))
+    placed = shuffle_shards(rows, SHARDS)
+    # equal counts are the law; texts that repeat are dealt out like all others
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
