@@ -53,6 +53,7 @@ ODD_SPACE = re.compile(r" (?=\s|$)")
 BORDER = re.compile(r"(?<=[^ ])(?= \S)")
 KNOWN_WORDS = 1 << 18
 DOC_BITS = 20
+CHUNK = 1 << 16  # occurrences of words whose pairs are listed at a time, or a document's
 WIDE_GROUP = 4096  # links above which a group's pairs are counted instead of listed
 
 
@@ -185,16 +186,24 @@ class Aligned:
         self.weights = np.add.reduceat(weight, first) if len(first) else weight
         self.from_ = np.searchsorted(word[first], np.arange(n + 1))
 
-    def doc_pairs(self, word: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs of documents given as occurrences of words, with
-        the number of documents that hold each."""
-        held = np.unique(doc * len(self.n_a) + word)
-        doc, word = held // max(1, len(self.n_a)), held % max(1, len(self.n_a))
-        times = np.diff(self.from_)[word]
-        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        codes = self.codes[np.repeat(self.from_[word], times) + nth]
-        held = np.unique((codes << DOC_BITS) | np.repeat(doc, times)) >> DOC_BITS
-        return np.unique(held, return_counts=True)
+    def doc_pairs(self, word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs of documents given as occurrences of words, in
+        their order, with the number of documents that hold each."""
+        cuts = np.searchsorted(doc, doc[::CHUNK]) if len(doc) else doc  # where a document starts
+        codes, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i, j in zip(cuts, [*cuts[1:], len(doc)], strict=True):
+            held = np.unique(doc[i:j] * len(self.n_a) + word[i:j])
+            w = held % max(1, len(self.n_a))
+            times = np.diff(self.from_)[w]
+            nth = np.arange(times.sum()) + np.repeat(self.from_[w] - np.cumsum(times) + times, times)
+            held = np.unique((self.codes[nth] << DOC_BITS) | np.repeat(held // max(1, len(self.n_a)), times))
+            found = np.unique(held >> DOC_BITS, return_counts=True)
+            codes.append(found[0])
+            counts.append(found[1])
+        distinct, at = np.unique(np.concatenate(codes), return_inverse=True)
+        total = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(total, at, np.concatenate(counts))
+        return distinct, total
 
     def texts(self, labels: list[str]) -> list[str]:
         """Each word's groups as ``a1,a2|b1;a3|b2``. ``labels``: the decimal
@@ -248,7 +257,7 @@ def read_blocks(docs: DataFrame, both: TwoTokenizers, slices: int, block_bytes:
             rows = [(block, -1, len(ids), pack(np.array([i or 0 for i in ids]), known, per_doc, word,
                                                ids_of[0], counts[0], ids_of[1], counts[1]))]
             aligned = Aligned(ids_of[0], counts[0], ids_of[1], counts[1], both.a_lengths, both.b_lengths)
-            codes, held = aligned.doc_pairs(word, doc, len(words))
+            codes, held = aligned.doc_pairs(word, doc)
             in_slice = (mixed(codes, slices) % np.uint64(slices)).astype(np.int64)
             order = np.argsort(in_slice, kind="stable")
             ends = np.cumsum(np.bincount(in_slice, minlength=slices))
@@ -374,7 +383,7 @@ def highest_counts(table: DataFrame, n_a: int, n_b: int) -> np.ndarray:
     return best
 
 
-def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 8 << 20,
+def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 4 << 20,
                     keys_per_group: int = 1 << 17, fan_in: int = 16) -> DataFrame:
     """Per document its groups as text and, over its links, their number, how
     many have their A id's highest count and the sum of their counts."""
