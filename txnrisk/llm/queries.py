@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .alignment import align_documents
-from .common import documents
+from .common import WORD, documents
 from .importance import resample
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .ngram_join import jaccard_groups
 from .packing import pack_documents
+from .periodic_runs import periodic_runs
 from .preference import format_preferences, swapped_replies
 from .quality_rules import judge_documents
 from .sharding import shuffle_shards
@@ -182,6 +183,42 @@ def op12_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """The texts of the contract: where the hash h of an id is a multiple of
+    ten, the words from a = g % n on become a repetition of the p first of
+    them (g = h div 10). Null ids and texts without words stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.call_function("div", h, F.lit(10))
+
+    def edited(words):  # bound once: a column would be taken apart for every use
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.call_function("div", n - a, F.lit(3) + g % 8) + 1
+        times = F.call_function("div", n - a, p) + 1
+        tail = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), times.cast("int")))
+        whole = F.slice(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), F.lit(1), F.size(words))
+        return F.when(F.size(words) > 0, F.array_join(whole, " "))
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    text = F.when(h % 10 == 0, F.transform(F.array(words), edited)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(periodic_tails(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("least"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    digest = F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+    top = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                       digest.alias("runs_sha256"), "collapsed_sha256")
+    start, length, period = -F.col("best.back"), F.col("best.length"), -F.col("best.least")
+    return top.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+                      F.call_function("div", length * 1000, period).alias("exponent_milli"), "runs_sha256",
+                      "collapsed_sha256")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
