@@ -567,6 +567,9 @@ _SECONDARY = "concat_ws(' and ', " + ", ".join(
     f"CASE WHEN (rule_{t} > 0 OR if_score_{t} > 0.5) AND primary_rule_typology <> {_sq(_K.TYPOLOGY_LABELS[t])} "
     f"THEN {_sq(_K.TYPOLOGY_LABELS[t].lower())} END" for t in _K.TYPOLOGIES) + ")"
 
+# a quoted field, or one that does not begin with a quote and may hold some
+_FIELD = '(?:"(?:[^"]|"")*"|(?:[^",\\n][^,\\n]*)?)'
+
 EVQ = HY + f""",
 cat(id, name, risk, typology, channels, cooc) AS (VALUES {_CAT_VALUES}),
 ev AS (SELECT hy.*, tr.rule_indicator_trace FROM hy LEFT JOIN tr ON hy.customer_id = tr.customer_id
@@ -605,12 +608,14 @@ nar2 AS (
   SELECT *, CASE WHEN customer_id % 3 = 1 THEN 'Summary "A": ' || narrative ELSE narrative END AS t1 FROM nar
 ),
 nar3 AS (
-  SELECT *, CASE WHEN customer_id % 5 = 2 THEN t1 || chr(10) || 'Review advised.' ELSE t1 END AS t2 FROM nar2
+  SELECT *, CASE WHEN customer_id % 5 = 2 THEN t1 || chr(10) || 'Review advised.' ELSE t1 END
+    || CASE WHEN customer_id % 29 = 12 THEN repeat(' more', 40000) ELSE '' END AS t2 FROM nar2
 ),
 lines AS (
   SELECT batch_id, rank,
     CASE WHEN customer_id % 11 = 5 THEN CAST(customer_id AS VARCHAR) || ',"draft"' || chr(10) ELSE '' END
-    || CAST(customer_id AS VARCHAR) || ',"' || replace(t2, '"', '""') || '"'
+    || CAST(customer_id AS VARCHAR) || ','
+    || CASE WHEN customer_id % 17 = 8 THEN 'A 5" margin "as noted"' ELSE '"' || replace(t2, '"', '""') || '"' END
     || CASE WHEN customer_id % 13 = 6 THEN ',"extra"' ELSE '' END AS line
   FROM nar3 WHERE customer_id % 7 <> 3
 ),
@@ -629,10 +634,11 @@ cleaned AS (
     ELSE trim(response) END AS txt
   FROM resp
 ),
-recs0 AS (SELECT batch_id, regexp_extract_all(txt, '(?:"(?:[^"]|"")*"|[^"\\n])+') AS recs FROM cleaned),
+recs0 AS (SELECT batch_id, list_filter(regexp_extract_all(txt, '{_FIELD}(?:,{_FIELD})*'), lambda r: r <> '') AS recs
+          FROM cleaned),
 recs AS (SELECT batch_id, generate_subscripts(recs, 1) - 1 AS pos, unnest(recs) AS rec FROM recs0),
 flds AS (
-  SELECT batch_id, pos, list_transform(regexp_extract_all(rec, '(?:^|,)("(?:[^"]|"")*"|[^,]*)', 1),
+  SELECT batch_id, pos, list_transform(regexp_extract_all(rec, '(?:^|,)({_FIELD})', 1),
     lambda f: CASE WHEN starts_with(f, '"') THEN replace(substr(f, 2, length(f) - 2), '""', '"') ELSE f END) AS fl
   FROM recs
 ),
