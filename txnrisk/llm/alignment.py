@@ -31,7 +31,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -120,8 +121,13 @@ class TwoTokenizers:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         known = self.known
-        fresh = [w for w in words if w not in known]
-        for w, b in zip(fresh, self.b.encode(fresh, num_threads=1) if fresh else [], strict=True):
+        odd, plain = [], []
+        for w in words:
+            if w not in known:
+                (odd if " " in w or w[0].isspace() else plain).append(w)
+        if not self._together(plain):
+            odd += plain
+        for w, b in zip(odd, self.b.encode(odd, num_threads=1) if odd else [], strict=True):
             spaced = " " + w
             a, whole = self.a(spaced), spaced.encode()
             same = (b"".join(map(self.a_bytes.__getitem__, a)) == whole
@@ -129,6 +135,42 @@ class TwoTokenizers:
             known[w] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
         return [known[w] for w in words]
 
+    def _together(self, words: list[str]) -> bool:
+        """Learn words that may stand in one text, where all of them are given
+        back byte by byte."""
+        if not words:
+            return True
+        text = " " + " ".join(words)
+        whole = text.encode()
+        a, per_word = self.a(text), self.b.encode(words, num_threads=1)
+        b = list(chain.from_iterable(per_word))
+        if (b"".join(map(self.a_bytes.__getitem__, a)) != whole
+                or b"".join(map(self.b_bytes.__getitem__, b)) != whole):
+            return False
+        sizes = list(map(len, words)) if text.isascii() else [len(w.encode()) for w in words]
+        ends = np.cumsum(np.array(sizes) + 1)
+        stop = [np.searchsorted(np.cumsum(lengths[ids]), ends) + 1
+                for ids, lengths in ((a, self.a_lengths), (b, self.b_lengths))]
+        if (np.cumsum(self.a_lengths[a])[stop[0] - 1] != ends).any() or (np.diff(stop[1], prepend=0) != list(map(len, per_word))).any():
+            return False
+        raw = [np.array(x, "<u4").tobytes() for x in (a, b)]
+        cuts = [(4 * x).tolist() for x in stop]
+        for w, i, j, k, m in zip(words, [0, *cuts[0]], cuts[0], [0, *cuts[1]], cuts[1]):
+            self.known[w] = raw[0][i:j], raw[1][k:m]
+        return True
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorts in place."""
+    values.sort()
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a sorted array and how often each stands there."""
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
+    return ordered[at], np.diff(at, append=len(ordered))
+
 
 def pack(*arrays: np.ndarray) -> bytes:
     sizes = np.array([len(arrays), *map(len, arrays)], dtype="<i8")
@@ -192,23 +234,23 @@ class Aligned:
         cuts = np.searchsorted(doc, doc[::CHUNK]) if len(doc) else doc  # where a document starts
         codes, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for i, j in zip(cuts, [*cuts[1:], len(doc)], strict=True):
-            held = np.unique(doc[i:j] * len(self.n_a) + word[i:j])
+            held = distinct(doc[i:j] * len(self.n_a) + word[i:j])
             w = held % max(1, len(self.n_a))
             times = np.diff(self.from_)[w]
             nth = np.arange(times.sum()) + np.repeat(self.from_[w] - np.cumsum(times) + times, times)
-            held = np.unique((self.codes[nth] << DOC_BITS) | np.repeat(held // max(1, len(self.n_a)), times))
-            found = np.unique(held >> DOC_BITS, return_counts=True)
+            held = distinct((self.codes[nth] << DOC_BITS) | np.repeat(held // max(1, len(self.n_a)), times))
+            found = runs(held >> DOC_BITS)
             codes.append(found[0])
             counts.append(found[1])
-        distinct, at = np.unique(np.concatenate(codes), return_inverse=True)
-        total = np.zeros(len(distinct), dtype=np.int64)
+        every, at = np.unique(np.concatenate(codes), return_inverse=True)
+        total = np.zeros(len(every), dtype=np.int64)
         np.add.at(total, at, np.concatenate(counts))
-        return distinct, total
+        return every, total
 
-    def texts(self, labels: list[str]) -> list[str]:
-        """Each word's groups as ``a1,a2|b1;a3|b2``. ``labels``: the decimal
+    def texts(self, parts_of: list[str]) -> list[str]:
+        """Each word's groups as ``a1,a2|b1;a3|b2``. ``parts_of``: the decimal
         ids followed by ',', then by '|', then by ';'."""
-        n_ids, n = len(labels) // 3, len(self.a) + len(self.b)
+        n_ids, n = len(parts_of) // 3, len(self.a) + len(self.b)
         a_at = np.arange(len(self.a)) + (np.cumsum(self.b_in) - self.b_in)[self.a_group]
         b_at = np.arange(len(self.b)) + np.cumsum(self.a_in)[self.b_group]
         label = np.empty(n, dtype=np.int64)
@@ -217,15 +259,54 @@ class Aligned:
         end = np.cumsum(sizes)
         label[end - self.b_in - 1] += n_ids  # the last A token of a group
         label[end - 1] += 2 * n_ids
-        parts = list(map(labels.__getitem__, label.tolist()))
+        parts = list(map(parts_of.__getitem__, label.tolist()))
         stop = np.cumsum(self.n_a + self.n_b).tolist()
         return ["".join(parts[i:j])[:-1] for i, j in zip([0, *stop], stop)]
 
 
+@lru_cache(maxsize=1)
+def labels(n_ids: int) -> list[str]:
+    return [f"{i}{mark}" for mark in ",|;" for i in range(n_ids)]
+
+
 def _sums(values: np.ndarray, from_: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(values)])[from_])
 
 
+def block_rows(both: TwoTokenizers, block: int, ids: list, texts: list[str | None], slices: int) -> list[tuple]:
+    """(block, slice, n, payload) rows of a block of documents: one with slice
+    -1 for the documents, one for each slice that they have pairs in."""
+    words = [both.words(t) if t else [] for t in texts]
+    per_doc = np.array(list(map(len, words)), dtype=np.int64)
+    flat = list(chain.from_iterable(words))
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+    word = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
+    del words, flat
+    doc = np.repeat(np.arange(len(per_doc)), per_doc)
+    found = both.ids(list(numbers))
+    bad = np.array([f is None for f in found], dtype=bool)
+    if bad.any():
+        lost = np.zeros(len(per_doc), dtype=bool)
+        lost[doc[bad[word]]] = True
+        word, doc = word[~lost[doc]], doc[~lost[doc]]
+        per_doc[lost] = 0
+    sides = [[f[s] if f else b"" for f in found] for s in (0, 1)]
+    ids_of = [np.frombuffer(b"".join(s), "<u4").astype(np.int64) for s in sides]
+    counts = [np.array(list(map(len, s)), dtype=np.int64) // 4 for s in sides]
+    known = np.array([i is not None for i in ids], dtype=bool)
+    rows = [(block, -1, len(ids), pack(np.array([i or 0 for i in ids]), known, per_doc, word,
+                                       ids_of[0], counts[0], ids_of[1], counts[1]))]
+    aligned = Aligned(ids_of[0], counts[0], ids_of[1], counts[1], both.a_lengths, both.b_lengths)
+    codes, held = aligned.doc_pairs(word, doc)
+    in_slice = (mixed(codes, slices) % np.uint64(slices)).astype(np.int64)
+    order = np.argsort(in_slice, kind="stable")
+    ends = np.cumsum(np.bincount(in_slice, minlength=slices)).tolist()
+    for s, (i, j) in enumerate(zip([0, *ends], ends)):
+        if j > i:
+            rows.append((block, s, j - i, pack(np.diff(codes[order[i:j]], prepend=0), held[order[i:j]])))
+    return rows
+
+
 def read_blocks(docs: DataFrame, both: TwoTokenizers, slices: int, block_bytes: int) -> DataFrame:
     """Per block a row of kind ``docs`` and, per slice that it has pairs in, a
     row of kind ``pairs``; ``n`` counts documents or pairs."""
@@ -233,37 +314,12 @@ def read_blocks(docs: DataFrame, both: TwoTokenizers, slices: int, block_bytes:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = TaskContext.get().partitionId() << 32
         ids: list = []
-        texts: list[str] = []
+        texts: list[str | None] = []
         size = 0
 
         def frame() -> pd.DataFrame:
             nonlocal ids, texts, size, block
-            words = [both.words(t) if t else [] for t in texts]
-            numbers = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
-            per_doc = np.array(list(map(len, words)), dtype=np.int64)
-            doc = np.repeat(np.arange(len(words)), per_doc)
-            word = np.fromiter(map(numbers.__getitem__, (w for ws in words for w in ws)), np.int64, len(doc))
-            found = both.ids(list(numbers))
-            bad = np.array([f is None for f in found], dtype=bool)
-            if bad.any():
-                lost = np.zeros(len(words), dtype=bool)
-                lost[doc[bad[word]]] = True
-                word, doc = word[~lost[doc]], doc[~lost[doc]]
-                per_doc[lost] = 0
-            sides = [[f[s] if f else b"" for f in found] for s in (0, 1)]
-            ids_of = [np.frombuffer(b"".join(s), "<u4").astype(np.int64) for s in sides]
-            counts = [np.array(list(map(len, s)), dtype=np.int64) // 4 for s in sides]
-            known = np.array([i is not None for i in ids], dtype=bool)
-            rows = [(block, -1, len(ids), pack(np.array([i or 0 for i in ids]), known, per_doc, word,
-                                               ids_of[0], counts[0], ids_of[1], counts[1]))]
-            aligned = Aligned(ids_of[0], counts[0], ids_of[1], counts[1], both.a_lengths, both.b_lengths)
-            codes, held = aligned.doc_pairs(word, doc)
-            in_slice = (mixed(codes, slices) % np.uint64(slices)).astype(np.int64)
-            order = np.argsort(in_slice, kind="stable")
-            ends = np.cumsum(np.bincount(in_slice, minlength=slices))
-            for s, (i, j) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
-                if j > i:
-                    rows.append((block, s, j - i, pack(np.diff(codes[order[i:j]], prepend=0), held[order[i:j]])))
+            rows = block_rows(both, block, ids, texts, slices)
             ids, texts, size, block = [], [], 0, block + 1
             return pd.DataFrame(rows, columns=["block", "slice", "n", "payload"])
 
@@ -383,12 +439,12 @@ def highest_counts(table: DataFrame, n_a: int, n_b: int) -> np.ndarray:
     return best
 
 
-def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 4 << 20,
+def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 2 << 20,
                     keys_per_group: int = 1 << 17, fan_in: int = 16) -> DataFrame:
     """Per document its groups as text and, over its links, their number, how
     many have their A id's highest count and the sum of their counts."""
     both = TwoTokenizers(a_path, b_path)
-    n_a, n_b = len(both.a_bytes), len(both.b_bytes)
+    n_a, n_b, lengths = len(both.a_bytes), len(both.b_bytes), (both.a_lengths, both.b_lengths)
     blocks = read_blocks(docs, both, slices, block_bytes)
     pairs = blocks.where("kind = 'pairs'").select("block", "slice", "n", "payload")
     total = pairs.agg(F.sum("n")).first()[0] or 0
@@ -416,7 +472,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128
 
     def weigh(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         ids, known, per_doc, word, a, in_a, b, in_b = unpack(rows["payload"].iloc[0])
-        aligned = Aligned(a, in_a, b, in_b, both.a_lengths, both.b_lengths)
+        aligned = Aligned(a, in_a, b, in_b, *lengths)
         got = [_pairs_of(p) for p in found["payload"]]
         keys = np.concatenate([np.zeros(0, dtype=np.int64), *(g[0] for g in got)])
         counts = np.concatenate([np.zeros(0, dtype=np.int64), *(g[1] for g in got)])
@@ -431,8 +487,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128
         def per_document(values: np.ndarray) -> np.ndarray:
             return _sums(values[word], from_)
 
-        labels = [f"{i}{mark}" for mark in ",|;" for i in range(max(n_a, n_b))]
-        texts = aligned.texts(labels)
+        texts = aligned.texts(labels(max(n_a, n_b)))
         whole = list(map(texts.__getitem__, word.tolist()))
         ends = from_.tolist()
         return pd.DataFrame({
