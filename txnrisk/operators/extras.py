@@ -4,7 +4,7 @@ stays followed by cash in the same city, and turnover within a day."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -54,13 +54,31 @@ def hotel_cash_match(txn: DataFrame) -> DataFrame:
 
 
 def same_day_turnover(txn: DataFrame) -> DataFrame:
-    """Per customer and day: credits, debits of that day and the next, and
-    the smaller of the two (money that may have passed through)."""
-    day = txn.where("date is not null").groupBy("customer_id", "date").agg(
-        F.coalesce(F.sum(F.when(F.col("debit_credit") == "C", F.col("amount_cad"))), F.lit(0.0)).alias("credit"),
-        F.coalesce(F.sum(F.when(F.col("debit_credit") == "D", F.col("amount_cad"))), F.lit(0.0)).alias("debit"))
-    out = day.select("customer_id", F.explode(F.array("date", F.date_sub("date", 1))).alias("date"), "debit")
-    out = out.groupBy("customer_id", "date").agg(F.sum("debit").alias("debit_two_days"))
-    return day.where("credit > 0").select("customer_id", "date", "credit").join(out, ["customer_id", "date"], "left").select(
-        "customer_id", "date", "credit", F.coalesce("debit_two_days", F.lit(0.0)).alias("debit_two_days"),
-        F.least("credit", F.coalesce("debit_two_days", F.lit(0.0))).alias("turnover"))
+    """Per customer and time of credits: the credit, the debits that follow it
+    within 24 hours (number, sum) and the smaller of the two amounts (money that
+    may have passed through). A debit belongs to the latest credit not after it,
+    so it is used once; a credit at the same time comes before it.
+
+    The latest credit within 24 hours lies in the debit's day of 86,400 seconds
+    or the day before. Windows are therefore per customer and day, with the last
+    credit of the day before carried over: a customer with most rows is spread
+    over its days."""
+    amt, at = F.col("amount_cad"), F.col("transaction_datetime")
+    event = (txn.where(at.isNotNull() & (amt > 0) & F.col("debit_credit").isin("C", "D"))
+                .groupBy("customer_id", "transaction_datetime")
+                .agg(F.sum(F.when(F.col("debit_credit") == "C", amt)).alias("credit"),
+                     F.sum(F.when(F.col("debit_credit") == "D", amt)).alias("debit"),
+                     F.count(F.when(F.col("debit_credit") == "D", 1)).alias("n"))
+                .withColumn("day", F.unix_date(F.to_date("transaction_datetime"))))
+    credit_at = F.when(F.col("credit").isNotNull(), at)
+    carried = (event.where("credit is not null").groupBy("customer_id", (F.col("day") + 1).alias("day"))
+                    .agg(F.max("transaction_datetime").alias("carried")))
+    so_far = Window.partitionBy("customer_id", "day").orderBy("transaction_datetime")
+    tied = event.join(carried, ["customer_id", "day"], "left").withColumn(
+        "credit_at", F.coalesce(F.max(credit_at).over(so_far), F.col("carried")))
+    within = at <= F.col("credit_at") + F.make_dt_interval(hours=F.lit(24))
+    return (tied.where(within & (F.col("n") > 0) | F.col("credit").isNotNull())
+                .groupBy("customer_id", F.col("credit_at").alias("transaction_datetime"))
+                .agg(F.max(F.when(at == F.col("credit_at"), F.col("credit"))).alias("credit"),
+                     F.sum("n").alias("n_debits"), F.coalesce(F.sum("debit"), F.lit(0.0)).alias("debit_24h"))
+                .withColumn("turnover", F.least("credit", "debit_24h")))

@@ -913,16 +913,30 @@ hcm AS (SELECT h.customer_id, h.city, h.date, c.cash_date, n_hotel, hotel_amount
                  {"cash_date": "date"})
 
 ORACLE["same_day_turnover"] = TXN + """,
-dy AS (SELECT customer_id, date, coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'C'), 0.0) AS credit,
-         coalesce(sum(amount_cad) FILTER (WHERE debit_credit = 'D'), 0.0) AS debit
-       FROM txn WHERE date IS NOT NULL GROUP BY customer_id, date),
-sdt0 AS (SELECT a.customer_id, a.date, a.credit, coalesce(sum(b.debit), 0.0) AS debit_two_days FROM dy a LEFT JOIN dy b
-         ON a.customer_id = b.customer_id AND b.date - a.date BETWEEN 0 AND 1 WHERE a.credit > 0 GROUP BY ALL),
-sdt AS (SELECT *, least(credit, debit_two_days) AS turnover FROM sdt0)
-""" + sql_select(["customer_id", "date", "credit", "debit_two_days", "turnover"], "sdt")
+cr AS (SELECT customer_id, transaction_datetime, sum(amount_cad) AS credit FROM txn
+       WHERE debit_credit = 'C' AND amount_cad > 0 AND transaction_datetime IS NOT NULL GROUP BY ALL),
+db AS (SELECT customer_id, transaction_datetime AS at, amount_cad FROM txn
+       WHERE debit_credit = 'D' AND amount_cad > 0 AND transaction_datetime IS NOT NULL),
+used AS (SELECT cr.customer_id, cr.transaction_datetime, count(*) AS n_debits, sum(db.amount_cad) AS debit_24h
+         FROM db ASOF JOIN cr ON db.customer_id = cr.customer_id AND db.at >= cr.transaction_datetime
+         WHERE db.at <= cr.transaction_datetime + INTERVAL 24 HOURS GROUP BY ALL),
+sdt AS (SELECT cr.customer_id, cr.transaction_datetime, cr.credit, coalesce(n_debits, 0) AS n_debits,
+          coalesce(debit_24h, 0.0) AS debit_24h, least(cr.credit, coalesce(debit_24h, 0.0)) AS turnover
+        FROM cr LEFT JOIN used USING (customer_id, transaction_datetime))
+""" + sql_select(["customer_id", "transaction_datetime", "credit", "n_debits", "debit_24h", "turnover"], "sdt")
 
 ORACLE["stream_structuring_alerts"] = TXN + """,
-al AS (SELECT customer_id, CAST(transaction_datetime AS DATE) AS day, count(*) AS n_txn,
-         count(*) FILTER (WHERE amount_cad >= 9000 AND amount_cad < 10000) AS count_near_10k
-       FROM txn WHERE transaction_datetime IS NOT NULL GROUP BY ALL)
-""" + sql_select(["customer_id", "day", "n_txn", "count_near_10k"], "al", {"day": "date"}, "count_near_10k >= 2")
+near AS (SELECT customer_id, transaction_datetime AS ts FROM txn WHERE amount_cad >= 9000 AND amount_cad < 10000
+         AND transaction_datetime IS NOT NULL),
+slid AS (SELECT customer_id, ts, time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') - to_hours(CAST(6 * i AS INTEGER))
+           AS opens FROM near, range(4) r(i)),
+bursts AS (SELECT customer_id, min(ts) AS first_time FROM slid GROUP BY customer_id, opens HAVING count(*) >= 2),
+al AS (SELECT DISTINCT customer_id, first_time FROM bursts)
+""" + sql_select(["customer_id", "first_time"], "al", {"first_time": "ts"})
+
+ORACLE["stream_late_rows"] = TXN + """,
+lt AS (SELECT customer_id, CAST(transaction_datetime AS DATE) AS day, count(*) AS n_late,
+         coalesce(sum(amount_cad), 0.0) AS late_volume
+       FROM txn WHERE customer_id % 10 = 3 AND month(transaction_datetime) <= 3 GROUP BY ALL)
+""" + sql_select(["customer_id", "day", "n_late", "late_volume"], "lt", {"day": "date"})
+

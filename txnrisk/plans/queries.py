@@ -8,6 +8,7 @@ value-for-value with the DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -814,19 +815,58 @@ def q_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("transaction_datetime").alias("last_transaction_date")))
 
 
+def _landed_by_quarter(spark: SparkSession, sf_dir: str, run) -> str:
+    """Land the transactions quarter by quarter, neighbours swapped, and call
+    ``run`` after each; then close the stream. The folder of the source."""
+    from ..streaming import daily_flow as SD
+    from ..streaming import event_windows as EW
+
+    txn = inputs(spark, sf_dir).txn
+    source = f"{_scratch(spark, 'stream')}/source"
+    for quarter in (2, 1, 4, 3):
+        SD.land(txn.where(F.quarter("transaction_datetime") == quarter), source)
+        run(source)
+    EW.close_stream(spark, source, datetime(2026, 1, 1))
+    run(source)
+    return source
+
+
+# A quarter lands before the one it follows: rows are up to 182 days out of order.
+LANDED_DELAY = "184 days"
+
+
 @register("stream_daily_flow")
 def q_stream_daily_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structured Streaming over the landed transactions; equals the batch
-    per-(customer, day) aggregate."""
-    import uuid
+    """Daily windows with watermark and state over transactions that land out
+    of order; equals the batch aggregate per (customer, day)."""
+    from ..streaming import event_windows as EW
 
-    from ..session import shared_path
+    def run(source: str) -> None:
+        EW.run_daily_windows(spark, source, f"{source}-windows", f"{source}-checkpoint", LANDED_DELAY)
+    return present(EW.read_sink(spark, f"{_landed_by_quarter(spark, sf_dir, run)}-windows"))
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive when the watermark has passed their day: the first
+    quarter of every tenth customer lands at the end."""
     from ..streaming import daily_flow as SD
+    from ..streaming import event_windows as EW
+
+    txn = inputs(spark, sf_dir).txn
+    late = (F.col("customer_id") % 10 == 3) & (F.quarter("transaction_datetime") == 1)
+    source = f"{_scratch(spark, 'stream')}/source"
 
-    base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
-    SD.land(inputs(spark, sf_dir).txn, f"{base}/source")
-    SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
-    return present(SD.windows(spark, f"{base}/sink"))
+    def run() -> None:
+        # one batch takes all files: rows are late for other batches only
+        EW.run_daily_windows(spark, source, f"{source}-windows", f"{source}-checkpoint", "7 days", 1_000_000)
+    for part in (~F.coalesce(late, F.lit(False)), late):
+        SD.land(txn.where(part), source)
+        run()
+    SD.run_daily_flow(spark, source, f"{source}-arrivals", f"{source}-arrivals-checkpoint")
+    EW.close_stream(spark, source, datetime(2026, 1, 1))
+    run()
+    return present(EW.late_rows(SD.windows(spark, f"{source}-arrivals"), EW.read_sink(spark, f"{source}-windows")))
 
 
 def reset() -> None:
@@ -1011,12 +1051,13 @@ for _name in ("hour_entropy", "card_retail_avg", "geo_volume_z", "hotel_cash_mat
 
 @register("stream_structuring_alerts")
 def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(customer, day) windows of the stream with two or more amounts just
-    under the reporting threshold."""
+    """Bursts of two or more amounts just under the reporting threshold within
+    24 hours, as the stream raises them."""
     from ..streaming import daily_flow as SD
+    from ..streaming import event_windows as EW
 
-    base = _scratch(spark, "stream")
-    SD.land(inputs(spark, sf_dir).txn, f"{base}/source")
-    SD.run_daily_flow(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
-    alerts = SD.structuring_alerts(SD.windows(spark, f"{base}/sink"), least=2)
-    return present(alerts.select("customer_id", "day", "n_txn", "count_near_10k"))
+    def run(source: str) -> None:
+        EW.run_alerts(spark, source, f"{source}-alerts", f"{source}-checkpoint", LANDED_DELAY, least=2)
+    source = _landed_by_quarter(spark, sf_dir, run)
+    alerts = EW.read_sink(spark, f"{source}-alerts")
+    return present(alerts.select("customer_id", SD.utc_wall(F.col("first_time")).alias("first_time")))

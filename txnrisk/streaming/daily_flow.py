@@ -1,5 +1,5 @@
-"""Incremental per-customer daily flow and structuring counts on Structured
-Streaming.
+"""Arrivals: incremental per-customer daily flow and structuring counts on
+Structured Streaming, without state (``event_windows`` has the stateful form).
 
 The same aggregates the batch feature job computes per customer (volume,
 inflow / outflow, sub-threshold and near-threshold counts) per (customer,
@@ -14,7 +14,7 @@ restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,18 +30,37 @@ TXN_STREAM_SCHEMA = T.StructType([
 SUMS = ["n_txn", "volume", "inflow", "outflow", "count_below_10k", "count_near_10k"]
 
 
-def daily_flow(rows: DataFrame) -> DataFrame:
-    """Sums per (customer, day); rows without a customer or a time have none."""
+def wall_clock(time: Column) -> Column:
+    """A time without zone as the instant at which UTC clocks show it."""
+    seconds = F.unix_date(F.to_date(time)).cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("long"))
+
+
+def utc_wall(instant: Column) -> Column:
+    """The time without zone that UTC clocks show at an instant."""
+    epoch = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return epoch + F.make_dt_interval(secs=(F.unix_micros(instant) / 1_000_000).cast("decimal(18,6)"))
+
+
+def utc_day(instant: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
+def flow_sums() -> list[Column]:
     amt = F.col("amount_cad")
     below = amt < K.REPORTING_THRESHOLD
+    return [F.count(F.lit(1)).alias("n_txn"),
+            F.coalesce(F.sum(amt), F.lit(0.0)).alias("volume"),
+            F.coalesce(F.sum(F.when(F.col("debit_credit") == "C", amt)), F.lit(0.0)).alias("inflow"),
+            F.coalesce(F.sum(F.when(F.col("debit_credit") == "D", amt)), F.lit(0.0)).alias("outflow"),
+            F.count(F.when(below, amt)).alias("count_below_10k"),
+            F.count(F.when((amt >= K.NEAR_THRESHOLD_LOW) & below, 1)).alias("count_near_10k")]
+
+
+def daily_flow(rows: DataFrame) -> DataFrame:
+    """Sums per (customer, day); rows without a customer or a time have none."""
     return (rows.where(F.col("customer_id").isNotNull() & F.col("transaction_datetime").isNotNull())
-                .groupBy("customer_id", F.to_date("transaction_datetime").alias("day"))
-                .agg(F.count(F.lit(1)).alias("n_txn"),
-                     F.coalesce(F.sum(amt), F.lit(0.0)).alias("volume"),
-                     F.coalesce(F.sum(F.when(F.col("debit_credit") == "C", amt)), F.lit(0.0)).alias("inflow"),
-                     F.coalesce(F.sum(F.when(F.col("debit_credit") == "D", amt)), F.lit(0.0)).alias("outflow"),
-                     F.count(F.when(below, amt)).alias("count_below_10k"),
-                     F.count(F.when((amt >= K.NEAR_THRESHOLD_LOW) & below, 1)).alias("count_near_10k")))
+                .groupBy("customer_id", utc_day(F.col("transaction_datetime")).alias("day")).agg(*flow_sums()))
 
 
 def run_daily_flow(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
@@ -64,13 +83,8 @@ def windows(spark: SparkSession, sink_dir: str) -> DataFrame:
     return t.groupBy("customer_id", "day").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
-def structuring_alerts(daily: DataFrame, least: int = 3) -> DataFrame:
-    """(customer, day) windows with at least ``least`` amounts just under the
-    reporting threshold."""
-    return daily.where(F.col("count_near_10k") >= least)
-
-
 def land(txn: DataFrame, source_dir: str) -> None:
     """Land transactions in the source folder, as an upstream feed would."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TXN_STREAM_SCHEMA.fields]
+    cols = [(wall_clock(F.col(f.name)) if f.name == "transaction_datetime" else F.col(f.name).cast(f.dataType)).alias(f.name)
+            for f in TXN_STREAM_SCHEMA.fields]
     txn.select(*cols).write.mode("append").parquet(source_dir)
