@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from txnrisk.functions.columns import from_sort_key, sort_key
 from txnrisk.operators.quantiles import QSpec, exact_quantiles, grouped_median
 from txnrisk.operators.ranking import ordinal_rank, running_total
 
@@ -18,6 +19,30 @@ def test_exact_quantiles_match_numpy(spark):
         assert abs(got[s.name] - np.percentile(col, s.p * 100)) < 1e-9, s.name
 
 
+def test_sort_key_is_the_order_of_doubles(spark):
+    rng = np.random.default_rng(8)
+    any_bits = rng.integers(-2 ** 63, 2 ** 63, 3000, dtype=np.int64).view(np.float64)
+    powers = np.array([2.0 ** e for e in range(-1074, 1024)])
+    near = np.concatenate([np.nextafter(powers, 0), powers, np.nextafter(powers, np.inf)])
+    values = np.concatenate([any_bits[~np.isnan(any_bits)], near, -near, [0.0, -0.0, np.inf, -np.inf, 5e-324]])
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    rows = df.select("v", sort_key(F.col("v")).alias("k")).collect()
+    assert all(from_sort_key(r.k) == r.v for r in rows)
+    rows.sort(key=lambda r: r.k)
+    assert all(a.v < b.v or a.v == b.v and a.k == b.k for a, b in zip(rows, rows[1:]))
+
+
+def test_quantiles_of_odd_columns(spark):
+    pdf = pd.DataFrame({"same": [2.5] * 5, "wide": [-1e300, -1e-300, 0.0, 1e-300, 1e300],
+                        "near": [1.0, np.nextafter(1.0, 2), np.nextafter(1.0, 0), 1.0, 1.0], "none": [np.nan] * 5})
+    specs = [QSpec(f"{c}|{p}", f"`{c}`", p) for c in pdf for p in (0.0, 0.1, 0.5, 0.75, 1.0)]
+    got = exact_quantiles(spark.createDataFrame(pdf), specs)
+    for s in specs:
+        c = s.name.split("|")[0]
+        assert got[s.name] is None if c == "none" else got[s.name] == np.percentile(pdf[c], s.p * 100)
+    assert exact_quantiles(spark.createDataFrame(pdf).limit(0), specs[:1]) == {"same|0.0": None}
+
+
 def test_grouped_median_with_hot_key(spark):
     rng = np.random.default_rng(5)
     keys = np.concatenate([np.zeros(3000, dtype=int), rng.integers(1, 50, 2000)])

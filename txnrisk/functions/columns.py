@@ -3,6 +3,7 @@ expressions, so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -20,6 +21,29 @@ def lit_d(x: float) -> Column:
 
 
 
+SMALLEST_NORMAL = 2.0 ** -1022
+
+
+def sort_key(v: Column) -> Column:
+    """A double as a 64-bit integer of the same order: the bits of its size
+    (exponent and fraction), negative for negative numbers; both zeros are 0.
+    All steps are exact: powers of two, and a logarithm corrected by them."""
+    size = F.abs(v)
+    guess = F.floor(F.log2(size)).cast("double")
+    power = F.pow(lit_d(2.0), guess)
+    exponent = F.when(power > size, guess - 1).when(power * 2 <= size, guess + 1).otherwise(guess)
+    fraction = (size / F.pow(lit_d(2.0), exponent) - 1) * lit_d(2.0 ** 52)
+    bits = (F.when(size < lit_d(SMALLEST_NORMAL), (size * lit_d(2.0 ** 537) * lit_d(2.0 ** 537)).cast("long"))
+             .when(size == lit_d(float("inf")), F.lit(2047 << 52))
+             .otherwise((exponent + 1023).cast("long") * F.lit(1 << 52) + fraction.cast("long")))
+    return F.when(v < 0, -bits).otherwise(bits)
+
+
+def from_sort_key(key: int) -> float:
+    value = struct.unpack(">d", struct.pack(">q", abs(key)))[0]
+    return -value if key < 0 else value
+
+
 def count_if(cond: Column) -> Column:
     """Rows where ``cond`` is true (nulls count as false)."""
     return F.count(F.when(cond, F.lit(1)))

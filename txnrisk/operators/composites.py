@@ -56,22 +56,18 @@ def _clip01(c: Column) -> Column:
 # Segment ratios
 # ---------------------------------------------------------------------------
 
-def segment_stats(f: DataFrame) -> dict[str, float]:
+def segment_specs() -> list[QSpec]:
+    return [QSpec(f"{m}|{seg}|{stat}", f"CASE WHEN `{flag}` = 1 THEN `{m}` END", p)
+            for m in SEGMENT_METRICS for seg, flag in SEGMENTS for stat, p in (("median", 0.5), ("p90", 0.9))]
+
+
+def segment_stats(f: DataFrame, q: dict[str, float | None] | None = None) -> dict[str, float]:
     """Median and p90 of each metric inside each segment; a segment with no
-    member uses 1 for both."""
-    specs = []
-    for m in SEGMENT_METRICS:
-        for seg, flag in SEGMENTS:
-            v = f"CASE WHEN `{flag}` = 1 THEN `{m}` END"
-            specs.append(QSpec(f"{m}|{seg}|median", v, 0.5))
-            specs.append(QSpec(f"{m}|{seg}|p90", v, 0.9))
+    member uses 1 for both. ``q``: the quantiles, where they are known."""
+    specs = segment_specs()
     sizes = f.agg(*[F.sum(F.col(flag)).alias(seg) for seg, flag in SEGMENTS]).first()
-    q = exact_quantiles(f, specs)
-    out = {}
-    for key, val in q.items():
-        m, seg, stat = key.split("|")
-        out[key] = 1.0 if (sizes[seg] or 0) == 0 else val
-    return out
+    q = exact_quantiles(f, specs) if q is None else q
+    return {s.name: 1.0 if (sizes[s.name.split("|")[1]] or 0) == 0 else q[s.name] for s in specs}
 
 
 def with_segment_ratios(f: DataFrame, stats: dict[str, float]) -> DataFrame:
@@ -106,8 +102,11 @@ def with_profile_ratios(f: DataFrame) -> DataFrame:
 
 def population_p99(f: DataFrame, columns: list[str] = P99_COLUMNS) -> dict[str, float]:
     """p99 per column; NULL, NaN or <= 0 falls back to 1.0."""
-    q = exact_quantiles(f, [QSpec(c, f"`{c}`", 0.99) for c in columns])
-    return {c: (v if (v is not None and v == v and v > 0) else 1.0) for c, v in q.items()}
+    return _usable(exact_quantiles(f, [QSpec(c, f"`{c}`", 0.99) for c in columns]))
+
+
+def _usable(p99: dict[str, float | None]) -> dict[str, float]:
+    return {c: (v if (v is not None and v == v and v > 0) else 1.0) for c, v in p99.items()}
 
 
 def with_composites(f: DataFrame, p99: dict[str, float]) -> DataFrame:
@@ -182,6 +181,20 @@ def impute_medians(f: DataFrame, columns: list[str] | None = None) -> dict[str,
     return exact_quantiles(f, [QSpec(c, f"`{c}`", 0.5) for c in columns])
 
 
+def population_stats(f: DataFrame) -> tuple[dict[str, float], dict[str, float], dict[str, float | None]]:
+    """``segment_stats``, ``population_p99`` and ``impute_medians`` of the
+    customers with their profile ratios, in the same jobs. The last two see the
+    composites' inputs with NULL as 0, as the later steps do."""
+    def value(c: str) -> str:
+        return f"coalesce(CAST(`{c}` AS DOUBLE), 0D)" if c in COMPOSITE_INPUTS else f"`{c}`"
+
+    p99 = [QSpec(f"p99|{c}", value(c), 0.99) for c in P99_COLUMNS]
+    medians = [QSpec(f"median|{c}", value(c), 0.5) for c in MEDIAN_IMPUTED + DAY_IMPUTED]
+    q = exact_quantiles(f, segment_specs() + p99 + medians)
+    return (segment_stats(f, q), _usable({c: q[f"p99|{c}"] for c in P99_COLUMNS}),
+            {c: q[f"median|{c}"] for c in MEDIAN_IMPUTED + DAY_IMPUTED})
+
+
 def with_imputation(f: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     repl = {}
     for c, m in medians.items():

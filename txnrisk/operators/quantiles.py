@@ -1,17 +1,14 @@
 """Exact population quantiles without pulling a column into one task.
 
 ``percentile`` (exact) keeps a value->count map of the whole column in the
-final task; at billions of rows that is unbounded. Here each wanted order
-statistic keeps an interval that holds it:
-
-1. ``percentile_approx`` with a small sketch (``ACCURACY``) over the values
-   inside the intervals proposes two values around the wanted rank;
-2. one counting pass finds how many values are below, at and above the two.
-   Either the wanted rank is one of the two values, or it lies before, between
-   or after them, which is its next, much smaller interval;
-3. both repeat until an interval holds at most ``FEW`` values, which the driver
-   then looks at (a round leaves about a thousandth, so two rounds do for a
-   billion rows).
+final task; at billions of rows that is unbounded. Here every double becomes a
+64-bit integer of the same order (``sort_key``), and the wanted ranks are found
+digit by digit, 16 bits at a time: one aggregate counts the buckets of the next
+digit, a running sum over them finds the bucket of each rank, and the next
+aggregate reads only values under the prefixes found. All columns and ranks
+share the aggregates, ranks of a column share its buckets, no row is multiplied
+and four jobs do for any number of rows; a rank whose bucket holds one value is
+done earlier. The driver sees a row per rank and job.
 
 Quantiles interpolate linearly around rank p * (n - 1) (the definition of
 ``percentile`` and of DuckDB's ``quantile_cont``).
@@ -22,9 +19,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import from_sort_key, sort_key
+
 
 @dataclass(frozen=True)
 class QSpec:
@@ -46,66 +45,47 @@ def _long_values(df: DataFrame, exprs: list[Column | str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-ACCURACY = 5_000
-FEW = 50
+# Digits of the sort key, from the top: after the last a prefix is the key.
+SHIFTS = (48, 32, 16, 0)
 
 
 @dataclass
-class _Interval:
-    """Values of ``column`` from ``lo`` to ``hi`` (None: open), of which the one
-    of overall rank ``rank`` is wanted; ``below`` values are smaller than lo."""
+class _Rank:
+    """The value of ``rank`` among those of ``column``: among the values whose
+    key has the ``prefix``, the one after ``before`` smaller ones."""
 
     column: int
     rank: int
-    inside: int
-    below: int = 0
-    lo: float | None = None
-    hi: float | None = None
+    prefix: int
+    before: int
     value: float | None = None
 
 
-def _rows_inside(long: DataFrame, intervals: dict[int, _Interval]) -> DataFrame:
-    """``long`` with i: a row for each interval that holds its value."""
-    rows = [(i, b.column, b.lo, b.hi) for i, b in intervals.items()]
-    bounds = long.sparkSession.createDataFrame(rows, "i int, c int, lo double, hi double")  # one row per rank
-    return long.join(F.broadcast(bounds), "c").where(
-        (F.col("lo").isNull() | (F.col("v") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
-
-
-def _narrow(long: DataFrame, intervals: dict[int, _Interval]) -> None:
-    """One round: propose two values around each rank, count, and choose."""
-    wanted = {}
-    for i, b in intervals.items():
-        slack = 2.0 / ACCURACY
-        at = (b.rank - b.below + 0.5) / b.inside
-        wanted[i] = [round(min(1.0, max(0.0, x)), 12) for x in (at - slack, at + slack)]
-    ends = sorted({x for pair in wanted.values() for x in pair})
-    inside = _rows_inside(long, intervals)
-    sketch = {r["i"]: r["q"] for r in inside.groupBy("i").agg(F.percentile_approx("v", ends, ACCURACY).alias("q")).collect()}
-    pairs = {i: [float(sketch[i][ends.index(x)]) for x in wanted[i]] for i in intervals}
-    two = long.sparkSession.createDataFrame([(i, *x) for i, x in pairs.items()], "i int, x double, y double")  # one row per rank
-    v, x, y = F.col("v"), F.col("x"), F.col("y")
-    counts = inside.drop("lo", "hi").join(F.broadcast(two), "i").groupBy("i").agg(*[
-        F.count(F.when(test, 1)).alias(name) for name, test in (
-            ("before_x", v < x), ("to_x", v <= x), ("before_y", v < y), ("to_y", v <= y))]).collect()
-    for r in counts:
-        b, (low, high) = intervals[r["i"]], pairs[r["i"]]
-        k = b.rank - b.below
-        if k < r["before_x"]:
-            b.hi, b.inside = math.nextafter(low, -math.inf), r["before_x"]
-        elif k < r["to_x"]:
-            b.value = low
-        elif k < r["before_y"]:
-            b.lo, b.hi = math.nextafter(low, math.inf), math.nextafter(high, -math.inf)
-            b.below, b.inside = b.below + r["to_x"], r["before_y"] - r["to_x"]
-        elif k < r["to_y"]:
-            b.value = high
-        else:
-            b.lo, b.below, b.inside = math.nextafter(high, math.inf), b.below + r["to_y"], b.inside - r["to_y"]
+def _histogram(long: DataFrame, shift: int, wanted: DataFrame, live: DataFrame | None) -> DataFrame:
+    """The buckets that hold the wanted ranks, with the values in smaller
+    buckets (``before``) and the smallest and largest key in them."""
+    group = ["c"]
+    if live is not None:
+        parent = F.shiftright("k", shift + 16)
+        long = long.withColumn("parent", parent).join(F.broadcast(live), ["c", "parent"])
+        group = ["c", "parent"]
+    buckets = long.groupBy(*group, F.shiftright("k", shift).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
+    # at most 65,536 buckets of one digit
+    order = Window.partitionBy(*group).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    counted = (buckets.withColumn("upto", F.sum("n").over(order))
+                      .withColumn("total", F.sum("n").over(Window.partitionBy(*group))))
+    asked = counted.join(F.broadcast(wanted), group)
+    if live is None:
+        at = F.col("p") * (F.col("total") - 1)
+        asked = asked.withColumn("rank", F.explode(F.array(F.floor(at), F.ceil(at)).cast("array<long>")))
+    return (asked.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+                 .withColumn("before", F.col("upto") - F.col("n")))
 
 
 def exact_quantiles(df: DataFrame, specs: list[QSpec]) -> dict[str, float | None]:
-    """Exact quantiles for many (value, p) specs, all of them in the same jobs."""
+    """Exact quantiles for many (value, p) specs, all of them in the same jobs:
+    one per digit at most."""
     exprs: list[Column | str] = []
     key_of: dict[str, int] = {}
     for s in specs:
@@ -115,32 +95,36 @@ def exact_quantiles(df: DataFrame, specs: list[QSpec]) -> dict[str, float | None
             exprs.append(s.expr)
     if not specs:
         return {}
-    long = _long_values(df, exprs)
-    counts = {r["c"]: int(r["n"]) for r in long.groupBy("c").agg(F.count("v").alias("n")).collect()}
-    live: dict[int, _Interval] = {}
-    for i, s in enumerate(specs):
-        c = key_of[s.expr if isinstance(s.expr, str) else str(s.expr)]
-        if counts.get(c):
-            r = s.p * (counts[c] - 1)
-            live[2 * i] = _Interval(c, math.floor(r), counts[c])
-            live[2 * i + 1] = _Interval(c, math.ceil(r), counts[c])
-    while open_ := {i: b for i, b in live.items() if b.value is None and b.inside > FEW}:
-        _narrow(long, open_)
-    few = {i: b for i, b in live.items() if b.value is None}
-    held: dict[int, list[float]] = {}
-    if few:
-        for r in _rows_inside(long, few).select("i", "v").collect():  # at most FEW rows per rank
-            held.setdefault(r["i"], []).append(r["v"])
-    for i, b in few.items():
-        b.value = sorted(held[i])[b.rank - b.below]
+    spark = df.sparkSession
+    column = {s.name: key_of[s.expr if isinstance(s.expr, str) else str(s.expr)] for s in specs}
+    long = _long_values(df, exprs).select("c", sort_key(F.col("v")).alias("k"))
+    wanted = spark.createDataFrame(sorted({(column[s.name], float(s.p)) for s in specs}), "c int, p double")
+    totals: dict[int, int] = {}
+    ranks: dict[tuple[int, int], _Rank] = {}
+    for r in _histogram(long, SHIFTS[0], wanted, None).collect():
+        totals[r["c"]] = r["total"]
+        ranks[r["c"], r["rank"]] = _Rank(r["c"], r["rank"], r["prefix"], r["before"],
+                                         from_sort_key(r["low"]) if r["low"] == r["high"] else None)
+    for shift in SHIFTS[1:]:
+        open_ = [r for r in ranks.values() if r.value is None]
+        if not open_:
+            break
+        live = spark.createDataFrame(sorted({(r.column, r.prefix) for r in open_}), "c int, parent long")
+        wanted = spark.createDataFrame([(r.column, r.prefix, r.rank - r.before, r.rank) for r in open_],
+                                       "c int, parent long, rank long, overall long")
+        for found in _histogram(long, shift, wanted, live).collect():
+            r = ranks[found["c"], found["overall"]]
+            r.prefix, r.before = found["prefix"], r.before + found["before"]
+            r.value = from_sort_key(found["low"]) if found["low"] == found["high"] else None
     result: dict[str, float | None] = {}
-    for i, s in enumerate(specs):
-        low, high = live.get(2 * i), live.get(2 * i + 1)
-        if low is None:
+    for s in specs:
+        c = column[s.name]
+        if c not in totals:
             result[s.name] = None
             continue
-        r = s.p * (counts[low.column] - 1)
-        result[s.name] = low.value + (high.value - low.value) * (r - low.rank) if high.rank != low.rank else low.value
+        at = s.p * (totals[c] - 1)
+        low, high = ranks[c, math.floor(at)].value, ranks[c, math.ceil(at)].value
+        result[s.name] = low + (high - low) * (at - math.floor(at)) if high != low else low
     return result
 
 

@@ -68,13 +68,14 @@ def feature_table(inp: Inputs, impute: bool = True, checkpoint: bool = True,
     f = customer_base(inp)
     if checkpoint:
         f = materialize(f)
-    f = C.with_segment_ratios(f, C.segment_stats(f))
     f = C.with_profile_ratios(f)
+    segments, p99, medians = C.population_stats(f)
+    f = C.with_segment_ratios(f, segments)
     for c in C.COMPOSITE_INPUTS:
         f = f.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
-    f = C.with_composites(f, C.population_p99(f))
+    f = C.with_composites(f, p99)
     if impute:
-        f = C.with_imputation(f, C.impute_medians(f))
+        f = C.with_imputation(f, medians)
     cols = ["customer_id"] + FEATURE_COLUMNS
     f = f.select(*cols)
     if with_labels:
