@@ -40,6 +40,9 @@ def peer_vectors(scores: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=IF_COLS, outputCol="features").transform(scaled).select("customer_id", "features")
 
 
+ROWS_A_PARTITION = 50_000
+
+
 def fit_best(vectors: DataFrame, k: int, restarts: int = K.KMEANS_RESTARTS, seed: int = K.FOREST_SEED,
              threads: int = 8) -> KMeansModel:
     """One fit per seed, as parallel Spark jobs; the least training cost wins."""
@@ -56,10 +59,15 @@ def choose_clusters(vectors: DataFrame, start_k: int = K.KMEANS_START_K, floor_k
                     min_size: int = K.KMEANS_MIN_CLUSTER, restarts: int = K.KMEANS_RESTARTS,
                     seed: int = K.FOREST_SEED) -> tuple[KMeansModel, int]:
     """Fit k = start_k, start_k - 1, ... until the smallest cluster has at least
-    ``min_size`` members; below the floor keep the floor's fit."""
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)  # every fit passes over it many times
+    ``min_size`` members; below the floor keep the floor's fit. A k of which
+    ``min_size`` members each are more than there are needs no fit."""
+    n = vectors.count()
+    # every fit passes over it many times, with a task per partition
+    vectors = vectors.coalesce(n // ROWS_A_PARTITION + 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for k in range(start_k, floor_k - 1, -1):
+            if k > floor_k and n < k * min_size:
+                continue
             model = fit_best(vectors, k, restarts, seed)
             if min(model.summary.clusterSizes) >= min_size:
                 break

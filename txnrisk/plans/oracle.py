@@ -940,3 +940,18 @@ lt AS (SELECT customer_id, CAST(transaction_datetime AS DATE) AS day, count(*) A
        FROM txn WHERE customer_id % 10 = 3 AND month(transaction_datetime) <= 3 GROUP BY ALL)
 """ + sql_select(["customer_id", "day", "n_late", "late_volume"], "lt", {"day": "date"})
 
+ORACLE["src_rejected_rows"] = TXN + """,
+rj AS (SELECT channel AS item, count(*) AS n_good, count(DISTINCT customer_id) FILTER (WHERE customer_id % 7 = 0) AS n_rejected
+       FROM txn GROUP BY channel
+       UNION ALL SELECT 'kyc_individual', count(*) FILTER (WHERE cid % 50 <> 5), count(*) FILTER (WHERE cid % 50 = 5)
+       FROM (SELECT DISTINCT c_custkey // 10 AS cid FROM customer) WHERE cid % 4 < 3)
+""" + sql_select(["item", "n_good", "n_rejected"], "rj")
+
+ORACLE["src_export_features"] = KYCF + """,
+lost AS (SELECT *, customer_id % 50 = 5 AND customer_id % 4 < 3 AS is_lost FROM kf),
+xf AS (SELECT customer_id, transaction_count_total, total_volume, card_luxury_sum, sales,
+         CASE WHEN is_lost THEN 0 ELSE occupation_risk_high END AS occupation_risk_high,
+         CASE WHEN NOT is_lost THEN age END AS age, CASE WHEN NOT is_lost THEN customer_tenure_days END AS customer_tenure_days
+       FROM lost)
+""" + sql_select(["customer_id", "transaction_count_total", "total_volume", "card_luxury_sum", "occupation_risk_high",
+                  "sales", "age", "customer_tenure_days"], "xf")

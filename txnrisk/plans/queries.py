@@ -20,6 +20,7 @@ from ..operators.kyc import attach_kyc_risk_tiers
 from ..sources import fixtures as FX
 from ..sources.channels import unify_transactions, with_time_columns
 from . import pipeline as P
+from .job import export_inputs, peers_of, with_trace_items
 from .present import present
 from .stages import memo
 
@@ -374,14 +375,6 @@ def standin_clusters(anom: DataFrame) -> DataFrame:
     return anom.withColumn("cluster", F.least(F.floor(F.col("if_score_mean") * 10).cast("int"), F.lit(9)))
 
 
-def peers_of(clustered: DataFrame) -> DataFrame:
-    prof = PE.cluster_profile(clustered)
-    pct = PE.peer_percentile(clustered)
-    return pct.join(F.broadcast(prof.select("cluster", "cluster_risk_tier", "cluster_primary_typology")),
-                    "cluster").select("customer_id", "cluster", "cluster_risk_tier", "cluster_primary_typology",
-                                      "kmeans_score")
-
-
 @register("peer_profile")
 def q_peer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = PE.cluster_profile(standin_clusters(standin_anomaly(spark, sf_dir)))
@@ -635,12 +628,7 @@ from ..operators import evidence as EV  # noqa: E402
 def queue_table(spark: SparkSession, sf_dir: str, hybrid=standin_hybrid) -> DataFrame:
     """All evidence customers in rank order and batches, with their traces."""
     def build():
-        q = EV.queue(evidence_table(spark, sf_dir, hybrid))
-        pts = rule_table(spark, sf_dir)
-        point_cols = [F.col(f"`{R.indicator_column_name(t, i)}`") for _, t, i in R.indicator_ids()]
-        q = q.join(pts.select("customer_id", *point_cols), "customer_id") \
-             .withColumn("rule_indicator_trace_items", TR.trace_array())
-        return P.materialize(q.drop(*[R.indicator_column_name(t, i) for _, t, i in R.indicator_ids()]))
+        return P.materialize(with_trace_items(EV.queue(evidence_table(spark, sf_dir, hybrid)), rule_table(spark, sf_dir)))
     return memo(spark, sf_dir, f"queue-{hybrid.__name__}", build)
 
 
@@ -967,6 +955,48 @@ def q_missing_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             F.sum("amount_cad").alias("total_amount")))
 
 
+def write_exports(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    """The fixture as a folder of CSV exports with records that do not fit:
+    in each channel a further record whose amount is no number for every
+    seventh customer, and KYC incomes that are no numbers."""
+    from ..sources.channels import write_table
+
+    inp = inputs(spark, sf_dir)
+    for ch, t in channel_tables(spark, sf_dir).items():
+        amount = "amount" if "amount" in t.columns else "amount_cad"
+        once = t.where("customer_id % 7 = 0").groupBy("customer_id").agg(*[F.min(c).alias(c) for c in t.columns if c != "customer_id"])
+        bad = once.select(*[F.lit("n/a").alias(c) if c == amount else F.col(c).cast("string").alias(c) for c in t.columns])
+        lines = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns]).unionByName(bad)
+        write_table(lines, f"{directory}/{ch.lower()}.csv", "csv")
+    ind = inp.kyc_ind.withColumn("income", F.when(F.col("customer_id") % 50 == 5, F.lit("unknown")).otherwise(F.col("income").cast("string")))
+    for name, df in (("kyc_individual", ind), ("kyc_smallbusiness", inp.kyc_bus), ("kyc_occupation_codes", inp.occupation_codes),
+                     ("kyc_industry_codes", inp.industry_codes), ("labels", inp.labels)):
+        write_table(df, f"{directory}/{name}.csv", "csv")
+
+
+@register("src_rejected_rows")
+def q_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a folder of exports by file: read, and set aside because a
+    value does not fit its type."""
+    d = _scratch(spark, "exports")
+    write_exports(spark, sf_dir, d)
+    inp, rejects = export_inputs(spark, d, FX.AS_OF)
+    good = inp.txn.groupBy(F.col("channel").alias("item")).agg(F.count(F.lit(1)).alias("n_good")).unionByName(
+        inp.kyc_ind.agg(F.lit("kyc_individual").alias("item"), F.count(F.lit(1)).alias("n_good")))
+    bad = rejects.groupBy(F.col("source").alias("item")).agg(F.count(F.lit(1)).alias("n_rejected"))
+    return present(good.join(bad, "item", "left").na.fill(0, ["n_rejected"]))
+
+
+@register("src_export_features")
+def q_export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer features from a folder of CSV exports."""
+    d = _scratch(spark, "exports")
+    write_exports(spark, sf_dir, d)
+    inp, _ = export_inputs(spark, d, FX.AS_OF)
+    return present(P.customer_base(inp).select("customer_id", "transaction_count_total", "total_volume", "card_luxury_sum",
+                                               "occupation_risk_high", "sales", "age", "customer_tenure_days"))
+
+
 @register("sink_results")
 def q_sink_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full and the high-risk score table, written and read back."""
