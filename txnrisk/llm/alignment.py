@@ -90,7 +90,7 @@ class TwoTokenizers:
                         for i, p in enumerate(pieces)]
         self.a_lengths = np.array(list(map(len, self.a_bytes)), dtype=np.int64)
         self.b_lengths = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.forget()
 
     @staticmethod
     def _in_order(ids: dict) -> list[bytes]:
@@ -98,7 +98,7 @@ class TwoTokenizers:
         return [by_id.get(i, b"") for i in range(max(by_id) + 1)]
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k != "b"} | {"known": {}}
+        return {k: v for k, v in vars(self).items() if k != "b"} | {"known": {}, "sides": [([], []), ([], [])]}
 
     @cached_property
     def b(self):
@@ -115,31 +115,26 @@ class TwoTokenizers:
             return [w[1:] for w in BORDER.split(spaced)]
         return text.split(" ")
 
-    def ids(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Both sides' ids (unsigned 32-bit) of distinct words; none where the
-        bytes of a side differ from the word."""
+    def learn(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words under which ``cut`` gives their ids."""
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
+            self.forget()
         odd, plain = [], []
         for w in words:
-            if w not in known:
+            if w not in self.known:
                 (odd if " " in w or w[0].isspace() else plain).append(w)
-        if not self._together(plain):
+        if plain and not self._together(plain):
             odd += plain
         for w, b in zip(odd, self.b.encode(odd, num_threads=1) if odd else [], strict=True):
-            spaced = " " + w
-            a, whole = self.a(spaced), spaced.encode()
+            a, whole = self.a(" " + w), (" " + w).encode()
             same = (b"".join(map(self.a_bytes.__getitem__, a)) == whole
                     and b"".join(map(self.b_bytes.__getitem__, b)) == whole)
-            known[w] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
-        return [known[w] for w in words]
+            self._add([w], (a, b) if same else ([], []), ([len(a)], [len(b)]) if same else ([0], [0]))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def _together(self, words: list[str]) -> bool:
         """Learn words that may stand in one text, where all of them are given
         back byte by byte."""
-        if not words:
-            return True
         text = " " + " ".join(words)
         whole = text.encode()
         a, per_word = self.a(text), self.b.encode(words, num_threads=1)
@@ -148,28 +143,35 @@ class TwoTokenizers:
                 or b"".join(map(self.b_bytes.__getitem__, b)) != whole):
             return False
         sizes = list(map(len, words)) if text.isascii() else [len(w.encode()) for w in words]
-        ends = np.cumsum(np.array(sizes) + 1)
-        stop = [np.searchsorted(np.cumsum(lengths[ids]), ends) + 1
-                for ids, lengths in ((a, self.a_lengths), (b, self.b_lengths))]
-        if (np.cumsum(self.a_lengths[a])[stop[0] - 1] != ends).any() or (np.diff(stop[1], prepend=0) != list(map(len, per_word))).any():
+        ends, reached = np.cumsum(np.array(sizes) + 1), np.cumsum(self.a_lengths[a])
+        stop = np.searchsorted(reached, ends) + 1
+        n_b = np.array(list(map(len, per_word)))
+        if (reached[stop - 1] != ends).any() or (np.cumsum(self.b_lengths[b])[np.cumsum(n_b) - 1] != ends).any():
             return False
-        raw = [np.array(x, "<u4").tobytes() for x in (a, b)]
-        cuts = [(4 * x).tolist() for x in stop]
-        for w, i, j, k, m in zip(words, [0, *cuts[0]], cuts[0], [0, *cuts[1]], cuts[1]):
-            self.known[w] = raw[0][i:j], raw[1][k:m]
+        self._add(words, (a, b), (np.diff(stop, prepend=0), n_b))
         return True
 
+    def _add(self, words: list[str], ids: tuple, counts: tuple) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        for side, new, n in zip(self.sides, ids, counts):
+            side[0].append(np.array(new, dtype=np.uint32))
+            side[1].append(np.array(n, dtype=np.int64))
 
-def distinct(values: np.ndarray) -> np.ndarray:
-    """Sorted distinct values; sorts in place."""
-    values.sort()
-    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
-
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.sides: list[tuple[list[np.ndarray], list[np.ndarray]]] = [([], []), ([], [])]
 
-def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of a sorted array and how often each stands there."""
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
-    return ordered[at], np.diff(at, append=len(ordered))
+    def cut(self, numbers: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per side the ids of the words one after another, and how many each
+        has: none on either side if a side does not give the word back."""
+        out = []
+        for ids, counts in self.sides:
+            ids[:], counts[:] = [np.concatenate(ids)], [np.concatenate(counts)]
+            times = counts[0][numbers]
+            start = (np.cumsum(counts[0]) - counts[0])[numbers]
+            at = np.repeat(start - np.cumsum(times) + times, times) + np.arange(times.sum())
+            out.append((ids[0][at].astype(np.int64), times))
+        return out
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -184,6 +186,18 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return [raw[e - n:e] for e, n in zip(ends, raw[1:1 + raw[0]], strict=True)]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorts in place."""
+    values.sort()
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a sorted array and how often each stands there."""
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
+    return ordered[at], np.diff(at, append=len(ordered))
+
+
 class Aligned:
     """Words of a block, aligned: per word its groups, and its linked pairs as
     rows ``codes[from_[w]:from_[w + 1]]`` (a * |B| + b) with their numbers of
@@ -283,20 +297,16 @@ def block_rows(both: TwoTokenizers, block: int, ids: list, texts: list[str | Non
     word = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
     del words, flat
     doc = np.repeat(np.arange(len(per_doc)), per_doc)
-    found = both.ids(list(numbers))
-    bad = np.array([f is None for f in found], dtype=bool)
+    sides = both.cut(both.learn(list(numbers))) if numbers else [(np.zeros(0, dtype=np.int64),) * 2] * 2
+    bad = sides[0][1] == 0
     if bad.any():
         lost = np.zeros(len(per_doc), dtype=bool)
         lost[doc[bad[word]]] = True
         word, doc = word[~lost[doc]], doc[~lost[doc]]
         per_doc[lost] = 0
-    sides = [[f[s] if f else b"" for f in found] for s in (0, 1)]
-    ids_of = [np.frombuffer(b"".join(s), "<u4").astype(np.int64) for s in sides]
-    counts = [np.array(list(map(len, s)), dtype=np.int64) // 4 for s in sides]
     known = np.array([i is not None for i in ids], dtype=bool)
-    rows = [(block, -1, len(ids), pack(np.array([i or 0 for i in ids]), known, per_doc, word,
-                                       ids_of[0], counts[0], ids_of[1], counts[1]))]
-    aligned = Aligned(ids_of[0], counts[0], ids_of[1], counts[1], both.a_lengths, both.b_lengths)
+    rows = [(block, -1, len(ids), pack(np.array([i or 0 for i in ids]), known, per_doc, word, *sides[0], *sides[1]))]
+    aligned = Aligned(*sides[0], *sides[1], both.a_lengths, both.b_lengths)
     codes, held = aligned.doc_pairs(word, doc)
     in_slice = (mixed(codes, slices) % np.uint64(slices)).astype(np.int64)
     order = np.argsort(in_slice, kind="stable")
@@ -332,7 +342,7 @@ def read_blocks(docs: DataFrame, both: TwoTokenizers, slices: int, block_bytes:
                     yield frame()
         if ids:
             yield frame()
-        both.known.clear()
+        both.forget()
         give_back()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -439,7 +449,7 @@ def highest_counts(table: DataFrame, n_a: int, n_b: int) -> np.ndarray:
     return best
 
 
-def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 2 << 20,
+def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128, block_bytes: int = 1 << 20,
                     keys_per_group: int = 1 << 17, fan_in: int = 16) -> DataFrame:
     """Per document its groups as text and, over its links, their number, how
     many have their A id's highest count and the sum of their counts."""
@@ -490,6 +500,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, slices: int = 128
         texts = aligned.texts(labels(max(n_a, n_b)))
         whole = list(map(texts.__getitem__, word.tolist()))
         ends = from_.tolist()
+        give_back()  # beside the executor's heap there is little room
         return pd.DataFrame({
             "doc_id": pd.array(ids, dtype="Int64").copy() if known.all() else pd.array(
                 [i if k else None for i, k in zip(ids.tolist(), known.tolist(), strict=True)], dtype="Int64"),
