@@ -39,3 +39,15 @@ def test_read_catalogue_csv(spark, tmp_path):
     assert set(rows) == {"A-1", "B-2"}
     assert rows["A-1"]["transaction_type"] == ["ABM", "Card"]
     _ = F
+
+
+def test_mcc_descriptions(spark):
+    rows = [("5411",), ("3000",), ("3005",), ("3299",), ("3300",), ("3501",), ("3999",), ("x",), (None,), ("3351",), ("5411",)]
+    df = spark.createDataFrame(rows, "mcc string")
+    wide = CA.mcc_intervals(spark).union(spark.createDataFrame([(3005, 3005, "One carrier")], "low int, high int, description string"))
+    got = sorted(((repr(r.mcc), r.description) for r in CA.with_mcc_description(df, wide).collect()), key=repr)
+    airline = "Airlines (General Category)"
+    assert got == sorted([("'5411'", "Grocery Stores, Supermarkets")] * 2 + [
+        ("'3000'", airline), ("'3005'", "One carrier"), ("'3299'", airline), ("'3300'", None),
+        ("'3501'", "Hotels, Motels, Resorts"), ("'3999'", "Hotels, Motels, Resorts"), ("'x'", None), ("None", None),
+        ("'3351'", "Car Rental Agencies")], key=repr)

@@ -38,6 +38,26 @@ def test_explanations_csv_and_batch_checkpoint(spark, tmp_path):
     assert [r["batch_id"] for r in left] == [1]
 
 
+def test_a_run_that_ends_early_leaves_no_duplicate_and_no_loss(spark, tmp_path):
+    done = str(tmp_path / "done")
+    rows = spark.createDataFrame([(b, c, f"answer {c}") for b in range(3) for c in range(10 * b, 10 * b + 4)],
+                                 "batch_id int, customer_id long, explanation string")
+    sinks.append_batch_results(rows.where("batch_id = 0"), done)
+    # ends between the rows and the ledger, with fewer and other rows than the next run has
+    sinks.write_batch_rows(rows.where("batch_id = 1 and customer_id < 12").selectExpr("batch_id", "customer_id", "'old' AS explanation"), done)
+    assert sinks.finished_batches(spark, done).count() == 4
+    todo = sinks.pending_batches(spark, rows, done)
+    assert sorted(r.batch_id for r in todo.select("batch_id").distinct().collect()) == [1, 2]
+    sinks.append_batch_results(todo, done)
+    got = sorted((r.batch_id, r.customer_id, r.explanation) for r in sinks.finished_batches(spark, done).collect())
+    assert got == sorted(tuple(r) for r in rows.collect())
+    assert sinks.pending_batches(spark, rows, done).count() == 0
+    sinks.append_batch_results(rows.where("batch_id = 2"), done)  # done again
+    assert sinks.finished_batches(spark, done).count() == rows.count()
+    sinks.append_batch_results(rows.limit(0), done)
+    assert sinks.finished_batches(spark, done).count() == rows.count()
+
+
 def test_save_models_and_missing_columns(spark, tmp_path):
     import pandas as pd
     nodes = pd.DataFrame({"typology": ["t"], "tree": [0], "node": [0]})

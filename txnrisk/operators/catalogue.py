@@ -87,3 +87,31 @@ def trace_pairs(trace_items: DataFrame, items_col: str = "rule_indicator_trace_i
 def indicator_mcc(spark: SparkSession) -> DataFrame:
     rows = [(ind, str(m)) for ind, codes in K.INDICATOR_MCC.items() for m in codes]
     return spark.createDataFrame(rows, "indicator_id string, mcc string")
+
+
+BIN = 100
+
+
+def mcc_intervals(spark: SparkSession) -> DataFrame:
+    """(low, high, description): one interval per code, wider for the codes
+    that open a range."""
+    rows = [(code, K.MCC_RANGES.get(code, code), text) for code, text in K.MCC_DESCRIPTIONS.items()]
+    return spark.createDataFrame(rows, "low int, high int, description string")
+
+
+def with_mcc_description(df: DataFrame, intervals: DataFrame, code: str = "mcc") -> DataFrame:
+    """``df`` with the ``description`` of its merchant category code (text):
+    that of the narrowest interval around it; NULL outside all and for codes
+    that are no numbers.
+
+    A range join as an equi-join: an interval stands in every bin of codes that
+    it meets, and a code looks in its own. The codes are described once each,
+    before they meet the rows."""
+    number = F.expr(f"try_cast(`{code}` AS int)")
+    first, last = F.floor(F.col("low") / BIN), F.floor(F.col("high") / BIN)
+    binned = intervals.withColumn("bin", F.explode(F.sequence(first, last)))
+    codes = df.select(F.col(code), number.alias("number")).where("number IS NOT NULL").distinct()
+    described = (codes.withColumn("bin", F.floor(F.col("number") / BIN)).join(binned, "bin")
+                      .where((F.col("number") >= F.col("low")) & (F.col("number") <= F.col("high")))
+                      .groupBy(code).agg(F.min_by("description", F.struct(F.col("high") - F.col("low"), "low")).alias("description")))
+    return df.join(F.broadcast(described), code, "left")  # codes of four digits: at most 10,000 rows

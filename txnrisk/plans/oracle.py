@@ -818,15 +818,27 @@ co AS (
                  {"ind_a": "s", "ind_b": "s", "catalogued": "i"})
 
 _IMCC = ", ".join(f"({_sq(i)}, {_sq(str(m))})" for i, codes in _K.INDICATOR_MCC.items() for m in codes)
+_MCC_ROWS = ", ".join(f"({c}, {_K.MCC_RANGES.get(c, c)}, {_sq(d)})" for c, d in _K.MCC_DESCRIPTIONS.items())
+_DESCRIBED = f"""mccs(low, high, description) AS (VALUES {_MCC_ROWS}),
+ds AS (SELECT DISTINCT t.mcc, arg_min(m.description, (m.high - m.low) * 10000 + m.low) AS description
+       FROM (SELECT DISTINCT mcc FROM txn) t JOIN mccs m ON TRY_CAST(t.mcc AS INTEGER) BETWEEN m.low AND m.high GROUP BY t.mcc)"""
 ORACLE["mcc_indicator_hits"] = CATQ + f""",
 imcc(indicator_id, mcc) AS (VALUES {_IMCC}),
+{_DESCRIBED},
 mh AS (
   SELECT m.indicator_id, count(*) AS n_txn, count(DISTINCT t.customer_id) AS n_customers,
-    sum(t.amount_cad) AS total_amount, count(DISTINCT t.mcc) AS n_mcc_seen
-  FROM txn t JOIN imcc m ON t.mcc = m.mcc WHERE t.channel = 'Card' GROUP BY m.indicator_id
+    sum(t.amount_cad) AS total_amount, count(DISTINCT t.mcc) AS n_mcc_seen,
+    coalesce(string_agg(DISTINCT ds.description, '; ' ORDER BY ds.description), '') AS descriptions
+  FROM txn t JOIN imcc m ON t.mcc = m.mcc LEFT JOIN ds ON t.mcc = ds.mcc WHERE t.channel = 'Card' GROUP BY m.indicator_id
 )
-""" + sql_select(["indicator_id", "n_txn", "n_customers", "total_amount", "n_mcc_seen"], "mh",
-                 {"n_txn": "i", "total_amount": "d"})
+""" + sql_select(["indicator_id", "n_txn", "n_customers", "total_amount", "n_mcc_seen", "descriptions"], "mh",
+                 {"n_txn": "i", "total_amount": "d", "descriptions": "s"})
+
+ORACLE["card_mcc_profile"] = TXN + f""",
+{_DESCRIBED},
+mp AS (SELECT t.mcc, any_value(ds.description) AS description, count(*) AS n_txn, sum(t.amount_cad) AS total_amount
+       FROM txn t LEFT JOIN ds ON t.mcc = ds.mcc WHERE t.channel = 'Card' GROUP BY t.mcc)
+""" + sql_select(["mcc", "description", "n_txn", "total_amount"], "mp", {"mcc": "s", "description": "s"})
 
 ORACLE["rule_catalogue_gap"] = CATQ + """,
 allids AS (SELECT id AS indicator_id FROM cat UNION SELECT indicator_id FROM rids),

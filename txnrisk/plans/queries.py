@@ -755,14 +755,24 @@ def q_mcc_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = inputs(spark, sf_dir).txn.where(F.col("channel") == "Card") \
         .select("customer_id", "amount_cad", FE.mcc_code().alias("mcc"))
     m = CA.indicator_mcc(spark)
-    j = t.join(F.broadcast(m), "mcc")  # fixed map, about 150 rows
+    j = CA.with_mcc_description(t.join(F.broadcast(m), "mcc"), CA.mcc_intervals(spark))  # fixed map, about 150 rows
     agg = j.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n_txn"),
                                         F.count_distinct("customer_id").alias("n_customers"),
                                         F.sum("amount_cad").alias("total_amount"),
-                                        F.count_distinct("mcc").alias("n_mcc_seen"))
+                                        F.count_distinct("mcc").alias("n_mcc_seen"),
+                                        F.array_join(F.array_sort(F.collect_set("description")), "; ").alias("descriptions"))
     return present(agg)
 
 
+@register("card_mcc_profile")
+def q_mcc_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card transactions per merchant category with its description."""
+    t = inputs(spark, sf_dir).txn.where(F.col("channel") == "Card").select(
+        "customer_id", "amount_cad", FE.mcc_code().alias("mcc"))
+    per = t.groupBy("mcc").agg(F.count(F.lit(1)).alias("n_txn"), F.sum("amount_cad").alias("total_amount"))
+    return present(CA.with_mcc_description(per, CA.mcc_intervals(spark)))
+
+
 @register("rule_catalogue_gap")
 def q_rule_catalogue_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every indicator id known to the catalogue or the rule table, whether it
@@ -1028,9 +1038,10 @@ def q_sink_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     done, out = _scratch(spark, "batches"), _scratch(spark, "explanations")
     rows = EV.reconcile(queue_table(spark, sf_dir), EV.parse_responses(responses(spark, sf_dir)))
     rows = P.materialize(rows.select("batch_id", "customer_id", "explanation"))
+    SK.write_batch_rows(rows.where("batch_id % 2 = 1"), done)  # a run that ended before its ledger entry
     SK.append_batch_results(rows.where("batch_id % 2 = 0"), done)
     SK.append_batch_results(SK.pending_batches(spark, rows, done), done)
-    SK.write_explanations(spark.read.parquet(done), out)
+    SK.write_explanations(SK.finished_batches(spark, done), out)
     back = spark.read.option("header", True).option("escape", '"').csv(out)
     return present(back.select("customer_id", "explanation"))
 

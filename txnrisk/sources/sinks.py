@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import write_stage_table
 from .channels import path_exists
 
 
@@ -75,15 +76,39 @@ def write_explanations(explanations: DataFrame, path: str) -> None:
         .option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
 
 
+# Batch results: the rows, a folder per batch, and a ledger of the batches
+# whose rows are complete. Rows are written first and replace what an ended run
+# left of their batch; the ledger entry comes last, and only batches in the
+# ledger are read. So a batch counts once, wherever a run ends.
+
+def _ledger(spark: SparkSession, done_path: str) -> DataFrame:
+    path = f"{done_path.rstrip('/')}/ledger"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "batch_id int")
+    return spark.read.schema("batch_id int").parquet(path).distinct()
+
+
 def pending_batches(spark: SparkSession, requests: DataFrame, done_path: str) -> DataFrame:
-    """Requests whose batch has no finished result yet (anti join against the
-    checkpoint table), so a re-run resumes where the last one stopped."""
-    if not path_exists(spark, done_path):
-        return requests
-    done = spark.read.parquet(done_path).select("batch_id").distinct()
-    return requests.join(done, "batch_id", "left_anti")
+    """Requests whose batch is not in the ledger, so a re-run resumes where the
+    last one stopped."""
+    return requests.join(_ledger(spark, done_path), "batch_id", "left_anti")
+
+
+def write_batch_rows(results: DataFrame, done_path: str) -> None:
+    """Rows of some batches, in place of any that those batches have."""
+    (results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+            .parquet(f"{done_path.rstrip('/')}/rows"))
 
 
 def append_batch_results(results: DataFrame, done_path: str) -> None:
-    """Append finished batches, one partition per batch id."""
-    results.write.mode("append").partitionBy("batch_id").parquet(done_path)
+    """Finish batches: their rows, then their entries in the ledger."""
+    results = write_stage_table(results, "batch-results")  # rows and ledger from one computation
+    write_batch_rows(results, done_path)
+    batches = results.select(F.col("batch_id").cast("int").alias("batch_id")).distinct()
+    batches.coalesce(1).write.mode("append").parquet(f"{done_path.rstrip('/')}/ledger")
+
+
+def finished_batches(spark: SparkSession, done_path: str) -> DataFrame:
+    """The rows of all batches in the ledger."""
+    rows = spark.read.parquet(f"{done_path.rstrip('/')}/rows")
+    return rows.join(_ledger(spark, done_path), "batch_id", "left_semi")
