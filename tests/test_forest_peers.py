@@ -63,18 +63,31 @@ def _blobs(spark, centers, n, scale, seed):
 
 
 def test_kmeans_recovers_blobs_and_survives_saving(spark, tmp_path):
+    from pyspark.ml.clustering import KMeansModel
+
     from txnrisk.operators import peers as PE
-    from txnrisk.sources import sinks
 
     v = _blobs(spark, [[0, 0, 0, 0, 0], [6, 6, 0, 0, 0], [0, 0, 6, 6, 6]], 120, 0.3, 2)
     model, k = PE.choose_clusters(v, start_k=5, floor_k=2, min_size=100, restarts=3)
     assert k == 3 and sorted(model.summary.clusterSizes) == [120, 120, 120]
     was = {r.customer_id: r.cluster for r in PE.assign_clusters(v, model).collect()}
     assert [len({was[i] for i in range(a, a + 120)}) for a in (0, 120, 240)] == [1, 1, 1] and len(set(was.values())) == 3
-    sinks.save_models(spark, str(tmp_path / "m"), {"t": ["a"]}, None, model, k)
-    loaded = sinks.load_models(spark, str(tmp_path / "m"))
-    assert loaded.k == 3 and loaded.nodes is None
-    assert {r.customer_id: r.cluster for r in PE.assign_clusters(v, loaded.kmeans).collect()} == was
+    model.write().save(str(tmp_path / "m"))
+    loaded = KMeansModel.load(str(tmp_path / "m"))
+    assert {r.customer_id: r.cluster for r in PE.assign_clusters(v, loaded).collect()} == was
+
+
+def test_a_k_that_cannot_pass_is_not_fitted(spark, monkeypatch):
+    from txnrisk.operators import peers as PE
+
+    fitted = []
+    fit = PE.fit_best
+    monkeypatch.setattr(PE, "fit_best", lambda v, k, *a: fitted.append(k) or fit(v, k, *a))
+    v = _blobs(spark, [[0, 0, 0, 0, 0], [6, 6, 0, 0, 0]], 50, 0.3, 2)
+    _, k = PE.choose_clusters(v, start_k=6, floor_k=2, min_size=30, restarts=1)
+    assert k == 2 and fitted == [3, 2]  # 100 customers: four clusters of 30 are too many
+    fitted.clear()
+    assert PE.choose_clusters(v, start_k=6, floor_k=4, min_size=300, restarts=1)[1] == 4 and fitted == [4]
 
 
 def test_silhouette_prefers_true_k(spark):

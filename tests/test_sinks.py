@@ -1,5 +1,3 @@
-import json
-
 import pytest
 
 from txnrisk.operators.validate import missing_columns
@@ -58,11 +56,6 @@ def test_a_run_that_ends_early_leaves_no_duplicate_and_no_loss(spark, tmp_path):
     assert sinks.finished_batches(spark, done).count() == rows.count()
 
 
-def test_save_models_and_missing_columns(spark, tmp_path):
-    import pandas as pd
-    nodes = pd.DataFrame({"typology": ["t"], "tree": [0], "node": [0]})
-    sinks.save_models(spark, str(tmp_path / "m"), {"t": ["a"]}, nodes, None, 5, ["if_score_t"])
-    meta = json.loads(spark.read.json(str(tmp_path / "m" / "metadata")).first()["metadata"])
-    assert meta["k"] == 5 and meta["feature_sets"] == {"t": ["a"]}
+def test_missing_columns(spark):
     df = spark.createDataFrame([(1, 2.0)], "customer_id long, x double")
     assert missing_columns(df, ["customer_id", "y", "x"]) == ["y"]

@@ -3,13 +3,10 @@ scaling, and an isolation forest trained and scored as Spark jobs.
 
 Forest plan (per typology, all typologies in one job):
 
-1. Sampling without exploding rows x trees: a row enters the candidate pool
-   when ``h0(row) < p_row`` (one hash per row, p_row = min(1, 600 * thr)),
-   then a (row, tree) pair is kept when ``h(row, tree) < thr / p_row``. Every
-   pair is kept with probability ``thr`` = 1.5 * sample / n, but only about
-   ``600 * 384`` rows are ever expanded, whatever n is. The ``sample``
-   smallest pair hashes per (typology, tree) form the tree's sample: groups
-   of about 384 rows, bounded by construction.
+1. Sampling without exploding rows x trees: a (row, tree) pair is kept when its
+   hash is below ``thr`` = 1.5 * sample / n, inside the array of tree ids, so
+   only kept pairs become rows (some 1.5 * sample per tree, whatever n is). The
+   ``sample`` smallest hashes per (typology, tree) form the tree's sample.
 2. ``groupBy(typology, tree).applyInPandas`` grows one isolation tree per
    group (random feature, uniform split between the node's min and max,
    depth limit ceil(log2(sample))) and returns its node table.
@@ -26,7 +23,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -255,11 +252,14 @@ def _path_lengths(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
 
 
 def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame,
-                 sample: int = K.FOREST_SAMPLE) -> DataFrame:
-    """Raw anomaly score 2^(-E[h]/c(sample)) per customer and typology."""
+                 sample: int = K.FOREST_SAMPLE, per_tree: int | None = None) -> DataFrame:
+    """Raw anomaly score 2^(-E[h]/c(sample)) per customer and typology.
+    ``per_tree``: the rows that each tree was grown from, where ``mat`` isn't
+    the population that the forest was grown from."""
     spark = mat.sparkSession
-    n = mat.count()
-    per_tree = min(sample, n) if n else sample
+    if per_tree is None:
+        n = mat.count()
+        per_tree = min(sample, n) if n else sample
     cn = c_factor(per_tree)
     bc = spark.sparkContext.broadcast(flat_trees(nodes))
     cols = {t: [f"{t}__{c}" for c in sets[t]] for t in K.TYPOLOGIES}
@@ -284,21 +284,36 @@ def score_forest(mat: DataFrame, sets: dict[str, list[str]], nodes: pd.DataFrame
     return mat.mapInPandas(run, schema)
 
 
-def normalise_scores(raw: DataFrame) -> DataFrame:
-    """Min-max per typology: 1 = most anomalous; constant -> 0. The raw scores
-    are staged, so the forest scores every customer once."""
-    raw = write_stage_table(raw, "raw-scores")
+def score_ranges(raw: DataFrame) -> dict[str, list[float | None]]:
+    """Smallest and largest raw score per typology."""
     agg = raw.agg(*[x for t in K.TYPOLOGIES for x in (F.min(f"raw_{t}").alias(f"mn_{t}"),
                                                        F.max(f"raw_{t}").alias(f"mx_{t}"))]).first()
+    return {t: [agg[f"mn_{t}"], agg[f"mx_{t}"]] for t in K.TYPOLOGIES}
+
+
+def scaled_scores(raw: DataFrame, ranges: dict[str, list[float | None]]) -> DataFrame:
+    """Min-max per typology: 1 = most anomalous; constant -> 0. Scores beyond
+    the ranges (of customers who were not there) are clipped."""
     cols = [F.col("customer_id")]
     for t in K.TYPOLOGIES:
-        mn = F.lit(agg[f"mn_{t}"]).cast("double")
-        rng = F.lit(agg[f"mx_{t}"]).cast("double") - mn
-        cols.append(F.when(rng == 0, F.lit(0.0))
-                     .otherwise((F.col(f"raw_{t}") - mn) / rng).alias(f"if_score_{t}"))
+        low, high = (F.lit(x).cast("double") for x in ranges[t])
+        score = (F.least(F.greatest(F.col(f"raw_{t}"), low), high) - low) / (high - low)
+        cols.append(F.when(high - low == 0, F.lit(0.0)).otherwise(score).alias(f"if_score_{t}"))
     return raw.select(*cols)
 
 
+def normalise_scores(raw: DataFrame) -> DataFrame:
+    """``scaled_scores`` by the population's own ranges. The raw scores are
+    staged, so the forest scores every customer once."""
+    raw = write_stage_table(raw, "raw-scores")
+    return scaled_scores(raw, score_ranges(raw))
+
+
+def node_frame(spark: SparkSession, nodes: pd.DataFrame) -> DataFrame:
+    """The node table as a DataFrame, also when it is empty."""
+    return spark.createDataFrame(nodes, NODE_SCHEMA) if len(nodes) else spark.createDataFrame([], NODE_SCHEMA)
+
+
 def with_score_rollup(scores: DataFrame) -> DataFrame:
     """if_score_max, if_score_mean, primary_typology (long label, first max
     wins), risk_category."""

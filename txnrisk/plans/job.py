@@ -19,6 +19,7 @@ from .. import constants as K
 from ..operators import anomaly as AN
 from ..operators import evidence as EV
 from ..operators import fusion as FU
+from ..operators import models as MO
 from ..operators import peers as PE
 from ..operators import rules as R
 from ..operators import trace as TR
@@ -67,13 +68,12 @@ def run_job(spark: SparkSession, source: str, out: str, as_of: str | None = None
     kept(rejects, "rejects")
     features = kept(P.feature_table(inputs), "features")
     rules = kept(TR.with_indicator_trace(R.with_rule_summary(R.rule_points(features))), "rules")
-    scored, nodes, sets, logged = AN.fit_and_score(features, trees=trees)
-    scored = kept(scored, "anomaly_scores")
-    vectors = PE.peer_vectors(scored)
-    model, k = PE.choose_clusters(vectors, min_size=min_cluster, restarts=restarts)
-    SK.save_models(spark, f"{out}/models", sets, nodes, model, k, list(PE.IF_COLS), sorted(logged))
-    clusters = write_stage_table(PE.assign_clusters(vectors, model), "clusters")
-    anomaly = AN.with_score_rollup(scored).join(features.select("customer_id", F.col("label").alias("actual_label")), "customer_id")
+    model = MO.scoring_pipeline(trees, min_cluster, restarts).fit(features)
+    model.write().overwrite().save(f"{out}/models")
+    scored = kept(model.transform(features).select("customer_id", *PE.IF_COLS, F.col("prediction").cast("int").alias("cluster")),
+                  "anomaly_scores")
+    clusters = scored.select("customer_id", "cluster")
+    anomaly = AN.with_score_rollup(scored.drop("cluster")).join(features.select("customer_id", F.col("label").alias("actual_label")), "customer_id")
     hybrid = write_stage_table(FU.fuse(anomaly, rules, peers_of(anomaly.join(clusters, "customer_id"))), "hybrid")
     SK.write_results(hybrid, f"{out}/scores", "final_hybrid_score")
     kept(FU.predicted_labels(hybrid), "labels")

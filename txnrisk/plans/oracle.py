@@ -967,3 +967,7 @@ xf AS (SELECT customer_id, transaction_count_total, total_volume, card_luxury_su
        FROM lost)
 """ + sql_select(["customer_id", "transaction_count_total", "total_volume", "card_luxury_sum", "occupation_risk_high",
                   "sales", "age", "customer_tenure_days"], "xf")
+
+ORACLE["model_round_trip"] = TXN + """,
+mr AS (SELECT count(DISTINCT customer_id) AS n_customers, 0.0 AS largest_gap, 0 AS n_moved FROM txn)
+""" + sql_select(["n_customers", "largest_gap", "n_moved"], "mr")

@@ -1,14 +1,9 @@
-"""Result sinks: scored tables and their high-risk extracts, model and
-metadata persistence, the explanations CSV, and batch-level checkpointing
-of narrative work (a re-run skips finished batches)."""
+"""Result sinks: scored tables and their high-risk extracts, the explanations
+CSV, and batch-level checkpointing of narrative work (a re-run skips finished
+batches). Models save themselves (``operators.models``)."""
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass
-
-import pandas as pd
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,39 +24,6 @@ def write_results(scored: DataFrame, path: str, score: str, threshold: float = K
     high_risk_extract(scored, score, threshold).write.mode("overwrite").parquet(f"{path.rstrip('/')}/high_risk")
 
 
-def save_models(spark: SparkSession, path: str, feature_sets: dict[str, list[str]], nodes_pdf,
-                kmeans_model: KMeansModel | None = None, k: int | None = None, score_columns: list[str] | None = None,
-                logged: list[str] | None = None) -> None:
-    """Forest node table (parquet), KMeans model (MLlib writer) and a one-row
-    JSON metadata table (feature sets, log columns, score columns, chosen k)."""
-    base = path.rstrip("/")
-    if nodes_pdf is not None and len(nodes_pdf):
-        spark.createDataFrame(nodes_pdf).write.mode("overwrite").parquet(f"{base}/forest_nodes")
-    if kmeans_model is not None:
-        kmeans_model.write().overwrite().save(f"{base}/kmeans")
-    meta = {"feature_sets": feature_sets, "score_columns": score_columns or [], "k": k, "logged": logged or []}
-    spark.createDataFrame([(json.dumps(meta),)], "metadata string").write.mode("overwrite").json(f"{base}/metadata")
-
-
-@dataclass
-class Models:
-    nodes: pd.DataFrame | None
-    kmeans: KMeansModel | None
-    feature_sets: dict[str, list[str]]
-    logged: list[str]
-    score_columns: list[str]
-    k: int | None
-
-
-def load_models(spark: SparkSession, path: str) -> Models:
-    """What ``save_models`` wrote; parts that were not saved are None."""
-    base = path.rstrip("/")
-    meta = json.loads(spark.read.json(f"{base}/metadata").first()["metadata"])
-    nodes = spark.read.parquet(f"{base}/forest_nodes").toPandas() if path_exists(spark, f"{base}/forest_nodes") else None
-    kmeans = KMeansModel.load(f"{base}/kmeans") if path_exists(spark, f"{base}/kmeans") else None
-    return Models(nodes, kmeans, meta["feature_sets"], meta["logged"], meta["score_columns"], meta["k"])
-
-
 def explanations_csv(explanations: DataFrame) -> DataFrame:
     """customer_id, explanation with line breaks flattened and surrounding
     blanks trimmed; the writer quotes every field and doubles quotes."""
