@@ -321,7 +321,11 @@ def read_blocks(docs: DataFrame, both: TwoTokenizers, slices: int, block_bytes:
     """Per block a row of kind ``docs`` and, per slice that it has pairs in, a
     row of kind ``pairs``; ``n`` counts documents or pairs."""
 
+    # a broadcast is read once per worker, and its tokenizers built once
+    shipped = docs.sparkSession.sparkContext.broadcast(both)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        both = shipped.value
         block = TaskContext.get().partitionId() << 32
         ids: list = []
         texts: list[str | None] = []
