@@ -971,3 +971,31 @@ xf AS (SELECT customer_id, transaction_count_total, total_volume, card_luxury_su
 ORACLE["model_round_trip"] = TXN + """,
 mr AS (SELECT count(DISTINCT customer_id) AS n_customers, 0.0 AS largest_gap, 0 AS n_moved FROM txn)
 """ + sql_select(["n_customers", "largest_gap", "n_moved"], "mr")
+
+
+def _fixed_hash(salt: int) -> str:
+    x = f"((w.t * 7919 + w.tree * 104729 + w.node * 1299709 + {salt * 15485863}) % 1000003)"
+    return f"({x} * {x} % 1000003)"
+
+
+_IS_LEAF = f"(w.depth = 7 OR (w.depth > 1 AND {_fixed_hash(3)} % 10 = 0))"
+_REST = "CASE n WHEN 1 THEN 0.0 WHEN 2 THEN 1.0 ELSE 2.0 * (ln(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n END"
+ORACLE["iforest_fixed_scores"] = FT.replace("WITH", "WITH RECURSIVE", 1) + ANOM_CTES + f""",
+typs(t, typology) AS (VALUES {", ".join(f"({i}, {_sq(t)})" for i, t in enumerate(_K.TYPOLOGIES))}),
+width AS (SELECT typology, count(*) AS n FROM fs GROUP BY typology),
+walk(customer_id, t, typology, tree, node, depth) AS (
+  SELECT ft.customer_id, typs.t, typs.typology, CAST(r.i AS BIGINT), CAST(0 AS BIGINT), 0 FROM ft, typs, range(20) r(i)
+  UNION ALL
+  SELECT w.customer_id, w.t, w.typology, w.tree, 2 * w.node + CASE WHEN p.value < 12.0 * pow(CAST({_fixed_hash(2)} AS DOUBLE) / 1000003, 2)
+      THEN 1 ELSE 2 END, w.depth + 1
+  FROM walk w JOIN width ON width.typology = w.typology
+    JOIN fs ON fs.typology = w.typology AND fs.position = {_fixed_hash(1)} % width.n
+    JOIN prep p ON p.customer_id = w.customer_id AND p.typology = w.typology AND p.feature = fs.feature
+  WHERE NOT {_IS_LEAF}
+),
+leaves AS (SELECT w.*, 1 + {_fixed_hash(4)} % 4 AS n FROM walk w WHERE {_IS_LEAF}),
+paths AS (SELECT customer_id, typology, avg(depth + {_REST}) AS path FROM leaves GROUP BY ALL),
+raw AS (SELECT customer_id, typology, pow(2, -path / (2.0 * (ln(255) + 0.5772156649015329) - 2.0 * 255 / 256)) AS raw FROM paths),
+fixed AS (SELECT customer_id, {", ".join(f"max(raw) FILTER (WHERE typology = {_sq(t)}) AS raw_score_{t}" for t in _K.TYPOLOGIES)}
+          FROM raw GROUP BY customer_id)
+""" + sql_select(["customer_id", *[f"raw_score_{t}" for t in _K.TYPOLOGIES]], "fixed")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -352,6 +353,53 @@ def q_iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(real_anomaly(spark, sf_dir))
 
 
+FIXED_TREES, FIXED_DEPTH, HASH_PRIME = 20, 7, 1_000_003
+
+
+def fixed_hash(typology: int, tree: int, node: int, salt: int) -> int:
+    x = (typology * 7919 + tree * 104_729 + node * 1_299_709 + salt * 15_485_863) % HASH_PRIME
+    return x * x % HASH_PRIME
+
+
+def fixed_forest(sets: dict[str, list[str]]) -> pd.DataFrame:
+    """Trees that follow from hashes of their nodes' numbers (children of n are
+    2 n + 1 and 2 n + 2) instead of data, for which any engine can compute the
+    paths: every tenth node below the second level and all at the last are
+    leaves of 1 to 4 rows."""
+    rows = []
+    for t, typology in enumerate(K.TYPOLOGIES):
+        for tree in range(FIXED_TREES):
+            level = [0]
+            for depth in range(FIXED_DEPTH + 1):
+                below = []
+                for node in level:
+                    leaf = depth == FIXED_DEPTH or (depth > 1 and fixed_hash(t, tree, node, 3) % 10 == 0)
+                    size = 1 + fixed_hash(t, tree, node, 4) % 4 if leaf else 0
+                    split = 12.0 * (fixed_hash(t, tree, node, 2) / HASH_PRIME) ** 2
+                    rows.append((typology, tree, node, fixed_hash(t, tree, node, 1) % len(sets[typology]), split,
+                                 2 * node + 1, 2 * node + 2, size, depth, int(leaf)))
+                    below += [] if leaf else [2 * node + 1, 2 * node + 2]
+                level = below
+    nodes = pd.DataFrame(rows, columns=[c.split()[0] for c in AN.NODE_SCHEMA.split(", ")])
+    # node numbers without gaps, as grown trees have them
+    nodes = nodes.sort_values(["typology", "tree", "node"], ignore_index=True)
+    new = {k: i for _, g in nodes.groupby(["typology", "tree"]) for i, k in enumerate(zip(g["typology"], g["tree"], g["node"]))}
+    for side in ("left", "right", "node"):
+        nodes[side] = [new.get(k, -1) for k in zip(nodes["typology"], nodes["tree"], nodes[side])]
+    return nodes
+
+
+@register("iforest_fixed_scores")
+def q_iforest_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw scores of all customers under a forest that no training made: the
+    scoring alone."""
+    f = features(spark, sf_dir)
+    sets = AN.feature_sets(f)
+    mat = AN.prepare_matrix(f, sets, AN.log_columns(f, sets))
+    raw = AN.score_forest(mat, sets, fixed_forest(sets), per_tree=K.FOREST_SAMPLE)
+    return present(raw.select("customer_id", *[F.col(f"raw_{t}").alias(f"raw_score_{t}") for t in K.TYPOLOGIES]))
+
+
 def standin_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic stand-in for the forest: if_score_t = composite score t."""
     f = features(spark, sf_dir)
