@@ -51,3 +51,15 @@ def test_mcc_descriptions(spark):
         ("'3000'", airline), ("'3005'", "One carrier"), ("'3299'", airline), ("'3300'", None),
         ("'3501'", "Hotels, Motels, Resorts"), ("'3999'", "Hotels, Motels, Resorts"), ("'x'", None), ("None", None),
         ("'3351'", "Car Rental Agencies")], key=repr)
+
+
+def test_catalogue_export_has_mark_and_banners(spark, tmp_path):
+    path = str(tmp_path / "cat")
+    CA.write_catalogue_csv(spark, path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert len(lines) == 1 + 5 + 44 and sum("▌" in x for x in lines) == 5
+    raw = b"".join(p.read_bytes() for p in (tmp_path / "cat").glob("part-*"))
+    assert raw.startswith(b"\xef\xbb\xbfIndicator Id,")
+    back = {r.indicator_id: r for r in CA.read_catalogue_csv(spark, path).collect()}
+    assert sorted(back) == sorted(r[0] for r in K.CATALOGUE)
+    assert all(back[r[0]].risk_level == r[3] for r in K.CATALOGUE)

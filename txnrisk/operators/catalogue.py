@@ -47,12 +47,20 @@ def read_catalogue_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_catalogue_csv(spark: SparkSession, path: str) -> None:
-    """The catalogue as an export of its own, in the columns that
-    ``read_catalogue_csv`` expects."""
+    """The catalogue as an export of its own, in the columns and the form that
+    ``read_catalogue_csv`` expects: a byte-order mark, and a banner row before
+    the indicators of each typology. One file, as the catalogue is 44 rows."""
+    header = ["Indicator Id", "Red Flag Description", "Risk Level", "Transaction Type", "Co Occurring Indicators"]
     df = spark.createDataFrame(K.CATALOGUE, CATALOGUE_SCHEMA)
-    (df.select("indicator_id", F.concat_ws(" - ", "category", "sub_category").alias("red_flag_description"), "risk_level",
-               F.col("transaction_types").alias("transaction_type"), F.col("co_occurring").alias("co_occurring_indicators"))
-       .write.mode("overwrite").option("header", True).option("escape", '"').csv(path))
+    described = F.concat_ws(" - ", "category", "sub_category")
+    record = F.to_csv(F.struct("indicator_id", described, "risk_level", "transaction_types", "co_occurring"), {"escape": '"'})
+    rows = df.select("typology", F.lit(1).alias("kind"), "indicator_id", record.alias("value"))
+    banners = df.groupBy("typology").agg(F.count(F.lit(1)).alias("n")).select(
+        "typology", F.lit(0).alias("kind"), F.lit("").alias("indicator_id"),
+        F.concat(F.lit("  ▌ "), F.upper("typology"), F.lit("   ("), F.col("n"), F.lit(" indicators),,,,")).alias("value"))
+    top = spark.createDataFrame([("", 0, "", "\ufeff" + ",".join(header))], "typology string, kind int, indicator_id string, value string")
+    (top.unionByName(banners).unionByName(rows).coalesce(1).sortWithinPartitions("typology", "kind", "indicator_id")
+        .select("value").write.mode("overwrite").text(path))
 
 
 def cooccurrence_edges(cat: DataFrame) -> DataFrame:

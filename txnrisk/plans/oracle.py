@@ -999,3 +999,10 @@ raw AS (SELECT customer_id, typology, pow(2, -path / (2.0 * (ln(255) + 0.5772156
 fixed AS (SELECT customer_id, {", ".join(f"max(raw) FILTER (WHERE typology = {_sq(t)}) AS raw_score_{t}" for t in _K.TYPOLOGIES)}
           FROM raw GROUP BY customer_id)
 """ + sql_select(["customer_id", *[f"raw_score_{t}" for t in _K.TYPOLOGIES]], "fixed")
+
+ORACLE["catalogue_csv"] = CATQ + """,
+ccf AS (SELECT indicator_id, count(DISTINCT customer_id) AS n FROM fired GROUP BY indicator_id),
+cc AS (SELECT cat.id AS indicator_id, cat.risk AS risk_level, len(string_split(channels, ', ')) AS n_types,
+         len(string_split(cooc, ', ')) AS n_co_occurring, coalesce(ccf.n, 0) AS n_customers
+       FROM cat LEFT JOIN ccf ON ccf.indicator_id = cat.id)
+""" + sql_select(["indicator_id", "risk_level", "n_types", "n_co_occurring", "n_customers"], "cc", {"risk_level": "s"})
