@@ -1006,3 +1006,6 @@ cc AS (SELECT cat.id AS indicator_id, cat.risk AS risk_level, len(string_split(c
          len(string_split(cooc, ', ')) AS n_co_occurring, coalesce(ccf.n, 0) AS n_customers
        FROM cat LEFT JOIN ccf ON ccf.indicator_id = cat.id)
 """ + sql_select(["indicator_id", "risk_level", "n_types", "n_co_occurring", "n_customers"], "cc", {"risk_level": "s"})
+
+ORACLE["request_payloads"] = ORACLE["request_records"].rsplit("SELECT", 1)[0] + sql_select(
+    ["batch_id", "pos", *_K.REQUEST_FIELDS], "(SELECT *, (rank - 1) % 300 AS pos FROM rr)", _REQ_KINDS)

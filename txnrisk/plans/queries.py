@@ -936,9 +936,9 @@ def q_high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("request_payloads")
 def q_request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON array of 20-field request records per batch (rows-only: JSON
-    number formatting differs between engines)."""
-    return EV.batch_payloads(EV.request_records(queue_table(spark, sf_dir)))
+    """The JSON payloads, one per batch, read as their receiver does."""
+    records = EV.request_records(queue_table(spark, sf_dir))
+    return present(EV.payload_records(EV.batch_payloads(records), records.schema))
 
 
 # ---------------------------------------------------------------------------
