@@ -364,9 +364,10 @@ def _pairs_of(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps), held
 
 
-def _tree(df: DataFrame, groups: int, fan_in: int, merge, schema: str) -> DataFrame:
-    """Merge the rows of a slice, ``fan_in`` groups at a time, to one row."""
-    while groups > 1:
+def _tree(df: DataFrame, groups: int, fan_in: int, merge, schema: str, least: int = 1) -> DataFrame:
+    """Merge the rows of a slice, ``fan_in`` groups at a time, to ``least`` rows
+    or fewer."""
+    while groups > least:
         groups = -(-groups // fan_in)
         df = df.withColumn("grp", F.pmod("grp", F.lit(groups)).cast("int")) \
                .groupBy("slice", "grp").applyInPandas(merge, schema)
@@ -382,19 +383,17 @@ def perfect_hashes(pairs: DataFrame, groups: int, fan_in: int) -> DataFrame:
         return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "grp": [rows["grp"].iloc[0]], "n": [len(keys)],
                              "payload": [pack(np.diff(keys, prepend=0))]})
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            made = []
-            for payload in rows["payload"]:
-                keys = np.cumsum(unpack(payload)[0])
-                hash_ = PerfectHash.of(keys)
-                in_order = np.empty_like(keys)
-                in_order[hash_(keys)] = keys
-                made.append((hash_.dump(), pack(in_order)))
-            yield rows[["slice", "n"]].assign(hash=[m[0] for m in made], keys=[m[1] for m in made])
-
-    first = pairs.withColumn("grp", _group(groups)).groupBy("slice", "grp").applyInPandas(united, schema)
-    return _tree(first, groups, fan_in, united, schema).mapInPandas(hashed, "slice int, n long, hash binary, keys binary")
+    def hashed(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = np.unique(np.concatenate([np.cumsum(unpack(p)[0]) for p in rows["payload"]]))
+        hash_ = PerfectHash.of(keys)
+        in_order = np.empty_like(keys)
+        in_order[hash_(keys)] = keys
+        return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "n": [len(keys)], "hash": [hash_.dump()], "keys": [pack(in_order)]})
+
+    df = pairs.withColumn("grp", _group(groups))
+    if groups > 1:
+        df = _tree(df.groupBy("slice", "grp").applyInPandas(united, schema), groups, fan_in, united, schema, least=fan_in)
+    return df.groupBy("slice").applyInPandas(hashed, "slice int, n long, hash binary, keys binary")
 
 
 def _spread(per_slice: DataFrame, groups: int) -> DataFrame:
