@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import composites as C
 from ..operators.features import behavioural_features
 from ..operators.kyc import KYC_COLUMNS, attach_kyc_risk_tiers, kyc_features
-from ..session import write_stage_table
+from ..session import write_customer_table, write_stage_table
 from ..sources import fixtures as FX
 from ..sources.channels import clean_transactions, with_time_columns
 
@@ -51,8 +51,9 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, stage_txn: bool = True) ->
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """A stage output cut from its lineage, as a columnar table."""
-    return write_stage_table(df, name)
+    """A stage output cut from its lineage, as a columnar table; bucketed by
+    customer where it has one, as customers are what later stages join on."""
+    return write_customer_table(df, name) if "customer_id" in df.columns else write_stage_table(df, name)
 
 
 def customer_base(inp: Inputs) -> DataFrame:

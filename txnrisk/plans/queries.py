@@ -472,7 +472,7 @@ def standin_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         anom = standin_anomaly(spark, sf_dir)
         peers = peers_of(standin_clusters(anom))
-        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), peers))
+        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), P.materialize(peers)))
     return memo(spark, sf_dir, "standin_hybrid", build)
 
 
@@ -482,7 +482,7 @@ def real_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
             features(spark, sf_dir).select("customer_id", F.col("label").alias("actual_label")), "customer_id")
         cl = real_peers(spark, sf_dir).select("customer_id", "cluster")
         clustered = anom.join(cl, "customer_id")
-        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), peers_of(clustered)))
+        return P.materialize(FU.fuse(anom, rule_table(spark, sf_dir), P.materialize(peers_of(clustered))))
     return memo(spark, sf_dir, "real_hybrid", build)
 
 

@@ -69,3 +69,15 @@ def write_stage_table(df: DataFrame, name: str, partition_by: list[str] | None =
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_customer_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a customer-level stage output bucketed and sorted by
+    ``customer_id``, one file per bucket, and read it back: joins of such
+    tables on the customer shuffle neither side."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy("customer_id")
+       .option("path", shared_path(spark, table)).saveAsTable(table))
+    return spark.read.table(table)
