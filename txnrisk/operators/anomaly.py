@@ -344,9 +344,3 @@ def fit_and_score(features: DataFrame, trees: int = K.FOREST_TREES, sample: int
     mat = write_stage_table(prepare_matrix(features, sets, logged), "model-matrix")
     nodes = train_forest(mat, sets, trees, sample, seed)
     return normalise_scores(score_forest(mat, sets, nodes, sample)), nodes, sets, logged
-
-
-def score_with(features: DataFrame, nodes: pd.DataFrame, sets: dict[str, list[str]], logged: set[str],
-               sample: int = K.FOREST_SAMPLE) -> DataFrame:
-    """Scores of (new) customers under a saved forest."""
-    return normalise_scores(score_forest(prepare_matrix(features, sets, logged), sets, nodes, sample))
