@@ -64,3 +64,17 @@ def test_ordinal_rank_and_running_total(spark):
     assert (m["rank"] == m["rank_exp"]).all() and len(m) == 500
     rt = running_total(df, [F.col("id").asc()], None, F.col("s"), "cum").toPandas().sort_values("id")
     assert (rt["cum"].to_numpy() == pdf["s"].cumsum().to_numpy()).all()
+
+
+def test_quantiles_pass_over_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b.assign(v=1 + b["id"] * 1e-9)  # keys that differ in their last digits only
+
+    df = spark.range(500).mapInPandas(counted, "id long, v double")
+    q = exact_quantiles(df, [QSpec("m", "v", 0.5), QSpec("p", "v", 0.99)])
+    assert abs(q["m"] - (1 + 249.5e-9)) < 1e-15
+    assert seen.value == 500
