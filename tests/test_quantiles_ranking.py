@@ -78,3 +78,25 @@ def test_quantiles_pass_over_their_input_once(spark):
     q = exact_quantiles(df, [QSpec("m", "v", 0.5), QSpec("p", "v", 0.99)])
     assert abs(q["m"] - (1 + 249.5e-9)) < 1e-15
     assert seen.value == 500
+
+
+def test_medians_of_ordinary_groups_need_no_range_table(spark, monkeypatch):
+    """Only the values of a hot key go through the range-partitioned total."""
+    from txnrisk.operators import quantiles, ranking
+
+    rows = [(k, float((i * 7919 + k) % 101)) for k, n in ((1, 400), (2, 7), (3, 2), (4, 1)) for i in range(n)]
+    rows += [(5, None), (2, float("nan")), (None, 3.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    want = {k: float(np.median([v for key, v in rows if key == k and v is not None and v == v])) for k in (1, 2, 3, 4, None)}
+    totals, keys = ranking.running_total, []
+
+    def spread(df_, *args, **kwargs):
+        keys.append({r.k for r in df_.select("k").distinct().collect()})
+        return totals(df_, *args, **kwargs)
+
+    monkeypatch.setattr(ranking, "running_total", spread)
+    assert {r.k: r.m for r in grouped_median(df, "k", "v", "m").collect()} == want
+    assert keys == []
+    monkeypatch.setattr(quantiles, "HOT_ROWS", 50)
+    assert {r.k: r.m for r in grouped_median(df, "k", "v", "m").collect()} == want
+    assert keys == [{1}]
