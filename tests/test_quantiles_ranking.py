@@ -100,3 +100,10 @@ def test_medians_of_ordinary_groups_need_no_range_table(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "HOT_ROWS", 50)
     assert {r.k: r.m for r in grouped_median(df, "k", "v", "m").collect()} == want
     assert keys == [{1}]
+
+
+def test_medians_of_ordinary_groups_sort_no_rows(spark):
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(30)], "k long, v double")
+    median = grouped_median(df, "k", "v", "m")
+    assert "Window" not in median._jdf.queryExecution().toString()
+    assert {r.k: r.m for r in median.collect()} == {0: 13.5, 1: 14.5, 2: 15.5}

@@ -26,3 +26,20 @@ def test_staged_transactions_lie_by_customer_without_derived_columns(spark):
 def test_lines_meet_their_orders_unsorted(spark):
     plan = FX.fixture_transactions(spark, SF)._jdf.queryExecution().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_staging_sorts_rows_by_customer_alone(spark, monkeypatch):
+    """No sort by channel, whose ties are compared row by row."""
+    plans, write = [], P.write_stage_table
+
+    def seen(df, name, partition_by=None):
+        plans.append((df._jdf.queryExecution().executedPlan().toString(),
+                      spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return write(df, name, partition_by)
+
+    monkeypatch.setattr(P, "write_stage_table", seen)
+    P.fixture_inputs(spark, SF)
+    (plan, writers), = plans
+    assert "Sort [customer_id" in plan and "Sort [channel" not in plan
+    assert int(writers) > len({"ABM", "Card", "Cheque", "EFT", "EMT", "WesternUnion", "Wire"})
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
