@@ -97,3 +97,30 @@ def test_card_recency_own_last_date(feats):
     r = feats[8]
     assert r["card_volume_30d"] == 110.0      # 30 days 0 h back is in, 31 days out
     assert r["card_volume_90d"] == 111.0
+
+
+def test_distinct_counts_of_nulls_and_cards_without_an_expand(spark):
+    from txnrisk.operators.features import distinct_counts
+
+    rows = [(1, "Card", "CA", "p", "a"), (1, "Card", "CA", "q", "b"), (1, "Wire", "US", "p", "a"), (1, None, "MX", None, "c"),
+            (2, "Wire", None, None, None), (3, "Card", None, "p", None), (None, "Card", "CA", "p", "a")]
+    got = distinct_counts(spark.createDataFrame(rows, "customer_id long, channel string, country string, province string, city string"))
+    assert {tuple(r) for r in got.collect()} == {(1, 3, 2, 3, 2, 1), (2, 0, 0, 0, 0, 0), (3, 0, 1, 0, 0, 0), (None, 1, 1, 1, 1, 1)}
+    assert "Expand" not in got._jdf.queryExecution().toString()
+
+
+def test_behavioural_features_are_computed_once_a_session(spark, monkeypatch):
+    from txnrisk.plans import pipeline as P
+    from txnrisk.plans import queries as Q
+
+    calls, compute = [], P.behavioural_features
+    counted = lambda txn: calls.append(1) or compute(txn)
+    monkeypatch.setattr(P, "behavioural_features", counted)
+    monkeypatch.setattr(Q.FE, "behavioural_features", counted)
+    Q.reset()
+    try:
+        Q.behavioural(spark, "/root/testdata/sf0.001")
+        Q.features(spark, "/root/testdata/sf0.001")
+    finally:
+        Q.reset()
+    assert len(calls) == 1
