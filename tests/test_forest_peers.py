@@ -109,3 +109,17 @@ def test_constant_scores_are_zero_and_leaves_hold_lengths(spark):
     one = nodes[(nodes.typology == K.TYPOLOGIES[0]) & (nodes.tree == 0)].sort_values("node")
     leaf = one[one.is_leaf == 1].iloc[0]
     assert flat[K.TYPOLOGIES[0]][0][4][leaf.node] == leaf.depth + AN.c_factor(leaf["size"])
+
+
+def test_pairs_of_rows_and_trees_are_kept_in_a_compiled_loop(spark):
+    mat, sets = _matrix(spark, n=60)
+    pairs = AN.kept_pairs(mat, sets, trees=40, pair_thr=0.1, seed=3)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan  # a function of arrays is interpreted, element by element
+    assert all("*(" in line for line in plan.splitlines())
+    h = F.pmod(F.xxhash64("customer_id", "typology", "tree", F.lit(3)), F.lit(1 << 52)).cast("double") / float(1 << 52)
+    every = (mat.select("customer_id").crossJoin(spark.createDataFrame([(t,) for t in K.TYPOLOGIES], "typology string"))
+             .crossJoin(spark.range(40).select(F.col("id").cast("int").alias("tree"))))
+    wanted = {tuple(r) for r in every.where(h < 0.1).select("customer_id", "typology", "tree").collect()}
+    got = pairs.select("customer_id", "typology", "tree").collect()
+    assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
