@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.bwt import by_symbol, merge, shard_bwt
-from txnrisk.llm.components import connected_components
+from txnrisk.llm.components import connected_components, linked_groups, pairs_between_groups
 from txnrisk.llm.line_dedup import BITS, MAX_DISTANCE, dedup_lines, line_signatures
 from txnrisk.llm.ngram_join import jaccard_groups, keep_first
 from txnrisk.llm.spotsigs import ANCHORS, compare_edited, similar_groups
@@ -177,6 +178,22 @@ def test_simhash_of_short_lines_takes_character_grams(docs_of):
     assert got == {1: want, 2: grams[3] & (1 << BITS) - 1}
 
 
+def test_items_that_share_buckets_are_paired_once(spark):
+    """40 items in five common buckets and one of their own parity each: every
+    pair of different groups once, not once a bucket; and the same groups."""
+    rows = [(key, (i, 0)) for i in range(40) for key in (-5, -4, 7, 8, 9, 100 + i % 2)]
+    postings = spark.createDataFrame(rows, "key long, item struct<id long, order long>")
+    rest = postings.withColumn("own", F.col("item.id") % 10).withColumn(
+        "keys", F.collect_list("key").over(Window.partitionBy("item.id")))
+    got = sorted((r.a, r.b) for r in pairs_between_groups(rest, lambda x, y: F.lit(True), True).collect())
+    assert got == [(a, b) for a in range(40) for b in range(a + 1, 40) if a % 10 != b % 10]
+
+    def groups(few_keys):
+        found = linked_groups(postings, lambda x, y: F.lit(True), lambda p: p.where("(b - a) % 10 = 0"), "order", few_keys=few_keys)
+        return sorted((r.id, r.component) for r in found.collect())
+    assert groups(True) == groups(False) == [(i, i % 10) for i in range(40)]
+
+
 def test_line_dedup_odd_rows(docs_of):
     docs = docs_of(ODD).selectExpr("*", "1 as gone", "2 as id", "'x' as removed_line_numbers", "3 as row")
     got = dedup_lines(docs)
