@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.bwt import by_symbol, merge, shard_bwt
+from txnrisk.llm.common import perhaps_in
 from txnrisk.llm.components import connected_components, linked_groups, pairs_between_groups
 from txnrisk.llm.line_dedup import BITS, MAX_DISTANCE, dedup_lines, line_signatures
 from txnrisk.llm.ngram_join import jaccard_groups, keep_first
@@ -194,6 +195,14 @@ def test_items_that_share_buckets_are_paired_once(spark):
     assert groups(True) == groups(False) == [(i, i % 10) for i in range(40)]
 
 
+def test_bitmap_grows_with_its_keys(spark):
+    """Few strangers pass where there are many keys; every key does."""
+    keys, others = spark.range(60_000), spark.range(1_000_000, 1_060_000)
+    there = perhaps_in(keys, F.xxhash64("id"), F.xxhash64("id"), 1 << 19)
+    assert keys.where(there).count() == 60_000
+    assert others.where(there).count() < 9_000
+
+
 def test_line_dedup_odd_rows(docs_of):
     docs = docs_of(ODD).selectExpr("*", "1 as gone", "2 as id", "'x' as removed_line_numbers", "3 as row")
     got = dedup_lines(docs)
