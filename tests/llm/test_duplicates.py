@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from txnrisk.llm.bwt import by_symbol, merge, shard_bwt
 from txnrisk.llm.common import perhaps_in
-from txnrisk.llm.components import connected_components, linked_groups, pairs_between_groups
-from txnrisk.llm.line_dedup import BITS, MAX_DISTANCE, dedup_lines, line_signatures
+from txnrisk.llm import components, line_dedup
+from txnrisk.llm.components import PairsInBuckets, connected_components, linked_groups, pairs_between_groups
+from txnrisk.llm.line_dedup import BITS, MAX_DISTANCE, dedup_lines, line_meetings, line_signatures
 from txnrisk.llm.ngram_join import jaccard_groups, keep_first
 from txnrisk.llm.spotsigs import ANCHORS, compare_edited, similar_groups
 from txnrisk.llm.suffix_dedup import drop_repeats
@@ -195,6 +196,55 @@ def test_items_that_share_buckets_are_paired_once(spark):
     assert groups(True) == groups(False) == [(i, i % 10) for i in range(40)]
 
 
+@pytest.mark.parametrize("chunk", [4, 512])
+def test_pairs_are_compared_in_their_buckets(spark, monkeypatch, chunk):
+    """Parts and bands of a bucket lose no pair, make none twice, and only linked
+    ones leave it."""
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    r = random.Random(9)
+    items = {i: (i % 6, r.randrange(40, 90)) for i in range(60)}
+    keys = {i: [k for k in range(3) if (i + k) % 4] for i in items}
+    rest = spark.createDataFrame([(k, (i, n), own, keys[i]) for i, (own, n) in items.items() for k in keys[i]],
+                                 "key long, item struct<id long, n long>, own long, keys array<long>")
+    texts = spark.createDataFrame([(i, "x" * (i % 5)) for i in items], "id long, form string")
+    within = PairsInBuckets(texts, lambda x, y: x["form"] == y["form"], lambda x: F.floor(x["n"] / 10))
+    got = sorted((p.a, p.b) for p in pairs_between_groups(
+        components._with_texts(rest, texts), lambda x, y: F.abs(x["n"] - y["n"]) <= 10, True, within).collect())
+    assert got == [(a, b) for a in items for b in items if a < b and a % 5 == b % 5 and items[a][0] != items[b][0]
+                   and abs(items[a][1] - items[b][1]) <= 10 and set(keys[a]) & set(keys[b])]
+    assert len(got) > 20
+
+
+def test_lines_that_meet_by_chance_are_left(spark):
+    """Lines that agree in two blocks of bits but differ in most others, in buckets
+    of two, three and four, ask for no texts; those near to another one do."""
+    far = ((1 << 37) - 1) << 26  # all but the first two blocks
+    rows = [(1, 5, 100), (2, 5 ^ far, 100),  # two
+            (11, 1 << 13, 100), (12, 1 << 13 ^ far, 100), (13, (1 << 13) ^ (far & far << 20), 100),  # three
+            (21, 9, 100), (22, 9 ^ 7 << 30, 100), (23, 9 ^ far, 100), (24, 9 ^ 7 << 50, 130),  # one near, one too long
+            (31, 77 << 13, 1 << 25), (32, 77 << 13 ^ 1 << 40, 1 << 26)]  # too long for the facts
+    distinct = spark.createDataFrame([(i, h, n, []) for i, h, n in rows], "id long, simhash long, n_chars int, blocks array<long>")
+    met = [(r.key, r.id) for r in line_meetings(distinct).collect() if r.key >> 32 == 0]
+    assert sorted(i for _, i in met) == [21, 22, 31, 32]
+    of_words = distinct.where("id < 30").withColumn("blocks", F.array(F.lit(3).cast("long"), F.col("id") + 100))
+    assert sorted(r.id for r in line_meetings(of_words).collect() if r.key < 0) == [1, 2, 11, 12, 13, 21, 22, 23]
+
+
+def test_least_edits_counts_letters(spark):
+    """No more than the edit distance, and what letters alone tell."""
+    lines = [prose(k, 3 + k % 40) for k in range(30)] + [edited(prose(k, 20), k, 3) for k in range(10)] + ["e" * 400, "e" * 90 + "t" * 30]
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, form string").select("id", "form", *line_dedup._letters(F.col("form")))
+    pairs = df.select(F.struct("*").alias("x")).crossJoin(df.select(F.struct("*").alias("y")))
+    got = pairs.select("x.form", F.col("y.form").alias("other"), line_dedup._least_edits(F.col("x"), F.col("y")).alias("n")).collect()
+
+    def counts(line):
+        return [min(255, sum(c in lane for c in line)) for lane in line_dedup.LANES]
+    for form, other, n in got:
+        d = [a - b for a, b in zip(counts(form), counts(other), strict=True)]
+        assert n == max(sum(x for x in d if x > 0), -sum(x for x in d if x < 0))
+    assert all(n <= lev(form, other) for form, other, n in got if len(form) + len(other) < 200)
+
+
 def test_bitmap_grows_with_its_keys(spark):
     """Few strangers pass where there are many keys; every key does."""
     keys, others = spark.range(60_000), spark.range(1_000_000, 1_060_000)
